@@ -1,0 +1,6 @@
+"""Streaming.
+
+The warehouse this package rebuilds is a full-refresh batch load: it has no
+streams, watermarks, windows over event time or stateful operators, so
+nothing is built here.  Every layer is rebuilt whole by ``plans.warehouse``.
+"""
