@@ -40,14 +40,29 @@ def digest(columns, rows) -> tuple[int, str]:
     return len(lines), hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "tinyint": "TINYINT",
+}
+
+
+def spark_type(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper().replace(" ", "")
+    return SPARK_TO_DUCK.get(t, t)
+
+
 def compare(spark_df, con, sql: str) -> dict:
     s_cols = spark_df.columns
+    s_types = {f.name: spark_type(f.dataType.simpleString()) for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
+    d_types = {c[0]: str(c[1]).upper().replace(" ", "") for c in res.description}
     d_rows = res.fetchall()
     out = {"spark_rows": len(s_rows), "oracle_rows": len(d_rows), "columns_equal": sorted(s_cols) == sorted(d_cols)}
     out["hash_equal"] = out["columns_equal"] and digest(s_cols, s_rows) == digest(d_cols, d_rows)
+    out["type_diff"] = {c: (s_types[c], d_types.get(c)) for c in s_cols if s_types[c] != d_types.get(c)}
     if not out["hash_equal"]:
         out["spark_cols"], out["oracle_cols"] = s_cols, d_cols
         if out["columns_equal"]:

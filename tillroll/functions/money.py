@@ -25,43 +25,37 @@ def money(c: str | Column, scale: int = 2) -> Column:
     return F.round(col(c), scale).cast(f"decimal(18,{scale})")
 
 
-def _as_int(c: Column, shift: int) -> Column:
-    """c * 10**shift as an exact wide integer (c must have scale <= shift)."""
-    scaled = c if shift == 0 else c * F.lit(Decimal(10) ** shift)
-    return scaled.cast(WIDE_INT)
+def ratio_sql(num: str, den: str, *, num_scale: int = 0, den_scale: int = 0, factor: int = 1, scale: int = 2) -> str:
+    """SQL text of round(factor * num / den, scale), exact, half away from zero.
+
+    ``num`` / ``den`` are SQL expressions whose decimal scale is at most
+    ``num_scale`` / ``den_scale``; both are scaled to wide integers, the
+    quotient is rounded once by integer division, NULL when den is 0 or NULL.
+    """
+    shift = 10 ** max(num_scale, den_scale)
+    n = f"CAST(CAST(({num}) AS DECIMAL(38,{num_scale})) * {shift} AS {WIDE_INT})"
+    d = f"CAST(CAST(({den}) AS DECIMAL(38,{den_scale})) * {shift} AS {WIDE_INT})"
+    units = f"((2 * abs({n}) * {factor * 10**scale} + abs({d})) div (2 * abs({d})))"
+    sign = f"CAST(signum({n}) * signum({d}) AS INT)"
+    unit = Decimal(1).scaleb(-scale)
+    value = f"CAST(CAST({sign} * {units} AS DECIMAL(20,0)) * {unit} AS DECIMAL(18,{scale}))"
+    return f"CASE WHEN {d} <> 0 THEN {value} END"
 
 
 def exact_ratio(
-    num: str | Column,
-    den: str | Column,
-    *,
-    num_scale: int = 0,
-    den_scale: int = 0,
-    factor: int = 1,
-    scale: int = 2,
+    num: str, den: str, *, num_scale: int = 0, den_scale: int = 0, factor: int = 1, scale: int = 2
 ) -> Column:
     """round(factor * num / den, scale) exactly; NULL when den is 0 or NULL.
+    ``num`` and ``den`` are column names or SQL expressions."""
+    return F.expr(ratio_sql(num, den, num_scale=num_scale, den_scale=den_scale, factor=factor, scale=scale))
 
-    ``num_scale`` / ``den_scale`` are the (maximum) decimal scales of the
-    inputs, so that both can be turned into integers without loss.
-    """
-    shift = max(num_scale, den_scale)
-    n = _as_int(col(num).cast(f"decimal(38,{num_scale})"), shift)
-    d = _as_int(col(den).cast(f"decimal(38,{den_scale})"), shift)
-    a = F.abs(n) * F.lit(Decimal(factor * 10**scale))
-    b = F.abs(d)
-    units = F.call_function("div", a * F.lit(Decimal(2)) + b, b * F.lit(Decimal(2)))
-    signed = units.cast(WIDE_INT) * F.signum(n).cast("int") * F.signum(d).cast("int")
-    value = (signed.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(18,{scale})")
-    return F.when(d != 0, value)
-
-
-def exact_mean(total: str | Column, count: str | Column, *, total_scale: int = 0, scale: int = 2) -> Column:
+
+def exact_mean(total: str, count: str, *, total_scale: int = 0, scale: int = 2) -> Column:
     """round(sum / count, scale) with the rounding done once."""
     return exact_ratio(total, count, num_scale=total_scale, scale=scale)
 
 
-def percent(num: str | Column, den: str | Column, *, num_scale: int = 0, den_scale: int = 0) -> Column:
+def percent(num: str, den: str, *, num_scale: int = 0, den_scale: int = 0) -> Column:
     """round(100 * num / den, 2)."""
     return exact_ratio(num, den, num_scale=num_scale, den_scale=den_scale, factor=100)
 

@@ -26,7 +26,7 @@ def _top(df: DataFrame, order: list[Column], k: int) -> DataFrame:
 
 def _dense_rank_in(df: DataFrame, value: str, out: str) -> Column:
     """Dense rank by ``value`` desc inside an already cut top-k frame."""
-    return F.dense_rank().over(Window.orderBy(F.col(value).desc())).alias(out)
+    return F.dense_rank().over(Window.orderBy(F.col(value).desc())).cast("long").alias(out)
 
 
 def kpi_overview(wh) -> DataFrame:
@@ -46,10 +46,7 @@ def monthly_growth(wh) -> DataFrame:
         "net_revenue",
         "previous_month_gross_revenue",
         percent(
-            F.col("gross_revenue") - F.col("previous_month_gross_revenue"),
-            "previous_month_gross_revenue",
-            num_scale=2,
-            den_scale=2,
+            "gross_revenue - previous_month_gross_revenue", "previous_month_gross_revenue", num_scale=2, den_scale=2
         ).alias("gross_revenue_growth_pct"),
         "month_start",
     ).orderBy(F.col("month_start").asc_nulls_last()).drop("month_start")

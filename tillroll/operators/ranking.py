@@ -20,10 +20,9 @@ bucket ever reach the driver.
 
 from __future__ import annotations
 
+import base64
 import math
 from dataclasses import dataclass
-from datetime import date, datetime
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,28 +52,36 @@ def _key_names(n: int) -> list[str]:
     return [f"k{i}" for i in range(n)]
 
 
-def _literal(value, dtype: T.DataType) -> Column:
+def _sql_literal(value, dtype: T.DataType) -> str:
+    """Exact SQL literal of a collected value (strings via base64 of UTF-8)."""
+    t = dtype.simpleString()
     if value is None:
-        return F.lit(None).cast(dtype)
+        return f"CAST(NULL AS {t})"
+    if isinstance(dtype, T.StringType):
+        return f"CAST(unbase64('{base64.b64encode(value.encode()).decode()}') AS STRING)"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if value else "FALSE"
     if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+        return f"CAST('{value.isoformat(sep=' ')}' AS TIMESTAMP_NTZ)"
     if isinstance(dtype, T.TimestampType):
         raise NotImplementedError("order keys with a time zone are not supported; use timestamp_ntz")
-    if isinstance(dtype, T.DecimalType) or isinstance(value, Decimal):
-        return F.lit(str(value)).cast(dtype)
-    if isinstance(value, (date, datetime)):
-        return F.lit(value).cast(dtype)
-    return F.lit(value).cast(dtype)
+    if isinstance(dtype, T.DateType):
+        return f"DATE'{value.isoformat()}'"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return f"CAST('{value!r}' AS {t})"
+    if isinstance(dtype, (T.DecimalType, T.IntegralType)):
+        return f"CAST('{value}' AS {t})"
+    raise NotImplementedError(f"unsupported order key type {t}")
 
 
-def _bucket_expr(key: Column, splits: list[Column]) -> Column:
+def _bucket_sql(key: str, splits: list[str]) -> str:
     """Number of split keys <= key, by binary search (depth log2(#splits))."""
 
-    def build(lo: int, hi: int) -> Column:
+    def build(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(key >= splits[mid - 1], build(mid, hi)).otherwise(build(lo, mid - 1))
+        return f"CASE WHEN {key} >= {splits[mid - 1]} THEN {build(mid, hi)} ELSE {build(lo, mid - 1)} END"
 
     return build(0, len(splits))
 
@@ -86,11 +93,8 @@ def bucket_count(n_rows: int, tuning: RankTuning = TUNING) -> int:
     return min(tuning.max_buckets, wanted)
 
 
-def _order_key(df: DataFrame, order_cols: list[str]) -> tuple[Column, T.StructType]:
-    names = _key_names(len(order_cols))
-    key = F.struct(*[F.col(c).alias(k) for c, k in zip(order_cols, names)])
-    fields = [T.StructField(k, df.schema[c].dataType) for c, k in zip(order_cols, names)]
-    return key, T.StructType(fields)
+def _struct_sql(items: list[tuple[str, str]]) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in items) + ")"
 
 
 def split_buckets(df: DataFrame, order_cols: list[str], n_rows: int, tuning: RankTuning = TUNING) -> Column:
@@ -98,9 +102,8 @@ def split_buckets(df: DataFrame, order_cols: list[str], n_rows: int, tuning: Ran
     n_buckets = bucket_count(n_rows, tuning)
     if n_buckets <= 1:
         return F.lit(0)
-    key, key_type = _order_key(df, order_cols)
-    fraction = min(1.0, tuning.samples_per_bucket * n_buckets / max(n_rows, 1))
     names = _key_names(len(order_cols))
+    fraction = min(1.0, tuning.samples_per_bucket * n_buckets / max(n_rows, 1))
     sample = (
         df.select(*[F.col(c).alias(k) for c, k in zip(order_cols, names)])
         .sample(withReplacement=False, fraction=fraction, seed=tuning.seed)
@@ -116,11 +119,10 @@ def split_buckets(df: DataFrame, order_cols: list[str], n_rows: int, tuning: Ran
             picks.append(row)
     if not picks:
         return F.lit(0)
-    splits = [
-        F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(row, key_type.fields)])
-        for row in picks
-    ]
-    return _bucket_expr(key, splits)
+    types = [df.schema[c].dataType for c in order_cols]
+    key = _struct_sql([(k, f"`{c}`") for k, c in zip(names, order_cols)])
+    splits = [_struct_sql([(k, _sql_literal(v, t)) for k, v, t in zip(names, row, types)]) for row in picks]
+    return F.expr(_bucket_sql(key, splits))
 
 
 def row_number_global(

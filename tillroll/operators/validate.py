@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
-from tillroll.operators.dimensions import CUSTOMER_COLUMNS
 from tillroll.operators.staging import STAGING_COLUMNS
 
 RULE_SCHEMA = "rule string, expected long, actual long, passed boolean"
@@ -38,6 +37,26 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _table_rules(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
+    """Several violation counts of one table in a single aggregate scan, as rule rows."""
+    agg = df.agg(*[expr.alias(f"_r{i}") for i, (_, expr) in enumerate(rules)])
+    rows = F.array(
+        *[F.struct(F.lit(name).alias("rule"), F.col(f"_r{i}").cast("long").alias("actual")) for i, (name, _) in enumerate(rules)]
+    )
+    return agg.select(F.inline(rows)).select(
+        "rule", F.lit(0).cast("long").alias("expected"), "actual", (F.col("actual") == 0).alias("passed")
+    )
+
+
+def not_null(c: str) -> Column:
+    return F.count_if(F.col(c).isNull())
+
+
+def excess(c: str) -> Column:
+    """Rows beyond the first per non-null value: 0 iff the column is unique."""
+    return F.count(F.col(c)) - F.count_distinct(F.col(c))
+
+
 def expected_counts(wh, *, raw_rows: int = S.EXPECTED_RAW_ROWS, products: int = S.EXPECTED_NORMALIZED_PRODUCTS) -> DataFrame:
     """H1, H4: fixed counts of the full source (parameters)."""
     return _union([
@@ -47,14 +66,14 @@ def expected_counts(wh, *, raw_rows: int = S.EXPECTED_RAW_ROWS, products: int =
 
 
 def reconciliation(wh) -> DataFrame:
-    """H2, H3: raw = staging; first occurrences = fact."""
-    raw_n = _count(wh.raw).withColumnRenamed("actual", "e")
-    stg_n = _count(wh.staging)
-    first_n = _count(wh.staging, F.col("is_first_occurrence")).withColumnRenamed("actual", "e")
-    fact_n = _count(wh.fact)
+    """H2, H3: raw = staging; first occurrences = fact (one scan per table)."""
+    raw_n = _count(wh.raw).withColumnRenamed("actual", "raw")
+    stg = wh.staging.agg(F.count(F.lit(1)).alias("stg"), F.count_if("is_first_occurrence").alias("first"))
+    fact_n = _count(wh.fact).withColumnRenamed("actual", "fact")
+    counts = raw_n.crossJoin(stg).crossJoin(fact_n)
     return _union([
-        _rule("raw_equals_staging", stg_n.crossJoin(raw_n), F.col("e")),
-        _rule("first_occurrences_equal_fact", fact_n.crossJoin(first_n), F.col("e")),
+        _rule("raw_equals_staging", counts.withColumn("actual", F.col("stg")), F.col("raw")),
+        _rule("first_occurrences_equal_fact", counts.withColumn("actual", F.col("fact")), F.col("first")),
     ])
 
 
@@ -64,9 +83,8 @@ def uppercase(wh) -> DataFrame:
 
 
 def unique_lineage(wh) -> DataFrame:
-    """H6: no raw_row_id twice in the fact."""
-    dup = wh.fact.groupBy("raw_row_id").count().filter(F.col("count") > 1)
-    return _rule("fact_raw_row_id_unique", _count(dup))
+    """H6: no raw_row_id twice in the fact (excess rows)."""
+    return _rule("fact_raw_row_id_unique", wh.fact.agg(excess("raw_row_id").alias("actual")))
 
 
 DIMENSION_KEYS = (
@@ -78,8 +96,8 @@ DIMENSION_KEYS = (
 
 
 def orphans(wh) -> DataFrame:
-    """Fact keys present in no dimension (anti joins on the small
-    dimension key sets, broadcast by AQE when small)."""
+    """Fact keys present in no dimension (anti joins against the
+    dimension key sets; AQE broadcasts them when small)."""
     fact = wh.fact
     per_dim = []
     for dim, key in DIMENSION_KEYS:
@@ -111,61 +129,68 @@ def row_counts(wh) -> DataFrame:
     return reduce(lambda a, b: a.crossJoin(b), parts)
 
 
-def _nulls(df: DataFrame, table: str, cols) -> list[DataFrame]:
-    return [_rule(f"{table}.{c}_not_null", _count(df, F.col(c).isNull())) for c in cols]
+STAGING_FLAGS = tuple(c for c in STAGING_COLUMNS if c.startswith("is_"))
+FACT_NOT_NULL = (
+    "raw_row_id", "date_key", "customer_key", "product_key", "country_key", "invoice_no",
+    "invoice_timestamp", "quantity", "unit_price", "line_amount", "record_type", "source_file",
+)
 
 
-def _unique(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
-    dup = df.groupBy(*cols).count().filter(F.col("count") > 1)
-    return _rule(f"{table}.{'_'.join(cols)}_unique", _count(dup))
+def constraint_rules(wh) -> dict[str, list[tuple[str, Column]]]:
+    """H11, H12 per table: (rule, violation-count aggregate)."""
+    col = F.col
+    return {
+        "staging": [
+            ("staging.raw_row_id_unique", excess("raw_row_id")),
+            *[(f"staging.{c}_not_null", not_null(c))
+              for c in ("raw_row_id", *STAGING_FLAGS, "record_type", "duplicate_rank", "duplicate_group_size", "source_file")],
+            ("staging.record_type_domain", F.count_if(~col("record_type").isin(*S.RECORD_TYPES))),
+            ("staging.duplicate_rank_positive", F.count_if(col("duplicate_rank") < 1)),
+            ("staging.duplicate_group_size_positive", F.count_if(col("duplicate_group_size") < 1)),
+        ],
+        "dim_customer": [
+            ("dim_customer.customer_key_unique", excess("customer_key")),
+            ("dim_customer.customer_id_unique", excess("customer_id")),
+            ("dim_customer.unknown_iff_null_id", F.count_if(col("is_unknown") != col("customer_id").isNull())),
+        ],
+        "dim_product": [
+            ("dim_product.product_key_unique", excess("product_key")),
+            ("dim_product.stock_code_unique", excess("stock_code")),
+            *[(f"dim_product.{c}_not_null", not_null(c)) for c in ("stock_code", "product_category", "is_merchandise", "is_unknown")],
+            ("dim_product.category_domain",
+             F.count_if(~col("product_category").isin(*S.PRODUCT_CATEGORIES, S.UNKNOWN_CATEGORY))),
+            ("dim_product.merchandise_iff_category",
+             F.count_if(col("is_merchandise") != (col("product_category") == "MERCHANDISE"))),
+            ("dim_product.unknown_iff_key_0", F.count_if(col("is_unknown") != (col("product_key") == S.UNKNOWN_KEY))),
+        ],
+        "dim_country": [
+            ("dim_country.country_key_unique", excess("country_key")),
+            ("dim_country.country_name_unique", excess("country_name")),
+            *[(f"dim_country.{c}_not_null", not_null(c)) for c in ("country_name", "is_unknown")],
+        ],
+        "dim_date": [
+            ("dim_date.date_key_unique", excess("date_key")),
+            ("dim_date.full_date_unique", excess("full_date")),
+            ("dim_date.unknown_iff_key_0", F.count_if(col("is_unknown") != (col("date_key") == S.UNKNOWN_KEY))),
+        ],
+        "fact": [
+            ("fact_sales.sales_key_unique", excess("sales_key")),
+            ("fact_sales.raw_row_id_unique", excess("raw_row_id")),
+            *[(f"fact_sales.{c}_not_null", not_null(c)) for c in FACT_NOT_NULL],
+            ("fact_sales.record_type_domain", F.count_if(~col("record_type").isin(*S.RECORD_TYPES))),
+            ("fact_sales.source_duplicate_group_size_positive", F.count_if(col("source_duplicate_group_size") < 1)),
+        ],
+    }
 
 
 def constraints(wh) -> DataFrame:
-    """Key, not-null and domain rules as violation counts."""
-    stg, fact = wh.staging, wh.fact
-    cust, prod, ctry, date = wh.dim_customer, wh.dim_product, wh.dim_country, wh.dim_date
-    flags = [c for c in STAGING_COLUMNS if c.startswith("is_")]
-    rules = [
-        _unique(stg, "staging", ["raw_row_id"]),
-        *_nulls(stg, "staging", ["raw_row_id", *flags, "record_type", "duplicate_rank", "duplicate_group_size", "source_file"]),
-        _rule("staging.record_type_domain", _count(stg, ~F.col("record_type").isin(*S.RECORD_TYPES))),
-        _rule("staging.duplicate_rank_positive", _count(stg, F.col("duplicate_rank") < 1)),
-        _rule("staging.duplicate_group_size_positive", _count(stg, F.col("duplicate_group_size") < 1)),
-        _unique(cust, "dim_customer", ["customer_key"]),
-        _unique(cust.filter(F.col("customer_id").isNotNull()), "dim_customer", ["customer_id"]),
-        _rule("dim_customer.unknown_iff_null_id", _count(cust, F.col("is_unknown") != F.col("customer_id").isNull())),
-        _unique(prod, "dim_product", ["product_key"]),
-        _unique(prod, "dim_product", ["stock_code"]),
-        *_nulls(prod, "dim_product", ["stock_code", "product_category", "is_merchandise", "is_unknown"]),
-        _rule(
-            "dim_product.category_domain",
-            _count(prod, ~F.col("product_category").isin(*S.PRODUCT_CATEGORIES, S.UNKNOWN_CATEGORY)),
-        ),
-        _rule(
-            "dim_product.merchandise_iff_category",
-            _count(prod, F.col("is_merchandise") != (F.col("product_category") == "MERCHANDISE")),
-        ),
-        _rule(
-            "dim_product.unknown_iff_key_0", _count(prod, F.col("is_unknown") != (F.col("product_key") == S.UNKNOWN_KEY))
-        ),
-        _unique(ctry, "dim_country", ["country_key"]),
-        _unique(ctry, "dim_country", ["country_name"]),
-        *_nulls(ctry, "dim_country", ["country_name", "is_unknown"]),
-        _unique(date, "dim_date", ["date_key"]),
-        _unique(date.filter(F.col("full_date").isNotNull()), "dim_date", ["full_date"]),
-        _rule("dim_date.unknown_iff_key_0", _count(date, F.col("is_unknown") != (F.col("date_key") == S.UNKNOWN_KEY))),
-        _unique(fact, "fact_sales", ["sales_key"]),
-        _unique(fact, "fact_sales", ["raw_row_id"]),
-        *_nulls(
-            fact,
-            "fact_sales",
-            ["raw_row_id", "date_key", "customer_key", "product_key", "country_key", "invoice_no",
-             "invoice_timestamp", "quantity", "unit_price", "line_amount", "record_type", "source_file"],
-        ),
-        _rule("fact_sales.record_type_domain", _count(fact, ~F.col("record_type").isin(*S.RECORD_TYPES))),
-        _rule("fact_sales.source_duplicate_group_size_positive", _count(fact, F.col("source_duplicate_group_size") < 1)),
-    ]
-    return _union(rules)
+    """Key, not-null and domain rules as violation counts, one
+    aggregate scan per table."""
+    tables = {
+        "staging": wh.staging, "dim_customer": wh.dim_customer, "dim_product": wh.dim_product,
+        "dim_country": wh.dim_country, "dim_date": wh.dim_date, "fact": wh.fact,
+    }
+    return _union([_table_rules(tables[t], rules) for t, rules in constraint_rules(wh).items()])
 
 
 def report(wh, **expected) -> DataFrame:
@@ -189,5 +214,3 @@ def assert_valid(wh, *, include_constraints: bool = True, **expected) -> list[tu
         raise ValidationError("validation failed: " + "; ".join(f"{r[0]} expected={r[1]} actual={r[2]}" for r in failed))
     return rows
 
-
-__all__ = ["CUSTOMER_COLUMNS", "RULE_SCHEMA"]

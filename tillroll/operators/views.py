@@ -87,9 +87,7 @@ def aov() -> Column:
 
 
 def cancel_rate() -> Column:
-    return percent(
-        F.col("_x_orders"), F.col("positive_order_count") + F.col("_x_orders")
-    ).alias("cancellation_invoice_rate_pct")
+    return percent("_x_orders", "positive_order_count + _x_orders").alias("cancellation_invoice_rate_pct")
 
 
 # -- dimension attachment -----------------------------------------------------
@@ -239,9 +237,7 @@ def product_kpis(wh) -> DataFrame:
         "positive_order_count", F.col("_x_orders").alias("cancellation_invoice_count"),
         "sold_quantity", "cancelled_quantity", "net_quantity", "stock_adjustment_quantity",
         gross(), cancellation(), net(),
-        percent("cancelled_quantity", F.when(F.col("sold_quantity") != 0, F.col("sold_quantity"))).alias(
-            "cancelled_units_pct_of_sold"
-        ),
+        percent("cancelled_quantity", "sold_quantity").alias("cancelled_units_pct_of_sold"),
     )
 
 
