@@ -16,10 +16,16 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tillroll") -> SparkSession:
-    """A local session for tests and the benchmark (UI off, AQE on)."""
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tillroll", event_log_dir: str | None = None
+) -> SparkSession:
+    """A local session for tests and the benchmark (UI off, AQE on).  With
+    ``event_log_dir`` the stage and task timings go to Spark's event log there."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

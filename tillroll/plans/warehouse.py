@@ -128,6 +128,24 @@ def load_fact(wh: Warehouse, *, tuning: RankTuning = TUNING) -> None:
     wh.rows["fact_sales"] = wh.fact.count()
 
 
+def load_layers(wh: Warehouse, *, strict: bool = True, tuning: RankTuning = TUNING) -> Warehouse:
+    """Staging, dimensions and fact from the raw layer already in ``wh``."""
+    _timed(wh, "staging", lambda: load_staging(wh, strict=strict, tuning=tuning))
+    _timed(wh, "dimensions", lambda: load_dimensions(wh, tuning=tuning))
+    _timed(wh, "fact", lambda: load_fact(wh, tuning=tuning))
+    return wh
+
+
+def build_from_raw(
+    spark: SparkSession, raw: DataFrame, *, root: str | None = None, strict: bool = True, tuning: RankTuning = TUNING
+) -> Warehouse:
+    """Load a warehouse from a raw layer with the ``RAW_SCHEMA`` columns."""
+    apply_recommended(spark)
+    wh = Warehouse(spark, root or run_root(spark, "warehouse"))
+    raw.write.mode("overwrite").parquet(wh.path("raw/online_retail"))
+    return load_layers(wh, strict=strict, tuning=tuning)
+
+
 def build(
     spark: SparkSession,
     sf_dir: str,
@@ -140,10 +158,7 @@ def build(
     apply_recommended(spark)
     wh = Warehouse(spark, root or run_root(spark, "warehouse"))
     _timed(wh, "raw", lambda: load_raw(wh, fixture.raw_text_rows(spark, sf_dir)))
-    _timed(wh, "staging", lambda: load_staging(wh, strict=strict, tuning=tuning))
-    _timed(wh, "dimensions", lambda: load_dimensions(wh, tuning=tuning))
-    _timed(wh, "fact", lambda: load_fact(wh, tuning=tuning))
-    return wh
+    return load_layers(wh, strict=strict, tuning=tuning)
 
 
 _BUILDS: dict[tuple[str, str], Warehouse] = {}
