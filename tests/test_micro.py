@@ -189,3 +189,10 @@ def test_seeded_violations_each_hit_their_rule(spark, micro_wh, tmp_path):
     assert failed["stock_code_uppercase"] == 1 and failed["orphan_product_key"] == 1
     with pytest.raises(H.ValidationError):
         H.assert_valid(wh, raw_rows=8, products=4)
+
+
+def test_registered_views_answer_sql(spark, micro_wh):
+    names = micro_wh.register_views()
+    assert "analytics_v_kpi_overview" in names
+    r = spark.sql("SELECT positive_order_count FROM analytics_v_kpi_overview").first()
+    assert r[0] == 5

@@ -84,32 +84,51 @@ def dim_customer(stg: DataFrame, *, tuning: RankTuning = TUNING, prepare: Prepar
     return unknown.unionByName(keyed)
 
 
-def canonical_descriptions(stg: DataFrame) -> DataFrame:
-    """Per normalised code, the most frequent description, then the most
-    recently used, then the alphabetically first.
-
-    Expressed as a minimum over (-count, -last use, description), so it is
-    a plain (partially pre-aggregated) hash aggregate rather than a window;
-    a NULL last use sorts first, as in a descending order with NULLs first.
-    """
-    freq = (
-        stg.filter(F.col("stock_code").isNotNull() & F.col("description").isNotNull())
+def _code_description_counts(stg: DataFrame) -> DataFrame:
+    """Lines, first and last use per (normalised code, description), NULL description included."""
+    return (
+        stg.filter(F.col("stock_code").isNotNull())
         .groupBy("stock_code", "description")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("invoice_date").alias("last_used"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("invoice_date").alias("first_used"),
+            F.max("invoice_date").alias("last_used"),
+        )
     )
+
+
+def _best_description() -> Column:
+    """The most frequent description, then the most recently used, then
+    the alphabetically first — a minimum over (-count, -last use, text), so
+    it is a partially pre-aggregated hash aggregate rather than a window.  A
+    NULL last use sorts first, as in a descending order with NULLs first."""
     age = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, last_used)")
-    best = F.min(F.struct((-F.col("n")).alias("n"), (-age).alias("t"), F.col("description").alias("d")))
-    return freq.groupBy("stock_code").agg(best["d"].alias("product_description"))
+    key = F.struct((-F.col("n")).alias("n"), (-age).alias("t"), F.col("description").alias("d"))
+    return F.min(F.when(F.col("description").isNotNull(), key))["d"]
+
+
+def canonical_descriptions(stg: DataFrame) -> DataFrame:
+    """D2b as its own frame: one row per code that has a description."""
+    return (
+        _code_description_counts(stg)
+        .filter(F.col("description").isNotNull())
+        .groupBy("stock_code")
+        .agg(_best_description().alias("product_description"))
+    )
 
 
 def dim_product(stg: DataFrame, *, tuning: RankTuning = TUNING, prepare: Prepare = _as_is) -> DataFrame:
-    """Activity per normalised code + canonical description + category."""
-    activity = (
-        stg.filter(F.col("stock_code").isNotNull())
+    """Activity per normalised code + canonical description + category,
+    from one two-level aggregation (code, description) -> code."""
+    described = (
+        _code_description_counts(stg)
         .groupBy("stock_code")
-        .agg(F.min("invoice_date").alias("first_seen_at"), F.max("invoice_date").alias("last_seen_at"))
+        .agg(
+            F.min("first_used").alias("first_seen_at"),
+            F.max("last_used").alias("last_seen_at"),
+            _best_description().alias("product_description"),
+        )
     )
-    described = activity.join(canonical_descriptions(stg), "stock_code", "left")
     keyed = _keyed(described, "stock_code", "product_key", tuning, prepare, "product_activity").select(
         "product_key",
         "stock_code",

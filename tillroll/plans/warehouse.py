@@ -16,6 +16,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from tillroll import schemas as S
 from tillroll.operators import dimensions, facts, staging
 from tillroll.operators.ranking import TUNING, RankTuning
 from tillroll.plans.session import apply_recommended, materialize, run_root
@@ -66,6 +69,45 @@ class Warehouse:
     def dim_rows(self, name: str) -> int:
         return self.rows[f"dim_{name}"]
 
+    def register_views(self) -> list[str]:
+        """Expose the layers and the seven analytical views as temporary
+        views named ``<layer>_<table>`` (re-created on every call, views last,
+        in dependency order)."""
+        from tillroll.operators import views
+
+        tables = {
+            "raw_online_retail": self.raw,
+            "staging_transactions": self.staging,
+            "warehouse_dim_customer": self.dim_customer,
+            "warehouse_dim_product": self.dim_product,
+            "warehouse_dim_country": self.dim_country,
+            "warehouse_dim_date": self.dim_date,
+            "warehouse_fact_sales": self.fact,
+        }
+        orders = views.order_summary(self)
+        tables.update(
+            {
+                "analytics_v_sales_enriched": views.sales_enriched(self),
+                "analytics_v_order_summary": orders,
+                "analytics_v_kpi_overview": views.kpi_overview(self),
+                "analytics_v_monthly_kpis": views.monthly_kpis(self),
+                "analytics_v_country_kpis": views.country_kpis(self),
+                "analytics_v_product_kpis": views.product_kpis(self),
+                "analytics_v_customer_kpis": views.customer_kpis(self, orders),
+            }
+        )
+        for name, df in tables.items():
+            df.createOrReplaceTempView(name)
+        return list(tables)
+
+
+def described(df: DataFrame, table: str) -> DataFrame:
+    """A10: attach the column descriptions of ``table`` as field metadata."""
+    comments = S.COLUMN_COMMENTS.get(table, {})
+    return df.select(
+        *[F.col(c).alias(c, metadata={"comment": comments[c]}) if c in comments else F.col(c) for c in df.columns]
+    )
+
 
 def _timed(wh: Warehouse, name: str, fn):
     t0 = time.perf_counter()
@@ -78,16 +120,15 @@ def load_raw(wh: Warehouse, raw_text: DataFrame) -> None:
     """A3/A4: number the raw rows and write the raw layer."""
     unnumbered = materialize(raw_text, wh.path("_work/raw_unnumbered"))
     raw = fixture.number_rows(unnumbered)
-    raw.write.mode("overwrite").parquet(wh.path("raw/online_retail"))
+    described(raw, "raw/online_retail").write.mode("overwrite").parquet(wh.path("raw/online_retail"))
 
 
 def load_staging(wh: Warehouse, *, strict: bool = True, tuning: RankTuning = TUNING) -> None:
     # Written as produced (hash-partitioned by the duplicate window): a range
     # shuffle just to order the files by raw_row_id would cost a full extra
     # pass of the largest table.
-    staging.staging(wh.raw, strict=strict, tuning=tuning).write.mode("overwrite").parquet(
-        wh.path("staging/transactions")
-    )
+    stg = staging.staging(wh.raw, strict=strict, tuning=tuning)
+    described(stg, "staging/transactions").write.mode("overwrite").parquet(wh.path("staging/transactions"))
 
 
 def load_dimensions(wh: Warehouse, *, tuning: RankTuning = TUNING) -> None:
@@ -103,7 +144,7 @@ def load_dimensions(wh: Warehouse, *, tuning: RankTuning = TUNING) -> None:
         "dim_date": dimensions.dim_date(stg),
     }
     for name, df in built.items():
-        df.write.mode("overwrite").parquet(wh.path(f"warehouse/{name}"))
+        described(df, f"warehouse/{name}").write.mode("overwrite").parquet(wh.path(f"warehouse/{name}"))
         wh.rows[name] = wh.table(f"warehouse/{name}").count()
 
 
@@ -120,7 +161,8 @@ def load_fact(wh: Warehouse, *, tuning: RankTuning = TUNING) -> None:
     # sorted inside each file: Parquet min/max statistics then skip files and
     # row groups for date ranges, which replaces the secondary date index.
     (
-        fact.repartitionByRange("date_key", "raw_row_id")
+        described(fact, "warehouse/fact_sales")
+        .repartitionByRange("date_key", "raw_row_id")
         .sortWithinPartitions("date_key", "raw_row_id")
         .write.mode("overwrite")
         .parquet(wh.path("warehouse/fact_sales"))

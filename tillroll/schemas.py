@@ -122,3 +122,42 @@ TOP_PRODUCTS_ROWS = 10
 TOP_CUSTOMERS_ROWS = 10
 PARETO_ROWS = 20
 MOST_CANCELLED_ROWS = 20
+
+# Column descriptions stored as field metadata ("comment") when layers are written.
+COLUMN_COMMENTS = {
+    "raw/online_retail": {
+        "raw_row_id": "Position of the line in the ingested source, dense from 1.",
+        "source_file": "Name of the file the line was read from.",
+        "ingested_at": "Time the raw layer was loaded.",
+    },
+    "staging/transactions": {
+        "raw_row_id": "Lineage key of the raw line this row was typed from.",
+        "source_stock_code": "Trimmed product code with its original letter case.",
+        "stock_code": "Trimmed, upper-cased product code used by the product dimension.",
+        "line_amount": "Quantity times unit price, signed.",
+        "record_type": "Business class of the line (sale, cancellation, adjustments, zero price, other).",
+        "duplicate_rank": "Position of the line among exact copies of its raw values, by raw_row_id.",
+        "duplicate_group_size": "Number of raw lines with exactly the same eight raw values.",
+    },
+    "warehouse/dim_customer": {
+        "customer_key": "Surrogate key, dense in customer_id order; 0 is the unknown customer.",
+    },
+    "warehouse/dim_product": {
+        "product_key": "Surrogate key, dense in stock_code order; 0 is the unknown product.",
+        "product_description": "Most frequent description, then most recent, then alphabetical.",
+        "product_category": "Service class of the code, MERCHANDISE for physical products.",
+    },
+    "warehouse/dim_country": {
+        "country_key": "Surrogate key, dense in name order; 0 is the unknown country.",
+    },
+    "warehouse/dim_date": {
+        "date_key": "Day as YYYYMMDD; 0 is the unknown day.",
+        "week_of_year": "ISO week number.",
+        "day_of_week": "ISO weekday, Monday = 1.",
+    },
+    "warehouse/fact_sales": {
+        "sales_key": "Surrogate key, dense in raw_row_id order.",
+        "raw_row_id": "Lineage key of the first occurrence of the line's duplicate group.",
+        "source_duplicate_group_size": "Copies of this line in the raw layer.",
+    },
+}
