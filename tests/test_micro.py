@@ -195,4 +195,4 @@ def test_registered_views_answer_sql(spark, micro_wh):
     names = micro_wh.register_views()
     assert "analytics_v_kpi_overview" in names
     r = spark.sql("SELECT positive_order_count FROM analytics_v_kpi_overview").first()
-    assert r[0] == 5
+    assert r[0] == 6
