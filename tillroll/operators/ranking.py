@@ -205,17 +205,19 @@ def rank_within_groups(
     partition.
     """
     n = df.count()
-    fraction = min(1.0, tuning.hot_sample_rows / max(n, 1))
-    threshold = max(2, math.ceil(fraction * tuning.group_chunk_rows / 2))
-    hot = (
-        df.select(*group_cols)
-        .sample(withReplacement=False, fraction=fraction, seed=tuning.seed)
-        .groupBy(*group_cols)
-        .count()
-        .filter(F.col("count") >= threshold)
-        .drop("count")
-        .collect()
-    )
+    hot = []
+    if n >= tuning.group_chunk_rows // 2:  # otherwise no group can reach half a chunk
+        fraction = min(1.0, tuning.hot_sample_rows / max(n, 1))
+        threshold = max(2, math.ceil(fraction * tuning.group_chunk_rows / 2))
+        hot = (
+            df.select(*group_cols)
+            .sample(withReplacement=False, fraction=fraction, seed=tuning.seed)
+            .groupBy(*group_cols)
+            .count()
+            .filter(F.col("count") >= threshold)
+            .drop("count")
+            .collect()
+        )
     window = Window.partitionBy(*group_cols, "_chunk")
     if not hot:
         w = Window.partitionBy(*group_cols)

@@ -19,16 +19,6 @@ from tillroll.operators.staging import STAGING_COLUMNS
 RULE_SCHEMA = "rule string, expected long, actual long, passed boolean"
 
 
-def _rule(name: str, actual: DataFrame, expected: int | Column = 0) -> DataFrame:
-    """``actual`` is a one-row frame with a column ``actual``."""
-    exp = expected if isinstance(expected, Column) else F.lit(expected)
-    return actual.select(
-        F.lit(name).alias("rule"),
-        exp.cast("long").alias("expected"),
-        F.col("actual").cast("long").alias("actual"),
-    ).withColumn("passed", F.col("expected") == F.col("actual"))
-
-
 def _count(df: DataFrame, cond: Column | None = None) -> DataFrame:
     return df.agg((F.count(F.lit(1)) if cond is None else F.count_if(cond)).alias("actual"))
 
@@ -57,62 +47,120 @@ def excess(c: str) -> Column:
     return F.count(F.col(c)) - F.count_distinct(F.col(c))
 
 
-def expected_counts(wh, *, raw_rows: int = S.EXPECTED_RAW_ROWS, products: int = S.EXPECTED_NORMALIZED_PRODUCTS) -> DataFrame:
+DIMENSION_KEYS = (
+    ("dim_date", "date_key"),
+    ("dim_customer", "customer_key"),
+    ("dim_product", "product_key"),
+    ("dim_country", "country_key"),
+)
+
+
+def _raw_metrics(wh) -> DataFrame:
+    return wh.raw.agg(F.count(F.lit(1)).alias("raw_rows"))
+
+
+def _staging_metrics(wh) -> DataFrame:
+    """Every staging measure of the rules in one scan."""
+    return wh.staging.agg(
+        F.count(F.lit(1)).alias("staging_rows"),
+        F.count_if("is_first_occurrence").alias("first_rows"),
+        F.count_distinct("stock_code").alias("normalized_products"),
+        F.count_if(F.col("stock_code") != F.upper("stock_code")).alias("non_upper_codes"),
+    )
+
+
+def _fact_metrics(wh) -> DataFrame:
+    """Fact size, repeated lineage keys and orphan keys in one fact scan: the
+    fact is left-joined to each dimension's (unique) key set, so no row is
+    multiplied; small key sets are broadcast."""
+    fact = wh.fact.select("raw_row_id", *[k for _, k in DIMENSION_KEYS])
+    for dim, key in DIMENSION_KEYS:
+        keys = getattr(wh, dim).select(F.col(key).alias(f"_dim_{key}")).distinct()
+        if wh.rows.get(dim, 0) <= BROADCAST_KEY_ROWS:
+            keys = F.broadcast(keys)
+        fact = fact.join(keys, fact[key] == keys[f"_dim_{key}"], "left")
+    return fact.agg(
+        F.count(F.lit(1)).alias("fact_rows"),
+        excess("raw_row_id").alias("fact_repeated_lineage"),
+        *[F.count_if(F.col(f"_dim_{k}").isNull()).alias(f"orphan_{k}") for _, k in DIMENSION_KEYS],
+    )
+
+
+def _unknown_metrics(wh) -> DataFrame:
+    parts = [
+        getattr(wh, dim).agg(F.count_if((F.col(key) == S.UNKNOWN_KEY) & F.col("is_unknown")).alias(f"unknown_{dim}"))
+        for dim, key in DIMENSION_KEYS
+    ]
+    return reduce(lambda a, b: a.crossJoin(b), parts)
+
+
+BROADCAST_KEY_ROWS = 5_000_000
+
+# rule -> (metric frames needed, actual metric, expected metric or constant name)
+_RULES = {
+    "raw_row_count": (("raw",), "raw_rows", "expected_raw_rows"),
+    "normalized_product_count": (("staging",), "normalized_products", "expected_products"),
+    "raw_equals_staging": (("raw", "staging"), "staging_rows", "raw_rows"),
+    "first_occurrences_equal_fact": (("staging", "fact"), "fact_rows", "first_rows"),
+    "stock_code_uppercase": (("staging",), "non_upper_codes", 0),
+    "fact_raw_row_id_unique": (("fact",), "fact_repeated_lineage", 0),
+    **{f"orphan_{k}": (("fact",), f"orphan_{k}", 0) for _, k in DIMENSION_KEYS},
+    **{f"unknown_member_{d}": (("unknown",), f"unknown_{d}", 1) for d, _ in DIMENSION_KEYS},
+}
+_METRICS = {"raw": _raw_metrics, "staging": _staging_metrics, "fact": _fact_metrics, "unknown": _unknown_metrics}
+
+
+def rules(wh, names, *, raw_rows: int = S.EXPECTED_RAW_ROWS, products: int = S.EXPECTED_NORMALIZED_PRODUCTS) -> DataFrame:
+    """The named rules as (rule, expected, actual, passed) rows; each table
+    involved is aggregated once, whatever the number of rules on it."""
+    frames = sorted({f for n in names for f in _RULES[n][0]}, key=list(_METRICS).index)
+    metrics = reduce(lambda a, b: a.crossJoin(b), [_METRICS[f](wh) for f in frames])
+    metrics = metrics.withColumns({"expected_raw_rows": F.lit(raw_rows), "expected_products": F.lit(products)})
+
+    def value(v):
+        return F.lit(v) if isinstance(v, int) else F.col(v)
+
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("rule"),
+                value(_RULES[n][2]).cast("long").alias("expected"),
+                value(_RULES[n][1]).cast("long").alias("actual"),
+            )
+            for n in names
+        ]
+    )
+    return metrics.select(F.inline(rows)).withColumn("passed", F.col("expected") == F.col("actual"))
+
+
+def expected_counts(wh, **expected) -> DataFrame:
     """H1, H4: fixed counts of the full source (parameters)."""
-    return _union([
-        _rule("raw_row_count", _count(wh.raw), raw_rows),
-        _rule("normalized_product_count", wh.staging.agg(F.count_distinct("stock_code").alias("actual")), products),
-    ])
+    return rules(wh, ["raw_row_count", "normalized_product_count"], **expected)
 
 
 def reconciliation(wh) -> DataFrame:
-    """H2, H3: raw = staging; first occurrences = fact (one scan per table)."""
-    raw_n = _count(wh.raw).withColumnRenamed("actual", "raw")
-    stg = wh.staging.agg(F.count(F.lit(1)).alias("stg"), F.count_if("is_first_occurrence").alias("first"))
-    fact_n = _count(wh.fact).withColumnRenamed("actual", "fact")
-    counts = raw_n.crossJoin(stg).crossJoin(fact_n)
-    return _union([
-        _rule("raw_equals_staging", counts.withColumn("actual", F.col("stg")), F.col("raw")),
-        _rule("first_occurrences_equal_fact", counts.withColumn("actual", F.col("fact")), F.col("first")),
-    ])
+    """H2, H3: raw = staging; first occurrences = fact."""
+    return rules(wh, ["raw_equals_staging", "first_occurrences_equal_fact"])
 
 
 def uppercase(wh) -> DataFrame:
     """H5: normalised codes are upper case."""
-    return _rule("stock_code_uppercase", _count(wh.staging, F.col("stock_code") != F.upper("stock_code")))
+    return rules(wh, ["stock_code_uppercase"])
 
 
 def unique_lineage(wh) -> DataFrame:
     """H6: no raw_row_id twice in the fact (excess rows)."""
-    return _rule("fact_raw_row_id_unique", wh.fact.agg(excess("raw_row_id").alias("actual")))
-
-
-DIMENSION_KEYS = (
-    ("dim_date", "date_key"),
-    ("dim_customer", "customer_key"),
-    ("dim_product", "product_key"),
-    ("dim_country", "country_key"),
-)
+    return rules(wh, ["fact_raw_row_id_unique"])
 
 
 def orphans(wh) -> DataFrame:
-    """Fact keys present in no dimension (anti joins against the
-    dimension key sets; AQE broadcasts them when small)."""
-    fact = wh.fact
-    per_dim = []
-    for dim, key in DIMENSION_KEYS:
-        keys = getattr(wh, dim).select(key)
-        per_dim.append(_rule(f"orphan_{key}", _count(fact.select(key).join(keys, key, "left_anti"))))
-    return _union(per_dim)
+    """Fact keys present in no dimension."""
+    return rules(wh, [f"orphan_{k}" for _, k in DIMENSION_KEYS])
 
 
 def unknown_members(wh) -> DataFrame:
     """H8: key 0 flagged unknown exists in all four dimensions."""
-    out = []
-    for dim, key in DIMENSION_KEYS:
-        d = getattr(wh, dim)
-        out.append(_rule(f"unknown_member_{dim}", _count(d, (F.col(key) == S.UNKNOWN_KEY) & F.col("is_unknown")), 1))
-    return _union(out)
+    return rules(wh, [f"unknown_member_{d}" for d, _ in DIMENSION_KEYS])
 
 
 def row_counts(wh) -> DataFrame:
@@ -194,11 +242,8 @@ def constraints(wh) -> DataFrame:
 
 
 def report(wh, **expected) -> DataFrame:
-    """Every rule of H1-H8 in one frame."""
-    return _union([
-        expected_counts(wh, **expected), reconciliation(wh), uppercase(wh), unique_lineage(wh), orphans(wh),
-        unknown_members(wh),
-    ])
+    """Every rule of H1-H8 in one frame (raw, staging and fact scanned once each)."""
+    return rules(wh, list(_RULES), **expected)
 
 
 class ValidationError(AssertionError):
