@@ -87,3 +87,11 @@ def test_rank_within_groups_without_hot_groups(spark):
     got = R.rank_within_groups(df, ["g"], "rid", "rk", "sz")
     want = df.withColumn("rk", F.row_number().over(Window.partitionBy("g").orderBy("rid")).cast("long"))
     assert sorted(got.select("rid", "rk").collect()) == sorted(want.select("rid", "rk").collect())
+
+
+def test_row_number_by_range_partitions(spark, mixed):
+    many = R.RankTuning(rows_per_bucket=100, min_rows_to_split=0, max_buckets=4)
+    for cols in (["id"], ["s", "n", "id"], ["t", "d", "id"]):
+        got, _ = R.row_number_global(mixed, cols, "rn", tuning=many)
+        want = mixed.withColumn("rn", F.row_number().over(Window.orderBy(*[F.col(c).asc() for c in cols])).cast("long"))
+        assert sorted(got.select("id", "rn").collect()) == sorted(want.select("id", "rn").collect())

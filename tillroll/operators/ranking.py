@@ -139,18 +139,15 @@ def row_number_global(
     numbers in an unspecified order, as with the plain window.
     """
     n = df.count() if n_rows is None else n_rows
+    if n > tuning.max_buckets * tuning.rows_per_bucket:
+        return _row_number_by_range(df, order_cols, out, n, tuning), n
     bucket = split_buckets(df, order_cols, n, tuning)
     tagged = df.withColumn("_bucket", bucket.cast("int"))
     local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*[F.col(c).asc() for c in order_cols]))
     if bucket_count(n, tuning) <= 1:
         return tagged.withColumn(out, local.cast("long")).drop("_bucket"), n
-    counts = sorted(tuple(r) for r in tagged.groupBy("_bucket").count().collect())
-    offsets, running = [], 0
-    for b, c in counts:
-        offsets.append((int(b), running))
-        running += int(c)
-    spark = df.sparkSession
-    offset_df = spark.createDataFrame(offsets, "_bucket int, _offset long")
+    counts = [tuple(r) for r in tagged.groupBy("_bucket").count().collect()]
+    offset_df = _offsets(df.sparkSession, counts, "_bucket").withColumn("_bucket", F.col("_bucket").cast("int"))
     numbered = (
         tagged.join(F.broadcast(offset_df), "_bucket")
         .withColumn(out, F.col("_offset") + local)
@@ -159,6 +156,44 @@ def row_number_global(
     return numbered, n
 
 
+def _offsets(spark, counts: list[tuple[int, int]], key: str) -> DataFrame:
+    """Running row offsets of the (few) ordered groups, as a small frame."""
+    offsets, running = [], 0
+    for k, c in sorted(counts):
+        offsets.append((int(k), running))
+        running += int(c)
+    return spark.createDataFrame(offsets, f"{key} long, _offset long")
+
+
+def _row_number_by_range(
+    df: DataFrame, order_cols: list[str], out: str, n_rows: int, tuning: RankTuning
+) -> DataFrame:
+    """Row numbers for inputs beyond ``max_buckets`` buckets: Spark's range
+    partitioner (its own sample, any number of partitions) sorts the rows;
+    each row is tagged with its partition and position and written to the
+    shared folder, which fixes the tags; one count per partition then gives
+    the offsets."""
+    from tillroll.plans.session import materialize, run_root
+
+    parts = math.ceil(n_rows / tuning.rows_per_bucket)
+    tagged = (
+        df.repartitionByRange(parts, *[F.col(c).asc() for c in order_cols])
+        .sortWithinPartitions(*order_cols)
+        .withColumn("_part", F.spark_partition_id().cast("long"))
+        .withColumn("_pos", F.monotonically_increasing_id())
+    )
+    fixed = materialize(tagged, run_root(df.sparkSession, "ranked"))
+    counts = [tuple(r) for r in fixed.groupBy("_part").count().collect()]
+    offsets = _offsets(df.sparkSession, counts, "_part")
+    # monotonically_increasing_id = (partition << 33) + position in the partition
+    local = F.col("_pos") - F.shiftleft(F.col("_part"), 33) + 1
+    return (
+        fixed.join(F.broadcast(offsets), "_part")
+        .withColumn(out, F.col("_offset") + local)
+        .drop("_part", "_pos", "_offset")
+    )
+
+
 def ntile_from_row_number(rn: Column, n_rows: int, tiles: int) -> Column:
     """NTILE(tiles) for 1-based row number ``rn`` among ``n_rows`` rows:
     the first ``n_rows % tiles`` tiles hold one row more."""
