@@ -60,6 +60,13 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The configured checkpoint folder itself (the same for every
+    application), falling back to the session's checkpoint folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (base or shared_dir(spark)).rstrip("/")
+
+
 def run_root(spark: SparkSession, label: str) -> str:
     """A folder for one warehouse build, unique per application and build."""
     app = spark.sparkContext.applicationId
