@@ -243,7 +243,8 @@ def rank_within_groups(
     hot = []
     if n >= tuning.group_chunk_rows // 2:  # otherwise no group can reach half a chunk
         fraction = min(1.0, tuning.hot_sample_rows / max(n, 1))
-        threshold = max(2, math.ceil(fraction * tuning.group_chunk_rows / 2))
+        # at least a few sampled rows, so that sampling noise marks few groups hot
+        threshold = max(4, math.ceil(fraction * tuning.group_chunk_rows / 2))
         hot = (
             df.select(*group_cols)
             .sample(withReplacement=False, fraction=fraction, seed=tuning.seed)

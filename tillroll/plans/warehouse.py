@@ -215,6 +215,15 @@ def build(
 _BUILDS: dict[tuple[str, str], Warehouse] = {}
 _LOCK = threading.Lock()
 INPUT_TABLES = ("lineitem", "orders", "customer", "nation", "part")
+LAYER_TABLES = (
+    "raw/online_retail",
+    "staging/transactions",
+    "warehouse/dim_customer",
+    "warehouse/dim_product",
+    "warehouse/dim_country",
+    "warehouse/dim_date",
+    "warehouse/fact_sales",
+)
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -249,8 +258,9 @@ def _reuse(spark: SparkSession, sf_dir: str) -> Warehouse | None:
         return None
     wh = Warehouse(spark, row["root"], rows={k: int(v) for k, v in json.loads(row["rows"]).items()})
     try:
-        wh.fact.schema
-    except Exception:  # the build folder is gone
+        for name in LAYER_TABLES:
+            wh.table(name).schema
+    except Exception:  # (part of) the build folder is gone
         return None
     return wh
 
