@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillroll import schemas as S
 from tillroll.functions import calendar
@@ -185,6 +184,3 @@ def dim_date(stg: DataFrame) -> DataFrame:
     unknown = _unknown(stg.sparkSession, known, {"date_key": S.UNKNOWN_KEY, "is_unknown": True})
     return unknown.unionByName(known)
 
-
-def enforce_types(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])

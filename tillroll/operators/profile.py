@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas as S
 from tillroll.functions.money import money
-from tillroll.functions.text import blank_to_null, is_blank, is_cancel_invoice, matches, missing_label
+from tillroll.functions.text import is_blank, is_cancel_invoice, matches, missing_label
 
 PROFILE_NUMERIC = "decimal(20,6)"
 
@@ -193,5 +193,3 @@ def duplicate_examples(raw: DataFrame, k: int = S.TOP_PROFILE_ROWS) -> DataFrame
     order = [F.col("occurrence_count").desc()] + [F.col(c).asc_nulls_last() for c in S.RAW_COLUMNS]
     return _duplicate_groups(raw).orderBy(*order).limit(k)
 
-
-__all__ = ["blank_to_null"]
