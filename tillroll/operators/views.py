@@ -70,6 +70,46 @@ def base_measures(
     return out
 
 
+def invoice_measures(
+    fact: DataFrame, group: list[str], *, cancelled_qty=False, net_qty=False, stock_qty=False, extra=()
+) -> tuple[DataFrame, list[Column]]:
+    """Grouped measures whose distinct counts are all over invoices, without
+    Spark's ``Expand``: rows are first aggregated per (group, invoice) — a hot
+    invoice is absorbed by the partial aggregation — then per group, where an
+    invoice counts once if any of its lines is a positive sale (resp. cancelled)."""
+    q, a = "quantity", "line_amount"
+    per_invoice = fact.groupBy(*group, "invoice_no").agg(
+        F.max(P().cast("int")).alias("_p"),
+        F.max(X().cast("int")).alias("_x"),
+        _sum_if(P(), q).alias("_pq"),
+        _sum_if(X(), q).alias("_xq"),
+        _sum_if(N(), q).alias("_nq"),
+        _sum_if(F.col("is_stock_adjustment"), q).alias("_sq"),
+        _sum_if(P(), a).alias("_pa"),
+        _sum_if(X(), a).alias("_xa"),
+        _sum_if(N(), a).alias("_na"),
+        *extra,
+    )
+    zero = F.lit(0)
+    out = [
+        F.count_if(F.col("_p") == 1).alias("positive_order_count"),
+        F.count_if(F.col("_x") == 1).alias("_x_orders"),
+        F.coalesce(F.sum("_pq"), zero).cast("long").alias("sold_quantity"),
+    ]
+    if cancelled_qty:
+        out.append(F.abs(F.coalesce(F.sum("_xq"), zero)).cast("long").alias("cancelled_quantity"))
+    if net_qty:
+        out.append(F.coalesce(F.sum("_nq"), zero).cast("long").alias("net_quantity"))
+    if stock_qty:
+        out.append(F.abs(F.coalesce(F.sum("_sq"), zero)).cast("long").alias("stock_adjustment_quantity"))
+    out += [
+        F.coalesce(F.sum("_pa"), zero).alias("_gross"),
+        F.coalesce(F.sum("_xa"), zero).alias("_cancel"),
+        F.coalesce(F.sum("_na"), zero).alias("_net"),
+    ]
+    return per_invoice, out
+
+
 def gross() -> Column:
     return money("_gross").alias("gross_revenue")
 
@@ -196,9 +236,11 @@ def kpi_overview(wh) -> DataFrame:
 def monthly_kpis(wh) -> DataFrame:
     """KPIs per calendar month."""
     df = with_calendar(wh.fact, ["year_month", "calendar_year", "month_number", "month_name", "full_date"])
-    agg = df.groupBy("year_month", "calendar_year", "month_number", "month_name").agg(
-        F.min("full_date").alias("month_start"), *base_measures(cancelled_qty=True)
+    month = ["year_month", "calendar_year", "month_number", "month_name"]
+    per_invoice, measures = invoice_measures(
+        df, month, cancelled_qty=True, extra=[F.min("full_date").alias("_first_day")]
     )
+    agg = per_invoice.groupBy(*month).agg(F.min("_first_day").alias("month_start"), *measures)
     return agg.select(
         "year_month", "calendar_year", "month_number", "month_name", "month_start",
         "positive_order_count", F.col("_x_orders").alias("cancelled_invoice_count"),
@@ -222,11 +264,14 @@ def country_kpis(wh) -> DataFrame:
 
 def product_kpis(wh) -> DataFrame:
     """KPIs per known product."""
-    agg = (
-        wh.fact.filter(F.col("product_key") != S.UNKNOWN_KEY)
-        .groupBy("product_key")
-        .agg(*base_measures(cancelled_qty=True, net_qty=True, stock_qty=True))
+    per_invoice, measures = invoice_measures(
+        wh.fact.filter(F.col("product_key") != S.UNKNOWN_KEY),
+        ["product_key"],
+        cancelled_qty=True,
+        net_qty=True,
+        stock_qty=True,
     )
+    agg = per_invoice.groupBy("product_key").agg(*measures)
     agg = attach(
         agg, wh.dim_product, "product_key",
         ["stock_code", "product_description", "product_category", "is_merchandise"],
