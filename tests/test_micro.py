@@ -196,3 +196,16 @@ def test_registered_views_answer_sql(spark, micro_wh):
     assert "analytics_v_kpi_overview" in names
     r = spark.sql("SELECT positive_order_count FROM analytics_v_kpi_overview").first()
     assert r[0] == 6
+
+
+def test_build_from_csv_equals_build_from_raw(spark, micro_wh, tmp_path):
+    from tillroll.plans.warehouse import build_from_csv
+
+    path = str(tmp_path / "source_csv")
+    csv.write_csv(micro_wh.raw.orderBy("raw_row_id").select(*S.RAW_COLUMNS).coalesce(1), path)
+    wh = build_from_csv(spark, path, source_file="micro.csv")
+    cols = ["raw_row_id", "invoice_no", "stock_code", "quantity", "line_amount", "record_type", "duplicate_rank"]
+    a = sorted(tuple(r) for r in wh.staging.select(*cols).collect())
+    b = sorted(tuple(r) for r in micro_wh.staging.select(*cols).collect())
+    assert a == b
+    assert V.kpi_overview(wh).collect() == V.kpi_overview(micro_wh).collect()

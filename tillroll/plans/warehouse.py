@@ -197,6 +197,31 @@ def build_from_raw(
     return load_layers(wh, strict=strict, tuning=tuning)
 
 
+def build_from_csv(
+    spark: SparkSession,
+    csv_path: str,
+    *,
+    root: str | None = None,
+    source_file: str | None = None,
+    strict: bool = True,
+    tuning: RankTuning = TUNING,
+) -> Warehouse:
+    """Full load from header CSV files of the eight source columns (A1 + A3):
+    raw_row_id follows file name, then position in the file.  Large inputs
+    should arrive as many files: each multi-line CSV file is read by one task."""
+    from tillroll.sources import csv
+
+    apply_recommended(spark)
+    wh = Warehouse(spark, root or run_root(spark, "warehouse"))
+
+    def load() -> None:
+        raw = csv.ingest_csv(spark, csv_path, wh.path("_work/csv_scan"), source_file=source_file)
+        described(raw, "raw/online_retail").write.mode("overwrite").parquet(wh.path("raw/online_retail"))
+
+    _timed(wh, "raw", load)
+    return load_layers(wh, strict=strict, tuning=tuning)
+
+
 def build(
     spark: SparkSession,
     sf_dir: str,
