@@ -41,35 +41,6 @@ def _sum_if(cond: Column, c: str) -> Column:
     return F.sum(F.when(cond, F.col(c)))
 
 
-def base_measures(
-    *, orders=True, cancels=True, quantity=True, cancelled_qty=False, net_qty=False, stock_qty=False
-) -> list[Column]:
-    """Raw aggregates; derived measures are computed from them by ``derived``."""
-    out = []
-    if orders:
-        out.append(F.count_distinct(F.when(P(), F.col("invoice_no"))).alias("positive_order_count"))
-    if cancels:
-        out.append(F.count_distinct(F.when(X(), F.col("invoice_no"))).alias("_x_orders"))
-    if quantity:
-        out.append(F.coalesce(_sum_if(P(), "quantity"), F.lit(0)).cast("long").alias("sold_quantity"))
-    if cancelled_qty:
-        out.append(F.abs(F.coalesce(_sum_if(X(), "quantity"), F.lit(0))).cast("long").alias("cancelled_quantity"))
-    if net_qty:
-        out.append(F.coalesce(_sum_if(N(), "quantity"), F.lit(0)).cast("long").alias("net_quantity"))
-    if stock_qty:
-        out.append(
-            F.abs(F.coalesce(_sum_if(F.col("is_stock_adjustment"), "quantity"), F.lit(0))).cast("long").alias(
-                "stock_adjustment_quantity"
-            )
-        )
-    out += [
-        F.coalesce(_sum_if(P(), "line_amount"), F.lit(0)).alias("_gross"),
-        F.coalesce(_sum_if(X(), "line_amount"), F.lit(0)).alias("_cancel"),
-        F.coalesce(_sum_if(N(), "line_amount"), F.lit(0)).alias("_net"),
-    ]
-    return out
-
-
 def invoice_measures(
     fact: DataFrame, group: list[str], *, cancelled_qty=False, net_qty=False, stock_qty=False, extra=()
 ) -> tuple[DataFrame, list[Column]]:
@@ -208,16 +179,50 @@ def order_summary(wh) -> DataFrame:
     )
 
 
+def _order_groups(fact: DataFrame, *group: str) -> DataFrame:
+    """Fact lines reduced to one row per (group, invoice, customer, country):
+    the later distinct counts then expand these rows, not every fact line."""
+    q, a = "quantity", "line_amount"
+    return fact.groupBy(*group, "invoice_no", "customer_key", "country_key").agg(
+        F.count_if(P()).alias("_lines"),
+        F.max(P().cast("int")).alias("_p"),
+        F.max(X().cast("int")).alias("_x"),
+        _sum_if(P(), q).alias("_pq"),
+        _sum_if(P(), a).alias("_pa"),
+        _sum_if(X(), a).alias("_xa"),
+        _sum_if(N(), a).alias("_na"),
+    )
+
+
+def _from_order_groups(*, cancels: bool = True, countries: bool = True) -> list[Column]:
+    p = F.col("_p") == 1
+    zero = F.lit(0)
+    out = [F.count_distinct(F.when(p, F.col("invoice_no"))).alias("positive_order_count")]
+    if cancels:
+        out.append(F.count_distinct(F.when(F.col("_x") == 1, F.col("invoice_no"))).alias("_x_orders"))
+    out.append(
+        F.count_distinct(F.when(p & (F.col("customer_key") != S.UNKNOWN_KEY), F.col("customer_key"))).alias(
+            "identified_customer_count"
+        )
+    )
+    if countries:
+        out.append(
+            F.count_distinct(F.when(p & (F.col("country_key") != S.UNKNOWN_KEY), F.col("country_key"))).alias(
+                "sales_country_count"
+            )
+        )
+    return out + [
+        F.coalesce(F.sum("_lines"), zero).cast("long").alias("positive_sale_lines"),
+        F.coalesce(F.sum("_pq"), zero).cast("long").alias("sold_quantity"),
+        F.coalesce(F.sum("_pa"), zero).alias("_gross"),
+        F.coalesce(F.sum("_xa"), zero).alias("_cancel"),
+        F.coalesce(F.sum("_na"), zero).alias("_net"),
+    ]
+
+
 def kpi_overview(wh) -> DataFrame:
     """one row of headline KPIs (needs no dimension attribute)."""
-    fact = wh.fact
-    known = lambda k: P() & (F.col(k) != S.UNKNOWN_KEY)
-    row = fact.agg(
-        F.count_if(P()).alias("positive_sale_lines"),
-        F.count_distinct(F.when(known("customer_key"), F.col("customer_key"))).alias("identified_customer_count"),
-        F.count_distinct(F.when(known("country_key"), F.col("country_key"))).alias("sales_country_count"),
-        *base_measures(),
-    )
+    row = _order_groups(wh.fact).agg(*_from_order_groups())
     return row.select(
         "positive_sale_lines",
         "positive_order_count",
@@ -250,11 +255,7 @@ def monthly_kpis(wh) -> DataFrame:
 
 def country_kpis(wh) -> DataFrame:
     """KPIs per country (unknown country kept)."""
-    known_customer = P() & (F.col("customer_key") != S.UNKNOWN_KEY)
-    agg = wh.fact.groupBy("country_key").agg(
-        F.count_distinct(F.when(known_customer, F.col("customer_key"))).alias("identified_customer_count"),
-        *base_measures(cancels=False),
-    )
+    agg = _order_groups(wh.fact).groupBy("country_key").agg(*_from_order_groups(cancels=False, countries=False))
     agg = attach(agg, wh.dim_country, "country_key", ["country_name"], dim_rows=wh.dim_rows("country"))
     return agg.select(
         "country_key", "country_name", "positive_order_count", "identified_customer_count",
