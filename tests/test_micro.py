@@ -209,3 +209,13 @@ def test_build_from_csv_equals_build_from_raw(spark, micro_wh, tmp_path):
     b = sorted(tuple(r) for r in micro_wh.staging.select(*cols).collect())
     assert a == b
     assert V.kpi_overview(wh).collect() == V.kpi_overview(micro_wh).collect()
+
+
+def test_tolerant_load_quarantines_and_skips(spark):
+    rows = [line(), line(invoice="500009", qty="x"), line(invoice="500010", date="not a date")]
+    wh = build_from_raw(spark, raw_df(spark, rows), strict=False)
+    assert sorted(r["raw_row_id"] for r in spark.read.parquet(wh.path("staging/quarantine")).collect()) == [2, 3]
+    assert wh.staging.count() == 3
+    assert [r["raw_row_id"] for r in wh.fact.collect()] == [1]  # NULL quantity / date are required
+    failed = {r["rule"] for r in H.report(wh, raw_rows=3, products=1).collect() if not r["passed"]}
+    assert failed == {"first_occurrences_equal_fact"}

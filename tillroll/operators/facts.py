@@ -39,6 +39,7 @@ FACT_COLUMNS = (
 # are joined by shuffle with the NULL natural keys spread over salt values.
 BROADCAST_MAX_ROWS = 2_000_000
 NULL_KEY_SALTS = 64
+REQUIRED = ("invoice_no", "invoice_date", "quantity", "unit_price", "line_amount")
 
 
 def _required(c: str) -> Column:
@@ -78,17 +79,19 @@ def fact_sales(
     dim_country: DataFrame,
     *,
     dim_rows: dict[str, int],
+    strict: bool = True,
     tuning: RankTuning = TUNING,
 ) -> DataFrame:
     """E1-E4.  ``date_key`` is computed from the invoice date (YYYYMMDD): the
     calendar spans every invoice date, so the lookup always succeeds and needs
-    no join."""
+    no join.  A NULL in a required column raises (``strict``) or, in the
+    tolerant load, leaves the row out of the fact (validation reports it)."""
     first = stg.filter(F.col("is_first_occurrence"))
+    if not strict:
+        first = first.filter(" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED))
     # Numbered before the lookups: the ranking passes then read two staging columns only.
     numbered, _ = row_number_global(first, ["raw_row_id"], "sales_key", tuning=tuning)
-    checked = numbered.withColumns(
-        {c: _required(c) for c in ("invoice_no", "invoice_date", "quantity", "unit_price", "line_amount")}
-    )
+    checked = numbered.withColumns({c: _required(c) for c in REQUIRED})
     keyed = lookup_key(checked, dim_customer, "customer_id", "customer_id", "customer_key", dim_rows=dim_rows["customer"])
     keyed = lookup_key(keyed, dim_product, "stock_code", "stock_code", "product_key", dim_rows=dim_rows["product"])
     keyed = lookup_key(keyed, dim_country, "country", "country_name", "country_key", dim_rows=dim_rows["country"])

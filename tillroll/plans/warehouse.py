@@ -132,6 +132,10 @@ def load_staging(wh: Warehouse, *, strict: bool = True, tuning: RankTuning = TUN
     # pass of the largest table.
     stg = staging.staging(wh.raw, strict=strict, tuning=tuning)
     described(stg, "staging/transactions").write.mode("overwrite").parquet(wh.path("staging/transactions"))
+    if not strict:
+        # tolerant load: every row stays in staging (malformed values NULL); the
+        # raw rows with malformed values are listed in a side table
+        staging.quarantine(wh.raw).write.mode("overwrite").parquet(wh.path("staging/quarantine"))
 
 
 # Staging sizes above which the (aggregated) pre-key frames of the dimensions are
@@ -157,13 +161,14 @@ def load_dimensions(wh: Warehouse, *, tuning: RankTuning = TUNING) -> None:
         wh.rows[name] = wh.table(f"warehouse/{name}").count()
 
 
-def load_fact(wh: Warehouse, *, tuning: RankTuning = TUNING) -> None:
+def load_fact(wh: Warehouse, *, strict: bool = True, tuning: RankTuning = TUNING) -> None:
     fact = facts.fact_sales(
         wh.staging,
         wh.dim_customer,
         wh.dim_product,
         wh.dim_country,
         dim_rows={k: wh.dim_rows(k) for k in ("customer", "product", "country")},
+        strict=strict,
         tuning=tuning,
     )
     # Range-clustered on the invoice day (raw_row_id splits a hot day) and
@@ -183,7 +188,7 @@ def load_layers(wh: Warehouse, *, strict: bool = True, tuning: RankTuning = TUNI
     """Staging, dimensions and fact from the raw layer already in ``wh``."""
     _timed(wh, "staging", lambda: load_staging(wh, strict=strict, tuning=tuning))
     _timed(wh, "dimensions", lambda: load_dimensions(wh, tuning=tuning))
-    _timed(wh, "fact", lambda: load_fact(wh, tuning=tuning))
+    _timed(wh, "fact", lambda: load_fact(wh, strict=strict, tuning=tuning))
     return wh
 
 
