@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas as S
 from tillroll.functions.money import money
 from tillroll.functions.text import is_blank, is_cancel_invoice, matches, missing_label
+from tillroll.operators.ranking import repeated_hash_rows
 
 PROFILE_NUMERIC = "decimal(20,6)"
 
@@ -96,8 +97,12 @@ def date_range(raw: DataFrame) -> DataFrame:
 
 
 def _duplicate_groups(raw: DataFrame) -> DataFrame:
+    """Groups of identical raw lines; only rows sharing a row hash are grouped
+    by their eight text columns (see ``ranking.repeated_hash_rows``)."""
+    split = repeated_hash_rows(raw.select(*S.RAW_COLUMNS), list(S.RAW_COLUMNS))
+    rows = raw if split is None else split[1]
     return (
-        raw.groupBy(*S.RAW_COLUMNS)
+        rows.groupBy(*S.RAW_COLUMNS)
         .agg(F.count(F.lit(1)).alias("occurrence_count"))
         .filter(F.col("occurrence_count") > 1)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas as S
 from tillroll.functions.money import amount
 from tillroll.functions.text import blank_to_null, is_cancel_invoice, matches
-from tillroll.operators.ranking import TUNING, RankTuning, rank_within_groups
+from tillroll.operators.ranking import TUNING, RankTuning, rank_within_groups, repeated_hash_rows
 
 STAGING_COLUMNS = (
     "raw_row_id",
@@ -133,10 +133,22 @@ def classified(df: DataFrame) -> DataFrame:
 
 
 def with_duplicates(raw: DataFrame, *, tuning: RankTuning = TUNING) -> DataFrame:
-    """C7-C9 on the raw, untrimmed, case-preserved values (NULLs group together)."""
-    ranked = rank_within_groups(
-        raw, list(S.RAW_COLUMNS), "raw_row_id", "duplicate_rank", "duplicate_group_size", tuning=tuning
-    )
+    """C7-C9 on the raw, untrimmed, case-preserved values (NULLs group together).
+
+    Rows whose eight values provably occur once (their hash occurs once) get
+    rank 1 and size 1 without moving; only rows sharing a hash go through the
+    duplicate window, so the full rows are not shuffled by eight text columns."""
+    cols = list(S.RAW_COLUMNS)
+    split = repeated_hash_rows(raw, cols, tuning=tuning)
+    if split is None:
+        ranked = rank_within_groups(raw, cols, "raw_row_id", "duplicate_rank", "duplicate_group_size", tuning=tuning)
+    else:
+        single, candidates = split
+        ranked = rank_within_groups(
+            candidates, cols, "raw_row_id", "duplicate_rank", "duplicate_group_size", tuning=tuning
+        ).unionByName(
+            single.withColumns({"duplicate_rank": F.lit(1).cast("long"), "duplicate_group_size": F.lit(1).cast("long")})
+        )
     return ranked.withColumns(
         {
             "is_exact_duplicate": F.col("duplicate_group_size") > 1,
