@@ -95,28 +95,3 @@ def test_row_number_by_range_partitions(spark, mixed):
         got, _ = R.row_number_global(mixed, cols, "rn", tuning=many)
         want = mixed.withColumn("rn", F.row_number().over(Window.orderBy(*[F.col(c).asc() for c in cols])).cast("long"))
         assert sorted(got.select("id", "rn").collect()) == sorted(want.select("id", "rn").collect())
-
-
-def test_repeated_hash_prefilter_is_exact(spark):
-    from tillroll import schemas as S
-    from tillroll.operators import staging as C
-
-    base = [("1", "A", None, "2", "d", "1.0", "7", "UK"), (None, "A", "1", "2", "d", "1.0", "7", "UK")]
-    rows = base + [base[0]] * 3 + [("9", "B", "x", "1", "d", "2.0", None, "FR")]
-    raw = spark.createDataFrame(
-        [(i + 1, *r, "f", None) for i, r in enumerate(rows)],
-        "raw_row_id long, " + ", ".join(f"{c} string" for c in S.RAW_COLUMNS) + ", source_file string, ingested_at timestamp",
-    )
-    w = Window.partitionBy(*S.RAW_COLUMNS)
-    want = sorted(
-        raw.select(
-            "raw_row_id",
-            F.row_number().over(w.orderBy("raw_row_id")).cast("long").alias("duplicate_rank"),
-            F.count(F.lit(1)).over(w).alias("duplicate_group_size"),
-        ).collect()
-    )
-    for tuning in (R.TUNING, R.RankTuning(max_repeated_hashes=0)):
-        got = C.with_duplicates(raw, tuning=tuning).select("raw_row_id", "duplicate_rank", "duplicate_group_size")
-        assert sorted(got.collect()) == want
-    split = R.repeated_hash_rows(raw, list(S.RAW_COLUMNS))
-    assert split is not None and split[0].count() + split[1].count() == len(rows)

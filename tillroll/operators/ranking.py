@@ -42,8 +42,6 @@ class RankTuning:
     # Hot-group handling for rank_within_groups.
     group_chunk_rows: int = 4_000_000
     hot_sample_rows: int = 1_000_000
-    # Exact-duplicate search: repeated row hashes up to this many are broadcast.
-    max_repeated_hashes: int = 5_000_000
     seed: int = 20_11
 
 
@@ -301,24 +299,3 @@ def rank_within_groups(
         (F.col("l._lrank") + F.coalesce(F.col("c._carry"), F.lit(0))).cast("long").alias(rank_out),
         F.coalesce(F.col("c._total"), F.col("l._lsize")).cast("long").alias(size_out),
     ).drop("_hot", "_chunk", "_lrank", "_lsize")
-
-
-def repeated_hash_rows(
-    df: DataFrame, cols: list[str], *, tuning: RankTuning = TUNING
-) -> tuple[DataFrame, DataFrame] | None:
-    """Split rows into (rows whose values occur once for sure, candidate rows).
-
-    Only a 64-bit hash of ``cols`` is shuffled (partially aggregated) to find
-    hashes seen more than once; equal rows have equal hashes, so every row of
-    an exact-duplicate group is a candidate, and a hash collision only adds
-    candidates.  The repeated hashes are broadcast back when at most
-    ``max_repeated_hashes`` (counted); otherwise ``None`` (use all rows).
-    """
-    hashed = df.withColumn("_h", F.xxhash64(*[F.col(c) for c in cols]))
-    repeated = hashed.groupBy("_h").count().filter(F.col("count") > 1).select("_h", F.lit(True).alias("_rep"))
-    if repeated.count() > tuning.max_repeated_hashes:
-        return None
-    tagged = hashed.join(F.broadcast(repeated), "_h", "left")
-    single = tagged.filter(F.col("_rep").isNull()).drop("_h", "_rep")
-    candidates = tagged.filter(F.col("_rep")).drop("_h", "_rep")
-    return single, candidates
