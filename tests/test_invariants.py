@@ -104,3 +104,24 @@ def test_ntile_sizes_and_no_orphans(wh_small):
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
     assert all(r["passed"] for r in H.orphans(wh_small).collect())
     assert all(r["passed"] for r in H.constraints(wh_small).collect())
+
+
+def test_salted_shuffle_joins_match_broadcast(spark, wh_small, monkeypatch):
+    from tillroll.operators import facts
+
+    dims = {k: wh_small.dim_rows(k) for k in ("customer", "product", "country")}
+    stamps = ["raw_ingested_at", "warehouse_loaded_at"]
+    want_fact = sorted(
+        facts.fact_sales(wh_small.staging, wh_small.dim_customer, wh_small.dim_product, wh_small.dim_country,
+                         dim_rows=dims).drop(*stamps).collect()
+    )
+    want_views = {n: sorted(getattr(V, n)(wh_small).collect()) for n in ("order_summary", "product_kpis", "country_kpis")}
+    want_enriched = sorted(V.sales_enriched(wh_small).drop(*stamps).collect())
+    monkeypatch.setattr(facts, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(V, "BROADCAST_MAX_ROWS", 0)
+    got_fact = facts.fact_sales(wh_small.staging, wh_small.dim_customer, wh_small.dim_product, wh_small.dim_country,
+                                dim_rows=dims)
+    assert sorted(got_fact.drop(*stamps).collect()) == want_fact
+    for n, rows in want_views.items():
+        assert sorted(getattr(V, n)(wh_small).collect()) == rows, n
+    assert sorted(V.sales_enriched(wh_small).drop(*stamps).collect()) == want_enriched

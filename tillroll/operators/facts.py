@@ -55,11 +55,12 @@ def lookup_key(
     *,
     dim_rows: int,
     salt_from: str = "raw_row_id",
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """LEFT JOIN on the natural key of the known members; no match -> key 0."""
+    limit = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
     known = dim.filter(~F.col("is_unknown")).select(F.col(dim_natural).alias("_nk"), F.col(key).alias("_key"))
-    if dim_rows <= broadcast_max_rows:
+    if dim_rows <= limit:
         joined = rows.join(F.broadcast(known), rows[natural] == known["_nk"], "left")
     else:
         # NULL keys never match; spread them so they do not all land in one task.

@@ -69,18 +69,18 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_TEXT_S
 
 def ingest_csv(spark: SparkSession, path: str, work_path: str, *, source_file: str | None = None) -> DataFrame:
     """A1 + A3: raw layer with ``raw_row_id`` dense from 1 in file order
-    (file name, then position in the file), ``source_file`` and ``ingested_at``.
+    (file path, then position in the file), ``source_file`` and ``ingested_at``.
 
     The in-file position comes from ``monotonically_increasing_id`` (each
     multi-line CSV file is read whole by one task), so the scanned rows are
     materialised once before numbering.
     """
     scanned = scan_csv(spark, path).select(
-        "*", F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_pos")
+        "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos")
     )
     staged = materialize(scanned, work_path)
     numbered, _ = row_number_global(staged, ["_file", "_pos"], "raw_row_id")
-    file_label = F.lit(source_file) if source_file else F.col("_file")
+    file_label = F.lit(source_file) if source_file else F.element_at(F.split(F.col("_file"), "/"), -1)
     return numbered.select(
         "raw_row_id", *S.RAW_COLUMNS, file_label.alias("source_file"), F.current_timestamp().alias("ingested_at")
     )
