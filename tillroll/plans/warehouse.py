@@ -15,6 +15,7 @@ import json
 import os
 import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -150,15 +151,22 @@ def load_dimensions(wh: Warehouse, *, tuning: RankTuning = TUNING) -> None:
     def prepare(df: DataFrame, name: str) -> DataFrame:
         return materialize(df, wh.path(f"_work/{name}")) if large else df
 
-    built = {
-        "dim_customer": dimensions.dim_customer(stg, tuning=tuning, prepare=prepare),
-        "dim_product": dimensions.dim_product(stg, tuning=tuning, prepare=prepare),
-        "dim_country": dimensions.dim_country(stg, tuning=tuning, prepare=prepare),
-        "dim_date": dimensions.dim_date(stg),
+    builders = {
+        "dim_customer": lambda: dimensions.dim_customer(stg, tuning=tuning, prepare=prepare),
+        "dim_product": lambda: dimensions.dim_product(stg, tuning=tuning, prepare=prepare),
+        "dim_country": lambda: dimensions.dim_country(stg, tuning=tuning, prepare=prepare),
+        "dim_date": lambda: dimensions.dim_date(stg),
     }
-    for name, df in built.items():
+
+    def load(name: str) -> int:
+        df = builders[name]()
         described(df, f"warehouse/{name}").write.mode("overwrite").parquet(wh.path(f"warehouse/{name}"))
-        wh.rows[name] = wh.table(f"warehouse/{name}").count()
+        return wh.table(f"warehouse/{name}").count()
+
+    # The four dimensions are independent: their (small) jobs run concurrently.
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        counts = dict(zip(builders, pool.map(load, builders)))
+    wh.rows.update(counts)
 
 
 def load_fact(wh: Warehouse, *, strict: bool = True, tuning: RankTuning = TUNING) -> None:
