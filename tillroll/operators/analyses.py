@@ -128,14 +128,13 @@ def top_product_per_month(wh) -> DataFrame:
     aggregate with partial aggregation, not a window."""
     merch = wh.dim_product.filter(F.col("is_merchandise"))
     fact = views.with_calendar(wh.fact, ["year_month"])
-    lines = views.attach(
-        fact.select("year_month", "product_key", "record_type", "line_amount", "raw_row_id"),
-        merch, "product_key", ["stock_code", "product_description"],
-        dim_rows=wh.dim_rows("product"), salt_from="raw_row_id",
-    )
-    monthly = lines.groupBy("year_month", "product_key", "stock_code", "product_description").agg(
+    per_product = fact.groupBy("year_month", "product_key").agg(
         F.round(F.sum(F.when(views.N(), F.col("line_amount"))), 2).cast(S.MONEY).alias("net_revenue")
     )
+    # attributes (and the merchandise filter) joined to month x product rows, not to fact lines
+    monthly = views.attach(
+        per_product, merch, "product_key", ["stock_code", "product_description"], dim_rows=wh.dim_rows("product")
+    )
     best = F.min(
         F.struct(
             (-F.col("net_revenue")).alias("neg"),
