@@ -124,8 +124,8 @@ def customer_frequency_segments(wh) -> DataFrame:
 
 def top_product_per_month(wh) -> DataFrame:
     """Best merchandise product by net revenue in each month.  The
-    per-month winner is a minimum over (-net revenue, code) — a hash
-    aggregate with partial aggregation, not a window."""
+    per-month winner is a minimum over (-net revenue, code) — an aggregate
+    with partial aggregation, not a window."""
     merch = wh.dim_product.filter(F.col("is_merchandise"))
     fact = views.with_calendar(wh.fact, ["year_month"])
     per_product = fact.groupBy("year_month", "product_key").agg(

@@ -99,7 +99,7 @@ def _code_description_counts(stg: DataFrame) -> DataFrame:
 def _best_description() -> Column:
     """The most frequent description, then the most recently used, then
     the alphabetically first — a minimum over (-count, -last use, text), so
-    it is a partially pre-aggregated hash aggregate rather than a window.  A
+    it is a partially pre-aggregated aggregate rather than a window.  A
     NULL last use sorts first, as in a descending order with NULLs first."""
     age = F.expr(f"timestampdiff(MICROSECOND, {_EPOCH}, last_used)")
     key = F.struct((-F.col("n")).alias("n"), (-age).alias("t"), F.col("description").alias("d"))
