@@ -57,10 +57,11 @@ def _two_digits(c: Column) -> Column:
 def raw_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joined test tables projected to the raw text columns plus the order key."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*ROW_ORDER[:-1])
-    # A file written as one row group is read by one task; spread it so the
-    # text building below runs on every core (large inputs already have many splits).
+    # A small input in few files (often one row group each) is read by few
+    # tasks; spread it so the text building below runs on every core (large
+    # inputs arrive as many files and are left as they are).
     cores = spark.sparkContext.defaultParallelism
-    if li.rdd.getNumPartitions() < cores:
+    if len(li.inputFiles()) < cores:
         li = li.repartition(cores)
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
