@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Cut the lineage: write ``df`` below the folder of ``spark.checkpoint.dir``
     and read it back.  Its size is then known to the planner, so a join against
     it is broadcast only if the files are below the session's limit."""
     path = f"{shared_dir(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -40,3 +43,60 @@ def rows_as_struct(df: DataFrame, **derived: Column) -> DataFrame:
     """All columns of ``df`` packed into ``row`` beside the derived ones, so no
     input column can clash with a helper column; undo with ``select("row.*")``."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in derived.items()])
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Regroup a partition sorted by ``key`` into tables that never cut a run of
+    equal keys.  Holds one Arrow batch and the current run."""
+    tail: pa.Table | None = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        table = pa.Table.from_batches([batch])
+        if tail is not None:
+            table = pa.concat_tables([tail, table])
+        keys = table.column(key)
+        cut = pc.index(pc.equal(keys, keys[len(keys) - 1]), True).as_py()
+        if cut > 0:
+            yield table.slice(0, cut)
+        tail = table.slice(cut)
+    if tail is not None:
+        yield tail
+
+
+def run_bounds(keys) -> list[tuple[int, int]]:
+    """(start, end) of each run of equal values of a sorted numpy array."""
+    import numpy as np
+
+    if len(keys) == 0:
+        return []
+    cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True))
+
+
+def components(edges: DataFrame, label: str) -> DataFrame:
+    """Connected components of the undirected edges ``(u, v)`` (any orderable
+    type): ``(node, root)`` for every node of an edge, root the smallest node.
+
+    Alternating large-star and small-star steps (Kiveris et al., 2014): each is
+    a group minimum and a join, written to the shared folder; the number of
+    steps grows with the logarithm of the component size.  A hub is only a
+    skewed join key, which adaptive execution splits.
+    """
+    e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
+    e = written(e, f"{label}-edges")
+    seen = None
+    while True:
+        state = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if state[0] == 0 or state == seen:
+            return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
+                e.select("v", "v").distinct()
+            )
+        seen = state
+        both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = written(large, f"{label}-large")
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        e = written(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), f"{label}-small")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tillroll.llm import adaptive_quality
+from tillroll.llm import adaptive_quality, packing
 
 QUERIES = {
+    "op6_concat_and_cut": packing.query,
     "op8_adaptive_quality": adaptive_quality.query,
 }
 
