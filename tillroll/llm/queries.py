@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tillroll.llm import adaptive_quality, packing
+from tillroll.llm import adaptive_quality, chat_grammar, packing
 
 QUERIES = {
+    "op5_chat_grammar": chat_grammar.query,
     "op6_concat_and_cut": packing.query,
     "op8_adaptive_quality": adaptive_quality.query,
 }
 
 ORACLE = {
+    "op5_chat_grammar": chat_grammar.SQL,
     "op8_adaptive_quality": adaptive_quality.SQL,
 }
