@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from tillroll.llm import adaptive_quality, chat_grammar, packing
+from tillroll.llm import adaptive_quality, chat_grammar, packing, warc_transactions
 
 QUERIES = {
+    "op2_warc_transactions": warc_transactions.query,
     "op5_chat_grammar": chat_grammar.query,
     "op6_concat_and_cut": packing.query,
     "op8_adaptive_quality": adaptive_quality.query,
 }
 
 ORACLE = {
+    "op2_warc_transactions": warc_transactions.SQL,
     "op5_chat_grammar": chat_grammar.SQL,
     "op8_adaptive_quality": adaptive_quality.SQL,
 }
