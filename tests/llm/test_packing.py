@@ -80,5 +80,17 @@ def test_word_memory_is_bounded(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "WORDS_KEPT", 5)
     enc = packing.WordEncoder(str(public_tokenizers.path(packing.VOCABULARY)))
     for text in ("one two three", "four five six seven", "a b c d e f g h", "one"):
-        got = np.frombuffer(enc.encode(text), "<u2").tolist()
-        assert got == tokenizer.encode(text, add_special_tokens=False).ids
+        (got,) = enc.encode([text])
+        assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_encode_like_whole_texts(tokenizer):
+    import public_tokenizers
+
+    enc = packing.WordEncoder(str(public_tokenizers.path(packing.VOCABULARY)))
+    texts = [
+        "Straße, œuvre. naïve e\u0301 e\u0301, \u0130stanbul ΟΔΟΣ, ªº, Ǆ. 日本語, 日本語。", "a., b,. c.. d.. 1. 2, x1. ½ Ⅷ ١٢", "", " ",
+        "\u00a0x\u2028y z\u200b", "it's o'clock, 're. 'll, don't.", "ﬁ ﬃ, ＡＢＣ. 𝐀𝐁, e\u0327\u0301. ǰ, ΐ. ŉ", "<| x <|endoftext|>,",
+    ]
+    for text, got in zip(texts, enc.encode(texts), strict=True):
+        assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text

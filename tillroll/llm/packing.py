@@ -17,7 +17,7 @@ input are ignored.
 
 Tokenizing: the vocabulary drops white space and never merges across it, so a
 text's ids are the ids of its blank-separated words; each worker remembers the
-ids of words it has met (at most ``WORDS_KEPT``, then it forgets all).
+ids of words it has met (about ``WORDS_KEPT`` at most, then it forgets all).
 """
 
 from __future__ import annotations
@@ -38,49 +38,91 @@ from tillroll.llm.common import table, written
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-WORDS_KEPT = 400_000
-# Fixed value: the vocabulary's end-of-text mark, used between words encoded in one call.
+WORDS_KEPT = 600_000
+# The vocabulary's end-of-text mark and the end of its words.
 _MARK, _MARK_ID = "<|endoftext|>", 49407
+_WORD_END = "</w>"
+_TAIL = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
 
 
 class WordEncoder:
-    """Text -> ids (uint16 little-endian bytes) of a word-level BPE vocabulary."""
+    """Texts -> ids (uint16 little-endian bytes) of a word-level BPE vocabulary."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        if self._tokenizer.get_vocab_size() > 1 << 16:
+        vocabulary = self._tokenizer.get_vocab()
+        if max(vocabulary.values()) >= 1 << 16:
             raise ValueError("ids are kept in 16 bits")
+        self._ends_word = np.zeros(1 << 16, bool)
+        self._ends_word[[i for w, i in vocabulary.items() if w.endswith(_WORD_END)]] = True
         self._known: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
 
     def _learn(self, words: list[bytes]) -> None:
-        for k in range(0, len(words), 4096):
-            part = words[k : k + 4096]
+        """Punctuation after a letter is a unit of its own, so a word is its stem
+        and its tail, and most tails and many stems are known.  A run of letters is
+        one unit and a unit's last id is a word end, so many stems are encoded in
+        one call; what is no run of letters is encoded between marks."""
+        known = self._known
+        cut: list[tuple[bytes, bytes, bytes]] = []
+        new: dict[bytes, bool] = {}  # stem or tail -> is a run of letters
+        for w in words:
+            stem = w.rstrip(_TAIL)
+            text = stem.decode()
+            if not text or not text[-1].isalpha():
+                stem, text = w, w.decode()
+            elif len(stem) < len(w):
+                tail = w[len(stem) :]
+                cut.append((w, stem, tail))
+                if tail not in known:
+                    new[tail] = False
+            if stem not in known:
+                new[stem] = text.isalpha()
+        plain = [w for w, alone in new.items() if alone]
+        other = [w for w, alone in new.items() if not alone]
+        for k in range(0, len(plain), 512):
+            part = plain[k : k + 512]
+            ids = self._ids(b" ".join(part).decode())
+            ends = np.flatnonzero(self._ends_word[ids]) + 1
+            if len(ends) == len(part):
+                self._keep(part, ids, ends.tolist(), 0)
+            else:
+                other += part
+        for k in range(0, len(other), 512):
+            part = other[k : k + 512]
             ids = self._ids(f" {_MARK} ".join(w.decode() for w in part))
-            ends = [*np.flatnonzero(ids == _MARK_ID).tolist(), len(ids)]
-            start = 0
-            for w, end in zip(part, ends, strict=True):
-                self._known[w] = ids[start:end].tobytes()
-                start = end + 1
-
-    def encode(self, text: str) -> bytes:
-        raw = text.encode()
-        if b"<|" in raw:  # may hold the vocabulary's special marks, which are case-sensitive
-            return self._ids(text).tobytes()
-        words = raw.lower().split()  # ASCII case and blanks only; the vocabulary ignores both
-        try:
-            return b"".join(map(self._known.__getitem__, words))
-        except KeyError:
-            fresh = {w for w in words if w not in self._known}
-            if len(self._known) + len(fresh) > WORDS_KEPT:
-                self._known.clear()
-                fresh = set(words)
-            self._learn(list(fresh))
-            return b"".join(map(self._known.__getitem__, words))
+            self._keep(part, ids, [*np.flatnonzero(ids == _MARK_ID).tolist(), len(ids)], 1)
+        for w, stem, tail in cut:
+            known[w] = known[stem] + known[tail]
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, ends: list[int], gap: int) -> None:
+        raw, start = ids.tobytes(), 0
+        for w, end in zip(words, ends, strict=True):
+            self._known[w] = raw[2 * start : 2 * end]
+            start = end + gap
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split: list[list[bytes] | None] = []
+        fresh: set[bytes] = set()
+        for text in texts:
+            raw = text.encode()
+            if b"<|" in raw:  # may hold the vocabulary's special marks, which are case-sensitive
+                split.append(None)
+                continue
+            words = raw.lower().split()  # ASCII case and blanks only; the vocabulary ignores both
+            split.append(words)
+            fresh.update(words)
+        missing = [w for w in fresh if w not in self._known]
+        if len(self._known) + len(missing) > WORDS_KEPT:
+            self._known.clear()
+            missing = list(fresh)
+        self._learn(missing)
+        look_up = self._known.__getitem__
+        return [self._ids(t).tobytes() if w is None else b"".join(map(look_up, w)) for t, w in zip(texts, split, strict=True)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -108,7 +150,7 @@ def tokenized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocab
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 piece = batch.slice(k, 256)
-                ids = [encoder.encode(t or "") + end for t in piece.column(1).to_pylist()]
+                ids = [x + end for x in encoder.encode([t or "" for t in piece.column(1).to_pylist()])]
                 n = np.array([len(x) // 2 for x in ids], dtype=np.int64)
                 starts = start + np.cumsum(n) - n
                 yield pa.RecordBatch.from_arrays(
@@ -135,7 +177,7 @@ def with_offsets(tokens: DataFrame) -> DataFrame:
     partition numbers.  The window runs over one row per partition."""
     totals = tokens.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = F.sum("total").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
-    offsets = totals.select("part", F.coalesce(before, F.lit(0)).alias("part_start"))
+    offsets = written(totals.select("part", F.coalesce(before, F.lit(0)).alias("part_start")), "pack-offsets")
     return tokens.join(offsets, "part").withColumn("global_start", F.col("part_start") + F.col("local_start"))
 
 
