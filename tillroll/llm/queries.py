@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tillroll.llm import adaptive_quality, chat_grammar, minhash_forest, packing, warc_transactions
+from tillroll.llm import adaptive_quality, chat_grammar, kmeans_tree, minhash_forest, packing, warc_transactions
 
 QUERIES = {
     "op1_minhash_forest": minhash_forest.query,
     "op2_warc_transactions": warc_transactions.query,
     "op5_chat_grammar": chat_grammar.query,
     "op6_concat_and_cut": packing.query,
+    "op7_kmeans_tree": kmeans_tree.query,
     "op8_adaptive_quality": adaptive_quality.query,
 }
 
