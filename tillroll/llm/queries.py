@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tillroll.llm import adaptive_quality, chat_grammar, kmeans_tree, minhash_forest, packing, warc_transactions
+from tillroll.llm import adaptive_quality, chat_grammar, kmeans_tree, minhash_forest, packing, temperature_mix, warc_transactions
 
 QUERIES = {
     "op1_minhash_forest": minhash_forest.query,
     "op2_warc_transactions": warc_transactions.query,
+    "op4_temperature_mix": temperature_mix.query,
     "op5_chat_grammar": chat_grammar.query,
     "op6_concat_and_cut": packing.query,
     "op7_kmeans_tree": kmeans_tree.query,
