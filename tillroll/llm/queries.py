@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillroll.llm import adaptive_quality, chat_grammar, kmeans_tree, line_edit_join, minhash_forest, packing, temperature_mix, warc_transactions
+from tillroll.llm import adaptive_quality, chat_grammar, kmeans_tree, line_edit_join, minhash_forest, packing, suffix_dedup, temperature_mix, warc_transactions
 
 QUERIES = {
     "op1_minhash_forest": minhash_forest.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_concat_and_cut": packing.query,
     "op7_kmeans_tree": kmeans_tree.query,
     "op8_adaptive_quality": adaptive_quality.query,
+    "op9_suffix_dedup": suffix_dedup.query,
     "op10_line_edit_join": line_edit_join.query,
 }
 
