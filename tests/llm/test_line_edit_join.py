@@ -36,8 +36,8 @@ def test_segments_lose_no_pair(a, edits):
         at = min(at, len(b))
         b = b[:at] + ("" if kind == 1 else c) + b[at + (kind != 0) :]
     longer, other = (a, b) if len(a) >= len(b) else (b, a)
-    index = {k for k, (s, _, _) in le.entries(other).items() if s & le.INDEX}
-    probe = {k for k, (s, _, _) in le.entries(longer).items() if s & le.PROBE}
+    index = {k for k, s, _, _ in le.entries(other) if s & le.INDEX}
+    probe = {k for k, s, _, _ in le.entries(longer) if s & le.PROBE}
     assert index & probe
 
 
@@ -94,7 +94,7 @@ def test_query(spark):
     assert out == brute(rows)
 
 
-@pytest.mark.parametrize("pairs,levels", [(1024, 3), (4, 3), (4, 1)])
+@pytest.mark.parametrize("pairs,levels", [(64, 3), (4, 3), (4, 1)])
 def test_frequent_segments(spark, monkeypatch, pairs, levels):
     """Keys shared by many lines go through deeper levels and blocks; same result."""
     monkeypatch.setattr(le, "PAIRS", pairs)

@@ -29,7 +29,8 @@ any length are used whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +43,12 @@ from tillroll.llm.common import components, rows_as_struct, run_bounds, table, w
 # Production parameters.
 EDITS = 2
 MIN_CHARS = 24
-PAIRS = 1024  # index-probe pairs from which a key is cut further
+PAIRS = 64  # index-probe pairs from which a key is cut further
 LEVELS = 3
 BLOCK = 256
 INDEX, PROBE = 1, 2
+_WORD = 0xFFFFFFFFFFFFFFFF
+_hash = xxhash.xxh64_intdigest
 _BLANK = " \t\x0b\f\r"
 
 
@@ -60,9 +63,10 @@ def digest(line: str) -> bytes:
 
 
 def short(full: bytes) -> int:
-    """The first eight bytes of a digest as a long; candidates meet under it and
-    are verified on their texts, so a clash costs a comparison only."""
-    return int.from_bytes(full[:8], "big", signed=True)
+    """The first eight bytes of a digest as a long whose two low bits are free for
+    the side; candidates meet under it and are verified on their texts, so a
+    clash costs a comparison only."""
+    return int.from_bytes(full[:8], "big", signed=True) & ~3
 
 
 def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
@@ -76,24 +80,32 @@ def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
     return out
 
 
-def entries(text: str, salt: int = 0, edits: int = EDITS) -> dict[int, tuple[int, int, int]]:
-    """key -> (side, start, length) of the segments and probes of a line."""
-    size = len(text)
-    out: dict[int, tuple[int, int, int]] = {}
-    for less in range(edits + 1):
+@lru_cache(maxsize=8192)
+def windows(size: int, edits: int = EDITS) -> list[tuple[int, int, int, int]]:
+    """(seed, side, start, length) of the segments and probes of a line of that
+    size; the seed names the length and the segment that it may meet."""
+    out = {}
+    for less in range(min(edits, size) + 1):
         other = size - less
-        if other < 0:
-            break
         for k, (at, n) in enumerate(segments(other, edits)):
-            seed = (salt + other * (edits + 1) + k) & 0xFFFFFFFFFFFFFFFF
             low = max(at - k, at + less - (edits - k), 0)
             high = min(at + k, at + less + (edits - k), size - n)
             for start in range(low, high + 1):
-                key = xxhash.xxh64_intdigest(text[start : start + n].encode(), seed=seed) - (1 << 63)
-                side = PROBE | (INDEX if less == 0 and start == at else 0)
-                if key not in out or side > out[key][0]:
-                    out[key] = (side, start, n)
-    return out
+                out[other * (edits + 1) + k, start] = (n, PROBE | (INDEX if less == 0 and start == at else 0))
+    return [(seed, side, start, n) for (seed, start), (n, side) in out.items()]
+
+
+def entries(text: str, salt: int = 0, edits: int = EDITS) -> list[tuple[int, int, int, int]]:
+    """(unsigned key, side, start, length) of the segments and probes of a line."""
+    raw = text.encode()
+    found = windows(len(text), edits)
+    if len(raw) == len(text):
+        return [(_hash(raw[at : at + n], seed=(salt + s) & _WORD), side, at, n) for s, side, at, n in found]
+    return [(_hash(text[at : at + n].encode(), seed=(salt + s) & _WORD), side, at, n) for s, side, at, n in found]
+
+
+def _signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
 def within(a: str, b: str, edits: int = EDITS) -> bool:
@@ -170,7 +182,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, line int, digest binary, h long")
 
 
-_ENTRY = "key long, side int, line long"
+_ENTRY = "key long, line long"  # the side is in the low bits of the line
 
 
 def _first_entries(docs: DataFrame, edits: int) -> DataFrame:
@@ -180,22 +192,19 @@ def _first_entries(docs: DataFrame, edits: int) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
-                keys, sides, lines = [], [], []
+                keys, lines = [], []
                 for text in batch.column(1).slice(k, 256).to_pylist():
-                    for _, line in lines_of(text):
-                        if len(line) < MIN_CHARS:
+                    for line in text.split("\n"):
+                        if len(line) < MIN_CHARS or not line.strip(_BLANK):
                             continue
                         own = short(digest(line))
                         if own in seen:
                             continue
                         seen.add(own)
-                        found = entries(line, 0, edits)
-                        keys += found
-                        sides += [s for s, _, _ in found.values()]
-                        lines += [own] * len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(sides, pa.int32()), pa.array(lines, pa.int64())], names=["key", "side", "line"]
-                )
+                        for key, side, _, _ in entries(line, 0, edits):
+                            keys.append(key)
+                            lines.append(own | side)
+                yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(lines, pa.int64())], names=["key", "line"])
 
     return docs.mapInArrow(run, _ENTRY)
 
@@ -207,7 +216,6 @@ def _met(all_entries: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, "key"):
             key = group.column("key").to_numpy()
-            side = group.column("side").to_numpy()
             line = group.column("line").to_numpy()
             same = np.flatnonzero(key[1:] == key[:-1])
             out_a, out_b, out_k, out_s = [], [], [], []
@@ -216,8 +224,8 @@ def _met(all_entries: DataFrame) -> DataFrame:
                 ends = np.searchsorted(key, key[starts], "right")
                 for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
                     own: dict[int, int] = {}
-                    for i, x in zip(line[s:e].tolist(), side[s:e].tolist(), strict=True):
-                        own[i] = own.get(i, 0) | x
+                    for x in line[s:e].tolist():
+                        own[x & ~3] = own.get(x & ~3, 0) | x & 3
                     index = [i for i, x in own.items() if x & INDEX]
                     probe = [i for i, x in own.items() if x & PROBE]
                     if len(own) < 2 or not index:
@@ -250,7 +258,7 @@ def _rests(members: DataFrame, edits: int) -> DataFrame:
         for batch in batches:
             rests = []
             for key, salt, text in zip(*(batch.column(k).to_pylist() for k in (0, 1, 4)), strict=True):
-                _, start, n = entries(text, salt, edits)[key]
+                start, n = next((at, n) for k, _, at, n in entries(text, salt, edits) if k == key & _WORD)
                 rests.append(f"{text[:start]}\0{text[start + n:]}")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), batch.column(3), pa.array(rests, pa.string())], names=["salt", "side", "line", "rest"]
@@ -263,17 +271,13 @@ def _next_entries(rests: DataFrame, edits: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256).to_pylist()
-                keys, sides, lines = [], [], []
-                for r in part:
-                    for key, (side, _, _) in entries(r["rest"], r["salt"], edits).items():
+                keys, lines = [], []
+                for r in batch.slice(k, 256).to_pylist():
+                    for key, side, _, _ in entries(r["rest"], r["salt"], edits):
                         if side & r["side"]:
                             keys.append(key)
-                            sides.append(side & r["side"])
-                            lines.append(r["line"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(sides, pa.int32()), pa.array(lines, pa.int64())], names=["key", "side", "line"]
-                )
+                            lines.append(r["line"] | side & r["side"])
+                yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(lines, pa.int64())], names=["key", "line"])
 
     return rests.mapInArrow(run, _ENTRY)
 
@@ -372,7 +376,10 @@ def _with_rest(members: DataFrame, rests: DataFrame, edits: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [k in entries(r, s, edits) for k, s, r in zip(*(batch.column(c).to_pylist() for c in (0, 1, 4)), strict=True)]
+            made = [
+                any(k & _WORD == x for x, _, _, _ in entries(r, s, edits))
+                for k, s, r in zip(*(batch.column(c).to_pylist() for c in (0, 1, 4)), strict=True)
+            ]
             yield batch.filter(pa.array(made, pa.bool_()))
 
     joined = members.join(rests.select("line", "salt", "rest"), "line").select("key", "salt", F.col("own").alias("side"), "line", "rest")
@@ -380,12 +387,12 @@ def _with_rest(members: DataFrame, rests: DataFrame, edits: int) -> DataFrame:
 
 
 def removals(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """``doc_id, n_lines, gone``: non-blank lines and the removed ones as
-    ``(line, h)``; docs has ``doc_id`` (not null) and ``text`` (not null)."""
+    """``doc_id, gone``: the removed lines of documents that lose some, as
+    ``(line, h)``; docs has ``doc_id`` and ``text``, neither null."""
     seen = written(_occurrences(docs), "line-occurrences")
     classes = seen.groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
     head = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")
-    classes = written(classes.withColumn("line", head), "line-classes")
+    classes = written(classes.withColumn("line", head.bitwiseAND(F.lit(~3))), "line-classes")
     links = written(near_links(docs, classes, edits), "line-links")
     firsts = classes.select("digest", "first")
     nodes = links.join(firsts.select(F.col("digest").alias("u"), F.col("first").alias("fu")), "u").join(
@@ -397,8 +404,7 @@ def removals(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     )
     changed = stays.filter("n > 1 or first <> stay").select("digest", "stay")
     gone = seen.join(changed, "digest").filter((F.col("stay.doc_id") != F.col("doc_id")) | (F.col("stay.line") != F.col("line")))
-    lost = gone.groupBy("doc_id").agg(F.collect_set(F.struct("line", "h")).alias("gone"))
-    return seen.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines")).join(lost, "doc_id", "left")
+    return gone.groupBy("doc_id").agg(F.collect_set(F.struct("line", "h")).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS) -> DataFrame:
@@ -406,17 +412,17 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edi
     ``n_lines`` (non-blank lines of the input) and ``n_removed``."""
     rows = rows_as_struct(docs, doc_id=F.col(doc_id).cast("long"), text=F.col(text))
     used = rows.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    gone = written(removals(used, edits).filter("gone is not null").select("doc_id", "gone"), "line-removals")
-    cut = rows.join(gone, "doc_id", "left")
+    gone = written(removals(used, edits), "line-removals")
     lines = F.split("text", "\n", -1)
-    dropped = F.transform(lines, lambda x, k: F.array_contains("gone", F.struct(k.alias("line"), F.xxhash64(x).alias("h"))))
-    kept = F.transform(F.filter(F.arrays_zip(lines.alias("l"), dropped.alias("d")), lambda p: ~p["d"]), lambda p: p["l"])
-    full = F.filter(lines, lambda x: F.length(F.translate(x, " \t\x0b\f\r", "")) > 0)
+    stays = F.filter(lines, lambda x, k: ~F.array_contains("gone", F.struct(k.alias("line"), F.xxhash64(x).alias("h"))))
+    cut = rows.join(gone, "doc_id", "left").withColumn("kept", F.when(F.col("gone").isNotNull(), stays))
+    # A non-blank line is its first non-blank character and what follows.
+    n_lines = F.coalesce(F.regexp_count("text", F.lit(r"[^ \t\x0B\f\r\n][^\n]*+")), F.lit(0))
     return cut.select(
         "row",
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.coalesce(F.size(full), F.lit(0)).cast("long").alias("n_lines"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size(F.filter(dropped, lambda d: d))).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join("kept", "\n"), "text").alias("text"),
+        n_lines.cast("long").alias("n_lines"),
+        F.when(F.col("kept").isNotNull(), F.size(lines) - F.size("kept")).otherwise(0).cast("long").alias("n_removed"),
     )
 
 
