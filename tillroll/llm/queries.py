@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tillroll.llm import adaptive_quality, chat_grammar, kmeans_tree, line_edit_join, minhash_forest, packing, suffix_dedup, temperature_mix, warc_transactions
+from tillroll.llm import adaptive_quality, chat_grammar, html_wrappers, kmeans_tree, line_edit_join, minhash_forest, packing, suffix_dedup, temperature_mix, warc_transactions
 
 QUERIES = {
     "op1_minhash_forest": minhash_forest.query,
     "op2_warc_transactions": warc_transactions.query,
+    "op3_html_wrappers": html_wrappers.query,
     "op4_temperature_mix": temperature_mix.query,
     "op5_chat_grammar": chat_grammar.query,
     "op6_concat_and_cut": packing.query,
