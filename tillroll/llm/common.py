@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -29,6 +30,13 @@ def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written: it
+    does so once the driver has collected the objects that stand for them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(col: Column | str) -> Column:
     """The text with null as the empty string."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

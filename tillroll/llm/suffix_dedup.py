@@ -20,8 +20,11 @@ document with a smaller id or further left in the same one.
    the ranks of the next cover positions that a suffix and its pivot have in
    common.  Neighbours in that order with equal windows are the repeats.  A
    block is a few megabytes, whatever the corpus.
-4. Fragments of frequent keys (``HOT`` runs and more) go window by window: the
-   earliest place per 128-bit fingerprint is a combined aggregate, joined back.
+4. Fragments of frequent keys (``HOT`` runs and more: a short line that many
+   documents hold, with other text around it) are keyed once more by strings of
+   ``LONG_GRAM`` bytes, which only windows that agree nearly whole share.  What is
+   shared still goes window by window: repeats within a batch are settled there,
+   the rest by the earliest place per 128-bit fingerprint, a combined aggregate.
 5. Windows found are merged per document into the removed spans.
 
 Defined cases: a null text is empty; texts are UTF-8 bytes and may be cut inside
@@ -41,11 +44,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import table, whole_groups, written
+from tillroll.llm.common import release, table, whole_groups, written
 
 # Production parameters.
 MATCH = 100  # bytes
 GRAM = 24  # bytes of the strings whose smallest hash is a window's key
+LONG_GRAM = 90  # the same for the second key of frequent ones
 LOCAL = 16  # runs of one key in an Arrow batch from which only a marker is sent
 HOT = 1000  # runs of a key from which its windows go one by one
 SLICE = 1 << 20  # bytes whose hashes are held at a time
@@ -53,7 +57,7 @@ SLICE = 1 << 20  # bytes whose hashes are held at a time
 V, COVER = 31, (1, 5, 11, 24, 25, 27)
 
 _PLACE_BITS = 22  # a slice is at most two SLICE long
-_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+_MIX = np.random.default_rng(9).integers(0, 1 << 63, 32, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _IN_COVER = np.isin(np.arange(V), COVER)
 #: _SHIFT[a, b]: least d such that a + d and b + d are both in the cover
 _SHIFT = np.array([[next(d for d in range(V) if _IN_COVER[(a + d) % V] and _IN_COVER[(b + d) % V]) for b in range(V)] for a in range(V)])
@@ -64,7 +68,7 @@ def _words(data: bytes) -> np.ndarray:
     return np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
 
 
-def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs_of(texts: list[bytes], gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first window, number of windows, key) of every run of the texts."""
     parts: list[tuple[int, int, bytes]] = []
     held, out = 0, []
@@ -73,29 +77,31 @@ def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
             parts.append((k, at, t[at : at + SLICE + MATCH - 1]))
             held += len(parts[-1][2])
             if held >= SLICE:
-                out.append(_slice_runs(parts))
+                out.append(_slice_runs(parts, gram))
                 parts, held = [], 0
     if parts:
-        out.append(_slice_runs(parts))
+        out.append(_slice_runs(parts, gram))
     if not out:
         return (np.empty(0, np.int64),) * 4
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _slice_runs(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
+def _slice_runs(parts: list[tuple[int, int, bytes]], gram: int) -> tuple[np.ndarray, ...]:
     """Runs of some (text, offset, bytes): the smallest hash of each window,
     leftmost of equals, by a sliding minimum over hash and place in one word."""
-    data = b"".join(x for _, _, x in parts) + bytes(GRAM + 8)
+    data = b"".join(x for _, _, x in parts) + bytes(gram + 8)
     sizes = np.array([len(x) for _, _, x in parts], np.int64)
     w = _words(data)
     n = int(sizes.sum())
-    h = w[:n] * _MIX[0] + w[8 : n + 8] * _MIX[1] + w[16 : n + 16] * _MIX[2]
+    h = np.zeros(n, np.uint64)
+    for k, off in enumerate(sorted({*range(0, gram - 7, 8), gram - 8})):
+        h += w[off : off + n] * _MIX[k]
     h ^= h >> np.uint64(32)
-    h *= _MIX[3]
+    h *= _MIX[-1]
     h ^= h >> np.uint64(29)
     place = np.uint64((1 << _PLACE_BITS) - 1)
     least = (h & ~place) | np.arange(n, dtype=np.uint64)
-    span, width = MATCH - GRAM + 1, 1
+    span, width = MATCH - gram + 1, 1
     while width * 2 <= span:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
@@ -112,41 +118,62 @@ def _slice_runs(parts: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
     return text[own], at[first] + offset[own], np.diff(np.append(first, len(where))), h[where[first]].view(np.int64)
 
 
+_RUN = "key long, kind int, doc_id long, pos int, sub int, n int"
+
+
+def _keyed_rows(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, sub: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Rows of one Arrow batch's runs: as they are (kind 0), but of a key that is
+    frequent here only a marker (1), its runs under keys of their own (2)."""
+    values, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
+    frequent = counts[inverse] > LOCAL if len(key) else np.empty(0, bool)
+    marks = values[counts > LOCAL]
+    spread = key.view(np.uint64) ^ doc.astype(np.uint64) * _MIX[0] ^ pos.astype(np.uint64) * _MIX[1] ^ sub.astype(np.uint64) * _MIX[2]
+    none = np.zeros(len(marks), np.int64)
+    columns = {
+        "key": np.concatenate([np.where(frequent, (spread * _MIX[3]).view(np.int64), key), marks]),
+        "kind": np.concatenate([np.where(frequent, 2, 0), none + 1]).astype(np.int32),
+        "doc_id": np.concatenate([doc, none]),
+        "pos": np.concatenate([pos, none]).astype(np.int32),
+        "sub": np.concatenate([sub, none]).astype(np.int32),
+        "n": np.concatenate([n, none]).astype(np.int32),
+    }
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
+
+
 def _rows_of_runs(docs: DataFrame) -> DataFrame:
-    """``key, kind, doc_id, pos``: runs (0), markers of keys that are frequent in
-    the batch (1), and the runs of those keys under spread keys (2)."""
+    """The runs of all texts; ``pos`` is a run's first window."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            text, at, key = [], [], []
+            found = []
             for k in range(0, batch.num_rows, 512):
                 t, a, _, x = runs_of([s.encode() for s in batch.column(1).slice(k, 512).to_pylist()])
-                text.append(t + k)
-                at.append(a)
-                key.append(x)
-            text, at, key = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (text, at, key))
-            values, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
-            frequent = counts[inverse] > LOCAL if len(key) else np.empty(0, bool)
-            doc = ids[text]
-            spread = (key.view(np.uint64) ^ doc.astype(np.uint64) * _MIX[0] ^ at.astype(np.uint64) * _MIX[1]) * _MIX[3]
-            marks = values[counts > LOCAL]
-            none = np.zeros(len(marks), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([np.where(frequent, spread.view(np.int64), key), marks])),
-                    pa.array(np.concatenate([np.where(frequent, 2, 0), none + 1]).astype(np.int32)),
-                    pa.array(np.concatenate([doc, none])),
-                    pa.array(np.concatenate([at, none]).astype(np.int32)),
-                ],
-                names=["key", "kind", "doc_id", "pos"],
-            )
+                found.append((t + k, a, x))
+            text, at, key = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
+            zero = np.zeros(len(at), np.int64)
+            yield _keyed_rows(key, ids[text], at, zero, zero)
+
+    rows = docs.select("doc_id", "text").mapInArrow(run, _RUN)
+    return rows.select("key", "kind", "doc_id", "pos")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, kind int, doc_id long, pos int")
+
+def _second_runs(hot: DataFrame) -> DataFrame:
+    """The runs of the fragments of frequent keys by their long strings; ``pos`` is
+    the fragment's start, ``sub`` and ``n`` the run's windows within it."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, starts = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+            frag, sub, n, key = runs_of(batch.column(2).to_pylist(), LONG_GRAM)
+            yield _keyed_rows(key, ids[frag], starts[frag], sub, n)
+
+    return hot.select("doc_id", "start", "frag").mapInArrow(run, _RUN)
 
 
 def _shared_runs(rows: DataFrame) -> DataFrame:
-    """``doc_id, pos, hot`` of the runs whose key occurs more than once."""
+    """The runs whose key occurs more than once, with ``hot``: the key is frequent."""
+    kept = [c for c in rows.columns if c not in ("key", "kind")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, "key"):
@@ -157,11 +184,12 @@ def _shared_runs(rows: DataFrame) -> DataFrame:
             own = np.repeat(np.arange(len(first)), size)
             hot = (marked | (size >= HOT))[own] | (kind == 2)
             keep = (kind == 2) | ((kind == 0) & (marked | (size > 1))[own])
-            chosen = group.select(["doc_id", "pos"]).append_column("hot", pa.array(hot)).filter(pa.array(keep))
+            chosen = group.select(kept).append_column("hot", pa.array(hot)).filter(pa.array(keep))
             yield from chosen.combine_chunks().to_batches()
 
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in kept)
     by_key = rows.repartition("key").sortWithinPartitions("key")
-    return by_key.mapInArrow(run, "doc_id long, pos int, hot boolean")
+    return by_key.mapInArrow(run, f"{kinds}, hot boolean")
 
 
 def _text_hash(raw: bytes) -> bytes:
@@ -178,17 +206,23 @@ def _fragments(wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                ids, copies = part.column(0).to_pylist(), part.column(3).to_pylist()
+                ids, copies = part.column(0).to_numpy(), part.column(3).to_pylist()
                 texts = [s.encode() for s in part.column(1).to_pylist()]
                 hashes = [_text_hash(t) for t in texts]
                 texts = [b"" if c and h in c else t for t, h, c in zip(texts, hashes, copies, strict=True)]
-                asked = [{r["pos"]: r["hot"] for r in x} for x in part.column(2).to_pylist()]
-                out: tuple[list, ...] = ([], [], [], [], [], [])
-                for t, at, n, key in zip(*(x.tolist() for x in runs_of(texts)), strict=True):
-                    hot = asked[t].get(at)
-                    if hot is not None:
-                        for column, value in zip(out, (key, hot, ids[t], hashes[t], at, texts[t][at : at + n + MATCH - 1]), strict=True):
-                            column.append(value)
+                runs = part.column(2)
+                asked_of = np.repeat(np.arange(part.num_rows), runs.value_lengths().to_numpy())
+                asked = runs.flatten()
+                asked = (asked_of << 32) | asked.field("pos").to_numpy(), asked.field("hot").to_numpy(zero_copy_only=False)
+                order = np.argsort(asked[0])
+                codes, flags = asked[0][order], asked[1][order]
+                text, at, n, key = runs_of(texts)
+                slot = np.searchsorted(codes, (text << 32) | at)
+                slot[slot == len(codes)] = 0
+                mine = np.flatnonzero(codes[slot] == ((text << 32) | at))
+                own, at, n = text[mine], at[mine], n[mine]
+                frags = [texts[t][a : a + m + MATCH - 1] for t, a, m in zip(own.tolist(), at.tolist(), n.tolist(), strict=True)]
+                out = (key[mine], flags[slot[mine]], ids[own], [hashes[t] for t in own.tolist()], at.astype(np.int32), frags)
                 kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["key", "hot", "doc_id", "h", "start", "frag"]
@@ -345,27 +379,54 @@ def _bucket_ranges(fragments: DataFrame) -> DataFrame:
     return by_key.mapInArrow(run, _RANGE)
 
 
-def _hot_ranges(fragments: DataFrame) -> DataFrame:
-    """The same for fragments of frequent keys, window by window."""
+def _window_places(hot: DataFrame) -> DataFrame:
+    """Windows of the shared sub-runs of hot fragments (``subs``): the first of
+    equal ones in an Arrow batch as ``fp, doc_id, h, s``, the others as settled
+    ranges ``doc_id, h, s, e`` without fp."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                out: tuple[list, ...] = ([], [], [], [])
-                for i, h, at, frag in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    n = len(frag) - MATCH + 1
-                    out[0].extend(xxhash.xxh3_128_digest(frag[j : j + MATCH]) for j in range(n))
-                    out[1].extend([i] * n)
-                    out[2].extend([h] * n)
-                    out[3].extend(range(at, at + n))
-                kinds = (pa.binary(), pa.int64(), pa.binary(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=["fp", "doc_id", "h", "s"])
-
-    places = fragments.select("doc_id", "h", "start", "frag").mapInArrow(run, "fp binary, doc_id long, h binary, s int")
-    first = places.groupBy("fp").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    late = places.join(first.hint("merge"), "fp").filter((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.s") != F.col("s")))
-    return late.select("doc_id", "h", "s", F.col("s").alias("e"))
+            rows = batch.to_pylist()
+            rows.sort(key=lambda r: (r["doc_id"], r["start"]))
+            first: dict[bytes, tuple[int, int]] = {}
+            fps, places, ranges = [], [], []
+            for r in rows:
+                i, h, at, frag = r["doc_id"], r["h"], r["start"], r["frag"]
+                last = -2
+                for j in sorted({j for x in r["subs"] for j in range(x["sub"], min(x["sub"] + x["n"], len(frag) - MATCH + 1))}):
+                    fp = xxhash.xxh3_128_digest(frag[j : j + MATCH])
+                    place = first.setdefault(fp, (i, at + j))
+                    if place == (i, at + j):
+                        fps.append(fp)
+                        places.append((i, h, at + j))
+                    elif last == at + j - 1 and ranges and ranges[-1][:2] == [i, h]:
+                        ranges[-1][3] = last = at + j
+                    else:
+                        last = at + j
+                        ranges.append([i, h, last, last])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*fps, *[None] * len(ranges)], pa.binary()),
+                    pa.array([*[p[0] for p in places], *[x[0] for x in ranges]], pa.int64()),
+                    pa.array([*[p[1] for p in places], *[x[1] for x in ranges]], pa.binary()),
+                    pa.array([*[p[2] for p in places], *[x[2] for x in ranges]], pa.int32()),
+                    pa.array([*[p[2] for p in places], *[x[3] for x in ranges]], pa.int32()),
+                ],
+                names=["fp", "doc_id", "h", "s", "e"],
+            )
+
+    return hot.select("doc_id", "h", "start", "frag", "subs").mapInArrow(run, f"fp binary, {_RANGE}")
+
+
+def _hot_ranges(hot: DataFrame) -> DataFrame:
+    """Repeated windows of the fragments of frequent keys."""
+    shared = written(_shared_runs(_second_runs(hot)), "suffix-shared-again")
+    subs = shared.groupBy("doc_id", F.col("pos").alias("start")).agg(F.collect_list(F.struct("sub", "n")).alias("subs"))
+    places = written(_window_places(hot.join(subs.hint("merge"), ["doc_id", "start"])), "suffix-places")
+    single = places.filter("fp is not null")
+    first = single.groupBy("fp").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    late = single.join(first.hint("merge"), "fp").filter((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.s") != F.col("s")))
+    return late.select("doc_id", "h", "s", "e").unionAll(places.filter("fp is null").select("doc_id", "h", "s", "e"))
 
 
 def _cut(rows: DataFrame, kind: str) -> DataFrame:
@@ -421,12 +482,18 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     copies = hashed.join(first.hint("merge"), "h").filter("doc_id > first").groupBy("doc_id").agg(F.collect_set("h").alias("copies"))
     copies = written(copies, "suffix-copies")
 
+    spark = docs.sparkSession
     shared = written(_shared_runs(_rows_of_runs(used)), "suffix-shared")
+    release(spark)
     by_doc = shared.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "hot")).alias("runs"))
     wanted = by_doc.join(copies.hint("merge"), "doc_id", "left")
     fragments = written(_fragments(used.join(wanted.hint("merge"), "doc_id")), "suffix-fragments", compression="zstd")
-    ranges = _bucket_ranges(fragments.filter("not hot")).unionAll(_hot_ranges(fragments.filter("hot")))
-    ranges = written(ranges, "suffix-ranges").groupBy("doc_id").agg(F.collect_list(F.struct("h", "s", "e")).alias("ranges"))
+    release(spark)
+    ranges = written(_bucket_ranges(fragments.filter("not hot")), "suffix-bucket-ranges")
+    release(spark)
+    ranges = ranges.unionAll(written(_hot_ranges(fragments.filter("hot")), "suffix-hot-ranges"))
+    release(spark)
+    ranges = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("h", "s", "e")).alias("ranges"))
     verdicts = written(ranges.join(copies.hint("merge"), "doc_id", "full"), "suffix-verdicts")
     return _cut(rows.join(verdicts.hint("merge"), "doc_id", "left"), rows.schema["row"].dataType.simpleString())
 
