@@ -96,9 +96,7 @@ def test_revenue_invariants(wh_small):
 
 
 def test_ntile_sizes_and_no_orphans(wh_small):
-    from tillroll.plans.registry import _stage
-
-    scores = G.rfm_scores(wh_small, stage=_stage(wh_small))
+    scores = G.rfm_scores(wh_small)
     for c in ("recency_score", "frequency_score", "monetary_score"):
         sizes = [r["count"] for r in scores.groupBy(c).count().collect()]
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
@@ -106,22 +104,77 @@ def test_ntile_sizes_and_no_orphans(wh_small):
     assert all(r["passed"] for r in H.constraints(wh_small).collect())
 
 
-def test_salted_shuffle_joins_match_broadcast(spark, wh_small, monkeypatch):
+def test_shuffle_joins_match_broadcast(spark, wh_small):
+    """With broadcasting off, unknown keys bypass the join and results stay."""
     from tillroll.operators import facts
 
-    dims = {k: wh_small.dim_rows(k) for k in ("customer", "product", "country")}
     stamps = ["raw_ingested_at", "warehouse_loaded_at"]
-    want_fact = sorted(
-        facts.fact_sales(wh_small.staging, wh_small.dim_customer, wh_small.dim_product, wh_small.dim_country,
-                         dim_rows=dims).drop(*stamps).collect()
-    )
-    want_views = {n: sorted(getattr(V, n)(wh_small).collect()) for n in ("order_summary", "product_kpis", "country_kpis")}
-    want_enriched = sorted(V.sales_enriched(wh_small).drop(*stamps).collect())
-    monkeypatch.setattr(facts, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(V, "BROADCAST_MAX_ROWS", 0)
-    got_fact = facts.fact_sales(wh_small.staging, wh_small.dim_customer, wh_small.dim_product, wh_small.dim_country,
-                                dim_rows=dims)
-    assert sorted(got_fact.drop(*stamps).collect()) == want_fact
-    for n, rows in want_views.items():
-        assert sorted(getattr(V, n)(wh_small).collect()) == rows, n
-    assert sorted(V.sales_enriched(wh_small).drop(*stamps).collect()) == want_enriched
+
+    def results():
+        fact = facts.fact_sales(wh_small.staging, wh_small.dim_customer, wh_small.dim_product, wh_small.dim_country)
+        out = {"fact": sorted(fact.drop(*stamps).collect()), "enriched": sorted(V.sales_enriched(wh_small).drop(*stamps).collect())}
+        out |= {n: sorted(getattr(V, n)(wh_small).collect()) for n in ("order_summary", "product_kpis", "country_kpis")}
+        return out | {"orphans": H.orphans(wh_small).collect()}
+
+    want = results()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = V.sales_enriched(wh_small)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert results() == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_changed_input_is_loaded_anew(spark, tmp_path):
+    """A file:// path whose input changes gives the new rows, and the replaced
+    build and its working frames are gone."""
+    import shutil
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from tillroll.plans.warehouse import INPUT_TABLES, refresh, warehouse_for
+
+    for t in INPUT_TABLES:
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", tmp_path / f"{t}.parquet")
+    d = f"file://{tmp_path}"
+    first = warehouse_for(spark, d)
+    n = first.raw.count()
+    assert warehouse_for(spark, d).root == first.root
+    assert not Path(first.root.removeprefix("file:"), "_work").exists()
+    lines = pq.read_table("/root/testdata/sf0.001/lineitem.parquet")
+    (tmp_path / "lineitem.parquet").unlink()
+    pq.write_table(lines.slice(0, lines.num_rows // 2), tmp_path / "lineitem.parquet", coerce_timestamps="us")
+    second = warehouse_for(spark, d)
+    assert second.root != first.root and second.raw.count() < n
+    assert not Path(first.root.removeprefix("file:")).exists()
+    again = refresh(spark, d)
+    assert again.root != second.root and again.raw.count() < n and not Path(second.root.removeprefix("file:")).exists()
+
+
+def test_fact_months_read_their_files_only(wh_small):
+    one = wh_small.fact_months(199501, 199502)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(sales_month" in plan
+    rows = one.select("date_key").collect()
+    assert rows and all(19950100 < r["date_key"] < 19950300 for r in rows)
+    assert len(rows) == wh_small.fact.filter("date_key between 19950101 and 19950231").count()
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    from tillroll.plans import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    monkeypatch.setattr(session, "_configured_dir", lambda s: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

@@ -50,7 +50,8 @@ def test_overlapping_flags(spark):
 
 @pytest.mark.parametrize(
     "bad",
-    [line(qty="x"), line(qty="5.0"), line(qty="12345678901"), line(date="2011-13-01 10:00:00"), line(qty="1\n")],
+    [line(qty="x"), line(qty="5.0"), line(qty="12345678901"), line(date="2011-13-01 10:00:00"), line(qty="1\n"),
+     line(date="2011"), line(date="2011-01"), line(date="2011-01-05 08"), line(date="2011-01-05 08:")],
 )
 def test_strict_load_raises_and_quarantine_keeps(spark, bad):
     raw = raw_df(spark, [line(), bad])
@@ -61,6 +62,23 @@ def test_strict_load_raises_and_quarantine_keeps(spark, bad):
     assert [r["raw_row_id"] for r in C.quarantine(raw).collect()] == [2]
 
 
+def test_plain_dates_and_minutes_are_timestamps(spark):
+    s = staged(spark, [line(date="2011-01-05"), line(date="2011-01-05 08:30"), line(date="2011-01-05T08:30:15.5")])
+    assert [s[i]["invoice_date"] for i in (1, 2, 3)] == [
+        datetime(2011, 1, 5), datetime(2011, 1, 5, 8, 30), datetime(2011, 1, 5, 8, 30, 15, 500_000)
+    ]
+
+
+def test_exact_prices_in_the_profile(spark):
+    raw = raw_df(spark, [line(price="-0.0000001"), line(price="123456789012345.5", cust=None), line(price="0.00"), line(price="-" + "9" * 30)])
+    r = B.business_anomalies(raw).first()
+    assert (r["negative_unit_price_rows"], r["zero_unit_price_rows"]) == (2, 1)
+    short = raw.filter("raw_row_id < 4")
+    assert [r["raw_row_id"] for r in B.negative_price_rows(short).collect()] == [1]
+    assert [r["row_count"] for r in B.zero_price_products(short).collect()] == [1]
+    assert B.missing_customer_profile(short).first()["positive_revenue_without_customer"] == Decimal("246913578024691.00")
+
+
 def test_format_profile_uses_end_anchor(spark):
     raw = raw_df(spark, [line(qty="1\n"), line(qty=" 3"), line(price="1e3"), line(cust="12.0")])
     r = B.invalid_formats(raw).first()
@@ -149,7 +167,7 @@ def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame(values, S.RAW_TEXT_SCHEMA)
     path = str(tmp_path / "csv")
     csv.write_csv(df.coalesce(1), path)
-    back = {tuple(r) for r in csv.scan_csv(spark, path).collect()}
+    back = {tuple(r) for r in csv.scan_csv(spark, path, multi_line=True).collect()}
     assert ('say "hi"', "a,b", "two\nlines", None, " pad ", "x", "1", "z") in back
     assert (None, "q", "r", "s", "t", "u", "v", "w") in back
 
@@ -212,10 +230,33 @@ def test_build_from_csv_equals_build_from_raw(spark, micro_wh, tmp_path):
 
 
 def test_tolerant_load_quarantines_and_skips(spark):
-    rows = [line(), line(invoice="500009", qty="x"), line(invoice="500010", date="not a date")]
+    rows = [line(), line(invoice="500009", qty="x"), line(invoice="500010", date="not a date"), line(invoice=" ")]
     wh = build_from_raw(spark, raw_df(spark, rows), strict=False)
-    assert sorted(r["raw_row_id"] for r in spark.read.parquet(wh.path("staging/quarantine")).collect()) == [2, 3]
-    assert wh.staging.count() == 3
+    listed = {r["raw_row_id"]: r["reasons"] for r in spark.read.parquet(wh.path("staging/quarantine")).collect()}
+    assert listed == {2: ["malformed quantity"], 3: ["malformed invoice_date"], 4: ["missing invoice_no"]}
+    assert wh.staging.count() == 4
     assert [r["raw_row_id"] for r in wh.fact.collect()] == [1]  # NULL quantity / date are required
-    failed = {r["rule"] for r in H.report(wh, raw_rows=3, products=1).collect() if not r["passed"]}
+    failed = {r["rule"] for r in H.report(wh, raw_rows=4, products=1).collect() if not r["passed"]}
     assert failed == {"first_occurrences_equal_fact"}
+
+
+def test_one_file_is_read_by_several_tasks_in_order(spark, tmp_path):
+    """A file split over tasks keeps its order, and numbers in names count as numbers."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    head = ",".join(S.RAW_COLUMNS) + "\n"
+    names = ["part-99999.csv", "part-100000.csv"]
+    n = 0
+    for name in names:
+        lines = [f"{n + k},c,d,1,2011-01-01 00:00:00,1,1,UK\n" for k in range(3000)]
+        (folder / name).write_text(head + "".join(lines))
+        n += 3000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        assert csv.scan_csv(spark, str(folder)).rdd.getNumPartitions() > 4
+        out = csv.ingest_csv(spark, str(folder), str(tmp_path / "work")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [int(r["invoice_no"]) for r in sorted(out, key=lambda r: r["raw_row_id"])] == list(range(6000))
+    assert {r["source_file"] for r in out} == set(names)

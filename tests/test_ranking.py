@@ -1,5 +1,4 @@
-"""Distributed order operators against plain single-partition windows,
-with tuning forced so that several buckets and hot-group splits occur."""
+"""Distributed order operators against plain single-partition windows."""
 
 import random
 from datetime import datetime, timedelta
@@ -11,11 +10,6 @@ from pyspark.sql import functions as F
 
 from tillroll.operators import ranking as R
 
-SPLIT = R.RankTuning(
-    rows_per_bucket=50, min_rows_to_split=0, min_buckets=7, max_buckets=64, samples_per_bucket=8,
-    group_chunk_rows=16, hot_sample_rows=10_000,
-)
-
 
 @pytest.fixture(scope="module")
 def mixed(spark):
@@ -34,64 +28,67 @@ def mixed(spark):
     return spark.createDataFrame(rows, "id long, s string, n int, d decimal(10,2), t timestamp_ntz, f double")
 
 
-def test_bucket_expression_is_monotone(spark, mixed):
-    cols = ["s", "n", "d", "t", "id"]
-    n = mixed.count()
-    b = mixed.withColumn("b", R.split_buckets(mixed, cols, n, SPLIT))
-    assert b.select("b").distinct().count() > 3
-    w = Window.orderBy(*[F.col(c).asc() for c in cols])
-    ordered = b.withColumn("prev", F.lag("b").over(w)).filter(F.col("prev") > F.col("b"))
-    assert ordered.count() == 0
-
-
-@pytest.mark.parametrize("cols", [["id"], ["s", "id"], ["n", "d", "t", "id"], ["f", "id"]])
+@pytest.mark.parametrize("cols", [["id"], ["s", "id"], ["n", "d", "t", "id"], ["f", "id"], ["s", "n", "id"], ["t", "d", "id"]])
 def test_row_number_matches_window(spark, mixed, cols):
-    got, n = R.row_number_global(mixed, cols, "rn", tuning=SPLIT)
+    got, n = R.row_number_global(mixed, cols, "rn")
     assert n == 1500
     want = mixed.withColumn("rn", F.row_number().over(Window.orderBy(*[F.col(c).asc() for c in cols])).cast("long"))
     assert sorted(got.select("id", "rn").collect()) == sorted(want.select("id", "rn").collect())
 
 
-def test_row_number_single_bucket(spark, mixed):
-    got, _ = R.row_number_global(mixed, ["id"], "rn")
-    assert got.filter(F.col("rn") != F.col("id") + 1).count() == 0
+@pytest.mark.parametrize("n", [0, 1, 10, 5000])
+def test_row_number_takes_one_path_at_every_size(spark, n):
+    """Ten rows are range-sorted and written like five thousand."""
+    df = spark.range(n).withColumn("k", (F.col("id") * 7919) % 100_003)
+    got, count = R.row_number_global(df, ["k"], "rn")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert count == n and "ranked" in str(got.inputFiles()) if n else count == 0
+    assert "Window" in plan
+    rows = sorted((r["k"], r["rn"]) for r in got.collect())
+    assert [rn for _, rn in rows] == list(range(1, n + 1))
+
+
+def test_row_number_uses_several_partitions(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got, _ = R.row_number_global(spark.range(4000).withColumn("k", -F.col("id")), ["k"], "rn")
+        assert len(got.inputFiles()) > 1
+        assert got.filter(F.col("rn") != 4000 - F.col("id")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
 @pytest.mark.parametrize("n", [1, 2, 4, 5, 6, 7, 13, 39, 100])
 def test_ntile_formula_matches_window(spark, n):
     df = spark.range(n).withColumn("v", (F.col("id") % 3).cast("int"))
-    got = R.ntile_global(df, ["v", "id"], 5, "t", tuning=SPLIT)
+    got = R.ntile_global(df, ["v", "id"], 5, "t")
     want = df.withColumn("t", F.ntile(5).over(Window.orderBy("v", "id")))
     assert sorted(got.select("id", "t").collect()) == sorted(want.select("id", "t").collect())
     sizes = [r["count"] for r in got.groupBy("t").count().collect()]
     assert max(sizes) - min(sizes) <= 1
 
 
-def test_rank_within_groups_splits_hot_groups(spark):
+@pytest.mark.parametrize("range_rows", [16, 4_000_000])
+def test_rank_within_groups(spark, range_rows):
     rnd = random.Random(3)
     rows = []
     for i in range(1, 801):
-        g = "hot" if rnd.random() < 0.4 else rnd.choice([None, "a1", "b2", "c3", "a7", "b9"])
-        rows.append((i, g, rnd.choice([None, "x"])))
+        g = "hot" if rnd.random() < 0.4 else rnd.choice([None, "", "a1", "b2", "c3", "a7", "b9"])
+        rows.append((i, g, rnd.choice([None, "", "x"])))
     df = spark.createDataFrame(rows, "rid long, g string, h string")
-    got = R.rank_within_groups(df, ["g", "h"], "rid", "rk", "sz", tuning=SPLIT)
+    got = R.rank_within_groups(df, ["g", "h"], "rid", "rk", "sz", range_rows=range_rows)
     w = Window.partitionBy("g", "h")
-    want = df.withColumn("rk", F.row_number().over(w.orderBy("rid")).cast("long")).withColumn(
-        "sz", F.count(F.lit(1)).over(w)
-    )
+    want = df.withColumn("rk", F.row_number().over(w.orderBy("rid")).cast("long")).withColumn("sz", F.count(F.lit(1)).over(w))
+    assert got.columns == want.columns
     assert sorted(got.select("rid", "rk", "sz").collect()) == sorted(want.select("rid", "rk", "sz").collect())
 
 
-def test_rank_within_groups_without_hot_groups(spark):
-    df = spark.range(1, 200).select(F.col("id").alias("rid"), (F.col("id") % 7).cast("string").alias("g"))
-    got = R.rank_within_groups(df, ["g"], "rid", "rk", "sz")
-    want = df.withColumn("rk", F.row_number().over(Window.partitionBy("g").orderBy("rid")).cast("long"))
-    assert sorted(got.select("rid", "rk").collect()) == sorted(want.select("rid", "rk").collect())
-
-
-def test_row_number_by_range_partitions(spark, mixed):
-    many = R.RankTuning(rows_per_bucket=100, min_rows_to_split=0, max_buckets=4)
-    for cols in (["id"], ["s", "n", "id"], ["t", "d", "id"]):
-        got, _ = R.row_number_global(mixed, cols, "rn", tuning=many)
-        want = mixed.withColumn("rn", F.row_number().over(Window.orderBy(*[F.col(c).asc() for c in cols])).cast("long"))
-        assert sorted(got.select("id", "rn").collect()) == sorted(want.select("id", "rn").collect())
+def test_many_hot_groups_join_their_carry_by_shuffle(spark):
+    """Twenty groups over forty ranges each: 800 carry rows, and no broadcast."""
+    df = spark.range(1, 20_001).select(F.col("id").alias("rid"), (F.col("id") % 20).cast("string").alias("g"))
+    got = R.rank_within_groups(df, ["g"], "rid", "rk", "sz", range_rows=500)
+    rows = got.collect()
+    assert all(r["sz"] == 1000 and r["rk"] == (r["rid"] + 19) // 20 for r in rows) and len(rows) == 20_000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan

@@ -11,20 +11,13 @@ from tillroll.functions.text import col
 
 def product_category(code: str | Column) -> Column:
     c = col(code)
-    return (
-        F.when(c.isin(*S.SHIPPING_FEE_CODES), F.lit("SHIPPING_FEE"))
-        .when(c.isin(*S.FINANCIAL_ADJUSTMENT_CODES), F.lit("FINANCIAL_ADJUSTMENT"))
-        .when(c.isin(*S.MANUAL_CODES), F.lit("MANUAL"))
-        .when(c.isin(*S.SAMPLE_CODES), F.lit("SAMPLE"))
-        .when(F.left(c, F.lit(len(S.GIFT_VOUCHER_PREFIX))) == S.GIFT_VOUCHER_PREFIX, F.lit("GIFT_VOUCHER"))
-        .otherwise(F.lit("MERCHANDISE"))
-    )
+    voucher = F.left(c, F.lit(len(S.GIFT_VOUCHER_PREFIX))) == S.GIFT_VOUCHER_PREFIX
+    out = F.when(voucher, F.lit(S.VOUCHER_CATEGORY)).otherwise(F.lit(S.MERCHANDISE_CATEGORY))
+    for label, codes in S.CATEGORY_CODES:
+        out = F.when(c.isin(*codes), F.lit(label)).otherwise(out)
+    return out
 
 
 def is_merchandise(code: str | Column) -> Column:
-    """Merchandise unless the code is in one of the service lists or a voucher."""
-    c = col(code)
-    service = (
-        S.SHIPPING_FEE_CODES + S.FINANCIAL_ADJUSTMENT_CODES + S.MANUAL_CODES + S.SAMPLE_CODES
-    )
-    return ~(c.isin(*service) | (F.left(c, F.lit(len(S.GIFT_VOUCHER_PREFIX))) == S.GIFT_VOUCHER_PREFIX))
+    """NULL codes have no category of their own; they are no merchandise."""
+    return F.when(col(code).isNotNull(), product_category(code) == S.MERCHANDISE_CATEGORY)

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tillroll import schemas as S
 from tillroll.functions.money import exact_mean, money, percent
 from tillroll.operators import views
-from tillroll.operators.ranking import TUNING, RankTuning, ntile_global
+from tillroll.operators.ranking import ntile_global
+from tillroll.plans.session import materialize, run_root
 
 
 def _top(df: DataFrame, order: list[Column], k: int) -> DataFrame:
@@ -37,7 +38,7 @@ def kpi_overview(wh) -> DataFrame:
 def monthly_growth(wh) -> DataFrame:
     """Gross revenue against the previous month.  One row per month, so
     the unpartitioned LAG window holds at most a few hundred rows."""
-    months = views.monthly_kpis(wh).select("year_month", "month_start", "gross_revenue", "net_revenue")
+    months = views.monthly_sums(wh).select("year_month", "month_start", "gross_revenue", "net_revenue")
     prev = F.lag("gross_revenue").over(Window.orderBy(F.col("month_start").asc_nulls_last()))
     with_prev = months.withColumn("previous_month_gross_revenue", prev)
     return with_prev.select(
@@ -66,10 +67,17 @@ def _merchandise(products: DataFrame) -> DataFrame:
     return products.filter(F.col("is_merchandise"))
 
 
+def _top_products(wh, p: DataFrame, order: list[Column], k: int) -> DataFrame:
+    """The k first products by their sums; their invoices are counted afterwards.
+    The k rows are written, as both sides of the join need them."""
+    top = materialize(_top(p, order, k), run_root(p.sparkSession, "top-products"))
+    return top.join(views.product_invoices(wh, top), "product_key")
+
+
 def top_products_by_quantity(wh, k: int = S.TOP_PRODUCTS_ROWS) -> DataFrame:
     """G4."""
-    p = _merchandise(views.product_kpis(wh)).filter(F.col("net_quantity") > 0)
-    top = _top(p, [F.col("net_quantity").desc(), F.col("stock_code").asc()], k)
+    p = _merchandise(views.product_sums(wh)).filter(F.col("net_quantity") > 0)
+    top = _top_products(wh, p, [F.col("net_quantity").desc(), F.col("stock_code").asc()], k)
     return top.select(
         "stock_code", "product_description", "positive_order_count", "sold_quantity", "cancelled_quantity",
         "net_quantity", "net_revenue", _dense_rank_in(top, "net_quantity", "quantity_rank"),
@@ -78,8 +86,8 @@ def top_products_by_quantity(wh, k: int = S.TOP_PRODUCTS_ROWS) -> DataFrame:
 
 def top_products_by_revenue(wh, k: int = S.TOP_PRODUCTS_ROWS) -> DataFrame:
     """G5."""
-    p = _merchandise(views.product_kpis(wh)).filter(F.col("net_revenue") > 0)
-    top = _top(p, [F.col("net_revenue").desc(), F.col("stock_code").asc()], k)
+    p = _merchandise(views.product_sums(wh)).filter(F.col("net_revenue") > 0)
+    top = _top_products(wh, p, [F.col("net_revenue").desc(), F.col("stock_code").asc()], k)
     return top.select(
         "stock_code", "product_description", "positive_order_count", "sold_quantity", "cancelled_quantity",
         "gross_revenue", "cancellation_amount", "net_revenue", _dense_rank_in(top, "net_revenue", "revenue_rank"),
@@ -132,9 +140,8 @@ def top_product_per_month(wh) -> DataFrame:
         F.round(F.sum(F.when(views.N(), F.col("line_amount"))), 2).cast(S.MONEY).alias("net_revenue")
     )
     # attributes (and the merchandise filter) joined to month x product rows, not to fact lines
-    monthly = views.attach(
-        per_product, merch, "product_key", ["stock_code", "product_description"], dim_rows=wh.dim_rows("product")
-    )
+    known = per_product.filter(F.col("product_key") != S.UNKNOWN_KEY)
+    monthly = views.attach(known, merch, "product_key", ["stock_code", "product_description"])
     best = F.min(
         F.struct(
             (-F.col("net_revenue")).alias("neg"),
@@ -153,7 +160,7 @@ def revenue_pareto(wh, k: int = S.PARETO_ROWS) -> DataFrame:
     """Net revenue share and cumulative share of the top-k merchandise
     products.  The running sum of the first k rows needs only those rows;
     the grand total is a global aggregate (one row, broadcast)."""
-    p = _merchandise(views.product_kpis(wh)).filter(F.col("net_revenue") > 0).select(
+    p = _merchandise(views.product_sums(wh)).filter(F.col("net_revenue") > 0).select(
         "stock_code", "product_description", "net_revenue"
     )
     total = p.agg(F.sum("net_revenue").alias("total_revenue"))
@@ -181,8 +188,8 @@ def revenue_pareto(wh, k: int = S.PARETO_ROWS) -> DataFrame:
 
 def most_cancelled_products(wh, k: int = S.MOST_CANCELLED_ROWS) -> DataFrame:
     """G10."""
-    p = _merchandise(views.product_kpis(wh)).filter(F.col("cancelled_quantity") > 0)
-    return _top(p, [F.col("cancelled_quantity").desc(), F.col("stock_code").asc()], k).select(
+    p = _merchandise(views.product_sums(wh)).filter(F.col("cancelled_quantity") > 0)
+    return _top_products(wh, p, [F.col("cancelled_quantity").desc(), F.col("stock_code").asc()], k).select(
         "stock_code", "product_description", "positive_order_count", "cancellation_invoice_count",
         "sold_quantity", "cancelled_quantity", "cancelled_units_pct_of_sold", "cancellation_amount",
     )
@@ -211,15 +218,14 @@ def rfm_measures(wh) -> DataFrame:
     )
 
 
-def rfm_scores(wh, *, tuning: RankTuning = TUNING, stage=None) -> DataFrame:
+def rfm_scores(wh) -> DataFrame:
     """Quintile scores; ties broken by customer_id.  Each NTILE is a
-    distributed global ranking; ``stage`` materialises the inputs in between
-    so the ranking passes do not recompute the aggregation."""
-    stage = stage or (lambda df, name: df)
-    m = stage(rfm_measures(wh), "rfm_measures")
-    r = stage(ntile_global(m, ["recency_days", "customer_id"], S.RFM_TILES, "_r", tuning=tuning), "rfm_r")
-    f = stage(ntile_global(r, ["frequency", "customer_id"], S.RFM_TILES, "frequency_score", tuning=tuning), "rfm_f")
-    s = ntile_global(f, ["monetary_value", "customer_id"], S.RFM_TILES, "monetary_score", tuning=tuning)
+    distributed ranking that writes its rows, so nothing is computed twice."""
+    work = run_root(wh.spark, "rfm")
+    m = materialize(rfm_measures(wh), f"{work}/measures")
+    r = ntile_global(m, ["recency_days", "customer_id"], S.RFM_TILES, "_r")
+    f = ntile_global(materialize(r, f"{work}/r"), ["frequency", "customer_id"], S.RFM_TILES, "frequency_score")
+    s = ntile_global(materialize(f, f"{work}/f"), ["monetary_value", "customer_id"], S.RFM_TILES, "monetary_score")
     return s.select(
         "customer_id", "recency_days", "frequency", "monetary_value",
         (F.lit(S.RFM_TILES + 1) - F.col("_r")).cast("int").alias("recency_score"),
@@ -227,32 +233,22 @@ def rfm_scores(wh, *, tuning: RankTuning = TUNING, stage=None) -> DataFrame:
     )
 
 
-def rfm_segment(r: Column, f: Column, m: Column) -> Column:
-    return (
-        F.when((r >= 4) & (f >= 4) & (m >= 4), F.lit("CHAMPIONS"))
-        .when((r >= 3) & (f >= 3), F.lit("LOYAL_CUSTOMERS"))
-        .when((r >= 4) & (f <= 2), F.lit("PROMISING"))
-        .when((r <= 2) & (f >= 3), F.lit("AT_RISK"))
-        .when((r == 1) & (f <= 2), F.lit("HIBERNATING"))
-        .otherwise(F.lit("NEEDS_ATTENTION"))
-    )
+def rfm_segment() -> Column:
+    out = F.lit(S.OTHER_RFM_SEGMENT)
+    for label, condition in reversed(S.RFM_SEGMENT_RULES):
+        out = F.when(F.expr(condition), F.lit(label)).otherwise(out)
+    return out
 
 
-def rfm_segments(wh, *, tuning: RankTuning = TUNING, stage=None) -> DataFrame:
+def rfm_segments(wh) -> DataFrame:
     """G11d."""
-    s = rfm_scores(wh, tuning=tuning, stage=stage)
-    r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
-    return s.withColumns(
-        {
-            "rfm_score": F.concat(r.cast("string"), f.cast("string"), m.cast("string")),
-            "rfm_segment": rfm_segment(r, f, m),
-        }
-    )
+    scores = [F.col(c).cast("string") for c in ("recency_score", "frequency_score", "monetary_score")]
+    return rfm_scores(wh).withColumns({"rfm_score": F.concat(*scores), "rfm_segment": rfm_segment()})
 
 
-def rfm_summary(wh, *, tuning: RankTuning = TUNING, stage=None) -> DataFrame:
+def rfm_summary(wh) -> DataFrame:
     """G11."""
-    seg = rfm_segments(wh, tuning=tuning, stage=stage)
+    seg = rfm_segments(wh)
     agg = seg.groupBy("rfm_segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
         F.sum("recency_days").alias("_r"),
@@ -280,7 +276,7 @@ def example_monthly_revenue(wh) -> DataFrame:
 
 def example_top_merchandise(wh, k: int = S.TOP_PRODUCTS_ROWS) -> DataFrame:
     """G13."""
-    p = _merchandise(views.product_kpis(wh)).filter(F.col("net_revenue") > 0)
+    p = _merchandise(views.product_sums(wh)).filter(F.col("net_revenue") > 0)
     return _top(p, [F.col("net_revenue").desc(), F.col("stock_code").asc()], k).select(
         "stock_code", "product_description", "net_quantity", "gross_revenue", "cancellation_amount", "net_revenue"
     )
@@ -295,7 +291,7 @@ def example_top_customers(wh, k: int = S.TOP_CUSTOMERS_ROWS) -> DataFrame:
 
 def country_revenue_share(wh) -> DataFrame:
     """Each country's share of the summed country gross revenue."""
-    c = views.country_kpis(wh).select("country_key", "country_name", "gross_revenue")
+    c = views.country_sums(wh)
     total = c.agg(F.sum("gross_revenue").alias("_total"))
     return c.crossJoin(F.broadcast(total)).select(
         "country_key", "country_name", "gross_revenue",
@@ -316,7 +312,7 @@ def segment_share(wh) -> DataFrame:
 
 def cancellation_ratio_ranking(wh, k: int = S.MOST_CANCELLED_ROWS) -> DataFrame:
     """Merchandise with the highest cancelled share of sold units."""
-    p = _merchandise(views.product_kpis(wh)).filter(F.col("cancelled_units_pct_of_sold").isNotNull())
+    p = _merchandise(views.product_sums(wh)).filter(F.col("cancelled_units_pct_of_sold").isNotNull())
     order = [
         F.col("cancelled_units_pct_of_sold").desc(), F.col("cancelled_quantity").desc(), F.col("stock_code").asc()
     ]
@@ -326,18 +322,20 @@ def cancellation_ratio_ranking(wh, k: int = S.MOST_CANCELLED_ROWS) -> DataFrame:
 
 
 def code_merge_report(wh) -> DataFrame:
-    """Distinct source codes, distinct normalised codes and their difference."""
-    stg = wh.staging
-    return stg.agg(
-        F.count_distinct("source_stock_code").alias("source_code_count"),
-        F.count_distinct("stock_code").alias("normalized_code_count"),
-    ).withColumn("merged_code_count", F.col("source_code_count") - F.col("normalized_code_count"))
+    """Distinct source codes, distinct normalised codes and their difference;
+    one narrow distinct each."""
+
+    def distinct(c: str, out: str) -> DataFrame:
+        return wh.staging.select(c).filter(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias(out))
+
+    both = distinct("source_stock_code", "source_code_count").crossJoin(distinct("stock_code", "normalized_code_count"))
+    return both.withColumn("merged_code_count", F.col("source_code_count") - F.col("normalized_code_count"))
 
 
 def non_merchandise_codes(wh) -> DataFrame:
     """Known products whose category is not merchandise."""
     return (
-        wh.dim_product.filter(~F.col("is_unknown") & (F.col("product_category") != "MERCHANDISE"))
+        wh.dim_product.filter(~F.col("is_unknown") & (F.col("product_category") != S.MERCHANDISE_CATEGORY))
         .select("stock_code", "product_description", "product_category")
         .orderBy("product_category", "stock_code")
     )

@@ -7,15 +7,14 @@ distributed ``row_number_global`` (no single-task window).
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
 from tillroll.functions import calendar
 from tillroll.functions.codes import is_merchandise, product_category
-from tillroll.operators.ranking import TUNING, RankTuning, row_number_global
+from tillroll.operators.ranking import row_number_global
+from tillroll.plans.session import materialize, run_root
 
 CUSTOMER_COLUMNS = ("customer_key", "customer_id", "first_seen_at", "last_seen_at", "is_unknown", "created_at")
 PRODUCT_COLUMNS = (
@@ -48,28 +47,22 @@ def _unknown(spark: SparkSession, like: DataFrame, values: dict) -> DataFrame:
     return spark.range(1).select(*cols)
 
 
-Prepare = Callable[[DataFrame, str], DataFrame]
-
-
-def _as_is(df: DataFrame, name: str) -> DataFrame:
-    return df
-
-
-def _keyed(df: DataFrame, natural: str, key: str, tuning: RankTuning, prepare: Prepare, name: str) -> DataFrame:
-    """Dense key in natural-key order.  ``prepare`` may materialise the
-    (small) pre-key frame so the ranking passes do not recompute it."""
-    numbered, _ = row_number_global(prepare(df, name), [natural], key, tuning=tuning)
+def _keyed(df: DataFrame, natural: str, key: str, work: str | None) -> DataFrame:
+    """Dense key in natural-key order.  The aggregated rows are written first, as
+    the ranking reads them twice."""
+    work = work or run_root(df.sparkSession, key)
+    numbered, _ = row_number_global(materialize(df, f"{work}/{key}"), [natural], key, work=f"{work}/{key}-ranked")
     return numbered
 
 
-def dim_customer(stg: DataFrame, *, tuning: RankTuning = TUNING, prepare: Prepare = _as_is) -> DataFrame:
+def dim_customer(stg: DataFrame, *, work: str | None = None) -> DataFrame:
     """One row per identified customer with first / last seen."""
     seen = (
         stg.filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(F.min("invoice_date").alias("first_seen_at"), F.max("invoice_date").alias("last_seen_at"))
     )
-    keyed = _keyed(seen, "customer_id", "customer_key", tuning, prepare, "customer_seen").select(
+    keyed = _keyed(seen, "customer_id", "customer_key", work).select(
         "customer_key",
         "customer_id",
         "first_seen_at",
@@ -116,7 +109,7 @@ def canonical_descriptions(stg: DataFrame) -> DataFrame:
     )
 
 
-def dim_product(stg: DataFrame, *, tuning: RankTuning = TUNING, prepare: Prepare = _as_is) -> DataFrame:
+def dim_product(stg: DataFrame, *, work: str | None = None) -> DataFrame:
     """Activity per normalised code + canonical description + category,
     from one two-level aggregation (code, description) -> code."""
     described = (
@@ -128,7 +121,7 @@ def dim_product(stg: DataFrame, *, tuning: RankTuning = TUNING, prepare: Prepare
             _best_description().alias("product_description"),
         )
     )
-    keyed = _keyed(described, "stock_code", "product_key", tuning, prepare, "product_activity").select(
+    keyed = _keyed(described, "stock_code", "product_key", work).select(
         "product_key",
         "stock_code",
         "product_description",
@@ -155,10 +148,10 @@ def dim_product(stg: DataFrame, *, tuning: RankTuning = TUNING, prepare: Prepare
     return unknown.unionByName(keyed)
 
 
-def dim_country(stg: DataFrame, *, tuning: RankTuning = TUNING, prepare: Prepare = _as_is) -> DataFrame:
+def dim_country(stg: DataFrame, *, work: str | None = None) -> DataFrame:
     """D3: distinct non-null countries."""
     names = stg.filter(F.col("country").isNotNull()).select(F.col("country").alias("country_name")).distinct()
-    keyed = _keyed(names, "country_name", "country_key", tuning, prepare, "country_names").select(
+    keyed = _keyed(names, "country_name", "country_key", work).select(
         "country_key", "country_name", F.lit(False).alias("is_unknown"), F.current_timestamp().alias("created_at")
     )
     unknown = _unknown(

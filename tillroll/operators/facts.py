@@ -7,70 +7,39 @@ from pyspark.sql import functions as F
 
 from tillroll import schemas as S
 from tillroll.functions import calendar
-from tillroll.operators.ranking import TUNING, RankTuning, row_number_global
+from tillroll.operators.ranking import row_number_global
 
-FACT_COLUMNS = (
-    "sales_key",
-    "raw_row_id",
-    "date_key",
-    "customer_key",
-    "product_key",
-    "country_key",
-    "invoice_no",
-    "invoice_timestamp",
-    "quantity",
-    "unit_price",
-    "line_amount",
-    "record_type",
-    "is_cancelled",
-    "is_stock_adjustment",
-    "is_accounting_adjustment",
-    "is_zero_price",
-    "is_missing_customer",
-    "is_missing_description",
-    "is_positive_sale",
-    "source_duplicate_group_size",
-    "source_file",
-    "raw_ingested_at",
-    "warehouse_loaded_at",
-)
+FACT_DDL = """sales_key long, raw_row_id long, date_key int, customer_key long, product_key long, country_key long,
+invoice_no string, invoice_timestamp timestamp_ntz, quantity int, unit_price decimal(18,4), line_amount decimal(20,4),
+record_type string, is_cancelled boolean, is_stock_adjustment boolean, is_accounting_adjustment boolean,
+is_zero_price boolean, is_missing_customer boolean, is_missing_description boolean, is_positive_sale boolean,
+source_duplicate_group_size long, source_file string, raw_ingested_at timestamp, warehouse_loaded_at timestamp"""
 
-# Dimensions at most this many rows are broadcast to the fact rows; larger ones
-# are joined by shuffle with the NULL natural keys spread over salt values.
-BROADCAST_MAX_ROWS = 2_000_000
-NULL_KEY_SALTS = 64
 REQUIRED = ("invoice_no", "invoice_date", "quantity", "unit_price", "line_amount")
+# Staging columns that the fact is made of.
+NUMBERED = (
+    "raw_row_id", "customer_id", "stock_code", "country", *REQUIRED, "record_type", "is_cancelled", "is_stock_adjustment",
+    "is_accounting_adjustment", "is_zero_price", "is_missing_customer", "is_missing_description", "is_positive_sale",
+    "duplicate_group_size", "source_file", "raw_ingested_at",
+)
 
 
 def _required(c: str) -> Column:
     return F.when(F.col(c).isNull(), F.raise_error(F.lit(f"fact_sales.{c} must not be NULL"))).otherwise(F.col(c))
 
 
-def lookup_key(
-    rows: DataFrame,
-    dim: DataFrame,
-    natural: str,
-    dim_natural: str,
-    key: str,
-    *,
-    dim_rows: int,
-    salt_from: str = "raw_row_id",
-    broadcast_max_rows: int | None = None,
-) -> DataFrame:
-    """LEFT JOIN on the natural key of the known members; no match -> key 0."""
-    limit = BROADCAST_MAX_ROWS if broadcast_max_rows is None else broadcast_max_rows
-    known = dim.filter(~F.col("is_unknown")).select(F.col(dim_natural).alias("_nk"), F.col(key).alias("_key"))
-    if dim_rows <= limit:
-        joined = rows.join(F.broadcast(known), rows[natural] == known["_nk"], "left")
-    else:
-        # NULL keys never match; spread them so they do not all land in one task.
-        salt = F.when(F.col(natural).isNull(), F.col(salt_from) % NULL_KEY_SALTS + 1).otherwise(F.lit(0))
-        left = rows.withColumn("_salt", salt.cast("int"))
-        right = known.withColumn("_salt", F.lit(0))
-        joined = left.join(right, (left[natural] == right["_nk"]) & (left["_salt"] == right["_salt"]), "left").drop(
-            "_salt"
-        )
-    return joined.withColumn(key, F.coalesce(F.col("_key"), F.lit(S.UNKNOWN_KEY)).cast("long")).drop("_nk", "_key")
+def lookup_key(rows: DataFrame, dim: DataFrame, natural: str, dim_natural: str, key: str, *, row_id: str = "raw_row_id") -> DataFrame:
+    """LEFT JOIN on the natural key of the known members; no match -> key 0.
+
+    Whether the dimension is broadcast is Spark's choice by the size of its files.
+    In a shuffle join a NULL key carries the row's own id beside it, which matches
+    nothing, so such rows stay where the hash of their id puts them."""
+    known = dim.filter(~F.col("is_unknown")).select(
+        F.col(dim_natural).alias("_nk"), F.lit(0).cast("long").alias("_own"), F.col(key).alias("_key")
+    )
+    left = rows.withColumn("_row", F.when(F.col(natural).isNull(), F.col(row_id)).otherwise(0))
+    joined = left.join(known, (left[natural] == known["_nk"]) & (left["_row"] == known["_own"]), "left")
+    return joined.withColumn(key, F.coalesce(F.col("_key"), F.lit(S.UNKNOWN_KEY)).cast("long")).drop("_nk", "_own", "_row", "_key")
 
 
 def fact_sales(
@@ -79,23 +48,22 @@ def fact_sales(
     dim_product: DataFrame,
     dim_country: DataFrame,
     *,
-    dim_rows: dict[str, int],
     strict: bool = True,
-    tuning: RankTuning = TUNING,
+    work: str | None = None,
 ) -> DataFrame:
     """E1-E4.  ``date_key`` is computed from the invoice date (YYYYMMDD): the
     calendar spans every invoice date, so the lookup always succeeds and needs
     no join.  A NULL in a required column raises (``strict``) or, in the
-    tolerant load, leaves the row out of the fact (validation reports it)."""
+    tolerant load, leaves the row out of the fact (the quarantine lists it)."""
     first = stg.filter(F.col("is_first_occurrence"))
     if not strict:
         first = first.filter(" AND ".join(f"{c} IS NOT NULL" for c in REQUIRED))
-    # Numbered before the lookups: the ranking passes then read two staging columns only.
-    numbered, _ = row_number_global(first, ["raw_row_id"], "sales_key", tuning=tuning)
+    carried = [c for c in NUMBERED if c != "raw_row_id"]
+    numbered, _ = row_number_global(first.select("raw_row_id", *carried), ["raw_row_id"], "sales_key", work=work)
     checked = numbered.withColumns({c: _required(c) for c in REQUIRED})
-    keyed = lookup_key(checked, dim_customer, "customer_id", "customer_id", "customer_key", dim_rows=dim_rows["customer"])
-    keyed = lookup_key(keyed, dim_product, "stock_code", "stock_code", "product_key", dim_rows=dim_rows["product"])
-    keyed = lookup_key(keyed, dim_country, "country", "country_name", "country_key", dim_rows=dim_rows["country"])
+    keyed = lookup_key(checked, dim_customer, "customer_id", "customer_id", "customer_key")
+    keyed = lookup_key(keyed, dim_product, "stock_code", "stock_code", "product_key")
+    keyed = lookup_key(keyed, dim_country, "country", "country_name", "country_key")
     keyed = keyed.withColumn("date_key", F.coalesce(calendar.date_key(F.to_date("invoice_date")), F.lit(S.UNKNOWN_KEY)))
     return keyed.select(
         "sales_key",

@@ -7,6 +7,8 @@ aborts them, as in the original); the guarded ones use a regex first.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,10 @@ from tillroll import schemas as S
 from tillroll.functions.money import money
 from tillroll.functions.text import is_blank, is_cancel_invoice, matches, missing_label
 
-PROFILE_NUMERIC = "decimal(20,6)"
+# Prices as numbers: 20 digits before the point and 18 after it.
+PROFILE_NUMERIC = "decimal(38,18)"
+# A price times a quantity must fit 38 digits: ten of the quantity, and ten decimals.
+REVENUE_PRICE = "decimal(27,10)"
 
 
 def strict_cast(c: str | Column, target: str, what: str) -> Column:
@@ -34,6 +39,12 @@ def _price() -> Column:
     return strict_cast(F.trim(F.col("unit_price")), PROFILE_NUMERIC, "unit_price")
 
 
+def price_sign(c: str | Column) -> Column:
+    """-1, 0 or 1 of a well-formed decimal text, exact whatever its length."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(~c.rlike("[1-9]"), F.lit(0)).when(c.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+
+
 def _cancel() -> Column:
     return is_cancel_invoice("invoice_no")
 
@@ -44,13 +55,16 @@ def row_count(raw: DataFrame) -> DataFrame:
 
 
 def distinct_values(raw: DataFrame) -> DataFrame:
-    """B2: exact distinct counts on raw values."""
-    return raw.agg(
-        F.count_distinct("invoice_no").alias("distinct_invoices"),
-        F.count_distinct("stock_code").alias("distinct_products"),
-        F.count_distinct("customer_id").alias("distinct_customers"),
-        F.count_distinct("country").alias("distinct_countries"),
-    )
+    """B2: exact distinct counts on raw values: one narrow distinct per column
+    (each a scan of that column), never one over expanded rows."""
+    columns = {
+        "distinct_invoices": "invoice_no",
+        "distinct_products": "stock_code",
+        "distinct_customers": "customer_id",
+        "distinct_countries": "country",
+    }
+    parts = [raw.select(c).filter(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1)).alias(out)) for out, c in columns.items()]
+    return reduce(DataFrame.crossJoin, parts)  # one row each
 
 
 def missing_values(raw: DataFrame) -> DataFrame:
@@ -74,7 +88,7 @@ def invalid_formats(raw: DataFrame) -> DataFrame:
 def business_anomalies(raw: DataFrame) -> DataFrame:
     """Guarded parse, then sign counts and cancellation / missing counts."""
     qty = F.when(matches("quantity", S.INTEGER_PATTERN), strict_cast("quantity", "int", "quantity"))
-    price = F.when(matches("unit_price", S.DECIMAL_PATTERN), F.col("unit_price").cast("double"))
+    price = F.when(matches("unit_price", S.DECIMAL_PATTERN), price_sign("unit_price"))
     return raw.agg(
         F.count_if(qty < 0).alias("negative_quantity_rows"),
         F.count_if(qty == 0).alias("zero_quantity_rows"),
@@ -181,7 +195,7 @@ def missing_customer_profile(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_rows_without_customer"),
         F.count_distinct("invoice_no").alias("invoices_without_customer"),
         F.count_if(positive).alias("positive_sales_rows_without_customer"),
-        money(F.sum(F.when(positive, q.cast("decimal(10,0)") * p))).alias("positive_revenue_without_customer"),
+        money(F.sum(F.when(positive, q.cast("decimal(10,0)") * p.cast(REVENUE_PRICE)))).alias("positive_revenue_without_customer"),
         F.count_if(c).alias("cancelled_rows_without_customer"),
         F.count_if(q < 0).alias("negative_quantity_rows_without_customer"),
         F.count_if(p == 0).alias("zero_price_rows_without_customer"),

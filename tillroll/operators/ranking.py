@@ -1,197 +1,55 @@
 """Distributed order operators.
 
-A plain ``row_number() over (order by ...)`` sends every row to one task.
-The operators here keep the work spread out:
-
-* ``row_number_global`` — split points are taken from a bounded sample of
-  the sort key, turned into a deterministic bucket expression (a binary
-  search over literal split keys), rows are numbered inside their bucket by a
-  window partitioned by bucket, and each bucket adds the row count of all
-  earlier buckets (a table with one row per bucket, broadcast).
-* ``ntile_global`` — NTILE(n) from the global row number and the row count.
-* ``rank_within_groups`` — ``row_number``/``count`` per group where one group
-  may hold a large share of all rows: such hot groups are found from a
-  bounded sample and split into ranges of a unique ordering column; each
-  range adds the count of the earlier ranges of its group.
-
-Only a bounded sample, at most ``max_buckets`` split keys and one count per
-bucket ever reach the driver.
+A plain ``row_number() over (order by ...)`` sends every row to one task, and a
+window over a group that holds a third of all rows does the same.  Here:
+
+* ``row_number_global`` range-sorts the rows into the session's shuffle
+  partitions, writes them once with their partition and position (which fixes
+  both), and adds to each partition the rows before it: a prefix sum over one row
+  per partition.
+* ``ntile_global`` is NTILE(n) from the global row number and the row count.
+* ``rank_within_groups`` cuts every group into ranges of a unique ordering
+  column; a range is numbered by its own window and adds the rows of the earlier
+  ranges of its group, joined by shuffle.
+
+Every input, of any size, takes the same path.  Nothing but a row count reaches
+the driver.
 """
 
 from __future__ import annotations
 
-import base64
-import math
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-@dataclass
-class RankTuning:
-    # A bucket is numbered by one task; keep it well inside executor memory.
-    rows_per_bucket: int = 2_000_000
-    # Inputs at least this large are always split into several buckets.
-    min_rows_to_split: int = 50_000
-    # Buckets used once an input is split (at least); grows with the input.
-    min_buckets: int = 8
-    max_buckets: int = 2048
-    samples_per_bucket: int = 64
-    # Hot-group handling for rank_within_groups.
-    group_chunk_rows: int = 4_000_000
-    hot_sample_rows: int = 1_000_000
-    seed: int = 20_11
-
-
-TUNING = RankTuning()
-
-
-def _key_names(n: int) -> list[str]:
-    return [f"k{i}" for i in range(n)]
-
-
-def _sql_literal(value, dtype: T.DataType) -> str:
-    """Exact SQL literal of a collected value (strings via base64 of UTF-8)."""
-    t = dtype.simpleString()
-    if value is None:
-        return f"CAST(NULL AS {t})"
-    if isinstance(dtype, T.StringType):
-        return f"CAST(unbase64('{base64.b64encode(value.encode()).decode()}') AS STRING)"
-    if isinstance(dtype, T.BooleanType):
-        return "TRUE" if value else "FALSE"
-    if isinstance(dtype, T.TimestampNTZType):
-        return f"CAST('{value.isoformat(sep=' ')}' AS TIMESTAMP_NTZ)"
-    if isinstance(dtype, T.TimestampType):
-        raise NotImplementedError("order keys with a time zone are not supported; use timestamp_ntz")
-    if isinstance(dtype, T.DateType):
-        return f"DATE'{value.isoformat()}'"
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return f"CAST('{value!r}' AS {t})"
-    if isinstance(dtype, (T.DecimalType, T.IntegralType)):
-        return f"CAST('{value}' AS {t})"
-    raise NotImplementedError(f"unsupported order key type {t}")
-
-
-def _bucket_sql(key: str, splits: list[str]) -> str:
-    """Number of split keys <= key, by binary search (depth log2(#splits))."""
-
-    def build(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi + 1) // 2
-        return f"CASE WHEN {key} >= {splits[mid - 1]} THEN {build(mid, hi)} ELSE {build(lo, mid - 1)} END"
-
-    return build(0, len(splits))
-
 
-def bucket_count(n_rows: int, tuning: RankTuning = TUNING) -> int:
-    if n_rows < tuning.min_rows_to_split:
-        return 1
-    wanted = max(tuning.min_buckets, math.ceil(n_rows / tuning.rows_per_bucket))
-    return min(tuning.max_buckets, wanted)
+#: Rows of one group that one task numbers at most (a range of the order column).
+GROUP_RANGE_ROWS = 4_000_000
 
 
-def _struct_sql(items: list[tuple[str, str]]) -> str:
-    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in items) + ")"
+def row_number_global(df: DataFrame, order_cols: list[str], out: str, *, work: str | None = None) -> tuple[DataFrame, int]:
+    """``row_number() over (order by order_cols asc)`` as a long, 1-based, and the
+    row count.  The order columns should be (nearly) unique: rows that tie are
+    numbered in an unspecified order and sorted by one task.
 
-
-def split_buckets(df: DataFrame, order_cols: list[str], n_rows: int, tuning: RankTuning = TUNING) -> Column:
-    """Deterministic bucket number (0..b-1), monotone in the ascending order of ``order_cols``."""
-    n_buckets = bucket_count(n_rows, tuning)
-    if n_buckets <= 1:
-        return F.lit(0)
-    names = _key_names(len(order_cols))
-    fraction = min(1.0, tuning.samples_per_bucket * n_buckets / max(n_rows, 1))
-    sample = (
-        df.select(*[F.col(c).alias(k) for c, k in zip(order_cols, names)])
-        .sample(withReplacement=False, fraction=fraction, seed=tuning.seed)
-        .orderBy(*[F.col(k).asc() for k in names])
-        .collect()
-    )
-    picks = []
-    for j in range(1, n_buckets):
-        if not sample:
-            break
-        row = tuple(sample[min(len(sample) - 1, (j * len(sample)) // n_buckets)])
-        if not picks or picks[-1] != row:
-            picks.append(row)
-    if not picks:
-        return F.lit(0)
-    types = [df.schema[c].dataType for c in order_cols]
-    key = _struct_sql([(k, f"`{c}`") for k, c in zip(names, order_cols)])
-    splits = [_struct_sql([(k, _sql_literal(v, t)) for k, v, t in zip(names, row, types)]) for row in picks]
-    return F.expr(_bucket_sql(key, splits))
-
-
-def row_number_global(
-    df: DataFrame,
-    order_cols: list[str],
-    out: str,
-    *,
-    n_rows: int | None = None,
-    tuning: RankTuning = TUNING,
-) -> tuple[DataFrame, int]:
-    """``row_number() over (order by order_cols asc)`` as a long, 1-based.
-
-    Returns the numbered frame and the row count.  Ties get distinct
-    numbers in an unspecified order, as with the plain window.
+    ``df`` is evaluated twice (once for the range bounds); hand in a frame that
+    has been written if that is dear.  ``work`` is the folder of the written rows.
     """
-    n = df.count() if n_rows is None else n_rows
-    if n > tuning.max_buckets * tuning.rows_per_bucket:
-        return _row_number_by_range(df, order_cols, out, n, tuning), n
-    bucket = split_buckets(df, order_cols, n, tuning)
-    tagged = df.withColumn("_bucket", bucket.cast("int"))
-    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(*[F.col(c).asc() for c in order_cols]))
-    if bucket_count(n, tuning) <= 1:
-        return tagged.withColumn(out, local.cast("long")).drop("_bucket"), n
-    counts = [tuple(r) for r in tagged.groupBy("_bucket").count().collect()]
-    offset_df = _offsets(df.sparkSession, counts, "_bucket").withColumn("_bucket", F.col("_bucket").cast("int"))
-    numbered = (
-        tagged.join(F.broadcast(offset_df), "_bucket")
-        .withColumn(out, F.col("_offset") + local)
-        .drop("_bucket", "_offset")
-    )
-    return numbered, n
-
-
-def _offsets(spark, counts: list[tuple[int, int]], key: str) -> DataFrame:
-    """Running row offsets of the (few) ordered groups, as a small frame."""
-    offsets, running = [], 0
-    for k, c in sorted(counts):
-        offsets.append((int(k), running))
-        running += int(c)
-    return spark.createDataFrame(offsets, f"{key} long, _offset long")
-
-
-def _row_number_by_range(
-    df: DataFrame, order_cols: list[str], out: str, n_rows: int, tuning: RankTuning
-) -> DataFrame:
-    """Row numbers for inputs beyond ``max_buckets`` buckets: Spark's range
-    partitioner (its own sample, any number of partitions) sorts the rows;
-    each row is tagged with its partition and position and written to the
-    shared folder, which fixes the tags; one count per partition then gives
-    the offsets."""
     from tillroll.plans.session import materialize, run_root
 
-    parts = math.ceil(n_rows / tuning.rows_per_bucket)
-    tagged = (
-        df.repartitionByRange(parts, *[F.col(c).asc() for c in order_cols])
+    placed = (
+        df.repartitionByRange(*[F.col(c).asc() for c in order_cols])
         .sortWithinPartitions(*order_cols)
-        .withColumn("_part", F.spark_partition_id().cast("long"))
+        .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
     )
-    fixed = materialize(tagged, run_root(df.sparkSession, "ranked"))
-    counts = [tuple(r) for r in fixed.groupBy("_part").count().collect()]
-    offsets = _offsets(df.sparkSession, counts, "_part")
+    fixed = materialize(placed, work or run_root(df.sparkSession, "ranked"))
+    sizes = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    # One row per shuffle partition: that is the bound of this broadcast.
+    offsets = F.broadcast(sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before")))
     # monotonically_increasing_id = (partition << 33) + position in the partition
-    local = F.col("_pos") - F.shiftleft(F.col("_part"), 33) + 1
-    return (
-        fixed.join(F.broadcast(offsets), "_part")
-        .withColumn(out, F.col("_offset") + local)
-        .drop("_part", "_pos", "_offset")
-    )
+    local = F.col("_pos").bitwiseAND((1 << 33) - 1) + 1
+    numbered = fixed.join(offsets, "_part").withColumn(out, F.col("_before") + local).drop("_part", "_pos", "_before")
+    return numbered, fixed.count()
 
 
 def ntile_from_row_number(rn: Column, n_rows: int, tiles: int) -> Column:
@@ -206,96 +64,46 @@ def ntile_from_row_number(rn: Column, n_rows: int, tiles: int) -> Column:
     return F.when(rn <= big, first).otherwise(rest).cast("int")
 
 
-def ntile_global(
-    df: DataFrame, order_cols: list[str], tiles: int, out: str, *, tuning: RankTuning = TUNING
-) -> DataFrame:
-    numbered, n = row_number_global(df, order_cols, "_ntile_rn", tuning=tuning)
+def ntile_global(df: DataFrame, order_cols: list[str], tiles: int, out: str) -> DataFrame:
+    numbered, n = row_number_global(df, order_cols, "_ntile_rn")
     return numbered.withColumn(out, ntile_from_row_number(F.col("_ntile_rn"), n, tiles)).drop("_ntile_rn")
 
 
-def _null_safe_on(left: str, right: str, cols: list[str]) -> Column:
-    """Null-safe equality of ``cols`` between two aliased frames."""
-    cond = None
-    for c in cols:
-        e = F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-        cond = e if cond is None else cond & e
-    return cond
+def _group_hash(group_cols: list[str], seed: int) -> Column:
+    """64 bits of the group's values; NULL differs from every value."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in group_cols]
+    return F.xxhash64(F.lit(seed), *parts)
 
 
 def rank_within_groups(
-    df: DataFrame,
-    group_cols: list[str],
-    order_col: str,
-    rank_out: str,
-    size_out: str,
-    *,
-    tuning: RankTuning = TUNING,
+    df: DataFrame, group_cols: list[str], order_col: str, rank_out: str, size_out: str, *, range_rows: int = GROUP_RANGE_ROWS
 ) -> DataFrame:
     """``row_number() over (partition by group_cols order by order_col)`` and
     ``count(*) over (partition by group_cols)``; NULLs group together.
 
-    ``order_col`` must be a unique, non-null integral column.  Groups whose
-    sampled size reaches half a chunk are split into ``order_col`` ranges of
-    ``group_chunk_rows``; every other group stays whole in one window
-    partition.
+    ``order_col`` must be a unique, non-null integral column.  Rows are shuffled
+    once, by 128 bits of the group and the range of ``order_col``, so a task gets
+    at most ``range_rows`` rows of a group.  The rows of the other ranges come from
+    a narrow count per (group, range), kept for groups of several ranges only and
+    joined on the same keys; the window then needs no further shuffle.
     """
-    n = df.count()
-    hot = []
-    if n >= tuning.group_chunk_rows // 2:  # otherwise no group can reach half a chunk
-        fraction = min(1.0, tuning.hot_sample_rows / max(n, 1))
-        # at least a few sampled rows, so that sampling noise marks few groups hot
-        threshold = max(4, math.ceil(fraction * tuning.group_chunk_rows / 2))
-        hot = (
-            df.select(*group_cols)
-            .sample(withReplacement=False, fraction=fraction, seed=tuning.seed)
-            .groupBy(*group_cols)
-            .count()
-            .filter(F.col("count") >= threshold)
-            .drop("count")
-            .collect()
-        )
-    window = Window.partitionBy(*group_cols, "_chunk")
-    if not hot:
-        w = Window.partitionBy(*group_cols)
-        return df.withColumn(rank_out, F.row_number().over(w.orderBy(order_col)).cast("long")).withColumn(
-            size_out, F.count(F.lit(1)).over(w)
-        )
-    spark = df.sparkSession
-    hot_schema = T.StructType([df.schema[c] for c in group_cols])
-    hot_df = spark.createDataFrame([tuple(r) for r in hot], hot_schema).withColumn("_hot", F.lit(True))
-    chunk = F.call_function("div", F.col(order_col), F.lit(tuning.group_chunk_rows))
-    tagged = (
-        df.alias("d")
-        .join(F.broadcast(hot_df).alias("h"), _null_safe_on("d", "h", group_cols), "left")
-        .select("d.*", F.coalesce(F.col("h._hot"), F.lit(False)).alias("_hot"))
-        .withColumn("_chunk", F.when(F.col("_hot"), chunk).otherwise(F.lit(0)).cast("long"))
-    )
-    carry = (
-        tagged.filter("_hot")
-        .groupBy(*group_cols, "_chunk")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_carry",
-            F.coalesce(
-                F.sum("_n").over(
-                    Window.partitionBy(*group_cols).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*group_cols)))
-        .drop("_n")
-    )
-    local = tagged.withColumn("_lrank", F.row_number().over(window.orderBy(order_col))).withColumn(
-        "_lsize", F.count(F.lit(1)).over(window)
-    )
-    joined = local.alias("l").join(
-        F.broadcast(carry).alias("c"),
-        _null_safe_on("l", "c", group_cols) & (F.col("l._chunk") == F.col("c._chunk")),
-        "left",
+    keys = ["_h1", "_h2", "_range"]
+    tagged = df.withColumns(
+        {
+            "_h1": _group_hash(group_cols, 1),
+            "_h2": _group_hash(group_cols, 2),
+            "_range": F.call_function("div", F.col(order_col), F.lit(range_rows)).cast("long"),
+        }
     )
-    return joined.select(
-        "l.*",
-        (F.col("l._lrank") + F.coalesce(F.col("c._carry"), F.lit(0))).cast("long").alias(rank_out),
-        F.coalesce(F.col("c._total"), F.col("l._lsize")).cast("long").alias(size_out),
-    ).drop("_hot", "_chunk", "_lrank", "_lsize")
+    counts = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # At most one row per range of a group, so this window is small.
+    group = Window.partitionBy("_h1", "_h2")
+    before = F.sum("_n").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    carry = counts.select(
+        *keys, "_n", F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_n").over(group).alias("_total")
+    ).filter("_total > _n")
+    joined = tagged.join(carry.drop("_n").hint("merge"), keys, "left")
+    window = Window.partitionBy(*keys, *group_cols)
+    rank = F.row_number().over(window.orderBy(order_col)) + F.coalesce("_before", F.lit(0))
+    size = F.coalesce(F.col("_total"), F.count(F.lit(1)).over(window))
+    return joined.withColumns({rank_out: rank.cast("long"), size_out: size.cast("long")}).drop(*keys, "_before", "_total")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas as S
 from tillroll.functions.money import amount
 from tillroll.functions.text import blank_to_null, is_cancel_invoice, matches
-from tillroll.operators.ranking import TUNING, RankTuning, rank_within_groups
+from tillroll.operators.ranking import rank_within_groups
 
 STAGING_COLUMNS = (
     "raw_row_id",
@@ -42,10 +42,12 @@ STAGING_COLUMNS = (
 # Text column -> (target type, format pattern that must hold first or None).
 TYPED = {
     "quantity": ("int", S.INTEGER_PATTERN),
-    "invoice_date": ("timestamp_ntz", None),
+    "invoice_date": ("timestamp_ntz", S.TYPED_TIMESTAMP_PATTERN),
     "unit_price": (S.PRICE.simpleString(), None),
     "customer_id": ("int", S.INTEGER_PATTERN),
 }
+# Normalised texts without which a line cannot be a fact.
+FACT_TEXTS = ("invoice_no", "invoice_date_text", "quantity_text", "unit_price_text")
 
 
 def normalized(raw: DataFrame, *carry: str) -> DataFrame:
@@ -81,14 +83,18 @@ def _strict(name: str, text: Column, target: str, pattern: str | None) -> Column
     )
 
 
-def malformed() -> Column:
-    """True when any non-blank text value does not parse (for the quarantine mode)."""
-    bad = None
+def malformed() -> list[Column]:
+    """One reason per non-blank text value that does not parse."""
+    reasons = []
     for name, (target, pattern) in TYPED.items():
         text = F.col(f"{name}_text")
-        e = text.isNotNull() & _parsed(text, target, pattern).isNull()
-        bad = e if bad is None else bad | e
-    return bad
+        reasons.append(F.when(text.isNotNull() & _parsed(text, target, pattern).isNull(), F.lit(f"malformed {name}")))
+    return reasons
+
+
+def missing() -> list[Column]:
+    """One reason per blank value that the fact must have."""
+    return [F.when(F.col(c).isNull(), F.lit(f"missing {c.removesuffix('_text')}")) for c in FACT_TEXTS]
 
 
 def typed(df: DataFrame, *, strict: bool = True) -> DataFrame:
@@ -109,14 +115,9 @@ def classified(df: DataFrame) -> DataFrame:
     cancelled = is_cancel_invoice("invoice_no")
     qty, price = F.col("quantity"), F.col("unit_price")
     false = F.lit(False)
-    record_type = (
-        F.when(cancelled, F.lit("CANCELLATION"))
-        .when(price < 0, F.lit("ACCOUNTING_ADJUSTMENT"))
-        .when(qty < 0, F.lit("STOCK_ADJUSTMENT"))
-        .when(price == 0, F.lit("ZERO_PRICE"))
-        .when((qty > 0) & (price > 0), F.lit("SALE"))
-        .otherwise(F.lit("OTHER"))
-    )
+    record_type = F.lit(S.OTHER_RECORD_TYPE)
+    for label, condition in reversed(S.RECORD_TYPE_RULES):
+        record_type = F.when(F.expr(condition), F.lit(label)).otherwise(record_type)
     return df.withColumns(
         {
             "line_amount": amount(qty, price),
@@ -132,11 +133,9 @@ def classified(df: DataFrame) -> DataFrame:
     )
 
 
-def with_duplicates(raw: DataFrame, *, tuning: RankTuning = TUNING) -> DataFrame:
+def with_duplicates(raw: DataFrame) -> DataFrame:
     """C7-C9 on the raw, untrimmed, case-preserved values (NULLs group together)."""
-    ranked = rank_within_groups(
-        raw, list(S.RAW_COLUMNS), "raw_row_id", "duplicate_rank", "duplicate_group_size", tuning=tuning
-    )
+    ranked = rank_within_groups(raw, list(S.RAW_COLUMNS), "raw_row_id", "duplicate_rank", "duplicate_group_size")
     return ranked.withColumns(
         {
             "is_exact_duplicate": F.col("duplicate_group_size") > 1,
@@ -145,15 +144,16 @@ def with_duplicates(raw: DataFrame, *, tuning: RankTuning = TUNING) -> DataFrame
     )
 
 
-def staging(raw: DataFrame, *, strict: bool = True, tuning: RankTuning = TUNING) -> DataFrame:
+def staging(raw: DataFrame, *, strict: bool = True) -> DataFrame:
     """The staging table, every raw row kept."""
     dup_cols = ["duplicate_rank", "duplicate_group_size", "is_exact_duplicate", "is_first_occurrence"]
-    staged = classified(typed(normalized(with_duplicates(raw, tuning=tuning), *dup_cols), strict=strict))
+    staged = classified(typed(normalized(with_duplicates(raw), *dup_cols), strict=strict))
     return staged.select(*STAGING_COLUMNS[:-1], F.current_timestamp().alias("staged_at"))
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
-    """Raw rows with at least one malformed value (tolerant-load side table)."""
-    return normalized(raw, *[F.col(c).alias(f"raw_{c}") for c in S.RAW_COLUMNS]).filter(malformed()).select(
-        "raw_row_id", *[F.col(f"raw_{c}").alias(c) for c in S.RAW_COLUMNS]
-    )
+    """Raw rows that the tolerant load leaves out of the fact, with the reasons:
+    malformed values and missing ones (tolerant-load side table)."""
+    rows = normalized(raw, *[F.col(c).alias(f"raw_{c}") for c in S.RAW_COLUMNS])
+    reasons = F.array_compact(F.array(*malformed(), *missing())).alias("reasons")
+    return rows.select("raw_row_id", *[F.col(f"raw_{c}").alias(c) for c in S.RAW_COLUMNS], reasons).filter(F.size("reasons") > 0)

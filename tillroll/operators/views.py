@@ -16,10 +16,15 @@ from tillroll import schemas as S
 from tillroll.functions import calendar
 from tillroll.functions.money import exact_mean, money, percent
 
-# Dimensions at most this many rows are broadcast; larger ones are shuffle-joined
-# with the unknown member (key 0, often a large share of the rows) salted.
-BROADCAST_MAX_ROWS = 2_000_000
-UNKNOWN_KEY_SALTS = 64
+# Attributes of the unknown members.
+UNKNOWN_ATTRIBUTES = {
+    "customer_id": None,
+    "stock_code": S.UNKNOWN_NAME,
+    "product_description": S.UNKNOWN_PRODUCT_DESCRIPTION,
+    "product_category": S.UNKNOWN_CATEGORY,
+    "is_merchandise": False,
+    "country_name": S.UNKNOWN_NAME,
+}
 ORDER_REVENUE = "decimal(24,4)"
 
 
@@ -103,23 +108,22 @@ def cancel_rate() -> Column:
 
 # -- dimension attachment -----------------------------------------------------
 
-def attach(
-    df: DataFrame, dim: DataFrame, key: str, cols: list[str], *, dim_rows: int, salt_from: str | None = None
-) -> DataFrame:
-    """INNER JOIN on a surrogate key; broadcast when the dimension's row count
-    is within the limit, else a shuffle join with key 0 salted."""
-    right = dim.select(key, *cols)
-    if dim_rows <= BROADCAST_MAX_ROWS:
-        return df.join(F.broadcast(right), key)
-    salt_src = F.col(salt_from) if salt_from else F.xxhash64(*[F.col(c) for c in df.columns])
-    left = df.withColumn(
-        "_salt", F.when(F.col(key) == S.UNKNOWN_KEY, F.pmod(salt_src, F.lit(UNKNOWN_KEY_SALTS))).otherwise(F.lit(0))
+def attach(df: DataFrame, dim: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """INNER JOIN on a surrogate key.  Spark broadcasts the dimension if its files
+    are small.  Key 0, often a large share of the rows, is not joined: its rows
+    carry a hash of themselves beside the key, match nothing, and get the unknown
+    member's attributes as literals."""
+    known = dim.filter(F.col(key) != S.UNKNOWN_KEY).select(
+        F.col(key).alias("_k"), F.lit(0).cast("long").alias("_own"), *[F.col(c).alias(f"_a_{c}") for c in cols]
     )
-    salts = F.when(
-        F.col(key) == S.UNKNOWN_KEY, F.sequence(F.lit(0), F.lit(UNKNOWN_KEY_SALTS - 1))
-    ).otherwise(F.array(F.lit(0)))
-    right = right.withColumn("_salt", F.explode(salts))
-    return left.join(right, [key, "_salt"]).drop("_salt")
+    here = F.col(key) == S.UNKNOWN_KEY
+    left = df.withColumn("_row", F.when(here, F.xxhash64(*df.columns).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long")))
+    joined = left.join(known, (left[key] == known["_k"]) & (left["_row"] == known["_own"]), "left")
+    joined = joined.filter(F.col("_k").isNotNull() | here)
+    attributes = {
+        c: F.when(here, F.lit(UNKNOWN_ATTRIBUTES[c]).cast(dim.schema[c].dataType)).otherwise(F.col(f"_a_{c}")) for c in cols
+    }
+    return joined.withColumns(attributes).drop("_row", "_k", "_own", *[f"_a_{c}" for c in cols])
 
 
 def with_calendar(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -147,13 +151,12 @@ CALENDAR_VIEW_COLUMNS = [
 def sales_enriched(wh) -> DataFrame:
     """fact with customer, product, country and calendar attributes."""
     df = with_calendar(wh.fact, CALENDAR_VIEW_COLUMNS)
-    df = attach(df, wh.dim_customer, "customer_key", ["customer_id"], dim_rows=wh.dim_rows("customer"), salt_from="raw_row_id")
+    df = attach(df, wh.dim_customer, "customer_key", ["customer_id"])
     df = attach(
         df, wh.dim_product, "product_key",
         ["stock_code", "product_description", "product_category", "is_merchandise"],
-        dim_rows=wh.dim_rows("product"), salt_from="raw_row_id",
     )
-    df = attach(df, wh.dim_country, "country_key", ["country_name"], dim_rows=wh.dim_rows("country"), salt_from="raw_row_id")
+    df = attach(df, wh.dim_country, "country_key", ["country_name"])
     return df.select(*ENRICHED_COLUMNS)
 
 
@@ -171,8 +174,8 @@ def order_summary(wh) -> DataFrame:
             F.round(F.sum("line_amount"), 4).cast(ORDER_REVENUE).alias("order_revenue"),
         )
     )
-    agg = attach(agg, wh.dim_customer, "customer_key", ["customer_id"], dim_rows=wh.dim_rows("customer"))
-    agg = attach(agg, wh.dim_country, "country_key", ["country_name"], dim_rows=wh.dim_rows("country"))
+    agg = attach(agg, wh.dim_customer, "customer_key", ["customer_id"])
+    agg = attach(agg, wh.dim_country, "country_key", ["country_name"])
     return agg.select(
         "invoice_no", "customer_key", "customer_id", "country_key", "country_name", "date_key",
         "order_timestamp", "line_count", "distinct_product_count", "order_quantity", "order_revenue",
@@ -239,24 +242,72 @@ def kpi_overview(wh) -> DataFrame:
 
 
 def monthly_kpis(wh) -> DataFrame:
-    """KPIs per calendar month."""
-    df = with_calendar(wh.fact, ["year_month", "calendar_year", "month_number", "month_name", "full_date"])
-    month = ["year_month", "calendar_year", "month_number", "month_name"]
-    per_invoice, measures = invoice_measures(
-        df, month, cancelled_qty=True, extra=[F.min("full_date").alias("_first_day")]
-    )
-    agg = per_invoice.groupBy(*month).agg(F.min("_first_day").alias("month_start"), *measures)
+    """KPIs per calendar month, in month order."""
+    df = with_calendar(wh.fact, ["year_month", "full_date"])
+    per_invoice, measures = invoice_measures(df, ["year_month"], cancelled_qty=True, extra=[F.min("full_date").alias("_first_day")])
+    agg = per_invoice.groupBy("year_month").agg(F.min("_first_day").alias("month_start"), *measures)
+    month = calendar.attributes(F.col("month_start"))
     return agg.select(
-        "year_month", "calendar_year", "month_number", "month_name", "month_start",
+        "year_month", *[month[c].alias(c) for c in ("calendar_year", "month_number", "month_name")], "month_start",
         "positive_order_count", F.col("_x_orders").alias("cancelled_invoice_count"),
         "sold_quantity", "cancelled_quantity", gross(), cancellation(), net(), aov(), cancel_rate(),
+    ).orderBy(F.col("month_start").asc_nulls_last())
+
+
+# -- sums without invoice counts: combined before the shuffle ------------------
+
+def _sums(fact: DataFrame, group: list[str], *extra: Column) -> DataFrame:
+    """Quantities and amounts per group; each task sends one row per group."""
+    zero, q, a = F.lit(0), "quantity", "line_amount"
+    return fact.groupBy(*group).agg(
+        F.coalesce(_sum_if(P(), q), zero).cast("long").alias("sold_quantity"),
+        F.abs(F.coalesce(_sum_if(X(), q), zero)).cast("long").alias("cancelled_quantity"),
+        F.coalesce(_sum_if(N(), q), zero).cast("long").alias("net_quantity"),
+        F.coalesce(_sum_if(P(), a), zero).alias("_gross"),
+        F.coalesce(_sum_if(X(), a), zero).alias("_cancel"),
+        F.coalesce(_sum_if(N(), a), zero).alias("_net"),
+        *extra,
+    )
+
+
+def monthly_sums(wh) -> DataFrame:
+    """Revenue per calendar month."""
+    df = with_calendar(wh.fact, ["year_month", "full_date"])
+    return _sums(df, ["year_month"], F.min("full_date").alias("month_start")).select(
+        "year_month", "month_start", gross(), cancellation(), net()
     )
 
 
+def product_sums(wh) -> DataFrame:
+    """Quantities and revenue per known product, with its attributes."""
+    agg = _sums(wh.fact.filter(F.col("product_key") != S.UNKNOWN_KEY), ["product_key"])
+    agg = attach(agg, wh.dim_product, "product_key", ["stock_code", "product_description", "is_merchandise"])
+    return agg.select(
+        "product_key", "stock_code", "product_description", "is_merchandise", "sold_quantity", "cancelled_quantity", "net_quantity",
+        gross(), cancellation(), net(), percent("cancelled_quantity", "sold_quantity").alias("cancelled_units_pct_of_sold"),
+    )
+
+
+def product_invoices(wh, products: DataFrame) -> DataFrame:
+    """Invoice counts of the few given products (``product_key``), by a
+    semi-join of the fact, so only their lines are shuffled."""
+    mine = wh.fact.join(products.select("product_key"), "product_key", "left_semi")
+    per_invoice = mine.groupBy("product_key", "invoice_no").agg(F.max(P().cast("int")).alias("_p"), F.max(X().cast("int")).alias("_x"))
+    return per_invoice.groupBy("product_key").agg(
+        F.count_if(F.col("_p") == 1).alias("positive_order_count"), F.count_if(F.col("_x") == 1).alias("cancellation_invoice_count")
+    )
+
+
+def country_sums(wh) -> DataFrame:
+    """Gross revenue per country."""
+    agg = _sums(wh.fact, ["country_key"])
+    return attach(agg, wh.dim_country, "country_key", ["country_name"]).select("country_key", "country_name", gross())
+
+
 def country_kpis(wh) -> DataFrame:
     """KPIs per country (unknown country kept)."""
     agg = _order_groups(wh.fact).groupBy("country_key").agg(*_from_order_groups(cancels=False, countries=False))
-    agg = attach(agg, wh.dim_country, "country_key", ["country_name"], dim_rows=wh.dim_rows("country"))
+    agg = attach(agg, wh.dim_country, "country_key", ["country_name"])
     return agg.select(
         "country_key", "country_name", "positive_order_count", "identified_customer_count",
         "sold_quantity", gross(), cancellation(), net(), aov(),
@@ -276,7 +327,6 @@ def product_kpis(wh) -> DataFrame:
     agg = attach(
         agg, wh.dim_product, "product_key",
         ["stock_code", "product_description", "product_category", "is_merchandise"],
-        dim_rows=wh.dim_rows("product"),
     )
     return agg.select(
         "product_key", "stock_code", "product_description", "product_category", "is_merchandise",

@@ -7,15 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the warehouse relies on; applied only where the session leaves them unset.
-RECOMMENDED_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
-}
-
-
 def local_session(
     cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tillroll", event_log_dir: str | None = None
 ) -> SparkSession:
@@ -43,45 +34,45 @@ def local_session(
     return spark
 
 
+def _configured_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Set only where the session has none (local tests): then a fresh temporary
-    folder is used.
+    Where the session names none, a temporary folder is made for a local master
+    (tests); on a cluster executors could not see it, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        d = _configured_dir(spark)
         if not d:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d.rstrip("/")
 
 
-def shared_base(spark: SparkSession) -> str:
-    """The configured checkpoint folder itself (the same for every
-    application), falling back to the session's checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return (base or shared_dir(spark)).rstrip("/")
-
-
 def run_root(spark: SparkSession, label: str) -> str:
     """A folder for one warehouse build, unique per application and build."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/tillroll/{app}/{label}-{uuid.uuid4().hex[:8]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this package in any file system that Spark reads."""
+    if "/tillroll/" not in path:
+        raise ValueError(f"not a folder of this package: {path}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` and read it back (cuts lineage;
     later passes read only the columns they need)."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def apply_recommended(spark: SparkSession) -> None:
-    for k, v in RECOMMENDED_CONF.items():
-        if spark.conf.get(k, None) is None:
-            spark.conf.set(k, v)
-

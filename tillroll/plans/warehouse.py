@@ -3,36 +3,42 @@
 raw (text) -> staging (typed, classified, duplicates marked) -> dimensions
 -> fact.  Each layer is written as Parquet under the shared folder named by
 ``spark.checkpoint.dir`` and read back, which cuts lineage (a lost executor
-recomputes at most one layer) and lets later stages read only the columns
-they need.  A build is reused by every query of the session on the same
-input folder.
+recomputes at most one layer) and lets later stages read only the columns they
+need.
+
+A load never writes into a folder that is being read: it goes to a new folder,
+becomes the current build of its input when all layers are written, and the build
+it replaces is deleted.  Within a session the current build is used again as long
+as the input files -- path, size and time, as Spark lists them on any file system
+-- are the same.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
-import os
 import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll import schemas as S
 from tillroll.operators import dimensions, facts, staging
-from tillroll.operators.ranking import TUNING, RankTuning
-from tillroll.plans.session import apply_recommended, materialize, run_root, shared_base
+from tillroll.plans.session import materialize, remove_path, run_root
 from tillroll.sources import fixture
 
+# The month a fact file belongs to (YYYYMM, 0 without a date); not a fact column.
+FACT_PARTITION = "sales_month"
+
 
 @dataclass
 class Warehouse:
     spark: SparkSession
     root: str
+    source: str | None = None
     rows: dict[str, int] = field(default_factory=dict)
     timings: dict[str, float] = field(default_factory=dict)
 
@@ -50,9 +56,22 @@ class Warehouse:
     def staging(self) -> DataFrame:
         return self.table("staging/transactions")
 
+    @property
+    def fact_files(self) -> DataFrame:
+        """The fact with its month folders; the schema is given, as a fact without
+        rows has no file."""
+        comments = S.COLUMN_COMMENTS["warehouse/fact_sales"]
+        fields = T.StructType.fromDDL(f"{facts.FACT_DDL}, {FACT_PARTITION} int").fields
+        schema = T.StructType([T.StructField(f.name, f.dataType, True, {"comment": comments[f.name]} if f.name in comments else {}) for f in fields])
+        return self.spark.read.schema(schema).parquet(self.path("warehouse/fact_sales"))
+
     @property
     def fact(self) -> DataFrame:
-        return self.table("warehouse/fact_sales")
+        return self.fact_files.drop(FACT_PARTITION)
+
+    def fact_months(self, first: int, last: int) -> DataFrame:
+        """The fact of the months first to last (YYYYMM); other months' files are not read."""
+        return self.fact_files.filter(F.col(FACT_PARTITION).between(first, last)).drop(FACT_PARTITION)
 
     @property
     def dim_customer(self) -> DataFrame:
@@ -104,13 +123,38 @@ class Warehouse:
             df.createOrReplaceTempView(name)
         return list(tables)
 
+    def catalog(self) -> DataFrame:
+        """A5: the registered names by layer, with the rows of each."""
+        parts = [
+            self.spark.table(name).agg(
+                F.lit(name.split("_")[0]).alias("layer"), F.lit(name.split("_", 1)[1]).alias("name"), F.count(F.lit(1)).alias("row_count")
+            )
+            for name in self.register_views()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    def descriptions(self) -> DataFrame:
+        """A10: what the stored columns mean, read back from the written layers,
+        with the values that each described column holds; tables are described
+        with their row counts."""
+        parts = []
+        for table, text in S.TABLE_COMMENTS.items():
+            df = self.fact if table == "warehouse/fact_sales" else self.table(table)
+            notes = {f.name: f.metadata["comment"] for f in df.schema.fields if "comment" in f.metadata}
+            counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in notes])
+            told = [("", text, "_rows"), *[(c, t, c) for c, t in notes.items()]]
+            rows = [
+                F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("description"), F.col(n).alias("value_count")) for c, t, n in told
+            ]
+            parts.append(counts.select(F.lit(table).alias("object_name"), F.inline(F.array(*rows))))
+        return reduce(DataFrame.unionByName, parts)
+
 
 def described(df: DataFrame, table: str) -> DataFrame:
     """A10: attach the column descriptions of ``table`` as field metadata."""
     comments = S.COLUMN_COMMENTS.get(table, {})
-    return df.select(
-        *[F.col(c).alias(c, metadata={"comment": comments[c]}) if c in comments else F.col(c) for c in df.columns]
-    )
+    # Columns without one lose what they were described as in an earlier layer.
+    return df.select(*[F.col(c).alias(c, metadata={"comment": comments[c]} if c in comments else {}) for c in df.columns])
 
 
 def _timed(wh: Warehouse, name: str, fn):
@@ -123,38 +167,28 @@ def _timed(wh: Warehouse, name: str, fn):
 def load_raw(wh: Warehouse, raw_text: DataFrame) -> None:
     """A3/A4: number the raw rows and write the raw layer."""
     unnumbered = materialize(raw_text, wh.path("_work/raw_unnumbered"))
-    raw = fixture.number_rows(unnumbered)
+    raw = fixture.number_rows(unnumbered, work=wh.path("_work/raw_ranked"))
     described(raw, "raw/online_retail").write.mode("overwrite").parquet(wh.path("raw/online_retail"))
 
 
-def load_staging(wh: Warehouse, *, strict: bool = True, tuning: RankTuning = TUNING) -> None:
+def load_staging(wh: Warehouse, *, strict: bool = True) -> None:
     # Written as produced (hash-partitioned by the duplicate window): a range
     # shuffle just to order the files by raw_row_id would cost a full extra
     # pass of the largest table.
-    stg = staging.staging(wh.raw, strict=strict, tuning=tuning)
+    stg = staging.staging(wh.raw, strict=strict)
     described(stg, "staging/transactions").write.mode("overwrite").parquet(wh.path("staging/transactions"))
     if not strict:
-        # tolerant load: every row stays in staging (malformed values NULL); the
-        # raw rows with malformed values are listed in a side table
+        # tolerant load: every row stays in staging (malformed values NULL); the raw
+        # rows that cannot be facts are listed with their reasons in a side table
         staging.quarantine(wh.raw).write.mode("overwrite").parquet(wh.path("staging/quarantine"))
 
 
-# Staging sizes above which the (aggregated) pre-key frames of the dimensions are
-# written before numbering, so the ranking passes do not re-aggregate staging.
-MATERIALIZE_DIMENSION_INPUT_ROWS = 100_000
-
-
-def load_dimensions(wh: Warehouse, *, tuning: RankTuning = TUNING) -> None:
-    stg = wh.staging
-    large = stg.count() > MATERIALIZE_DIMENSION_INPUT_ROWS
-
-    def prepare(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, wh.path(f"_work/{name}")) if large else df
-
+def load_dimensions(wh: Warehouse) -> None:
+    stg, work = wh.staging, wh.path("_work")
     builders = {
-        "dim_customer": lambda: dimensions.dim_customer(stg, tuning=tuning, prepare=prepare),
-        "dim_product": lambda: dimensions.dim_product(stg, tuning=tuning, prepare=prepare),
-        "dim_country": lambda: dimensions.dim_country(stg, tuning=tuning, prepare=prepare),
+        "dim_customer": lambda: dimensions.dim_customer(stg, work=work),
+        "dim_product": lambda: dimensions.dim_product(stg, work=work),
+        "dim_country": lambda: dimensions.dim_country(stg, work=work),
         "dim_date": lambda: dimensions.dim_date(stg),
     }
 
@@ -169,46 +203,41 @@ def load_dimensions(wh: Warehouse, *, tuning: RankTuning = TUNING) -> None:
     wh.rows.update(counts)
 
 
-def load_fact(wh: Warehouse, *, strict: bool = True, tuning: RankTuning = TUNING) -> None:
+def load_fact(wh: Warehouse, *, strict: bool = True) -> None:
     fact = facts.fact_sales(
-        wh.staging,
-        wh.dim_customer,
-        wh.dim_product,
-        wh.dim_country,
-        dim_rows={k: wh.dim_rows(k) for k in ("customer", "product", "country")},
-        strict=strict,
-        tuning=tuning,
+        wh.staging, wh.dim_customer, wh.dim_product, wh.dim_country, strict=strict, work=wh.path("_work/fact_ranked")
     )
-    # The rows leave the sales_key numbering in raw_row_id ranges (arrival
-    # order); sorted by day inside each file, Parquet min/max statistics skip
-    # row groups for date ranges, which replaces the secondary date index.  A
-    # range shuffle by date would make Spark run the whole fact plan twice
-    # (once to sample the bounds), so it is not used.
+    # One folder per month, so a range of dates reads its months only, and days in
+    # order inside a file for the row-group statistics.  The rebalancing shuffle
+    # splits months that are too large for a task and keeps small ones in one file.
+    month = F.call_function("div", F.col("date_key"), F.lit(100)).cast("int")
     (
         described(fact, "warehouse/fact_sales")
-        .sortWithinPartitions("date_key", "raw_row_id")
+        .withColumn(FACT_PARTITION, month)
+        .hint("rebalance", FACT_PARTITION)
+        .sortWithinPartitions(FACT_PARTITION, "date_key", "raw_row_id")
         .write.mode("overwrite")
+        .partitionBy(FACT_PARTITION)
         .parquet(wh.path("warehouse/fact_sales"))
     )
     wh.rows["fact_sales"] = wh.fact.count()
 
 
-def load_layers(wh: Warehouse, *, strict: bool = True, tuning: RankTuning = TUNING) -> Warehouse:
-    """Staging, dimensions and fact from the raw layer already in ``wh``."""
-    _timed(wh, "staging", lambda: load_staging(wh, strict=strict, tuning=tuning))
-    _timed(wh, "dimensions", lambda: load_dimensions(wh, tuning=tuning))
-    _timed(wh, "fact", lambda: load_fact(wh, strict=strict, tuning=tuning))
+def load_layers(wh: Warehouse, *, strict: bool = True) -> Warehouse:
+    """Staging, dimensions and fact from the raw layer already in ``wh``; the
+    working frames are deleted."""
+    _timed(wh, "staging", lambda: load_staging(wh, strict=strict))
+    _timed(wh, "dimensions", lambda: load_dimensions(wh))
+    _timed(wh, "fact", lambda: load_fact(wh, strict=strict))
+    remove_path(wh.spark, wh.path("_work"))
     return wh
 
 
-def build_from_raw(
-    spark: SparkSession, raw: DataFrame, *, root: str | None = None, strict: bool = True, tuning: RankTuning = TUNING
-) -> Warehouse:
+def build_from_raw(spark: SparkSession, raw: DataFrame, *, root: str | None = None, strict: bool = True) -> Warehouse:
     """Load a warehouse from a raw layer with the ``RAW_SCHEMA`` columns."""
-    apply_recommended(spark)
     wh = Warehouse(spark, root or run_root(spark, "warehouse"))
     raw.write.mode("overwrite").parquet(wh.path("raw/online_retail"))
-    return load_layers(wh, strict=strict, tuning=tuning)
+    return load_layers(wh, strict=strict)
 
 
 def build_from_csv(
@@ -218,108 +247,71 @@ def build_from_csv(
     root: str | None = None,
     source_file: str | None = None,
     strict: bool = True,
-    tuning: RankTuning = TUNING,
+    multi_line: bool = False,
 ) -> Warehouse:
     """Full load from header CSV files of the eight source columns (A1 + A3):
-    raw_row_id follows file name, then position in the file.  Large inputs
-    should arrive as many files: each multi-line CSV file is read by one task."""
+    raw_row_id follows file name, then position in the file.  ``multi_line`` reads
+    fields that hold line ends, at the price of one task per file."""
     from tillroll.sources import csv
 
-    apply_recommended(spark)
     wh = Warehouse(spark, root or run_root(spark, "warehouse"))
 
     def load() -> None:
-        raw = csv.ingest_csv(spark, csv_path, wh.path("_work/csv_scan"), source_file=source_file)
+        raw = csv.ingest_csv(spark, csv_path, wh.path("_work/csv_scan"), source_file=source_file, multi_line=multi_line)
         described(raw, "raw/online_retail").write.mode("overwrite").parquet(wh.path("raw/online_retail"))
 
     _timed(wh, "raw", load)
-    return load_layers(wh, strict=strict, tuning=tuning)
+    return load_layers(wh, strict=strict)
 
 
-def build(
-    spark: SparkSession,
-    sf_dir: str,
-    *,
-    root: str | None = None,
-    strict: bool = True,
-    tuning: RankTuning = TUNING,
-) -> Warehouse:
+def build(spark: SparkSession, sf_dir: str, *, root: str | None = None, strict: bool = True) -> Warehouse:
     """Run the whole load from the test tables in ``sf_dir``."""
-    apply_recommended(spark)
-    wh = Warehouse(spark, root or run_root(spark, "warehouse"))
+    wh = Warehouse(spark, root or run_root(spark, "warehouse"), source=sf_dir)
     _timed(wh, "raw", lambda: load_raw(wh, fixture.raw_text_rows(spark, sf_dir)))
-    return load_layers(wh, strict=strict, tuning=tuning)
+    return load_layers(wh, strict=strict)
 
 
-_BUILDS: dict[tuple[str, str], Warehouse] = {}
-_LOCK = threading.Lock()
 INPUT_TABLES = ("lineitem", "orders", "customer", "nation", "part")
-LAYER_TABLES = (
-    "raw/online_retail",
-    "staging/transactions",
-    "warehouse/dim_customer",
-    "warehouse/dim_product",
-    "warehouse/dim_country",
-    "warehouse/dim_date",
-    "warehouse/fact_sales",
-)
-
-
-def _fingerprint(sf_dir: str) -> str:
-    """Package source + input folder (+ sizes and times of local input files)."""
-    h = hashlib.sha256()
-    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for root, _, files in sorted(os.walk(pkg)):
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(os.path.join(root, f), "rb") as fh:
-                    h.update(f.encode() + fh.read())
-    h.update(sf_dir.encode())
-    for t in INPUT_TABLES:
-        p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{st.st_mtime_ns}".encode())
-    return h.hexdigest()[:24]
-
-
-def _pointer_path(spark: SparkSession, sf_dir: str) -> str:
-    return f"{shared_base(spark)}/tillroll/completed/{_fingerprint(sf_dir)}"
-
-
-def _reuse(spark: SparkSession, sf_dir: str) -> Warehouse | None:
-    """A completed build of the same code and input, from any earlier application."""
-    try:
-        row = spark.read.json(_pointer_path(spark, sf_dir)).first()
-    except Exception:  # no completed build recorded
-        return None
-    if row is None:
-        return None
-    wh = Warehouse(spark, row["root"], rows={k: int(v) for k, v in json.loads(row["rows"]).items()})
-    try:
-        for name in LAYER_TABLES:
-            wh.table(name).schema
-    except Exception:  # (part of) the build folder is gone
-        return None
+# (application, input folder, target) -> (state of the input files, its current build)
+_CURRENT: dict[tuple[str, str, str], tuple[tuple, Warehouse]] = {}
+_LOCK = threading.Lock()
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Number, size, latest time and a combined hash of the input files, from
+    Spark's own listing (no content is read)."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in INPUT_TABLES]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    changed = F.unix_micros("modificationTime")
+    own = F.xxhash64("path", "length", changed)
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max(changed), F.bit_xor(own)).first())
+
+
+def _load_current(spark: SparkSession, sf_dir: str, state: tuple, target: str = "queries") -> Warehouse:
+    key = (spark.sparkContext.applicationId, sf_dir, target)
+    old = _CURRENT.get(key)
+    wh = build(spark, sf_dir)
+    _CURRENT[key] = (state, wh)
+    if old:
+        remove_path(spark, old[1].root)
     return wh
 
 
-def _record(wh: Warehouse, sf_dir: str) -> None:
-    """Written only after the whole build succeeded."""
-    wh.spark.createDataFrame([(wh.root, json.dumps(wh.rows))], "root string, rows string").coalesce(1).write.mode(
-        "overwrite"
-    ).json(_pointer_path(wh.spark, sf_dir))
+def refresh(spark: SparkSession, sf_dir: str, target: str = "queries") -> Warehouse:
+    """A4: load again and replace the target's current build of this input; the
+    replaced build is deleted once the new one is complete."""
+    sf_dir = sf_dir.rstrip("/")
+    with _LOCK:
+        return _load_current(spark, sf_dir, input_state(spark, sf_dir), target)
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The build for ``sf_dir``: this session's, else a completed one of the
-    same code and input, else a new full load."""
+    """The current build for ``sf_dir``, loaded anew if there is none or the
+    input files have changed."""
     sf_dir = sf_dir.rstrip("/")
-    key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
-        wh = _BUILDS.get(key) or _reuse(spark, sf_dir)
-        if wh is None:
-            wh = build(spark, sf_dir)
-            _record(wh, sf_dir)
-        _BUILDS[key] = wh
-        return wh
+        state = input_state(spark, sf_dir)
+        current = _CURRENT.get((spark.sparkContext.applicationId, sf_dir, "queries"))
+        if current and current[0] == state:
+            return current[1]
+        return _load_current(spark, sf_dir, state)

@@ -45,16 +45,18 @@ LOAD_STAMPS = ("ingested_at", "raw_ingested_at", "staged_at", "created_at", "war
 
 DEFAULT_SOURCE_FILE = "online_retail.csv"
 
-RECORD_TYPES = (
-    "SALE",
-    "CANCELLATION",
-    "STOCK_ADJUSTMENT",
-    "ACCOUNTING_ADJUSTMENT",
-    "ZERO_PRICE",
-    "OTHER",
+CANCEL_PREFIX = "C"
+# Record type of a line: the first rule that holds, in SQL that both engines read.
+RECORD_TYPE_RULES = (
+    ("CANCELLATION", f"invoice_no LIKE '{CANCEL_PREFIX}%'"),
+    ("ACCOUNTING_ADJUSTMENT", "unit_price < 0"),
+    ("STOCK_ADJUSTMENT", "quantity < 0"),
+    ("ZERO_PRICE", "unit_price = 0"),
+    ("SALE", "quantity > 0 AND unit_price > 0"),
 )
+OTHER_RECORD_TYPE = "OTHER"
+RECORD_TYPES = (*(label for label, _ in RECORD_TYPE_RULES), OTHER_RECORD_TYPE)
 NET_RECORD_TYPES = ("SALE", "CANCELLATION")
-CANCEL_PREFIX = "C"
 
 # Product category by normalised stock code.
 SHIPPING_FEE_CODES = ("DOT", "POST", "C2")
@@ -62,14 +64,16 @@ FINANCIAL_ADJUSTMENT_CODES = ("AMAZONFEE", "B", "BANK CHARGES", "CRUK", "D")
 MANUAL_CODES = ("M",)
 SAMPLE_CODES = ("S",)
 GIFT_VOUCHER_PREFIX = "GIFT_"
-PRODUCT_CATEGORIES = (
-    "SHIPPING_FEE",
-    "FINANCIAL_ADJUSTMENT",
-    "MANUAL",
-    "SAMPLE",
-    "GIFT_VOUCHER",
-    "MERCHANDISE",
+# (category, its codes); a voucher is known by its prefix, all else is merchandise.
+CATEGORY_CODES = (
+    ("SHIPPING_FEE", SHIPPING_FEE_CODES),
+    ("FINANCIAL_ADJUSTMENT", FINANCIAL_ADJUSTMENT_CODES),
+    ("MANUAL", MANUAL_CODES),
+    ("SAMPLE", SAMPLE_CODES),
 )
+VOUCHER_CATEGORY = "GIFT_VOUCHER"
+MERCHANDISE_CATEGORY = "MERCHANDISE"
+PRODUCT_CATEGORIES = (*(label for label, _ in CATEGORY_CODES), VOUCHER_CATEGORY, MERCHANDISE_CATEGORY)
 
 # Unknown dimension members (reserved key 0).
 UNKNOWN_KEY = 0
@@ -92,6 +96,8 @@ INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 DECIMAL_PATTERN = r"^[+-]?[0-9]+(\.[0-9]+)?$"
 DIGITS_PATTERN = r"^[0-9]+$"
 TIMESTAMP_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+# What staging takes for a timestamp: a whole date, alone or with a time of day.
+TYPED_TIMESTAMP_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
 
 # Order-frequency segments: (label, lowest order count, highest order count or None).
 FREQUENCY_SEGMENTS = (
@@ -101,14 +107,16 @@ FREQUENCY_SEGMENTS = (
     ("HIGHLY_RECURRENT", 11, None),
 )
 
-RFM_SEGMENTS = (
-    "CHAMPIONS",
-    "LOYAL_CUSTOMERS",
-    "PROMISING",
-    "AT_RISK",
-    "HIBERNATING",
-    "NEEDS_ATTENTION",
+# RFM segment of a customer: the first rule that holds for the three scores.
+RFM_SEGMENT_RULES = (
+    ("CHAMPIONS", "recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4"),
+    ("LOYAL_CUSTOMERS", "recency_score >= 3 AND frequency_score >= 3"),
+    ("PROMISING", "recency_score >= 4 AND frequency_score <= 2"),
+    ("AT_RISK", "recency_score <= 2 AND frequency_score >= 3"),
+    ("HIBERNATING", "recency_score = 1 AND frequency_score <= 2"),
 )
+OTHER_RFM_SEGMENT = "NEEDS_ATTENTION"
+RFM_SEGMENTS = (*(label for label, _ in RFM_SEGMENT_RULES), OTHER_RFM_SEGMENT)
 RFM_TILES = 5
 
 # Validation constants of the original full data set (parameters, not assumptions).
@@ -123,6 +131,17 @@ TOP_CUSTOMERS_ROWS = 10
 PARETO_ROWS = 20
 MOST_CANCELLED_ROWS = 20
 
+# What the stored tables are.
+TABLE_COMMENTS = {
+    "raw/online_retail": "Raw layer: invoice lines as text, exactly as read, with their lineage.",
+    "staging/transactions": "Staging layer: one typed and classified row per raw line, exact copies marked.",
+    "warehouse/dim_customer": "Identified customers and the unknown customer.",
+    "warehouse/dim_product": "Products by normalised code, with description and category, and the unknown product.",
+    "warehouse/dim_country": "Countries of the invoices and the unknown country.",
+    "warehouse/dim_date": "Calendar days from the first to the last invoice and the unknown day.",
+    "warehouse/fact_sales": "Warehouse layer: one row per distinct invoice line, keyed to the dimensions.",
+}
+
 # Column descriptions stored as field metadata ("comment") when layers are written.
 COLUMN_COMMENTS = {
     "raw/online_retail": {
@@ -141,11 +160,13 @@ COLUMN_COMMENTS = {
     },
     "warehouse/dim_customer": {
         "customer_key": "Surrogate key, dense in customer_id order; 0 is the unknown customer.",
+        "customer_id": "Customer number of the source; null for the unknown customer only.",
     },
     "warehouse/dim_product": {
         "product_key": "Surrogate key, dense in stock_code order; 0 is the unknown product.",
         "product_description": "Most frequent description, then most recent, then alphabetical.",
         "product_category": "Service class of the code, MERCHANDISE for physical products.",
+        "is_merchandise": "Whether the category is MERCHANDISE.",
     },
     "warehouse/dim_country": {
         "country_key": "Surrogate key, dense in name order; 0 is the unknown country.",
@@ -158,6 +179,8 @@ COLUMN_COMMENTS = {
     "warehouse/fact_sales": {
         "sales_key": "Surrogate key, dense in raw_row_id order.",
         "raw_row_id": "Lineage key of the first occurrence of the line's duplicate group.",
+        "invoice_no": "Invoice number; a leading C marks a cancellation.",
+        "line_amount": "Quantity times unit price, signed.",
         "source_duplicate_group_size": "Copies of this line in the raw layer.",
     },
 }

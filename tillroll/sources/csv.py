@@ -3,7 +3,7 @@ columns (A1) and attach ingestion lineage (A3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,6 @@ from tillroll.plans.session import materialize
 READ_OPTIONS = {
     "header": "true",
     "escape": '"',
-    "multiLine": "true",
     "mode": "FAILFAST",
     "encoding": "UTF-8",
 }
@@ -62,24 +61,41 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_TEXT_SCHEMA) -> DataFrame:
-    """A1: header CSV read by position into text columns."""
-    return spark.read.schema(schema).options(**READ_OPTIONS).csv(path)
+def scan_csv(
+    spark: SparkSession, path: str, schema: T.StructType = S.RAW_TEXT_SCHEMA, *, multi_line: bool = False
+) -> DataFrame:
+    """A1: header CSV read by position into text columns.  Files are split over
+    tasks; only ``multi_line`` (fields that hold line ends) needs one task a file."""
+    return spark.read.schema(schema).options(**READ_OPTIONS).option("multiLine", multi_line).csv(path)
 
 
-def ingest_csv(spark: SparkSession, path: str, work_path: str, *, source_file: str | None = None) -> DataFrame:
-    """A1 + A3: raw layer with ``raw_row_id`` dense from 1 in file order
-    (file path, then position in the file), ``source_file`` and ``ingested_at``.
+def numeric_order(path: Column) -> Column:
+    """A file name's sort key: every run of digits padded to 20, so that
+    ``part-99999`` comes before ``part-100000``."""
+    padded = F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1")
+    return F.regexp_replace(padded, r"\d*(\d{20})(?!\d)", "$1")
 
-    The in-file position comes from ``monotonically_increasing_id`` (each
-    multi-line CSV file is read whole by one task), so the scanned rows are
-    materialised once before numbering.
+
+def ingest_csv(
+    spark: SparkSession, path: str, work_path: str, *, source_file: str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """A1 + A3: raw layer with ``raw_row_id`` dense from 1 in file order (files by
+    name, numbers in names by value, then position), ``source_file`` and
+    ``ingested_at``.
+
+    A position is the start of the file's split and the row's place in it; the
+    place comes from ``monotonically_increasing_id``, so the scanned rows are
+    written once before numbering.
     """
-    scanned = scan_csv(spark, path).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos")
+    scanned = scan_csv(spark, path, multi_line=multi_line).select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        numeric_order(F.col("_metadata.file_path")).alias("_order"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_pos"),
     )
     staged = materialize(scanned, work_path)
-    numbered, _ = row_number_global(staged, ["_file", "_pos"], "raw_row_id")
+    numbered, _ = row_number_global(staged, ["_order", "_file", "_split", "_pos"], "raw_row_id", work=f"{work_path}-ranked")
     file_label = F.lit(source_file) if source_file else F.element_at(F.split(F.col("_file"), "/"), -1)
     return numbered.select(
         "raw_row_id", *S.RAW_COLUMNS, file_label.alias("source_file"), F.current_timestamp().alias("ingested_at")

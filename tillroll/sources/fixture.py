@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import schemas as S
+from tillroll.functions.text import blank_to_null
 from tillroll.operators.ranking import row_number_global
 
 # Service stock codes by l_partkey % 200 (used when l_partkey % 20 = 0).
@@ -57,22 +58,19 @@ def _two_digits(c: Column) -> Column:
 def raw_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joined test tables projected to the raw text columns plus the order key."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*ROW_ORDER[:-1])
-    # A small input in few files (often one row group each) is read by few
-    # tasks; spread it so the text building below runs on every core (large
-    # inputs arrive as many files and are left as they are).
-    cores = spark.sparkContext.defaultParallelism
-    if len(li.inputFiles()) < cores:
-        li = li.repartition(cores)
+    # The partitioning of the largest join below, also where that is a broadcast:
+    # the text building runs on all tasks however few files the input has.
+    li = li.repartition("l_orderkey")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name", "p_retailprice")
 
     rows = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(part, li.l_partkey == part.p_partkey)
+        li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
+        .join(customer, orders.o_custkey == customer.c_custkey, "left")
+        .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
+        .join(part, li.l_partkey == part.p_partkey, "left")
     )
     dup = (F.col("l_orderkey") % DUPLICATED_ORDER_MOD == 0) & (F.col("l_linenumber") == 1)
     rows = rows.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.when(dup, 2).otherwise(1))))
@@ -141,12 +139,22 @@ def raw_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def number_rows(rows: DataFrame, *, source_file: str = S.DEFAULT_SOURCE_FILE) -> DataFrame:
+def number_rows(rows: DataFrame, *, source_file: str = S.DEFAULT_SOURCE_FILE, work: str | None = None) -> DataFrame:
     """Dense ``raw_row_id`` in the fixture's total order, plus lineage columns."""
-    numbered, _ = row_number_global(rows, list(ROW_ORDER), "raw_row_id")
+    numbered, _ = row_number_global(rows, list(ROW_ORDER), "raw_row_id", work=work)
     return numbered.select(
         "raw_row_id",
         *S.RAW_COLUMNS,
         F.lit(source_file).alias("source_file"),
         F.current_timestamp().alias("ingested_at"),
     )
+
+
+def expected_counts(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """Raw rows and normalised products that the input tables call for: one row per
+    lineitem and one more for each copied one, and the different codes."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    copied = (F.col("l_orderkey") % DUPLICATED_ORDER_MOD == 0) & (F.col("l_linenumber") == 1)
+    rows = li.agg(F.count(F.lit(1)) + F.count_if(copied)).first()[0]
+    codes = raw_text_rows(spark, sf_dir).select(F.upper(blank_to_null("stock_code")).alias("code")).filter("code is not null")
+    return {"raw_rows": rows, "products": codes.distinct().count()}
