@@ -17,14 +17,27 @@ from tillroll.plans.session import shared_dir
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
+# Rows of an Arrow batch: ten thousand long texts would be hundreds of megabytes
+# beside the heap.  Set only where the session leaves it unset.
+BATCH_ROWS = 2048
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Cut the lineage: write ``df`` below the folder of ``spark.checkpoint.dir``
     and read it back.  Its size is then known to the planner, so a join against
     it is broadcast only if the files are below the session's limit."""
+    small_batches(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -285,7 +285,7 @@ def _next_entries(rests: DataFrame, edits: int) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near = [within(a, b, edits) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            near = [within(a.as_py(), b.as_py(), edits) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(pa.array(near, pa.bool_()))
 
     left = texts.select(F.col("line").alias("a"), F.col("full").alias("u"), F.col("text").alias("ta"))
