@@ -22,7 +22,6 @@ ids of words it has met (about ``WORDS_KEPT`` at most, then it forgets all).
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,7 +37,7 @@ from tillroll.llm.common import table, written
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-WORDS_KEPT = 800_000
+WORDS_KEPT = 600_000
 # The vocabulary's end-of-text mark and the end of its words.
 _MARK, _MARK_ID = "<|endoftext|>", 49407
 _WORD_END = "</w>"
@@ -197,11 +196,11 @@ def _cut(size: int):
             length = np.minimum((sequence + 1) * size, first[row] + n[row]) - begin
             start = begin - first[row]
             ids = batch.column(3)
-            cut, last, raw = [], -1, b""
+            cut, last, wide = [], -1, b""
             for r, a, m in zip(row.tolist(), start.tolist(), length.tolist(), strict=True):
                 if r != last:
-                    raw, last = ids[r].as_py(), r
-                cut.append(raw[2 * a : 2 * (a + m)])
+                    wide, last = np.frombuffer(ids[r].as_py(), "<u2").astype("<u4").tobytes(), r
+                cut.append(wide[4 * a : 4 * (a + m)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(row)),
@@ -222,7 +221,7 @@ def pack(
     docs: DataFrame, size: int = SEQUENCE_TOKENS, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY
 ) -> DataFrame:
     """Pieces: ``doc_id, start, length, doc_tokens, sequence_id, offset, ids``
-    (ids of the piece, 16-bit little-endian).  Sequences are read back by
+    (ids of the piece, 32-bit little-endian).  Sequences are read back by
     ordering the pieces of a ``sequence_id`` by ``offset``; windows are full
     but for the last, whose length is padded to ``size`` unless it is a power
     of two."""
@@ -234,21 +233,8 @@ def pack(
 
 
 def digests(pieces: DataFrame) -> DataFrame:
-    """Replaces ``ids`` by ``ids_crc32`` over 32-bit little-endian ids."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [zlib.crc32(np.frombuffer(x.as_py(), "<u2").astype("<u4").tobytes()) for x in batch.column(6)]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(k) for k in range(6)], pa.array(crc, pa.int64())],
-                names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32"],
-            )
-
-    kind = pieces.schema["doc_id"].dataType.simpleString()
-    cut = pieces.select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids").mapInArrow(
-        run, f"doc_id {kind}, {PIECES.replace('ids binary', 'ids_crc32 long')}"
-    )
-    return cut.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    """Replaces ``ids`` by their CRC-32."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
