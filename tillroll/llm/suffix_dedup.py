@@ -9,8 +9,8 @@ document with a smaller id or further left in the same one.
    ``GRAM``-byte strings in it as its key, so equal windows have equal keys;
    neighbouring windows whose key comes from one place form a run (about 40
    windows).  Equal windows lie in different runs of one key, so only keys that
-   occur twice can hold a repeat.  Of a key that is frequent within one
-   Arrow batch a single marker is shuffled, its runs pass through under spread
+   occur twice can hold a repeat.  Of a key that is frequent among the
+   runs looked at together a single marker is shuffled, its runs pass through under spread
    keys, so no task receives a frequent key's runs.
 3. The runs of the shared keys are cut out as fragments and dealt by key: a
    suffix bucket.  Equal fragments are settled at once.  For the rest of a block
@@ -50,8 +50,10 @@ from tillroll.llm.common import release, table, whole_groups, written
 MATCH = 100  # bytes
 GRAM = 24  # bytes of the strings whose smallest hash is a window's key
 LONG_GRAM = 90  # the same for the second key of frequent ones
-LOCAL = 16  # runs of one key in an Arrow batch from which only a marker is sent
+GATHERED = 500_000  # runs that are looked at together before they are shuffled
+LOCAL = 16  # of those, runs of one key from which only a marker is sent
 HOT = 1000  # runs of a key from which its windows go one by one
+BLOCK_BYTES = 4 << 20  # bytes of fragments whose windows are settled together
 SLICE = 1 << 20  # bytes whose hashes are held at a time
 # A perfect difference set modulo 31.
 V, COVER = 31, (1, 5, 11, 24, 25, 27)
@@ -122,7 +124,7 @@ _RUN = "key long, kind int, doc_id long, pos int, sub int, n int"
 
 
 def _keyed_rows(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, sub: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    """Rows of one Arrow batch's runs: as they are (kind 0), but of a key that is
+    """Rows of some runs looked at together: as they are (kind 0), but of a key that is
     frequent here only a marker (1), its runs under keys of their own (2)."""
     values, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
     frequent = counts[inverse] > LOCAL if len(key) else np.empty(0, bool)
@@ -140,19 +142,28 @@ def _keyed_rows(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, sub: np.ndarr
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
 
 
+def _gathered(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    doc, at, key = (np.concatenate(x) for x in zip(*found, strict=True))
+    zero = np.zeros(len(at), np.int64)
+    return _keyed_rows(key, doc, at, zero, zero)
+
+
 def _rows_of_runs(docs: DataFrame) -> DataFrame:
     """The runs of all texts; ``pos`` is a run's first window."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            found = []
             for k in range(0, batch.num_rows, 512):
                 t, a, _, x = runs_of([s.encode() for s in batch.column(1).slice(k, 512).to_pylist()])
-                found.append((t + k, a, x))
-            text, at, key = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 3
-            zero = np.zeros(len(at), np.int64)
-            yield _keyed_rows(key, ids[text], at, zero, zero)
+                found.append((ids[t + k], a, x))
+                held += len(x)
+            if held >= GATHERED:
+                yield _gathered(found)
+                found, held = [], 0
+        if found:
+            yield _gathered(found)
 
     rows = docs.select("doc_id", "text").mapInArrow(run, _RUN)
     return rows.select("key", "kind", "doc_id", "pos")
@@ -379,14 +390,26 @@ def _bucket_ranges(fragments: DataFrame) -> DataFrame:
     return by_key.mapInArrow(run, _RANGE)
 
 
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Arrow batches put together to about ``BLOCK_BYTES``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= BLOCK_BYTES:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _window_places(hot: DataFrame) -> DataFrame:
     """Windows of the shared sub-runs of hot fragments (``subs``): the first of
-    equal ones in an Arrow batch as ``fp, doc_id, h, s``, the others as settled
+    equal ones in a block as ``fp, doc_id, h, s``, the others as settled
     ranges ``doc_id, h, s, e`` without fp."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
+        for block in _blocks(batches):
+            rows = block.to_pylist()
             rows.sort(key=lambda r: (r["doc_id"], r["start"]))
             first: dict[bytes, tuple[int, int]] = {}
             fps, places, ranges = [], [], []
