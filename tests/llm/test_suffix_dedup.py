@@ -100,9 +100,10 @@ def corpus(n=80, seed=2):
     return rows
 
 
-@pytest.mark.parametrize("local,hot", [(16, 1000), (1, 1000), (16, 3)])
-def test_frequent_keys(spark, monkeypatch, local, hot):
-    monkeypatch.setattr(sd, "LOCAL", local)
+@pytest.mark.parametrize("local,part,hot", [(16, 64, 100_000), (1, 64, 1000), (16, 64, 3), (2, 4, 1000)])
+def test_frequent_keys(spark, monkeypatch, local, part, hot):
+    monkeypatch.setattr(sd, "LOCAL_LEAST", local)
+    monkeypatch.setattr(sd, "LOCAL_PART", part)
     monkeypatch.setattr(sd, "HOT", hot)
     rows = corpus()
     df = spark.createDataFrame([(i, t, "c", 1) for i, t in rows], "doc_id long, text string, key string, h int").repartition(5)

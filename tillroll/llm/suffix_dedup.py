@@ -21,8 +21,8 @@ document with a smaller id or further left in the same one.
    common.  Neighbours in that order with equal windows are the repeats.  A
    block is a few megabytes, whatever the corpus.
 4. Fragments of frequent keys (``HOT`` runs and more: a short line that many
-   documents hold, with other text around it) are keyed once more by strings of
-   ``LONG_GRAM`` bytes, which only windows that agree nearly whole share.  What is
+   documents hold, with other text around it) are settled at once where they are
+   equal; the different ones are keyed once more by strings of ``LONG_GRAM`` bytes, which only windows that agree nearly whole share.  What is
    shared still goes window by window: repeats within a batch are settled there,
    the rest by the earliest place per 128-bit fingerprint, a combined aggregate.
 5. Windows found are merged per document into the removed spans.
@@ -51,13 +51,14 @@ MATCH = 100  # bytes
 GRAM = 24  # bytes of the strings whose smallest hash is a window's key
 LONG_GRAM = 90  # the same for the second key of frequent ones
 GATHERED = 500_000  # runs that are looked at together before they are shuffled
-LOCAL = 16  # of those, runs of one key from which only a marker is sent
-HOT = 1000  # runs of a key from which its windows go one by one
+LOCAL_PART, LOCAL_LEAST = 64, 16  # a key in more than a 64th of their texts sends a marker only
+HOT = 100_000  # runs of a key from which it is keyed again
 BLOCK_BYTES = 4 << 20  # bytes of fragments whose windows are settled together
 SLICE = 1 << 20  # bytes whose hashes are held at a time
 # A perfect difference set modulo 31.
 V, COVER = 31, (1, 5, 11, 24, 25, 27)
 
+_IN_WINDOW = sorted({*range(0, MATCH - 7, 8), MATCH - 8})  # words that cover a window
 _PLACE_BITS = 22  # a slice is at most two SLICE long
 _MIX = np.random.default_rng(9).integers(0, 1 << 63, 32, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _IN_COVER = np.isin(np.arange(V), COVER)
@@ -123,12 +124,14 @@ def _slice_runs(parts: list[tuple[int, int, bytes]], gram: int) -> tuple[np.ndar
 _RUN = "key long, kind int, doc_id long, pos int, sub int, n int"
 
 
-def _keyed_rows(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, sub: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    """Rows of some runs looked at together: as they are (kind 0), but of a key that is
-    frequent here only a marker (1), its runs under keys of their own (2)."""
+def _keyed_rows(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, sub: np.ndarray, n: np.ndarray, texts: int) -> pa.RecordBatch:
+    """Rows of the runs of some texts looked at together: as they are (kind 0), but
+    of a key that is frequent here only a marker (1), its runs under keys of their
+    own (2)."""
     values, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
-    frequent = counts[inverse] > LOCAL if len(key) else np.empty(0, bool)
-    marks = values[counts > LOCAL]
+    limit = max(LOCAL_LEAST, texts // LOCAL_PART)
+    frequent = counts[inverse] > limit if len(key) else np.empty(0, bool)
+    marks = values[counts > limit]
     spread = key.view(np.uint64) ^ doc.astype(np.uint64) * _MIX[0] ^ pos.astype(np.uint64) * _MIX[1] ^ sub.astype(np.uint64) * _MIX[2]
     none = np.zeros(len(marks), np.int64)
     columns = {
@@ -142,28 +145,29 @@ def _keyed_rows(key: np.ndarray, doc: np.ndarray, pos: np.ndarray, sub: np.ndarr
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
 
 
-def _gathered(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _gathered(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], texts: int) -> pa.RecordBatch:
     doc, at, key = (np.concatenate(x) for x in zip(*found, strict=True))
     zero = np.zeros(len(at), np.int64)
-    return _keyed_rows(key, doc, at, zero, zero)
+    return _keyed_rows(key, doc, at, zero, zero, texts)
 
 
 def _rows_of_runs(docs: DataFrame) -> DataFrame:
     """The runs of all texts; ``pos`` is a run's first window."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, held = [], 0
+        found, held, texts = [], 0, 0
         for batch in batches:
             ids = batch.column(0).to_numpy()
+            texts += len(ids)
             for k in range(0, batch.num_rows, 512):
                 t, a, _, x = runs_of([s.encode() for s in batch.column(1).slice(k, 512).to_pylist()])
                 found.append((ids[t + k], a, x))
                 held += len(x)
             if held >= GATHERED:
-                yield _gathered(found)
-                found, held = [], 0
+                yield _gathered(found, texts)
+                found, held, texts = [], 0, 0
         if found:
-            yield _gathered(found)
+            yield _gathered(found, texts)
 
     rows = docs.select("doc_id", "text").mapInArrow(run, _RUN)
     return rows.select("key", "kind", "doc_id", "pos")
@@ -177,7 +181,7 @@ def _second_runs(hot: DataFrame) -> DataFrame:
         for batch in batches:
             ids, starts = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
             frag, sub, n, key = runs_of(batch.column(2).to_pylist(), LONG_GRAM)
-            yield _keyed_rows(key, ids[frag], starts[frag], sub, n)
+            yield _keyed_rows(key, ids[frag], starts[frag], sub, n, batch.num_rows)
 
     return hot.select("doc_id", "start", "frag").mapInArrow(run, _RUN)
 
@@ -305,20 +309,48 @@ def sorted_suffixes(data: bytes, wanted: np.ndarray) -> np.ndarray:
         live = live[side != 0]
 
 
-def repeated_windows(frags: list[bytes], doc: np.ndarray, start: np.ndarray) -> list[tuple[int, int, int]]:
-    """(fragment, first, last) runs of windows that also start earlier, where a
-    fragment begins at (doc, start)."""
+def _window_hashes(data: bytes, at: np.ndarray) -> np.ndarray:
+    w = _words(data)
+    h = np.zeros(len(at), np.uint64)
+    for k, off in enumerate(_IN_WINDOW):
+        h += w[at + off] * _MIX[k]
+    h ^= h >> np.uint64(32)
+    return h * _MIX[-1]
+
+
+def _layout(frags: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The fragments end to end, and of each window its fragment, its place in it
+    and its place in all."""
     data = b"".join(frags) + bytes(MATCH + 8)
     sizes = np.array([len(f) for f in frags], np.int64)
-    begin = np.cumsum(sizes) - sizes
     count = sizes - MATCH + 1
     owner = np.repeat(np.arange(len(frags)), count)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    window = begin[owner] + inside
+    return data, owner, inside, (np.cumsum(sizes) - sizes)[owner] + inside
+
+
+def repeated_windows(frags: list[bytes], doc: np.ndarray, start: np.ndarray) -> list[tuple[int, int, int]]:
+    """(fragment, first, last) runs of windows that also start earlier, where a
+    fragment begins at (doc, start).  Fragments and windows whose hash no other
+    window has cannot hold a repeat and are not sorted."""
+    data, owner, inside, window = _layout(frags)
+    hashes = _window_hashes(data, window)
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    likely = np.zeros(len(order), bool)
+    likely[order[1:][same]] = True
+    likely[order[:-1][same]] = True
+    if not likely.any():
+        return []
+    left = np.unique(owner[likely])
+    data, own, at, window = _layout([frags[k] for k in left.tolist()])
+    mine = np.isin(owner, left, kind="table")
+    likely = likely[mine]
+    owner, inside, window = left[own[likely]], at[likely], window[likely]
     order = sorted_suffixes(data, window)
     w = _words(data)
     same = np.ones(len(order) - 1, bool)
-    for k in [*range(0, MATCH - 7, 8), MATCH - 8]:
+    for k in _IN_WINDOW:
         x = w[order + k]
         same &= x[1:] == x[:-1]
     if not same.any():
@@ -442,14 +474,23 @@ def _window_places(hot: DataFrame) -> DataFrame:
 
 
 def _hot_ranges(hot: DataFrame) -> DataFrame:
-    """Repeated windows of the fragments of frequent keys."""
-    shared = written(_shared_runs(_second_runs(hot)), "suffix-shared-again")
+    """Repeated windows of the fragments of frequent keys.  Most of those are
+    equal: the earliest of equal ones (combined before the shuffle) goes on, the
+    others are repeats from end to end."""
+    same = hot.groupBy("frag").agg(F.min(F.struct("doc_id", "start", "h")).alias("first")).select("frag", "first.*")
+    firsts = written(same, "suffix-different-fragments")
+    name = F.unhex(F.md5("frag")).alias("name")
+    named = firsts.select(name, F.col("doc_id").alias("d"), F.col("start").alias("a"))
+    copies = hot.select(name, "doc_id", "h", F.col("start").alias("s"), (F.col("start") + F.length("frag") - MATCH).alias("e"))
+    whole = copies.join(named.hint("merge"), "name").filter("doc_id <> d or s <> a").select("doc_id", "h", "s", "e")
+    shared = written(_shared_runs(_second_runs(firsts)), "suffix-shared-again")
     subs = shared.groupBy("doc_id", F.col("pos").alias("start")).agg(F.collect_list(F.struct("sub", "n")).alias("subs"))
-    places = written(_window_places(hot.join(subs.hint("merge"), ["doc_id", "start"])), "suffix-places")
+    places = written(_window_places(firsts.join(subs.hint("merge"), ["doc_id", "start"])), "suffix-places")
     single = places.filter("fp is not null")
     first = single.groupBy("fp").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     late = single.join(first.hint("merge"), "fp").filter((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.s") != F.col("s")))
-    return late.select("doc_id", "h", "s", "e").unionAll(places.filter("fp is null").select("doc_id", "h", "s", "e"))
+    ranges = late.select("doc_id", "h", "s", "e").unionAll(places.filter("fp is null").select("doc_id", "h", "s", "e"))
+    return ranges.unionAll(whole)
 
 
 def _cut(rows: DataFrame, kind: str) -> DataFrame:
