@@ -100,8 +100,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     type): ``(node, root)`` for every node of an edge, root the smallest node.
 
     Alternating large-star and small-star steps (Kiveris et al., 2014): each is
-    a group minimum and a join, written to the shared folder; the number of
-    steps grows with the logarithm of the component size.  A hub is only a
+    a group minimum and a join; every second result is written to the shared
+    folder.  The number of steps grows with the logarithm of the component size.  A hub is only a
     skewed join key, which adaptive execution splits.
     """
     e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
@@ -117,7 +117,6 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = written(large, f"{label}-large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         e = written(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), f"{label}-small")

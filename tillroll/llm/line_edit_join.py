@@ -357,6 +357,8 @@ def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataF
     frequent = met.filter("b is null").select("key", F.lit(0).cast("long").alias("salt"), "side", F.col("a").alias("line"))
     hot = frequent.join(texts.select("line", F.col("text").alias("rest")), "line")
     for level in range(1, LEVELS + 1):
+        if hot.isEmpty():
+            break
         rests = written(_rests(hot, edits), f"line-rests-{level}")
         deeper = written(_met(_next_entries(rests, edits)), f"line-met-{level}")
         pairs = pairs.unionAll(deeper.filter("b is not null").select("a", "b"))

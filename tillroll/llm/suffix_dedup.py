@@ -483,6 +483,7 @@ def _hot_ranges(hot: DataFrame) -> DataFrame:
     named = firsts.select(name, F.col("doc_id").alias("d"), F.col("start").alias("a"))
     copies = hot.select(name, "doc_id", "h", F.col("start").alias("s"), (F.col("start") + F.length("frag") - MATCH).alias("e"))
     whole = copies.join(named.hint("merge"), "name").filter("doc_id <> d or s <> a").select("doc_id", "h", "s", "e")
+    whole = written(whole, "suffix-whole-ranges")  # a join of its own: its frequent names can be split
     shared = written(_shared_runs(_second_runs(firsts)), "suffix-shared-again")
     subs = shared.groupBy("doc_id", F.col("pos").alias("start")).agg(F.collect_list(F.struct("sub", "n")).alias("subs"))
     places = written(_window_places(firsts.join(subs.hint("merge"), ["doc_id", "start"])), "suffix-places")
