@@ -268,6 +268,8 @@ def _rests(members: DataFrame, edits: int) -> DataFrame:
 
 
 def _next_entries(rests: DataFrame, edits: int) -> DataFrame:
+    """Segments and probes of the rests, each on the sides that its line had."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
@@ -276,7 +278,7 @@ def _next_entries(rests: DataFrame, edits: int) -> DataFrame:
                     for key, side, _, _ in entries(r["rest"], r["salt"], edits):
                         if side & r["side"]:
                             keys.append(key)
-                            lines.append(r["line"] | side & r["side"])
+                            lines.append(r["id"] | side & r["side"])
                 yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(lines, pa.int64())], names=["key", "line"])
 
     return rests.mapInArrow(run, _ENTRY)
@@ -359,12 +361,17 @@ def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataF
     for level in range(1, LEVELS + 1):
         if hot.isEmpty():
             break
-        rests = written(_rests(hot, edits), f"line-rests-{level}")
+        # A rest is one line under one key; it goes by an id of its own.
+        own = F.xxhash64("salt", "line").bitwiseAND(F.lit(~3)).alias("id")
+        rests = written(_rests(hot, edits).select(own, "salt", "side", "line", "rest"), f"line-rests-{level}")
         deeper = written(_met(_next_entries(rests, edits)), f"line-met-{level}")
-        pairs = pairs.unionAll(deeper.filter("b is not null").select("a", "b"))
-        members = deeper.filter("b is null").select("key", F.col("side").alias("own"), F.col("a").alias("line"))
-        # A member's rest is that of the level above, found again by its key.
-        hot = _with_rest(members, rests, edits)
+        lines = rests.select("id", "line")
+        found = deeper.filter("b is not null").select("a", "b")
+        found = found.join(lines.select(F.col("id").alias("a"), F.col("line").alias("u")), "a")
+        found = found.join(lines.select(F.col("id").alias("b"), F.col("line").alias("v")), "b").filter("u <> v")
+        pairs = pairs.unionAll(found.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")))
+        members = deeper.filter("b is null").select("key", F.col("side").alias("own"), F.col("a").alias("id"))
+        hot = members.join(rests, "id").select("key", "salt", F.col("own").alias("side"), "line", "rest")
     left = hot.select("key", "line").distinct().join(texts, "line")
     sizes = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     left = left.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("full"), F.col("blocks")))
@@ -372,22 +379,6 @@ def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataF
     return _verified(pairs, texts, edits).unionAll(_block_links(left, edits))
 
 
-def _with_rest(members: DataFrame, rests: DataFrame, edits: int) -> DataFrame:
-    """``key, salt, side, line, rest``: members of frequent keys of a level with
-    the rests that made those keys."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [
-                any(k & _WORD == x for x, _, _, _ in entries(r, s, edits))
-                for k, s, r in zip(*(batch.column(c).to_pylist() for c in (0, 1, 4)), strict=True)
-            ]
-            yield batch.filter(pa.array(made, pa.bool_()))
-
-    joined = members.join(rests.select("line", "salt", "rest"), "line").select("key", "salt", F.col("own").alias("side"), "line", "rest")
-    return joined.mapInArrow(run, "key long, salt long, side int, line long, rest string")
-
-
 def removals(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``doc_id, gone``: the removed lines of documents that lose some, as
     ``(line, h)``; docs has ``doc_id`` and ``text``, neither null."""
@@ -400,7 +391,7 @@ def removals(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     nodes = links.join(firsts.select(F.col("digest").alias("u"), F.col("first").alias("fu")), "u").join(
         firsts.select(F.col("digest").alias("v"), F.col("first").alias("fv")), "v"
     )
-    rooted = written(components(nodes.select(F.col("fu").alias("u"), F.col("fv").alias("v")), "line"), "line-components")
+    rooted = components(nodes.select(F.col("fu").alias("u"), F.col("fv").alias("v")), "line")
     stays = classes.join(rooted.withColumnRenamed("node", "first"), "first", "left").select(
         "digest", "n", "first", F.coalesce("root", "first").alias("stay")
     )
