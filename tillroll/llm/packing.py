@@ -17,7 +17,7 @@ input are ignored.
 
 Tokenizing: the vocabulary drops white space and never merges across it, so a
 text's ids are the ids of its blank-separated words; each worker remembers the
-ids of words it has met (about ``WORDS_KEPT`` at most, then it forgets all).
+ids of the words it has met lately (about ``WORDS_KEPT`` at most).
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from tillroll.llm.common import table, written
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-WORDS_KEPT = 600_000
+WORDS_KEPT = 400_000
 # The vocabulary's end-of-text mark and the end of its words.
 _MARK, _MARK_ID = "<|endoftext|>", 49407
 _WORD_END = "</w>"
@@ -57,6 +57,7 @@ class WordEncoder:
         self._ends_word = np.zeros(1 << 16, bool)
         self._ends_word[[i for w, i in vocabulary.items() if w.endswith(_WORD_END)]] = True
         self._known: dict[bytes, bytes] = {}
+        self._before: dict[bytes, bytes] = {}  # what was known before the last turn
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
@@ -115,12 +116,18 @@ class WordEncoder:
             words = raw.lower().split()  # ASCII case and blanks only; the vocabulary ignores both
             split.append(words)
             fresh.update(words)
-        missing = [w for w in fresh if w not in self._known]
-        if len(self._known) + len(missing) > WORDS_KEPT:
-            self._known.clear()
-            missing = list(fresh)
+        if len(self._known) > WORDS_KEPT // 2:  # words not met again since the last turn are forgotten
+            self._before, self._known = self._known, {}
+        known, before = self._known, self._before
+        missing = []
+        for w in fresh:
+            if w not in known:
+                if w in before:
+                    known[w] = before[w]
+                else:
+                    missing.append(w)
         self._learn(missing)
-        look_up = self._known.__getitem__
+        look_up = known.__getitem__
         return [self._ids(t).tobytes() if w is None else b"".join(map(look_up, w)) for t, w in zip(texts, split, strict=True)]
 
 
