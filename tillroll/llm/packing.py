@@ -37,7 +37,7 @@ from tillroll.llm.common import table, written
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-WORDS_KEPT = 400_000
+WORDS_KEPT = 500_000
 # The vocabulary's end-of-text mark and the end of its words.
 _MARK, _MARK_ID = "<|endoftext|>", 49407
 _WORD_END = "</w>"
