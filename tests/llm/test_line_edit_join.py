@@ -29,7 +29,7 @@ def test_banded_distance(a, b, k):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text("ab", min_size=3, max_size=16), st.lists(st.tuples(st.integers(0, 2), st.integers(0, 16), st.sampled_from("abc")), max_size=2))
+@given(st.text("abé𝄞", min_size=3, max_size=16), st.lists(st.tuples(st.integers(0, 2), st.integers(0, 16), st.sampled_from("abc")), max_size=2))
 def test_segments_lose_no_pair(a, edits):
     b = a
     for kind, at, c in edits:
@@ -39,6 +39,8 @@ def test_segments_lose_no_pair(a, edits):
     index = {k for k, s, _, _ in le.entries(other) if s & le.INDEX}
     probe = {k for k, s, _, _ in le.entries(longer) if s & le.PROBE}
     assert index & probe
+    differ = le.parities(longer, longer.encode()) ^ le.parities(other, other.encode())
+    assert differ.bit_count() <= 2 * le.EDITS
 
 
 def brute(rows, edits=le.EDITS):
@@ -94,7 +96,7 @@ def test_query(spark):
     assert out == brute(rows)
 
 
-@pytest.mark.parametrize("pairs,levels", [(64, 3), (4, 3), (4, 1)])
+@pytest.mark.parametrize("pairs,levels", [(4096, 3), (4, 3), (4, 1)])
 def test_frequent_segments(spark, monkeypatch, pairs, levels):
     """Keys shared by many lines go through deeper levels and blocks; same result."""
     monkeypatch.setattr(le, "PAIRS", pairs)

@@ -10,7 +10,8 @@ The join: a line of length l is cut into ``EDITS + 1`` segments; a line within t
 distance must contain one of them unchanged, at a position and for lengths that
 differ by at most ``EDITS`` (multi-match-aware windows).  Every class sends its
 segments (index) and, for each length it may meet, its windows (probes) under a
-64-bit key; equal keys make candidates, verified by a banded bit-parallel edit
+64-bit key; equal keys make candidates unless their character parities differ in
+more places than ``EDITS`` edits can change, verified by a banded bit-parallel edit
 distance on the texts.
 
 A key that many classes share (``PAIRS`` and more index-probe pairs) makes no pairs:
@@ -43,12 +44,13 @@ from tillroll.llm.common import components, rows_as_struct, run_bounds, table, w
 # Production parameters.
 EDITS = 2
 MIN_CHARS = 24
-PAIRS = 64  # index-probe pairs from which a key is cut further
+PAIRS = 4096  # index-probe pairs from which a key is cut further
 LEVELS = 3
 BLOCK = 256
 INDEX, PROBE = 1, 2
-_WORD = 0xFFFFFFFFFFFFFFFF
+_WORD, _HALF = 0xFFFFFFFFFFFFFFFF, 0xFFFFFFFF
 _hash = xxhash.xxh64_intdigest
+_BIT = np.uint32(1) << (np.arange(256, dtype=np.uint32) & np.uint32(31))
 _BLANK = " \t\x0b\f\r"
 
 
@@ -62,11 +64,20 @@ def digest(line: str) -> bytes:
     return xxhash.xxh3_128_digest(line.encode())
 
 
-def short(full: bytes) -> int:
-    """The first eight bytes of a digest as a long whose two low bits are free for
-    the side; candidates meet under it and are verified on their texts, so a
-    clash costs a comparison only."""
-    return int.from_bytes(full[:8], "big", signed=True) & ~3
+def parities(line: str, raw: bytes) -> int:
+    """32 bits: of each residue of code points modulo 32, whether its count is odd.
+    An edit changes at most two of them."""
+    points = np.frombuffer(raw, np.uint8) if len(raw) == len(line) else np.frombuffer(line.encode("utf-32-le"), np.uint32) & 31
+    return int(np.bitwise_xor.reduce(_BIT[points])) if len(points) else 0
+
+
+def short(line: str) -> int:
+    """A line's id as a long: its parities, 30 bits of its digest, and two low bits
+    that are free for the side.  Candidates meet under it and are verified on their
+    texts, so a clash costs a comparison only."""
+    raw = line.encode()
+    low = int.from_bytes(xxhash.xxh3_128_digest(raw)[:4], "big") & ~3
+    return (parities(line, raw) << 32 | low) - (1 << 63)
 
 
 def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
@@ -159,13 +170,13 @@ def within(a: str, b: str, edits: int = EDITS) -> bool:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id, line, digest, h`` of every non-blank line; h is Spark's
+    """``doc_id, line, digest, h, short`` of every non-blank line; h is Spark's
     xxhash64 of the line, by which a removal is checked against the text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
-                ids, at, full, h = [], [], [], []
+                ids, at, full, h, own = [], [], [], [], []
                 part = batch.slice(k, 512)
                 for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     for n, line in lines_of(text):
@@ -173,13 +184,14 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                         ids.append(i)
                         at.append(n)
                         full.append(xxhash.xxh3_128_digest(raw))
+                        own.append(short(line) if len(line) >= MIN_CHARS else 0)
                         h.append(xxhash.xxh64_intdigest(raw, seed=42))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(at, pa.int32()), pa.array(full, pa.binary()), pa.array(np.array(h, np.uint64).view(np.int64))],
-                    names=["doc_id", "line", "digest", "h"],
+                    [pa.array(ids, pa.int64()), pa.array(at, pa.int32()), pa.array(full, pa.binary()), _signed(h), pa.array(own, pa.int64())],
+                    names=["doc_id", "line", "digest", "h", "short"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, line int, digest binary, h long")
+    return docs.mapInArrow(run, "doc_id long, line int, digest binary, h long, short long")
 
 
 _ENTRY = "key long, line long"  # the side is in the low bits of the line
@@ -197,7 +209,7 @@ def _first_entries(docs: DataFrame, edits: int) -> DataFrame:
                     for line in text.split("\n"):
                         if len(line) < MIN_CHARS or not line.strip(_BLANK):
                             continue
-                        own = short(digest(line))
+                        own = short(line)
                         if own in seen:
                             continue
                         seen.add(own)
@@ -209,10 +221,12 @@ def _first_entries(docs: DataFrame, edits: int) -> DataFrame:
     return docs.mapInArrow(run, _ENTRY)
 
 
-def _met(all_entries: DataFrame) -> DataFrame:
-    """Candidates ``(a, b)`` of each key, or for a frequent key its members
+def _met(all_entries: DataFrame, edits: int) -> DataFrame:
+    """Candidates ``(a, b)`` of each key -- lines whose parities are close enough -- or for a frequent key its members
     ``(key, side, a)`` with b null."""
 
+    most = 2 * edits
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, "key"):
             key = group.column("key").to_numpy()
@@ -236,7 +250,7 @@ def _met(all_entries: DataFrame) -> DataFrame:
                         out_b += [None] * len(own)
                         out_k += [int(key[s])] * len(own)
                         continue
-                    pairs = {(min(i, p), max(i, p)) for i in index for p in probe if i != p}
+                    pairs = {(min(i, p), max(i, p)) for i in index for p in probe if i != p and ((i ^ p) >> 32 & _HALF).bit_count() <= most}
                     out_a += [a for a, _ in pairs]
                     out_b += [b for _, b in pairs]
                     out_k += [0] * len(pairs)
@@ -352,7 +366,7 @@ def _texts(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
 
 def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataFrame:
     """Verified links ``(u, v)`` between digests of different lines."""
-    met = written(_met(_first_entries(docs, edits)), "line-met")
+    met = written(_met(_first_entries(docs, edits), edits), "line-met")
     ids = met.select(F.col("a").alias("line")).unionAll(met.filter("b is not null").select("b"))
     texts = written(_texts(ids, classes, docs), "line-texts")
     pairs = met.filter("b is not null").select("a", "b")
@@ -362,9 +376,10 @@ def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataF
         if hot.isEmpty():
             break
         # A rest is one line under one key; it goes by an id of its own.
-        own = F.xxhash64("salt", "line").bitwiseAND(F.lit(~3)).alias("id")
+        low = F.xxhash64("salt", "line").bitwiseAND(F.lit(0xFFFFFFFC))
+        own = F.col("line").bitwiseAND(F.lit(~0xFFFFFFFF)).bitwiseOR(low).alias("id")  # the line's parities stay
         rests = written(_rests(hot, edits).select(own, "salt", "side", "line", "rest"), f"line-rests-{level}")
-        deeper = written(_met(_next_entries(rests, edits)), f"line-met-{level}")
+        deeper = written(_met(_next_entries(rests, edits), edits), f"line-met-{level}")
         lines = rests.select("id", "line")
         found = deeper.filter("b is not null").select("a", "b")
         found = found.join(lines.select(F.col("id").alias("a"), F.col("line").alias("u")), "a")
@@ -383,9 +398,8 @@ def removals(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``doc_id, gone``: the removed lines of documents that lose some, as
     ``(line, h)``; docs has ``doc_id`` and ``text``, neither null."""
     seen = written(_occurrences(docs), "line-occurrences")
-    classes = seen.groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"))
-    head = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")
-    classes = written(classes.withColumn("line", head.bitwiseAND(F.lit(~3))), "line-classes")
+    classes = seen.groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("short").alias("line"))
+    classes = written(classes, "line-classes")
     links = written(near_links(docs, classes, edits), "line-links")
     firsts = classes.select("digest", "first")
     nodes = links.join(firsts.select(F.col("digest").alias("u"), F.col("first").alias("fu")), "u").join(
