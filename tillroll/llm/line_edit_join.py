@@ -353,7 +353,7 @@ def _texts(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     from the documents that hold their first occurrence."""
     places = ids.distinct().join(classes.select("line", "digest", "first.doc_id", F.col("first.line").alias("at")), "line")
     by_doc = written(places.groupBy("doc_id").agg(F.collect_list(F.struct("at", "line", "digest")).alias("wanted")), "line-places")
-    held = docs.join(by_doc, "doc_id").select(F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
+    held = docs.join(by_doc.hint("merge"), "doc_id").select(F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
     found = held.select("w.line", F.col("w.digest").alias("full"), F.element_at("lines", F.col("w.at") + 1).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,7 +422,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edi
     gone = written(removals(used, edits), "line-removals")
     lines = F.split("text", "\n", -1)
     stays = F.filter(lines, lambda x, k: ~F.array_contains("gone", F.struct(k.alias("line"), F.xxhash64(x).alias("h"))))
-    cut = rows.join(gone, "doc_id", "left").withColumn("kept", F.when(F.col("gone").isNotNull(), stays))
+    cut = rows.join(gone.hint("merge"), "doc_id", "left").withColumn("kept", F.when(F.col("gone").isNotNull(), stays))
     # A non-blank line is its first non-blank character and what follows.
     n_lines = F.coalesce(F.regexp_count("text", F.lit(r"[^ \t\x0B\f\r\n][^\n]*+")), F.lit(0))
     return cut.select(
