@@ -131,3 +131,26 @@ def test_null_ids_repeats_and_empty(spark):
     out = sorted(((r.row.doc_id, r.text, r.n_removed) for r in le.dedup_lines(df).collect()), key=repr)
     assert out == sorted([(None, line, 0), (2, line, 0), (2, line, 0), (3, "", 1), (3, "other\nsecond", 0)], key=repr)
     assert le.dedup_lines(df.limit(0)).collect() == []
+
+
+def test_lines_of_equal_parities_keep_their_own_ids(spark):
+    """Two lines of the same letters whose digests begin with the same 30 bits."""
+    rnd, seen, twins = random.Random(7), {}, None
+    letters = list("0123456789" * 4)
+    while twins is None:
+        rnd.shuffle(letters)
+        line = "".join(letters)
+        other = seen.setdefault(int.from_bytes(le.digest(line)[:4], "big") & ~3, line)
+        twins = (other, line) if other != line else None
+    a, b = twins
+    rows = [(1, f"{a}\n{b}"), (2, b[:5] + "x" + b[6:]), (3, a[:5] + "x" + a[6:])]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_lines_under_one_id(spark, monkeypatch):
+    """Lines that share an id and a frequent key cost no run."""
+    monkeypatch.setattr(le, "short", lambda raw, f=le.short: f(raw) & 15)
+    monkeypatch.setattr(le, "PAIRS", 4)
+    rows = [(i, f"the common beginning of a line that many share, number {i * 37:04d}") for i in range(60)]
+    rows += [(100 + i, f"{i * 41:04d} is the number before the common end of lines of this length") for i in range(60)]
+    assert set(run(spark, rows)) == {i for i, _ in rows}

@@ -48,9 +48,9 @@ PAIRS = 4096  # index-probe pairs from which a key is cut further
 LEVELS = 3
 BLOCK = 256
 INDEX, PROBE = 1, 2
-_WORD, _HALF = 0xFFFFFFFFFFFFFFFF, 0xFFFFFFFF
+_WORD = 0xFFFFFFFFFFFFFFFF
 _hash = xxhash.xxh64_intdigest
-_BIT = np.uint32(1) << (np.arange(256, dtype=np.uint32) & np.uint32(31))
+_BIT = np.uint32(1) << (np.arange(256, dtype=np.uint32) & np.uint32(31)) % np.uint32(29)
 _BLANK = " \t\x0b\f\r"
 
 
@@ -65,19 +65,15 @@ def digest(line: str) -> bytes:
 
 
 def parities(line: str, raw: bytes) -> int:
-    """32 bits: of each residue of code points modulo 32, whether its count is odd.
-    An edit changes at most two of them."""
+    """29 bits: of each class of code points (modulo 32, then 29), whether its count
+    is odd.  An edit changes at most two of them."""
     points = np.frombuffer(raw, np.uint8) if len(raw) == len(line) else np.frombuffer(line.encode("utf-32-le"), np.uint32) & 31
     return int(np.bitwise_xor.reduce(_BIT[points])) if len(points) else 0
 
 
-def short(line: str) -> int:
-    """A line's id as a long: its parities, 30 bits of its digest, and two low bits
-    that are free for the side.  Candidates meet under it and are verified on their
-    texts, so a clash costs a comparison only."""
-    raw = line.encode()
-    low = int.from_bytes(xxhash.xxh3_128_digest(raw)[:4], "big") & ~3
-    return (parities(line, raw) << 32 | low) - (1 << 63)
+def short(raw: bytes) -> int:
+    """A line's id as a long: 64 bits of its digest, none of its parities."""
+    return int.from_bytes(xxhash.xxh3_128_digest(raw)[:8], "big", signed=True)
 
 
 def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
@@ -184,7 +180,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                         ids.append(i)
                         at.append(n)
                         full.append(xxhash.xxh3_128_digest(raw))
-                        own.append(short(line) if len(line) >= MIN_CHARS else 0)
+                        own.append(short(raw) if len(line) >= MIN_CHARS else 0)
                         h.append(xxhash.xxh64_intdigest(raw, seed=42))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(at, pa.int32()), pa.array(full, pa.binary()), _signed(h), pa.array(own, pa.int64())],
@@ -194,7 +190,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, line int, digest binary, h long, short long")
 
 
-_ENTRY = "key long, line long"  # the side is in the low bits of the line
+_ENTRY = "key long, line long, mark int"  # mark: parities, then two bits for the side
 
 
 def _first_entries(docs: DataFrame, edits: int) -> DataFrame:
@@ -204,33 +200,38 @@ def _first_entries(docs: DataFrame, edits: int) -> DataFrame:
         seen: set[int] = set()
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
-                keys, lines = [], []
+                keys, lines, marks = [], [], []
                 for text in batch.column(1).slice(k, 256).to_pylist():
                     for line in text.split("\n"):
                         if len(line) < MIN_CHARS or not line.strip(_BLANK):
                             continue
-                        own = short(line)
+                        raw = line.encode()
+                        own = short(raw)
                         if own in seen:
                             continue
                         seen.add(own)
-                        for key, side, _, _ in entries(line, 0, edits):
-                            keys.append(key)
-                            lines.append(own | side)
-                yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(lines, pa.int64())], names=["key", "line"])
+                        mark = parities(line, raw) << 2
+                        found = entries(line, 0, edits)
+                        keys += [key for key, _, _, _ in found]
+                        marks += [mark | side for _, side, _, _ in found]
+                        lines += [own] * len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(keys), pa.array(lines, pa.int64()), pa.array(marks, pa.int32())], names=["key", "line", "mark"]
+                )
 
     return docs.mapInArrow(run, _ENTRY)
 
 
 def _met(all_entries: DataFrame, edits: int) -> DataFrame:
     """Candidates ``(a, b)`` of each key -- lines whose parities are close enough -- or for a frequent key its members
-    ``(key, side, a)`` with b null."""
+    ``(key, side, a)`` with b null; side is the mark, parities included."""
 
     most = 2 * edits
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, "key"):
             key = group.column("key").to_numpy()
-            line = group.column("line").to_numpy()
+            line, mark = group.column("line").to_numpy(), group.column("mark").to_numpy()
             same = np.flatnonzero(key[1:] == key[:-1])
             out_a, out_b, out_k, out_s = [], [], [], []
             if len(same):
@@ -238,10 +239,10 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
                 ends = np.searchsorted(key, key[starts], "right")
                 for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
                     own: dict[int, int] = {}
-                    for x in line[s:e].tolist():
-                        own[x & ~3] = own.get(x & ~3, 0) | x & 3
-                    index = [i for i, x in own.items() if x & INDEX]
-                    probe = [i for i, x in own.items() if x & PROBE]
+                    for x, m in zip(line[s:e].tolist(), mark[s:e].tolist(), strict=True):
+                        own[x] = own.get(x, 0) | m
+                    index = [(i, m >> 2) for i, m in own.items() if m & INDEX]
+                    probe = [(i, m >> 2) for i, m in own.items() if m & PROBE]
                     if len(own) < 2 or not index:
                         continue
                     if len(index) * len(probe) >= PAIRS:
@@ -250,7 +251,7 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
                         out_b += [None] * len(own)
                         out_k += [int(key[s])] * len(own)
                         continue
-                    pairs = {(min(i, p), max(i, p)) for i in index for p in probe if i != p and ((i ^ p) >> 32 & _HALF).bit_count() <= most}
+                    pairs = {(i, p) if i < p else (p, i) for i, x in index for p, y in probe if i != p and (x ^ y).bit_count() <= most}
                     out_a += [a for a, _ in pairs]
                     out_b += [b for _, b in pairs]
                     out_k += [0] * len(pairs)
@@ -266,34 +267,40 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
 
 def _rests(members: DataFrame, edits: int) -> DataFrame:
     """The rest of each member of a frequent key, with the key as salt:
-    ``salt, side, line, rest``."""
+    ``salt, side, line, rest``.  Two lines under one id have both texts here; the
+    one that does not hold the key has no rest under it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rests = []
+            rests, held = [], []
             for key, salt, text in zip(*(batch.column(k).to_pylist() for k in (0, 1, 4)), strict=True):
-                start, n = next((at, n) for k, _, at, n in entries(text, salt, edits) if k == key & _WORD)
-                rests.append(f"{text[:start]}\0{text[start + n:]}")
+                at, n = next(((at, n) for k, _, at, n in entries(text, salt, edits) if k == key & _WORD), (-1, 0))
+                held.append(at >= 0)
+                rests.append(f"{text[:at]}\0{text[at + n:]}" if at >= 0 else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), batch.column(3), pa.array(rests, pa.string())], names=["salt", "side", "line", "rest"]
-            )
+            ).filter(pa.array(held, pa.bool_()))
 
     return members.select("key", "salt", "side", "line", "rest").mapInArrow(run, "salt long, side int, line long, rest string")
 
 
 def _next_entries(rests: DataFrame, edits: int) -> DataFrame:
-    """Segments and probes of the rests, each on the sides that its line had."""
+    """Segments and probes of the rests, each on the sides that its line had.  Their
+    parities are those of the line: what was cut out is the same in all."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
-                keys, lines = [], []
+                keys, lines, marks = [], [], []
                 for r in batch.slice(k, 256).to_pylist():
                     for key, side, _, _ in entries(r["rest"], r["salt"], edits):
-                        if side & r["side"]:
+                        if side & r["side"] & 3:
                             keys.append(key)
-                            lines.append(r["id"] | side & r["side"])
-                yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(lines, pa.int64())], names=["key", "line"])
+                            lines.append(r["id"])
+                            marks.append(r["side"] & (side | ~3))
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(keys), pa.array(lines, pa.int64()), pa.array(marks, pa.int32())], names=["key", "line", "mark"]
+                )
 
     return rests.mapInArrow(run, _ENTRY)
 
@@ -376,8 +383,7 @@ def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataF
         if hot.isEmpty():
             break
         # A rest is one line under one key; it goes by an id of its own.
-        low = F.xxhash64("salt", "line").bitwiseAND(F.lit(0xFFFFFFFC))
-        own = F.col("line").bitwiseAND(F.lit(~0xFFFFFFFF)).bitwiseOR(low).alias("id")  # the line's parities stay
+        own = F.xxhash64("salt", "line").alias("id")
         rests = written(_rests(hot, edits).select(own, "salt", "side", "line", "rest"), f"line-rests-{level}")
         deeper = written(_met(_next_entries(rests, edits), edits), f"line-met-{level}")
         lines = rests.select("id", "line")
