@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillroll.llm import adaptive_quality, chat_grammar, duckdb_bpe, html_wrappers, kmeans_tree, line_edit_join, minhash_forest, packing, suffix_dedup, temperature_mix, warc_transactions
+from tillroll.llm import adaptive_quality, anchor_lists, chat_grammar, duckdb_bpe, html_wrappers, kmeans_tree, line_edit_join, minhash_forest, packing, suffix_dedup, temperature_mix, warc_transactions
 
 QUERIES = {
     "op1_minhash_forest": minhash_forest.query,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_line_edit_join": line_edit_join.query,
     "op12_duckdb_bpe": duckdb_bpe.query,
+    "op13_anchor_lists": anchor_lists.query,
 }
 
 ORACLE = {
     "op2_warc_transactions": warc_transactions.SQL,
     "op5_chat_grammar": chat_grammar.SQL,
     "op8_adaptive_quality": adaptive_quality.SQL,
+    "op13_anchor_lists": anchor_lists.SQL,
 }
