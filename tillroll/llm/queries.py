@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillroll.llm import adaptive_quality, anchor_lists, chat_grammar, duckdb_bpe, html_wrappers, kmeans_tree, line_edit_join, minhash_forest, packing, suffix_dedup, temperature_mix, warc_transactions
+from tillroll.llm import adaptive_quality, anchor_lists, chat_grammar, duckdb_bpe, html_wrappers, kmeans_tree, line_edit_join, minhash_forest, packing, phrase_automata, suffix_dedup, temperature_mix, warc_transactions
 
 QUERIES = {
     "op1_minhash_forest": minhash_forest.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_adaptive_quality": adaptive_quality.query,
     "op9_suffix_dedup": suffix_dedup.query,
     "op10_line_edit_join": line_edit_join.query,
+    "op11_phrase_automata": phrase_automata.query,
     "op12_duckdb_bpe": duckdb_bpe.query,
     "op13_anchor_lists": anchor_lists.query,
 }
@@ -23,5 +24,6 @@ ORACLE = {
     "op2_warc_transactions": warc_transactions.SQL,
     "op5_chat_grammar": chat_grammar.SQL,
     "op8_adaptive_quality": adaptive_quality.SQL,
+    "op11_phrase_automata": phrase_automata.SQL,
     "op13_anchor_lists": anchor_lists.SQL,
 }
