@@ -5,8 +5,9 @@ carry weights (``CountAutomaton``): the weight of the state that a phrase leads
 is the phrase's count, and states with equal weight and equal arcs are one state.
 
 1. Range bounds: phrases are ordered by language and words, and the order is cut
-   into one prefix range per shuffle partition, at quantiles of a bounded sample of
-   word positions.  They decide which task holds a phrase, not what is found.
+   into ``RANGES_PER_PARTITION`` prefix ranges per shuffle partition, at quantiles of
+   a bounded sample of word positions.  They decide where a phrase is held, not what
+   is found.
 2. Shards: every task counts the n-grams of blocks of ``BLOCK_TOKENS`` words, sorts
    them, and builds an automaton per range from them, incrementally: a state is
    closed and looked up in the register once the sorted phrases have passed it.
@@ -33,9 +34,10 @@ are ignored.
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +54,8 @@ FIRST = 2000
 SCORE_UNIT = 1_000_000
 BLOCK_TOKENS = 1_500_000
 CHUNK_BYTES = 1 << 22
-SAMPLES_PER_RANGE = 32
+RANGES_PER_PARTITION = 4
+SAMPLES_PER_RANGE = 16
 # Word ids of a block have 21 bits in its sort keys; phrases have three words at most.
 _BITS = 21
 _MASK = (1 << _BITS) - 1
@@ -80,41 +83,59 @@ class CountAutomaton:
 
     @classmethod
     def build(cls, vocabulary: list[bytes], phrases: np.ndarray, weights: np.ndarray) -> CountAutomaton:
-        """From phrases in order: rows of word numbers from 1 on, zeros behind the end."""
-        used = np.unique(phrases[phrases > 0])
-        words = [vocabulary[k - 1] for k in used.tolist()]
-        local = np.where(phrases > 0, np.searchsorted(used, phrases), 0)
-        length = (phrases > 0).sum(axis=1)
-        shared = np.zeros(len(phrases), np.int64)
-        same = np.ones(max(0, len(phrases) - 1), bool)
-        for k in range(LONGEST):
-            same &= (phrases[1:, k] == phrases[:-1, k]) & (phrases[1:, k] > 0)
-            shared[1:] += same
-        register: dict[tuple, int] = {}
-        open_arcs: list[list[int]] = [[] for _ in range(LONGEST + 1)]
-        open_weight, path, depth = [0] * (LONGEST + 1), [0] * (LONGEST + 1), 0
-
-        def close(to: int, depth: int) -> None:
-            for d in range(depth, to, -1):
-                state = register.setdefault((open_weight[d], *open_arcs[d]), len(register))
-                open_arcs[d - 1] += (path[d], state)
-
-        for row, weight, n, common in zip(local.tolist(), weights.tolist(), length.tolist(), shared.tolist(), strict=True):
-            if depth > common:
-                close(common, depth)
-            for d in range(common + 1, n + 1):
-                path[d], open_arcs[d], open_weight[d] = row[d - 1], [], 0
-            open_weight[n], depth = weight, n
-        close(0, depth)
-        register.pop(root := (0, *open_arcs[0]), None)
-        register[root] = len(register)
-        flat = np.fromiter(chain.from_iterable(register), np.int64)
-        sizes = np.fromiter(map(len, register), np.int64, len(register))
-        first = np.cumsum(sizes) - sizes
-        is_arc = np.ones(len(flat), bool)
-        is_arc[first] = False
-        start = np.concatenate([[0], np.cumsum((sizes - 1) // 2)])
-        return cls(words, flat[first], start, flat[is_arc].reshape(-1, 2))
+        """From phrases in order: rows of word numbers from 1 on, zeros behind the end.
+
+        Once the phrases have passed a prefix its state is closed: it is the state of
+        the register with that weight and those arcs, or a new one.  States behind
+        three words have no arcs and are told apart by weight alone.
+        """
+        used = np.flatnonzero(np.bincount(phrases.ravel(), minlength=1)[1:])
+        words = [vocabulary[k] for k in used.tolist()]
+        number = np.zeros(len(vocabulary) + 1, np.int32)
+        number[used + 1] = np.arange(len(used))
+        first, second, third = (number[phrases[:, k]] for k in range(LONGEST))
+        long, short = phrases[:, 2] > 0, phrases[:, 1] == 0
+        leaf_weight, leaf = np.unique(weights[long], return_inverse=True)
+        arcs3 = np.stack([third[long], leaf], axis=1).astype("<i4")
+        raw = arcs3.tobytes()
+        # runs of equal first two words, and of equal first words
+        new_first, new_pair = np.ones((2, len(phrases)), bool)
+        new_first[1:] = phrases[1:, 0] != phrases[:-1, 0]
+        new_pair[1:] = (phrases[1:, 1] != phrases[:-1, 1]) | new_first[1:]
+        pair = np.flatnonzero(new_pair & ~short)
+        before = np.concatenate([[0], np.cumsum(long)])
+        own = np.where(long[pair], 0, weights[pair])  # an entry of its own stands before those that extend it
+        ends = before[np.append(pair, len(phrases))[1:]]
+        opens = np.flatnonzero(new_first)
+        alone = np.where(short[opens], weights[opens], 0)
+        of_first = np.searchsorted(pair, np.append(opens, len(phrases))).tolist()
+
+        register: dict[tuple[int, bytes], int] = {(w, b""): k for k, w in enumerate(leaf_weight.tolist())}
+        state_weight, begin, end = leaf_weight.tolist(), [0] * len(leaf_weight), [0] * len(leaf_weight)
+
+        def closed(weight: int, arcs: bytes, a: int, z: int) -> int:
+            state = register.setdefault((weight, arcs), len(state_weight))
+            if state == len(state_weight):
+                state_weight.append(weight)
+                begin.append(a)
+                end.append(z)
+            return state
+
+        arcs2, root = array("i"), array("i")
+        pairs = zip(own.tolist(), before[pair].tolist(), ends.tolist(), second[pair].tolist(), strict=True)
+        for symbol, weight, a, z in zip(first[opens].tolist(), alone.tolist(), of_first[:-1], of_first[1:], strict=True):
+            for w, s, e, word in islice(pairs, z - a):
+                arcs2.append(word)
+                arcs2.append(closed(w, raw[8 * s : 8 * e], s, e))
+            root.append(symbol)
+            root.append(closed(weight, arcs2[2 * a :].tobytes(), len(arcs3) + a, len(arcs3) + z))
+        state_weight.append(0)
+        arcs = np.concatenate([arcs3.ravel(), np.array(arcs2, "<i4"), np.array(root, "<i4")]).reshape(-1, 2)
+        begin.append(len(arcs) - len(root) // 2)
+        end.append(len(arcs))
+        sizes = np.array(end) - begin
+        start = np.concatenate([[0], np.cumsum(sizes)])
+        return cls(words, np.array(state_weight, np.int64), start, arcs[np.repeat(begin - start[:-1], sizes) + np.arange(start[-1])])
 
     def columns(self) -> tuple[bytes, bytes, bytes, bytes]:
         arcs = np.stack([self.word, self.to], axis=1).astype("<i4")
@@ -280,7 +301,7 @@ _BYTES = [pa.binary()] * 4
 def range_bounds(docs: DataFrame) -> list[Bound]:
     """Language, first and second word where ranges start.  Positions are sampled by
     an exponential race in which a text's share is its length."""
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = F.length("text")
     draw = (F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40)) + 0.5) / float(1 << 40)
     at = F.pmod(F.xxhash64(F.lit(1), "text"), F.greatest(size - 200, F.lit(1))) + 1
