@@ -56,6 +56,7 @@ BLOCK_TOKENS = 1_500_000
 CHUNK_BYTES = 1 << 22
 RANGES_PER_PARTITION = 4
 SAMPLES_PER_RANGE = 16
+SAMPLE_CHARS = 100
 # Word ids of a block have 21 bits in its sort keys; phrases have three words at most.
 _BITS = 21
 _MASK = (1 << _BITS) - 1
@@ -299,19 +300,16 @@ _BYTES = [pa.binary()] * 4
 
 
 def range_bounds(docs: DataFrame) -> list[Bound]:
-    """Language, first and second word where ranges start.  Positions are sampled by
-    an exponential race in which a text's share is its length."""
+    """Language, first and second word where ranges start.  Texts are drawn with the
+    chance of their length, so about ``SAMPLES_PER_RANGE`` a range come to the driver."""
     ranges = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = F.length("text")
-    draw = (F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40)) + 0.5) / float(1 << 40)
-    at = F.pmod(F.xxhash64(F.lit(1), "text"), F.greatest(size - 200, F.lit(1))) + 1
-    sample = (
-        docs.filter(size > 0)
-        .select("lang", F.substring("text", at.cast("int"), F.lit(200)).alias("near"), (-F.log(draw) / size).alias("turn"))
-        .orderBy("turn").limit(SAMPLES_PER_RANGE * ranges).select("lang", "near").collect()
-    )
+    sized = docs.withColumn("size", F.length("text"))
+    total = sized.agg(F.sum("size")).first()[0] or 0
+    drawn = sized.filter(F.rand(11) * F.lit(total) < F.col("size") * F.lit(SAMPLES_PER_RANGE * ranges))
+    at = (F.rand(12) * F.greatest(F.col("size") - SAMPLE_CHARS, F.lit(0))).cast("int") + 1
+    sample = drawn.select("lang", F.substring("text", at, F.lit(SAMPLE_CHARS)).alias("near")).collect()
     words = [(r.lang, r.near.encode().translate(_NORMAL).replace(b"\n", b" ").split()) for r in sample]
-    places = sorted((lang, w[len(w) // 2], w[len(w) // 2 + 1]) for lang, w in words if len(w) > 3)
+    places = sorted((lang, w[len(w) // 2 - 1], w[len(w) // 2]) for lang, w in words if len(w) > 3)
     return sorted({places[len(places) * k // ranges] for k in range(1, ranges)}) if places else []
 
 
