@@ -54,6 +54,7 @@ def test_long_words(coder, tiktoken_own, monkeypatch, long_word):
     """The shortcuts of long words change no id, also where they are used for all words."""
     monkeypatch.setattr(duckdb_bpe, "LONG_WORD", long_word)
     coder._known.clear()
+    coder._older.clear()
     rng = np.random.default_rng(5)
     letters = np.array(list("abcdeghinorstuABCX0123456789=-_éßñ中文д"))
     texts = ["a" * 30_000, "=" * 5001 + "-=" * 3000, "ab" * 4000 + "a", "ééé" * 2000, "​" * 999, " " * 5000, "\n\n \n" * 300]
@@ -65,6 +66,8 @@ def test_bounds_change_nothing(coder, tiktoken_own, monkeypatch):
     """Small queries, slices and a small memory of words give the same ids and bytes."""
     for name, value in {"QUERY_BYTES": 50, "QUERY_TOKENS": 7, "WORDS_KEPT": 3}.items():
         monkeypatch.setattr(duckdb_bpe, name, value)
+    coder._known.clear()
+    coder._older.clear()
     texts = ["", "one two three four " * 20, "x", "Überraschung größer als naïve", "", "tail"]
     got = list(coder.encode(texts))
     assert [g.tolist() for g in got] == [tiktoken_own.encode_ordinary(t) for t in texts]

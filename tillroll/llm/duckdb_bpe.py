@@ -1,9 +1,9 @@
 """Operator 12: byte-level BPE encoding and decoding.
 
-Every task opens a DuckDB database of its own in memory (one thread, a fixed
-memory limit, no files, no port) holding the vocabulary and the merge table: all
-pairs of tokens whose bytes together are a token.  The words of the task that
-were not met lately are laid out as rows (word, position, token), one per byte.  A
+Every Python worker opens a DuckDB database of its own in memory (one thread, a
+fixed memory limit, no files, no port) holding the vocabulary and the merge table: all
+pairs of tokens whose bytes together are a token.  The words that the worker
+has not met lately are laid out as rows (word, position, token), one per byte.  A
 recursive query joins neighbouring rows with the merge table and contracts each
 word's leftmost pair of minimum rank; words without such a pair leave the working
 table, which ends at the fixpoint.  Decoding joins token rows with the vocabulary
@@ -16,7 +16,7 @@ can cross), and all occurrences of the minimum pair are contracted in one step i
 no pair of lower rank can arise from it (no token of lower rank starts or ends with
 the merged one); otherwise the leftmost one only.
 
-Bounds: a task holds the ids of ``WORDS_KEPT`` words, and a query gets
+Bounds: a worker holds the ids of about ``WORDS_KEPT`` words, and a query gets
 ``QUERY_BYTES`` bytes of words or ``QUERY_TOKENS`` tokens (one word of any length
 at least).  Longer id lists are decoded in slices.
 
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +42,15 @@ from tillroll.llm.common import rows_as_struct, table, text_of
 
 # Production parameters.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-WORDS_KEPT = 200_000
-QUERY_BYTES = 1_000_000
+WORDS_KEPT = 400_000
+QUERY_BYTES = 500_000
 QUERY_TOKENS = 500_000
 LONG_WORD = 64
 MEMORY_LIMIT = "400MB"
 
 #: Contract the leftmost pair of minimum rank of each word, until no word has one.
-#: A row that a contraction has swallowed keeps its key and loses its token.
+#: A row that a contraction has swallowed keeps its key and loses its token.  Rank
+#: and both positions (below 128 here) are compared as one number.
 CONTRACT = """
 WITH RECURSIVE run(w, pos, tok) USING KEY (w, pos) AS (
     SELECT w, pos, tok FROM base
@@ -58,10 +60,10 @@ WITH RECURSIVE run(w, pos, tok) USING KEY (w, pos) AS (
         FROM run WHERE tok IS NOT NULL
         WINDOW word AS (PARTITION BY w ORDER BY pos)
     ), least AS (
-        SELECT w, min(row(merged, pos, nxt_pos)) AS m
+        SELECT w, min((merged::BIGINT << 14) + (pos << 7) + nxt_pos) AS m
         FROM pair JOIN merge ON l = tok AND r = nxt GROUP BY w
     )
-    SELECT w, pos, CASE pos WHEN m[2] THEN m[1] WHEN m[3] THEN NULL ELSE tok END
+    SELECT w, pos, CASE pos WHEN (m >> 7) & 127 THEN (m >> 14)::INTEGER WHEN m & 127 THEN NULL ELSE tok END
     FROM run JOIN least USING (w) WHERE tok IS NOT NULL)
 )
 SELECT w, tok FROM run WHERE tok IS NOT NULL ORDER BY w, pos
@@ -108,7 +110,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class DuckBpe:
-    """The vocabulary, its merge table and the words met lately, of one task."""
+    """The vocabulary, its merge table and the words met lately."""
 
     def __init__(self, path: str, pattern: str):
         import duckdb
@@ -120,6 +122,7 @@ class DuckBpe:
         self._con.register("v", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
         self._con.execute("CREATE TABLE vocabulary AS SELECT * FROM v")
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}  # what was known before the last turn
         self._ready = False
 
     def _prepare(self) -> None:
@@ -195,13 +198,16 @@ class DuckBpe:
         """The ids of each text; new words of many texts go into one query."""
         at = 0
         while at < len(texts):
-            if len(self._known) > WORDS_KEPT:
-                self._known = {}
-            split, fresh, size = [], {}, 0
-            while at < len(texts) and size < QUERY_BYTES:
+            if len(self._known) > WORDS_KEPT // 2:
+                self._known, self._older = {}, self._known
+            split, fresh, size = [], set(), 0
+            while at < len(texts) and size < 2 * QUERY_BYTES:
                 split.append(self._words_of(texts[at]))
-                new = [w for w in split[-1] if w not in self._known]
-                fresh.update(dict.fromkeys(new))
+                for w in set(split[-1]).difference(self._known):
+                    if (ids := self._older.get(w)) is not None:
+                        self._known[w] = ids
+                    else:
+                        fresh.add(w)
                 size += len(texts[at])
                 at += 1
             self._learn(fresh)
@@ -240,7 +246,9 @@ class DuckBpe:
         return found["bytes"].to_pylist()
 
 
+@lru_cache(maxsize=1)
 def _tokenizer(vocabulary: str) -> DuckBpe:
+    """The tokenizer of this process: a worker that runs several tasks keeps its words."""
     import public_tokenizers
 
     return DuckBpe(str(public_tokenizers.path(vocabulary)), public_tokenizers.PATTERN)
