@@ -172,6 +172,59 @@ def test_csv_round_trip(spark, tmp_path):
     assert (None, "q", "r", "s", "t", "u", "v", "w") in back
 
 
+def quoted_file(folder, rows, line_end="\n", last=True):
+    """One CSV file with a header; a field is quoted if it must be."""
+    field = lambda v: '"' + v.replace('"', '""') + '"' if any(c in v for c in '",\n\r') else v
+    text = line_end.join([",".join(S.RAW_COLUMNS), *[",".join(map(field, r)) for r in rows]]) + (line_end if last else "")
+    folder.mkdir(exist_ok=True)
+    (folder / "part-1.csv").write_text(text, newline="")
+    return str(folder)
+
+
+@pytest.mark.parametrize("split", [400, 1 << 27])
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_quoted_line_ends_by_byte_range(spark, tmp_path, split, line_end):
+    """Fields with line ends, longer than several ranges, read by many tasks in file order."""
+    rows = [
+        [str(k), f"s{k}", ["plain", "a\nb", 'say "x",\n\n"', "\n" * 40, '""', f"{'long line ' * 30}\n" * (k % 7 + 1), "é\r\nü"][k % 7], "1", "2011-01-01 10:00:00", "1.0", "5", "United\nKingdom" if k % 3 else "UK"]
+        for k in range(28)
+    ]
+    path = quoted_file(tmp_path / f"q{split}{len(line_end)}", rows, line_end, last=split > 400)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        lines, ranges = csv.quoted_lines(spark, path, str(tmp_path / "lines"))
+        out = csv.ingest_csv(spark, path, str(tmp_path / "work"), multi_line=True).orderBy("raw_row_id").collect()
+        plain = csv.scan_csv(spark, path, multi_line=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert ranges.count() > 8 or split > 400
+    assert [r.raw_row_id for r in out] == list(range(1, 29))
+    assert [[r[c] for c in S.RAW_COLUMNS] for r in out] == rows
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, rows))
+    if line_end == "\n":
+        one_task = spark.read.schema(S.RAW_TEXT_SCHEMA).options(**csv.READ_OPTIONS).option("multiLine", True).csv(path)
+        same = lambda df: sorted(tuple(r) for r in df if "\r" not in r.description)
+        assert same(one_task.collect()) == same(plain)
+
+
+def test_quoted_files_stay_apart(spark, tmp_path):
+    """Each file has a header and its own quotes; an open quote is an error that names the file."""
+    good = quoted_file(tmp_path / "two", [["1", "s", "a\nb", "1", "d", "1", "", "UK"], ["2", "s", "", "1", "d", "1", "", "UK"]])
+    (tmp_path / "two" / "part-2.csv").write_text(f'{",".join(S.RAW_COLUMNS)}\n\n3,s,"x\n",1,d,1,,UK\n   \n')
+    got = csv.scan_csv(spark, good, multi_line=True).collect()
+    assert sorted((r.invoice_no, r.description) for r in got) == [("1", "a\nb"), ("2", None), ("3", "x\n")]
+    (tmp_path / "two" / "part-3.csv").write_text(f'{",".join(S.RAW_COLUMNS)}\n4,s,"x,1,d,1,,UK\n')
+    with pytest.raises(ValueError, match="part-3.csv"):
+        csv.scan_csv(spark, good, multi_line=True)
+    short = tmp_path / "short2.csv"
+    short.write_text(f"{','.join(S.RAW_COLUMNS)}\n1,2,3\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv.scan_csv(spark, str(short), multi_line=True).collect()
+
+
 def test_csv_short_row_raises(spark, tmp_path):
     p = tmp_path / "short.csv"
     p.write_text("invoice_no,stock_code,description,quantity,invoice_date,unit_price,customer_id,country\n1,2,3\n")

@@ -251,7 +251,7 @@ def build_from_csv(
 ) -> Warehouse:
     """Full load from header CSV files of the eight source columns (A1 + A3):
     raw_row_id follows file name, then position in the file.  ``multi_line`` reads
-    fields that hold line ends, at the price of one task per file."""
+    fields that hold line ends."""
     from tillroll.sources import csv
 
     wh = Warehouse(spark, root or run_root(spark, "warehouse"))

@@ -3,13 +3,18 @@ columns (A1) and attach ingestion lineage (A3)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll import schemas as S
 from tillroll.operators.ranking import row_number_global
-from tillroll.plans.session import materialize
+from tillroll.plans.session import materialize, run_root
 
 # Spark's CSV defaults escape quotes with a backslash and drop malformed rows
 # silently; these read ``""``-quoted fields correctly and fail on a short row.
@@ -64,9 +69,124 @@ def write_csv(df: DataFrame, path: str) -> None:
 def scan_csv(
     spark: SparkSession, path: str, schema: T.StructType = S.RAW_TEXT_SCHEMA, *, multi_line: bool = False
 ) -> DataFrame:
-    """A1: header CSV read by position into text columns.  Files are split over
-    tasks; only ``multi_line`` (fields that hold line ends) needs one task a file."""
-    return spark.read.schema(schema).options(**READ_OPTIONS).option("multiLine", multi_line).csv(path)
+    """A1: header CSV read by position into text columns, files split over tasks.
+    ``multi_line`` reads fields that hold line ends (see ``scan_quoted``)."""
+    if multi_line:
+        return scan_quoted(spark, path, run_root(spark, "csv"), schema).select(*schema.fieldNames())
+    return spark.read.schema(schema).options(**READ_OPTIONS).csv(path)
+
+
+_LINE_COLUMNS = ["_file", "_split", "_pos", "line"]
+
+
+def _quote_parity(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add to the lines of each byte range, in their order, whether an odd number of
+    quotes stands before the line in its range (``odd_before``) and in it (``odd``)."""
+    place, parity = None, 0
+    for batch in batches:
+        odd = pc.bit_wise_and(pc.count_substring(batch.column("line"), '"'), 1).to_numpy().astype(np.int64)
+        file, split = batch.column("_file"), batch.column("_split").to_numpy()
+        starts = np.ones(batch.num_rows, bool)
+        starts[1:] = (split[1:] != split[:-1]) | pc.not_equal(file[1:], file[:-1]).to_numpy(zero_copy_only=False)
+        before = np.zeros(batch.num_rows, np.int64)
+        at = [*np.flatnonzero(starts).tolist(), batch.num_rows]
+        for a, z in zip(at[:-1], at[1:], strict=True):
+            here = (file[a].as_py(), int(split[a]))
+            parity = parity if here == place else 0
+            before[a:z] = parity + np.cumsum(odd[a:z]) - odd[a:z]
+            place, parity = here, int(before[z - 1] + odd[z - 1]) & 1
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(before & 1 == 1), pa.array(odd == 1)], names=[*batch.schema.names, "odd_before", "odd"]
+        )
+
+
+def quoted_lines(spark: SparkSession, path: str, work: str) -> tuple[DataFrame, DataFrame]:
+    """The lines of CSV files and their byte ranges, both written below ``work``.
+
+    Lines are read by Spark's splittable text source.  A range alone cannot know
+    whether it starts inside a quoted field, so every line first gets the parity of
+    the quotes before it in its range; the parities of the ranges, one row each, are
+    then combined from the start of the file (``inside``: the range starts within
+    quotes).  A line starts a record if the quotes before it in the file are even.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_pos"),
+        F.col("value").alias("line"),
+    )
+    schema = "_file string, _split long, _pos long, line string, odd_before boolean, odd boolean"
+    lines = materialize(lines.mapInArrow(_quote_parity, schema), f"{work}/lines")
+    ranges = lines.groupBy("_file", "_split").agg(F.sum(F.col("odd").cast("long")).alias("odd_lines"), F.min("_pos").alias("first"))
+    before = Window.partitionBy("_file").orderBy("_split")
+    quotes = F.sum("odd_lines").over(before)
+    ranges = ranges.select(
+        "_file", "_split", "first",
+        ((quotes - F.col("odd_lines")) % 2 == 1).alias("inside"),
+        (F.row_number().over(before) == 1).alias("leads"),
+        (quotes % 2 == 1).alias("open_end"),
+        (F.lead("_split").over(before).isNull()).alias("ends"),
+    )
+    ranges = materialize(ranges, f"{work}/ranges")
+    unbalanced = ranges.filter("ends and open_end").select("_file").limit(5).collect()
+    if unbalanced:
+        raise ValueError(f"a quoted field is not closed in {', '.join(r[0] for r in unbalanced)}")
+    return lines, ranges
+
+
+def quoted_records(lines: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The records behind the header: ``_file``, place of the first line, ``record``.
+
+    A record of one line stays where it was read.  Only lines of longer records move:
+    by byte range, to find the line that starts their record -- a range's first lines
+    may belong to one that started in an earlier range, which is carried along the
+    ranges --, then by record.
+    """
+    starts = F.col("odd_before") == F.col("inside")
+    placed = lines.join(ranges.select("_file", "_split", "inside", "leads", "first"), ["_file", "_split"]).select(
+        *_LINE_COLUMNS, starts.alias("starts"), "odd", (F.col("leads") & (F.col("_pos") == F.col("first"))).alias("header")
+    )
+    one = placed.filter("starts and not odd and not header").select("_file", "_split", "_pos", F.col("line").alias("record"))
+
+    parts = placed.filter("not (starts and not odd)")
+    own = Window.partitionBy("_file", "_split").orderBy("_pos")
+    parts = parts.withColumn("_start", F.last(F.when(F.col("starts"), F.col("_pos")), True).over(own))
+    # the record that is open where a range ends, and the range it started in
+    opened = parts.filter("starts").groupBy("_file", "_split").agg(F.max("_pos").alias("_open"))
+    earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.when(F.col("_open").isNotNull(), F.struct(F.col("_split").alias("split"), F.col("_open").alias("pos")))
+    carried = ranges.join(opened, ["_file", "_split"], "left").select("_file", "_split", F.last(place, True).over(earlier).alias("_carried"))
+    parts = parts.join(carried, ["_file", "_split"], "left").select(
+        "_file", "_split", "_pos", "line", "header",
+        F.when(F.col("_start").isNotNull(), F.col("_split")).otherwise(F.col("_carried.split")).alias("_record_split"),
+        F.coalesce("_start", "_carried.pos").alias("_record_pos"),
+    )
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("_split", "_pos", "line"))), lambda x: x["line"])
+    many = (
+        parts.groupBy("_file", "_record_split", "_record_pos")
+        .agg(F.array_join(texts, "\n").alias("record"), F.max("header").alias("header"))
+        .filter("not header")
+        .select("_file", F.col("_record_split").alias("_split"), F.col("_record_pos").alias("_pos"), "record")
+    )
+    return one.unionByName(many)
+
+
+def scan_quoted(spark: SparkSession, path: str, work: str, schema: T.StructType = S.RAW_TEXT_SCHEMA) -> DataFrame:
+    """A1 for fields that hold line ends: the text columns and the record's place
+    (``_file``, ``_split``, ``_pos``).  A file of any size is read by many tasks.
+
+    Records end at a line feed, with or without a carriage return before it; blank
+    records are skipped; a quote inside a value that is not quoted must not occur (the
+    format asks for quotes around such values), and a file in which a quoted field
+    stays open is an error, as is a record with too few fields.
+    """
+    records = quoted_records(*quoted_lines(spark, path, work))
+    text = F.regexp_replace("record", r"\r\z", "")
+    options = {k: v for k, v in READ_OPTIONS.items() if k not in ("header", "encoding")}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv(text, ddl, options)
+    rows = records.filter(F.trim(text) != "").select("_file", "_split", "_pos", parsed.alias("row"))
+    return rows.select("row.*", "_file", "_split", "_pos")
 
 
 def numeric_order(path: Column) -> Column:
@@ -87,14 +207,16 @@ def ingest_csv(
     place comes from ``monotonically_increasing_id``, so the scanned rows are
     written once before numbering.
     """
-    scanned = scan_csv(spark, path, multi_line=multi_line).select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        numeric_order(F.col("_metadata.file_path")).alias("_order"),
-        F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_pos"),
-    )
-    staged = materialize(scanned, work_path)
+    if multi_line:
+        scanned = scan_quoted(spark, path, f"{work_path}-quoted")
+    else:
+        scanned = scan_csv(spark, path).select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_split"),
+            F.monotonically_increasing_id().alias("_pos"),
+        )
+    staged = materialize(scanned.withColumn("_order", numeric_order(F.col("_file"))), work_path)
     numbered, _ = row_number_global(staged, ["_order", "_file", "_split", "_pos"], "raw_row_id", work=f"{work_path}-ranked")
     file_label = F.lit(source_file) if source_file else F.element_at(F.split(F.col("_file"), "/"), -1)
     return numbered.select(
