@@ -40,7 +40,7 @@ PLANS = {
     "monthly_growth": BY_INVOICE, "revenue_pareto": BY_INVOICE, "example_top_merchandise": BY_INVOICE,
     "cancellation_ratio_ranking": BY_INVOICE, "country_revenue_share": BY_INVOICE,
     "dq_distinct_values": "Expand", "code_merge_report": "Expand", "val_constraints": "Expand", "val_unique_lineage": "Expand",
-    "val_report": "Expand",
+    "val_report": "Expand", "v_customer_kpis": "Expand", "rfm_scores": "Sort|rangepartitioning", "rfm_segments": "Sort|rangepartitioning",
 }
 
 

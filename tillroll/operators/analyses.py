@@ -4,7 +4,7 @@ Top-k reports are cut with ``orderBy(...).limit(k)`` first (a distributed
 top-k: each task keeps its k best rows) and ranked afterwards inside the k
 rows: the first k rows of the full order carry the same dense ranks as in
 the full ranking.  Cumulative shares need only those k rows and the total.
-Order-based scores over all customers (NTILE) use the distributed ranking.
+Order-based scores over all customers (NTILE) compare with exact cut points.
 Every ranking gets the natural key as final tie-break, so results are
 deterministic.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas as S
 from tillroll.functions.money import exact_mean, money, percent
 from tillroll.operators import views
-from tillroll.operators.ranking import ntile_global
+from tillroll.operators.ranking import ntile_by_cuts
 from tillroll.plans.session import materialize, run_root
 
 
@@ -219,14 +219,11 @@ def rfm_measures(wh) -> DataFrame:
 
 
 def rfm_scores(wh) -> DataFrame:
-    """Quintile scores; ties broken by customer_id.  Each NTILE is a
-    distributed ranking that writes its rows, so nothing is computed twice."""
-    work = run_root(wh.spark, "rfm")
-    m = materialize(rfm_measures(wh), f"{work}/measures")
-    r = ntile_global(m, ["recency_days", "customer_id"], S.RFM_TILES, "_r")
-    f = ntile_global(materialize(r, f"{work}/r"), ["frequency", "customer_id"], S.RFM_TILES, "frequency_score")
-    s = ntile_global(materialize(f, f"{work}/f"), ["monetary_value", "customer_id"], S.RFM_TILES, "monetary_score")
-    return s.select(
+    """Quintile scores; ties broken by customer_id.  The measures are written
+    once per build; the scores compare each row with the ends of the quintiles."""
+    m = wh.derived("rfm_measures", lambda: rfm_measures(wh).withColumn("_cents", (F.col("monetary_value") * 100).cast("long")))
+    outs = {"_r": "recency_days", "frequency_score": "frequency", "monetary_score": "_cents"}
+    return ntile_by_cuts(m, S.RFM_TILES, outs, "customer_id").select(
         "customer_id", "recency_days", "frequency", "monetary_value",
         (F.lit(S.RFM_TILES + 1) - F.col("_r")).cast("int").alias("recency_score"),
         "frequency_score", "monetary_score",

@@ -7,20 +7,34 @@ window over a group that holds a third of all rows does the same.  Here:
   partitions, writes them once with their partition and position (which fixes
   both), and adds to each partition the rows before it: a prefix sum over one row
   per partition.
-* ``ntile_global`` is NTILE(n) from the global row number and the row count.
+* ``ntile_by_cuts`` is NTILE(n) without any sort: the rows at which a tile ends are
+  found as order statistics, by counting rows per bucket of a value's range and
+  counting again inside the buckets that hold them; a row's tile follows from
+  comparing it with those few cut points.
 * ``rank_within_groups`` cuts every group into ranges of a unique ordering
   column; a range is numbered by its own window and adds the rows of the earlier
   ranges of its group, joined by shuffle.
+* ``rank_repeated`` does the same where most groups are single rows: hashes are
+  counted first, the repeated ones set bits of a filter of bounded size, and only
+  rows whose bit is set are shuffled and compared; all others are first and alone.
 
-Every input, of any size, takes the same path.  Nothing but a row count reaches
-the driver.
+Every input, of any size, takes the same path.  Nothing but row counts and cut
+points reaches the driver.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Buckets of a range of values that one job counts.
+CUT_BUCKETS = 65_536
+#: Bits of the filter of repeated hashes: 16 for each, this many (64 MB) at most.
+FILTER_BITS_EACH, FILTER_BITS = 16, 1 << 29
+_FILTER_ROW = 1 << 15  # bits of one of its rows
+
 #: Rows of one group that one task numbers at most (a range of the order column).
 GROUP_RANGE_ROWS = 4_000_000
 
@@ -52,21 +66,63 @@ def row_number_global(df: DataFrame, order_cols: list[str], out: str, *, work: s
     return numbered, fixed.count()
 
 
-def ntile_from_row_number(rn: Column, n_rows: int, tiles: int) -> Column:
-    """NTILE(tiles) for 1-based row number ``rn`` among ``n_rows`` rows:
-    the first ``n_rows % tiles`` tiles hold one row more."""
-    q, m = divmod(n_rows, tiles)
-    big = m * (q + 1)
-    first = F.call_function("div", rn - 1, F.lit(q + 1)) + 1
-    if q == 0:
-        return first.cast("int")
-    rest = F.lit(m) + F.call_function("div", rn - 1 - F.lit(big), F.lit(q)) + 1
-    return F.when(rn <= big, first).otherwise(rest).cast("int")
-
+def order_cuts(df: DataFrame, columns: list[str], tie: str, ranks: list[int]) -> dict[str, list[tuple[int, int]]]:
+    """For each column the rows at the given 1-based ranks of the order by (column,
+    ``tie``), as (value, tie).  Columns are integral and not null.
 
-def ntile_global(df: DataFrame, order_cols: list[str], tiles: int, out: str) -> DataFrame:
-    numbered, n = row_number_global(df, order_cols, "_ntile_rn")
-    return numbered.withColumn(out, ntile_from_row_number(F.col("_ntile_rn"), n, tiles)).drop("_ntile_rn")
+    All searches advance together.  A search has a range of values and its rank in it;
+    a job counts the rows per bucket of every range (``CUT_BUCKETS`` at most, partly
+    aggregated before the shuffle) and keeps the bucket that holds the rank, until it
+    is one value.  The same is then done on ``tie`` among the rows with that value.
+    """
+    names = [*columns, tie]
+    ends = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max)]).first()
+    # (column, rank) -> value or None while it is searched, low, high, rank within
+    found = {(c, r): (None, ends[f"min_{c}"], ends[f"max_{c}"], r) for c in columns for r in ranks}
+    while True:
+        for (c, r), (value, low, high, left) in found.items():
+            if value is None and low == high:
+                found[c, r] = (low, ends[f"min_{tie}"], ends[f"max_{tie}"], left)
+        spans = sorted({(c, -1 if v is None else 1, v or 0, low, high) for (c, _), (v, low, high, _) in found.items() if low < high})
+        if not spans:
+            return {c: [(found[c, r][0], found[c, r][1]) for r in ranks] for c in columns}
+        entries, widths = [], {}
+        for k, (c, phase, value, low, high) in enumerate(spans):
+            x = F.col(c if phase < 0 else tie).cast("long")
+            widths[k] = width = (high - low) // CUT_BUCKETS + 1
+            inside = x.between(low, high) if phase < 0 else x.between(low, high) & (F.col(c) == value)
+            bucket = F.call_function("div", x - F.lit(low), F.lit(width)).cast("long")
+            entries.append(F.when(inside, F.struct(F.lit(k).alias("span"), bucket.alias("bucket"))))
+        counts = df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("span", "bucket").agg(F.count(F.lit(1)).alias("n"))
+        # one row per bucket, CUT_BUCKETS a span at most
+        upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("span").orderBy("bucket")))
+        open_ = {key: spans.index((key[0], -1 if f[0] is None else 1, f[0] or 0, f[1], f[2])) for key, f in found.items() if f[1] < f[2]}
+        holds = [(F.col("span") == k) & (F.col("upto") >= found[key][3]) & (F.col("upto") - F.col("n") < found[key][3]) for key, k in open_.items()]
+        rows = upto.filter(reduce(lambda a, b: a | b, holds)).collect()
+        for key, k in open_.items():
+            value, low, high, left = found[key]
+            hit = next(r for r in rows if r["span"] == k and r["upto"] - r["n"] < left <= r["upto"])
+            start = low + hit["bucket"] * widths[k]
+            found[key] = (value, start, min(high, start + widths[k] - 1), left - (hit["upto"] - hit["n"]))
+
+
+def ntile_by_cuts(df: DataFrame, tiles: int, outs: dict[str, str], tie: str) -> DataFrame:
+    """NTILE(tiles) over (order by column, tie) for each ``out: column``: the first
+    ``n % tiles`` tiles hold one row more.  ``df`` is read several times, so hand in
+    a frame that has been written; ``tie`` is unique."""
+    n = df.count()
+    if n == 0:
+        return df.withColumns({out: F.lit(1) for out in outs})
+    q, more = divmod(n, tiles)
+    ranks = sorted({k * q + min(k, more) for k in range(1, tiles)})
+    cuts = order_cuts(df, list(outs.values()), tie, ranks)
+    columns = {}
+    for out, c in outs.items():
+        at = dict(zip(ranks, cuts[c], strict=True))
+        ends = [at[k * q + min(k, more)] for k in range(1, tiles)]
+        beyond = [(F.col(c) > v) | ((F.col(c) == v) & (F.col(tie) > t)) for v, t in ends]
+        columns[out] = reduce(lambda a, b: a + b, [x.cast("int") for x in beyond], F.lit(1))
+    return df.withColumns(columns)
 
 
 def _group_hash(group_cols: list[str], seed: int) -> Column:
@@ -107,3 +163,52 @@ def rank_within_groups(
     rank = F.row_number().over(window.orderBy(order_col)) + F.coalesce("_before", F.lit(0))
     size = F.coalesce(F.col("_total"), F.count(F.lit(1)).over(window))
     return joined.withColumns({rank_out: rank.cast("long"), size_out: size.cast("long")}).drop(*keys, "_before", "_total")
+
+
+def _repeat_filter(repeated: DataFrame, bits: int) -> DataFrame:
+    """A bit per hash: rows of ``bucket`` and its ``words``, 64 bits each."""
+    at = F.pmod(F.col("_h1"), F.lit(bits))
+    place = F.pmod(at, F.lit(_FILTER_ROW))
+    word = F.call_function("div", place, F.lit(64)).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    bucket = F.call_function("div", at, F.lit(_FILTER_ROW)).cast("int")
+    words = repeated.groupBy(bucket.alias("bucket"), word.alias("word")).agg(F.bit_or(mask).alias("mask"))
+    told = F.map_from_entries(F.collect_list(F.struct("word", "mask")))
+    every = F.sequence(F.lit(0), F.lit(_FILTER_ROW // 64 - 1))
+    return words.groupBy(F.col("bucket").alias("_bucket")).agg(told.alias("told")).select(
+        "_bucket", F.transform(every, lambda k: F.coalesce(F.try_element_at("told", k), F.lit(0).cast("long"))).alias("_words")
+    )
+
+
+def rank_repeated(
+    df: DataFrame, group_cols: list[str], order_col: str, rank_out: str, size_out: str, *, work: str | None = None, range_rows: int = GROUP_RANGE_ROWS
+) -> DataFrame:
+    """The same columns as ``rank_within_groups`` for a frame in which most groups
+    are single rows; ``df`` is read three times, so hand in a frame that has been written.
+
+    128-bit hashes are counted (narrow rows, combined before their shuffle) and those
+    met twice are written below ``work``.  The first half of each sets a bit of a filter
+    that is broadcast: at most ``FILTER_BITS``, whatever the table.  Rows whose bit is
+    unset are first and alone and are not exchanged.  The rest, a few rows by chance
+    among them, are ranked by ``rank_within_groups``, which compares the values.
+    """
+    from tillroll.plans.session import materialize, run_root
+
+    work = work or run_root(df.sparkSession, "repeated")
+    hashes = {"_h1": _group_hash(group_cols, 1), "_h2": _group_hash(group_cols, 2)}
+    counts = df.select(*[h.alias(n) for n, h in hashes.items()]).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = materialize(counts.filter("_n > 1").select("_h1"), f"{work}/hashes")
+    bits = min(FILTER_BITS, max(_FILTER_ROW, 1 << (FILTER_BITS_EACH * repeated.count()).bit_length()))
+    bloom = materialize(_repeat_filter(repeated, bits), f"{work}/filter")
+
+    at = F.pmod(hashes["_h1"], F.lit(bits))
+    placed = df.withColumns({"_at": F.pmod(at, F.lit(_FILTER_ROW)).cast("int"), "_bucket": F.call_function("div", at, F.lit(_FILTER_ROW)).cast("int")})
+    word = F.element_at("_words", F.call_function("div", F.col("_at"), F.lit(64)).cast("int") + 1)
+    # bits / 8 bytes: FILTER_BITS is the bound of this broadcast
+    marked = placed.join(F.broadcast(bloom), "_bucket", "left")
+    marked = marked.withColumn("_maybe", F.coalesce(F.bit_get(word, F.pmod(F.col("_at"), F.lit(64)).cast("int")) == 1, F.lit(False)))
+    marked = marked.drop("_at", "_bucket", "_words")
+    one = F.lit(1).cast("long")
+    alone = marked.filter(~F.col("_maybe")).drop("_maybe").withColumns({rank_out: one, size_out: one})
+    met = marked.filter("_maybe").drop("_maybe")
+    return alone.unionByName(rank_within_groups(met, group_cols, order_col, rank_out, size_out, range_rows=range_rows))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll import schemas as S
 from tillroll.functions.money import amount
 from tillroll.functions.text import blank_to_null, is_cancel_invoice, matches
-from tillroll.operators.ranking import rank_within_groups
+from tillroll.operators.ranking import rank_repeated
 
 STAGING_COLUMNS = (
     "raw_row_id",
@@ -133,9 +133,10 @@ def classified(df: DataFrame) -> DataFrame:
     )
 
 
-def with_duplicates(raw: DataFrame) -> DataFrame:
-    """C7-C9 on the raw, untrimmed, case-preserved values (NULLs group together)."""
-    ranked = rank_within_groups(raw, list(S.RAW_COLUMNS), "raw_row_id", "duplicate_rank", "duplicate_group_size")
+def with_duplicates(raw: DataFrame, *, work: str | None = None) -> DataFrame:
+    """C7-C9 on the raw, untrimmed, case-preserved values (NULLs group together).
+    Most rows have no duplicate and are not exchanged."""
+    ranked = rank_repeated(raw, list(S.RAW_COLUMNS), "raw_row_id", "duplicate_rank", "duplicate_group_size", work=work)
     return ranked.withColumns(
         {
             "is_exact_duplicate": F.col("duplicate_group_size") > 1,
@@ -144,10 +145,10 @@ def with_duplicates(raw: DataFrame) -> DataFrame:
     )
 
 
-def staging(raw: DataFrame, *, strict: bool = True) -> DataFrame:
+def staging(raw: DataFrame, *, strict: bool = True, work: str | None = None) -> DataFrame:
     """The staging table, every raw row kept."""
     dup_cols = ["duplicate_rank", "duplicate_group_size", "is_exact_duplicate", "is_first_occurrence"]
-    staged = classified(typed(normalized(with_duplicates(raw), *dup_cols), strict=strict))
+    staged = classified(typed(normalized(with_duplicates(raw, work=work), *dup_cols), strict=strict))
     return staged.select(*STAGING_COLUMNS[:-1], F.current_timestamp().alias("staged_at"))
 
 

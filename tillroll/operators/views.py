@@ -347,8 +347,10 @@ def customer_kpis(wh, orders: DataFrame | None = None) -> DataFrame:
             F.min("order_timestamp").alias("first_order_timestamp"),
             F.max("order_timestamp").alias("last_order_timestamp"),
             F.count(F.lit(1)).alias("order_count"),
-            F.count_distinct(F.to_date("order_timestamp")).alias("active_purchase_days"),
-            F.count_distinct("country_key").alias("country_count"),
+            # sets of days and countries of one customer: the calendar and the
+            # countries bound them, and two distinct counts would expand the rows
+            F.size(F.collect_set(F.to_date("order_timestamp"))).cast("long").alias("active_purchase_days"),
+            F.size(F.collect_set("country_key")).cast("long").alias("country_count"),
             F.sum("order_quantity").cast("long").alias("purchased_quantity"),
             F.sum("order_revenue").alias("_revenue"),
             F.datediff(F.max(F.to_date("order_timestamp")), F.min(F.to_date("order_timestamp"))).alias(

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import threading
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -41,6 +42,7 @@ class Warehouse:
     source: str | None = None
     rows: dict[str, int] = field(default_factory=dict)
     timings: dict[str, float] = field(default_factory=dict)
+    made: set[str] = field(default_factory=set)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -89,6 +91,13 @@ class Warehouse:
     def dim_date(self) -> DataFrame:
         return self.table("warehouse/dim_date")
 
+    def derived(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A frame that several analyses read, written once per build and deleted with it."""
+        if name not in self.made:
+            make().write.mode("overwrite").parquet(self.path(f"derived/{name}"))
+            self.made.add(name)
+        return self.table(f"derived/{name}")
+
     def dim_rows(self, name: str) -> int:
         return self.rows[f"dim_{name}"]
 
@@ -172,10 +181,9 @@ def load_raw(wh: Warehouse, raw_text: DataFrame) -> None:
 
 
 def load_staging(wh: Warehouse, *, strict: bool = True) -> None:
-    # Written as produced (hash-partitioned by the duplicate window): a range
-    # shuffle just to order the files by raw_row_id would cost a full extra
-    # pass of the largest table.
-    stg = staging.staging(wh.raw, strict=strict)
+    # Rows without a duplicate, nearly all, are written by the task that read them,
+    # in raw_row_id order; only possible duplicates have been exchanged.
+    stg = staging.staging(wh.raw, strict=strict, work=wh.path("_work/repeated"))
     described(stg, "staging/transactions").write.mode("overwrite").parquet(wh.path("staging/transactions"))
     if not strict:
         # tolerant load: every row stays in staging (malformed values NULL); the raw
