@@ -66,7 +66,15 @@ def row_number_global(df: DataFrame, order_cols: list[str], out: str, *, work: s
     return numbered, fixed.count()
 
 
-def order_cuts(df: DataFrame, columns: list[str], tie: str, ranks: list[int]) -> dict[str, list[tuple[int, int]]]:
+def _ends(df: DataFrame, names: list[str]) -> dict[str, int]:
+    """Row count, and the least and largest value of each column."""
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max)]
+    return df.agg(F.count(F.lit(1)).alias("rows"), *ends).first().asDict()
+
+
+def order_cuts(
+    df: DataFrame, columns: list[str], tie: str, ranks: list[int], ends: dict[str, int] | None = None
+) -> dict[str, list[tuple[int, int]]]:
     """For each column the rows at the given 1-based ranks of the order by (column,
     ``tie``), as (value, tie).  Columns are integral and not null.
 
@@ -75,8 +83,7 @@ def order_cuts(df: DataFrame, columns: list[str], tie: str, ranks: list[int]) ->
     aggregated before the shuffle) and keeps the bucket that holds the rank, until it
     is one value.  The same is then done on ``tie`` among the rows with that value.
     """
-    names = [*columns, tie]
-    ends = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max)]).first()
+    ends = ends or _ends(df, [*columns, tie])
     # (column, rank) -> value or None while it is searched, low, high, rank within
     found = {(c, r): (None, ends[f"min_{c}"], ends[f"max_{c}"], r) for c in columns for r in ranks}
     while True:
@@ -110,12 +117,12 @@ def ntile_by_cuts(df: DataFrame, tiles: int, outs: dict[str, str], tie: str) ->
     """NTILE(tiles) over (order by column, tie) for each ``out: column``: the first
     ``n % tiles`` tiles hold one row more.  ``df`` is read several times, so hand in
     a frame that has been written; ``tie`` is unique."""
-    n = df.count()
-    if n == 0:
+    ends = _ends(df, [*outs.values(), tie])
+    if (n := ends["rows"]) == 0:
         return df.withColumns({out: F.lit(1) for out in outs})
     q, more = divmod(n, tiles)
     ranks = sorted({k * q + min(k, more) for k in range(1, tiles)})
-    cuts = order_cuts(df, list(outs.values()), tie, ranks)
+    cuts = order_cuts(df, list(outs.values()), tie, ranks, ends)
     columns = {}
     for out, c in outs.items():
         at = dict(zip(ranks, cuts[c], strict=True))

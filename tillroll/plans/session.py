@@ -57,6 +57,18 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def builds_dir(spark: SparkSession) -> str:
+    """Where builds are published: a folder that other applications find too, if
+    ``spark.checkpoint.dir`` names one (below it each application has its own)."""
+    return f"{(_configured_dir(spark) or shared_dir(spark)).rstrip('/')}/tillroll-builds"
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as its object."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def run_root(spark: SparkSession, label: str) -> str:
     """A folder for one warehouse build, unique per application and build."""
     app = spark.sparkContext.applicationId
@@ -67,8 +79,8 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of this package in any file system that Spark reads."""
     if "/tillroll/" not in path:
         raise ValueError(f"not a folder of this package: {path}")
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:

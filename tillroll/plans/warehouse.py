@@ -7,10 +7,14 @@ recomputes at most one layer) and lets later stages read only the columns they
 need.
 
 A load never writes into a folder that is being read: it goes to a new folder,
-becomes the current build of its input when all layers are written, and the build
-it replaces is deleted.  Within a session the current build is used again as long
-as the input files -- path, size and time, as Spark lists them on any file system
--- are the same.
+becomes the current build of its input when all layers are written (``builds``),
+and the build it replaces is deleted.  The current build is used again, also by
+other applications that share the folder, as long as the input files -- path, size
+and time, as Spark lists them on any file system -- and the code are the same.
+
+While a layer is written Spark counts what the validation report needs of it
+(observed metrics of the tasks that wrote it), so the report need not scan the
+layers again.
 """
 
 from __future__ import annotations
@@ -22,12 +26,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll import schemas as S
-from tillroll.operators import dimensions, facts, staging
+from tillroll.operators import dimensions, facts, staging, validate
+from tillroll.plans import builds
 from tillroll.plans.session import materialize, remove_path, run_root
 from tillroll.sources import fixture
 
@@ -42,6 +47,7 @@ class Warehouse:
     source: str | None = None
     rows: dict[str, int] = field(default_factory=dict)
     timings: dict[str, float] = field(default_factory=dict)
+    metrics: dict[str, int] = field(default_factory=dict)
     made: set[str] = field(default_factory=set)
 
     def path(self, name: str) -> str:
@@ -173,18 +179,30 @@ def _timed(wh: Warehouse, name: str, fn):
     return out
 
 
+def _observed(wh: Warehouse, df: DataFrame, measures: dict[str, str], write: Callable[[DataFrame], None]) -> None:
+    """Write a frame and keep what its writing tasks have counted."""
+    seen = Observation()
+    write(df.observe(seen, *[F.expr(c).alias(n) for n, c in measures.items()]))
+    wh.metrics.update({n: int(v) for n, v in seen.get.items()})
+
+
 def load_raw(wh: Warehouse, raw_text: DataFrame) -> None:
     """A3/A4: number the raw rows and write the raw layer."""
     unnumbered = materialize(raw_text, wh.path("_work/raw_unnumbered"))
     raw = fixture.number_rows(unnumbered, work=wh.path("_work/raw_ranked"))
-    described(raw, "raw/online_retail").write.mode("overwrite").parquet(wh.path("raw/online_retail"))
+    write_raw(wh, described(raw, "raw/online_retail"))
+
+
+def write_raw(wh: Warehouse, raw: DataFrame) -> None:
+    _observed(wh, raw, validate.RAW_MEASURES, lambda df: df.write.mode("overwrite").parquet(wh.path("raw/online_retail")))
 
 
 def load_staging(wh: Warehouse, *, strict: bool = True) -> None:
     # Rows without a duplicate, nearly all, are written by the task that read them,
     # in raw_row_id order; only possible duplicates have been exchanged.
     stg = staging.staging(wh.raw, strict=strict, work=wh.path("_work/repeated"))
-    described(stg, "staging/transactions").write.mode("overwrite").parquet(wh.path("staging/transactions"))
+    stg = described(stg, "staging/transactions")
+    _observed(wh, stg, validate.STAGING_MEASURES, lambda df: df.write.mode("overwrite").parquet(wh.path("staging/transactions")))
     if not strict:
         # tolerant load: every row stays in staging (malformed values NULL); the raw
         # rows that cannot be facts are listed with their reasons in a side table
@@ -219,16 +237,15 @@ def load_fact(wh: Warehouse, *, strict: bool = True) -> None:
     # order inside a file for the row-group statistics.  The rebalancing shuffle
     # splits months that are too large for a task and keeps small ones in one file.
     month = F.call_function("div", F.col("date_key"), F.lit(100)).cast("int")
-    (
+    placed = (
         described(fact, "warehouse/fact_sales")
         .withColumn(FACT_PARTITION, month)
         .hint("rebalance", FACT_PARTITION)
         .sortWithinPartitions(FACT_PARTITION, "date_key", "raw_row_id")
-        .write.mode("overwrite")
-        .partitionBy(FACT_PARTITION)
-        .parquet(wh.path("warehouse/fact_sales"))
     )
-    wh.rows["fact_sales"] = wh.fact.count()
+    path = wh.path("warehouse/fact_sales")
+    _observed(wh, placed, validate.FACT_MEASURES, lambda df: df.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path))
+    wh.rows["fact_sales"] = wh.metrics["fact_rows"]
 
 
 def load_layers(wh: Warehouse, *, strict: bool = True) -> Warehouse:
@@ -244,7 +261,7 @@ def load_layers(wh: Warehouse, *, strict: bool = True) -> Warehouse:
 def build_from_raw(spark: SparkSession, raw: DataFrame, *, root: str | None = None, strict: bool = True) -> Warehouse:
     """Load a warehouse from a raw layer with the ``RAW_SCHEMA`` columns."""
     wh = Warehouse(spark, root or run_root(spark, "warehouse"))
-    raw.write.mode("overwrite").parquet(wh.path("raw/online_retail"))
+    write_raw(wh, raw)
     return load_layers(wh, strict=strict)
 
 
@@ -266,7 +283,7 @@ def build_from_csv(
 
     def load() -> None:
         raw = csv.ingest_csv(spark, csv_path, wh.path("_work/csv_scan"), source_file=source_file, multi_line=multi_line)
-        described(raw, "raw/online_retail").write.mode("overwrite").parquet(wh.path("raw/online_retail"))
+        write_raw(wh, described(raw, "raw/online_retail"))
 
     _timed(wh, "raw", load)
     return load_layers(wh, strict=strict)
@@ -280,8 +297,8 @@ def build(spark: SparkSession, sf_dir: str, *, root: str | None = None, strict:
 
 
 INPUT_TABLES = ("lineitem", "orders", "customer", "nation", "part")
-# (application, input folder, target) -> (state of the input files, its current build)
-_CURRENT: dict[tuple[str, str, str], tuple[tuple, Warehouse]] = {}
+# (application, input folder, target) -> (number of the build, the build)
+_OPENED: dict[tuple[str, str, str], tuple[int, Warehouse]] = {}
 _LOCK = threading.Lock()
 
 
@@ -295,13 +312,11 @@ def input_state(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max(changed), F.bit_xor(own)).first())
 
 
-def _load_current(spark: SparkSession, sf_dir: str, state: tuple, target: str = "queries") -> Warehouse:
-    key = (spark.sparkContext.applicationId, sf_dir, target)
-    old = _CURRENT.get(key)
+def _load(spark: SparkSession, sf_dir: str, state: tuple, target: str = "queries") -> Warehouse:
     wh = build(spark, sf_dir)
-    _CURRENT[key] = (state, wh)
-    if old:
-        remove_path(spark, old[1].root)
+    told = {"root": wh.root, "state": list(state), "rows": wh.rows, "timings": wh.timings, "metrics": wh.metrics}
+    number = builds.publish(spark, sf_dir, target, told)
+    _OPENED[spark.sparkContext.applicationId, sf_dir, target] = (number, wh)
     return wh
 
 
@@ -310,16 +325,21 @@ def refresh(spark: SparkSession, sf_dir: str, target: str = "queries") -> Wareho
     replaced build is deleted once the new one is complete."""
     sf_dir = sf_dir.rstrip("/")
     with _LOCK:
-        return _load_current(spark, sf_dir, input_state(spark, sf_dir), target)
+        return _load(spark, sf_dir, input_state(spark, sf_dir), target)
 
 
-def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The current build for ``sf_dir``, loaded anew if there is none or the
-    input files have changed."""
+def warehouse_for(spark: SparkSession, sf_dir: str, target: str = "queries") -> Warehouse:
+    """The current build for ``sf_dir``, whichever application published it; loaded
+    anew if there is none or the input files have changed."""
     sf_dir = sf_dir.rstrip("/")
     with _LOCK:
         state = input_state(spark, sf_dir)
-        current = _CURRENT.get((spark.sparkContext.applicationId, sf_dir, "queries"))
-        if current and current[0] == state:
-            return current[1]
-        return _load_current(spark, sf_dir, state)
+        found = builds.current(spark, sf_dir, target)
+        if not found or found[1]["state"] != list(state):
+            return _load(spark, sf_dir, state, target)
+        key = (spark.sparkContext.applicationId, sf_dir, target)
+        if key not in _OPENED or _OPENED[key][0] != found[0]:
+            told = found[1]
+            wh = Warehouse(spark, told["root"], sf_dir, told["rows"], told["timings"], told["metrics"])
+            _OPENED[key] = (found[0], wh)
+        return _OPENED[key][1]
