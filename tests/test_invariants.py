@@ -163,6 +163,38 @@ def test_fact_months_read_their_files_only(wh_small):
     assert len(rows) == wh_small.fact.filter("date_key between 19950101 and 19950231").count()
 
 
+def test_calendar_filter_prunes_month_folders(spark, wh_small):
+    """A quarter asked for by calendar attributes reads three month folders."""
+    from tillroll.plans import catalog
+
+    df = catalog.quarter_sales(wh_small, 1995, 2)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in plan.toString()
+    scans = [p for p in _nodes(plan) if "fact_sales" in p.toString().splitlines()[0] and p.nodeName().startswith("Scan")]
+    assert [p.metrics().apply("numPartitions").value() for p in scans] == [3]
+
+
+def _nodes(plan):
+    """All nodes of a physical plan, adaptive stages opened."""
+    while (name := plan.getClass().getSimpleName()) == "AdaptiveSparkPlanExec" or name.endswith("QueryStageExec"):
+        plan = plan.executedPlan() if name == "AdaptiveSparkPlanExec" else plan.plan()
+    children = plan.children()
+    return [plan, *[n for k in range(children.size()) for n in _nodes(children.apply(k))]]
+
+
+def test_views_belong_to_the_application(spark, wh_small):
+    """Another session of the application finds views and descriptions by name."""
+    from tillroll.plans import catalog
+
+    catalog.publish(wh_small)
+    other = spark.newSession()
+    assert other.table("analytics.v_kpi_overview").collect() == [tuple(r) for r in V.kpi_overview(wh_small).collect()]
+    assert other.catalog.getTable("analytics.v_kpi_overview").description == catalog.VIEW_COMMENTS["v_kpi_overview"]
+    told = catalog.descriptions(wh_small).groupBy("kind").count().collect()
+    assert {r["kind"]: r["count"] for r in told}["schema"] == 4 and {r["kind"]: r["count"] for r in told}["view"] == 7
+
+
 def test_shared_folder_is_required_on_a_cluster(monkeypatch):
     from tillroll.plans import session
 
