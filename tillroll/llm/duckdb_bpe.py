@@ -43,10 +43,10 @@ from tillroll.llm.common import rows_as_struct, table, text_of
 # Production parameters.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 WORDS_KEPT = 400_000
-QUERY_BYTES = 500_000
-QUERY_TOKENS = 500_000
+QUERY_BYTES = 300_000
+QUERY_TOKENS = 200_000
 LONG_WORD = 64
-MEMORY_LIMIT = "400MB"
+MEMORY_LIMIT = "300MB"
 
 #: Contract the leftmost pair of minimum rank of each word, until no word has one.
 #: A row that a contraction has swallowed keeps its key and loses its token.  Rank
