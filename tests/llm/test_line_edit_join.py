@@ -114,6 +114,65 @@ def test_frequent_segments(spark, monkeypatch, pairs, levels):
     assert run(spark, rows) == brute(rows)
 
 
+def rules(n, seed, near=20):
+    """Lines of one repeated character with three others, and planted pairs two edits apart."""
+    rnd = random.Random(seed)
+    out = []
+    for k in range(n):
+        w = list(rnd.choice("-=._") * rnd.choice((38, 39, 40)))
+        for _ in range(3):
+            w[rnd.randrange(len(w))] = chr(97 + rnd.randrange(26))
+        out.append("".join(w))
+        if k < near:
+            for _ in range(2):
+                at = rnd.randrange(len(w))
+                w[at : at + rnd.randrange(2)] = rnd.choice(("", w[0], "#"))
+            out.append("".join(w))
+    out += ["-" * 40, "--b--------------------------------=------", "=-" * 20, "=-" * 19 + "=", "-=" * 20]
+    return out
+
+
+@pytest.mark.parametrize("pairs,levels,n", [(4096, 3, 300), (4, 1, 60), (4, 2, 60), (4, 3, 60)])
+def test_lines_of_repeated_characters(spark, monkeypatch, pairs, levels, n):
+    """A line that holds a frequent key at several places has a rest for each."""
+    monkeypatch.setattr(le, "PAIRS", pairs)
+    monkeypatch.setattr(le, "LEVELS", levels)
+    if pairs == 4096:  # nothing is left to the blocks
+        monkeypatch.setattr(le, "_block_links", lambda left, edits: spark.createDataFrame([], "u binary, v binary"))
+    rows = list(enumerate(rules(n, levels + pairs)))
+    assert run(spark, rows) == brute(rows)
+
+
+def test_frequent_key_is_not_held(monkeypatch):
+    """The rows of a key pass through once it makes PAIRS pairs; probes without a segment too."""
+    import pyarrow as pa
+
+    class Entries:  # hands the task function over
+        def repartition(self, *_):
+            return self
+
+        sortWithinPartitions = repartition
+
+        def mapInArrow(self, f, _):
+            return f
+
+    monkeypatch.setattr(le, "PAIRS", 16)
+    held = []
+
+    def batches():
+        for k in range(50):
+            keys = [1] * 20 if k < 25 else [2] * 20
+            mark = le.INDEX | le.PROBE if k < 25 else le.PROBE
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(range(20 * k, 20 * k + 20), pa.int64()), pa.array([mark] * 20, pa.int32())],
+                names=["key", "line", "mark"],
+            )
+
+    for out in le._met(Entries(), 2)(batches()):
+        held.append(out.num_rows)
+    assert held == [20] * 50
+
+
 def test_edge_cases(spark):
     line = "a line that is long enough to be matched"
     rows = [

@@ -14,10 +14,10 @@ segments (index) and, for each length it may meet, its windows (probes) under a
 more places than ``EDITS`` edits can change, verified by a banded bit-parallel edit
 distance on the texts.
 
-A key that many classes share (``PAIRS`` and more index-probe pairs) makes no pairs:
-the shared segment is cut out of its lines and the rest is segmented again under
-the old key -- two lines within the distance have rests within the distance --
-``LEVELS`` times.  What is still frequent then differs in a short rest only; it is
+A key that many classes share (``PAIRS`` and more index-probe pairs) makes no pairs
+and is never held whole: the shared segment is cut out of its lines, at every place
+where a line holds it, and the rests are segmented again under the old key -- two
+lines within the distance have rests within the distance -- ``LEVELS`` times.  What is still frequent then differs in a short rest only; it is
 verified in blocks of ``BLOCK`` classes, each pair of blocks on its own, and each
 leaves no more links than classes.
 
@@ -223,65 +223,111 @@ def _first_entries(docs: DataFrame, edits: int) -> DataFrame:
 
 
 def _met(all_entries: DataFrame, edits: int) -> DataFrame:
-    """Candidates ``(a, b)`` of each key -- lines whose parities are close enough -- or for a frequent key its members
-    ``(key, side, a)`` with b null; side is the mark, parities included."""
+    """Candidates ``(a, b)`` of each key -- lines whose parities are close enough -- or
+    for a frequent key its members ``(key, side, a)`` with b null, a member perhaps in
+    several rows; side is the mark, parities included.  Every member is a probe."""
 
     most = 2 * edits
 
+    def rows(a: list, b: list, k: list, s: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(k, pa.int64()), pa.array(s, pa.int32())],
+            names=["a", "b", "key", "side"],
+        )
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in whole_groups(batches, "key"):
-            key = group.column("key").to_numpy()
-            line, mark = group.column("line").to_numpy(), group.column("mark").to_numpy()
-            same = np.flatnonzero(key[1:] == key[:-1])
+        # A key's members are held until they make PAIRS pairs; from then on its
+        # rows pass through, so a task never holds more of a key than that.
+        own: dict[int, int] = {}
+        last, frequent = None, False
+
+        def pairs() -> set[tuple[int, int]]:
+            index = [(i, m >> 2) for i, m in own.items() if m & INDEX]
+            probe = [(i, m >> 2) for i, m in own.items() if m & PROBE]
+            return {(i, p) if i < p else (p, i) for i, x in index for p, y in probe if i != p and (x ^ y).bit_count() <= most}
+
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            lines, marks = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             out_a, out_b, out_k, out_s = [], [], [], []
-            if len(same):
-                starts = same[np.concatenate([[True], key[same[1:]] != key[same[:-1]]])]
-                ends = np.searchsorted(key, key[starts], "right")
-                for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-                    own: dict[int, int] = {}
-                    for x, m in zip(line[s:e].tolist(), mark[s:e].tolist(), strict=True):
+            bounds = run_bounds(key)
+            # Keys of one row, neither begun before nor going on, meet nothing.
+            bounds = [(s, e) for n, (s, e) in enumerate(bounds) if e - s > 1 or n in (0, len(bounds) - 1)]
+            for s, e in bounds:
+                now = int(key[s])
+                if now != last:
+                    if len(own) > 1 and not frequent:
+                        met = pairs()
+                        out_a += [a for a, _ in met]
+                        out_b += [b for _, b in met]
+                        out_k += [0] * len(met)
+                        out_s += [0] * len(met)
+                    own, last, frequent = {}, now, False
+                if not frequent:
+                    for n, (x, m) in enumerate(zip(lines[s:e].tolist(), marks[s:e].tolist(), strict=True), 1):
                         own[x] = own.get(x, 0) | m
-                    index = [(i, m >> 2) for i, m in own.items() if m & INDEX]
-                    probe = [(i, m >> 2) for i, m in own.items() if m & PROBE]
-                    if len(own) < 2 or not index:
-                        continue
-                    if len(index) * len(probe) >= PAIRS:
-                        out_a += own.keys()
-                        out_s += own.values()
-                        out_b += [None] * len(own)
-                        out_k += [int(key[s])] * len(own)
+                        if n % PAIRS and s + n < e or len(own) ** 2 < PAIRS:
+                            continue
+                        if len(own) >= PAIRS or len(own) * sum(1 for m in own.values() if m & INDEX) >= PAIRS:
+                            frequent = True
+                            out_a += own.keys()
+                            out_s += own.values()
+                            out_b += [None] * len(own)
+                            out_k += [now] * len(own)
+                            own = {}
+                            s += n
+                            break
+                    else:
                         continue
-                    pairs = {(i, p) if i < p else (p, i) for i, x in index for p, y in probe if i != p and (x ^ y).bit_count() <= most}
-                    out_a += [a for a, _ in pairs]
-                    out_b += [b for _, b in pairs]
-                    out_k += [0] * len(pairs)
-                    out_s += [0] * len(pairs)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64()), pa.array(out_k, pa.int64()), pa.array(out_s, pa.int32())],
-                names=["a", "b", "key", "side"],
-            )
+                out_a += lines[s:e].tolist()
+                out_s += marks[s:e].tolist()
+                out_b += [None] * (e - s)
+                out_k += [now] * (e - s)
+            yield rows(out_a, out_b, out_k, out_s)
+        if len(own) > 1 and not frequent:
+            met = pairs()
+            yield rows([a for a, _ in met], [b for _, b in met], [0] * len(met), [0] * len(met))
 
     by_key = all_entries.repartition("key").sortWithinPartitions("key")
     return by_key.mapInArrow(run, "a long, b long, key long, side int")
 
 
+def _members(met: DataFrame) -> DataFrame:
+    """``key, a, side``: the members of the frequent keys, one row each.  A key
+    without a segment has probes only, which meet nothing, and goes."""
+    rows = met.filter("b is null").groupBy("key", "a").agg(F.bit_or("side").alias("side"))
+    used = rows.filter(F.col("side").bitwiseAND(INDEX) != 0).select("key").distinct()
+    return rows.join(used, "key", "left_semi")
+
+
 def _rests(members: DataFrame, edits: int) -> DataFrame:
-    """The rest of each member of a frequent key, with the key as salt:
-    ``salt, side, line, rest``.  Two lines under one id have both texts here; the
-    one that does not hold the key has no rest under it."""
+    """The rests of each member of a frequent key, with the key as salt: ``salt, line,
+    rest, side``.  A line that holds the key at several places has a rest for each:
+    the one that leaves two lines within the distance may be any of them.  Nothing
+    marks the cut, so places within a run of one character leave one rest.  Two
+    lines under one id have both texts here; the one that does not hold the key
+    has no rest under it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rests, held = [], []
-            for key, salt, text in zip(*(batch.column(k).to_pylist() for k in (0, 1, 4)), strict=True):
-                at, n = next(((at, n) for k, _, at, n in entries(text, salt, edits) if k == key & _WORD), (-1, 0))
-                held.append(at >= 0)
-                rests.append(f"{text[:at]}\0{text[at + n:]}" if at >= 0 else None)
+            salts, lines, sides, rests = [], [], [], []
+            for key, salt, mark, line, text in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                found: dict[str, int] = {}
+                for k, side, at, n in entries(text, salt, edits):
+                    if k == key & _WORD and side & mark:
+                        rest = text[:at] + text[at + n :]
+                        found[rest] = found.get(rest, 0) | side & mark
+                salts += [key] * len(found)
+                lines += [line] * len(found)
+                sides += [mark & ~3 | side for side in found.values()]
+                rests += found
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), batch.column(3), pa.array(rests, pa.string())], names=["salt", "side", "line", "rest"]
-            ).filter(pa.array(held, pa.bool_()))
+                [pa.array(salts, pa.int64()), pa.array(lines, pa.int64()), pa.array(sides, pa.int32()), pa.array(rests, pa.string())],
+                names=["salt", "line", "side", "rest"],
+            )
 
-    return members.select("key", "salt", "side", "line", "rest").mapInArrow(run, "salt long, side int, line long, rest string")
+    cut = members.select("key", "salt", "side", "line", "rest").mapInArrow(run, "salt long, line long, side int, rest string")
+    return cut.groupBy("salt", "line", "rest").agg(F.bit_or("side").alias("side"))
 
 
 def _next_entries(rests: DataFrame, edits: int) -> DataFrame:
@@ -377,13 +423,13 @@ def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataF
     ids = met.select(F.col("a").alias("line")).unionAll(met.filter("b is not null").select("b"))
     texts = written(_texts(ids, classes, docs), "line-texts")
     pairs = met.filter("b is not null").select("a", "b")
-    frequent = met.filter("b is null").select("key", F.lit(0).cast("long").alias("salt"), "side", F.col("a").alias("line"))
+    frequent = _members(met).select("key", F.lit(0).cast("long").alias("salt"), "side", F.col("a").alias("line"))
     hot = frequent.join(texts.select("line", F.col("text").alias("rest")), "line")
     for level in range(1, LEVELS + 1):
         if hot.isEmpty():
             break
-        # A rest is one line under one key; it goes by an id of its own.
-        own = F.xxhash64("salt", "line").alias("id")
+        # A rest of a line under a key goes by an id of its own.
+        own = F.xxhash64("salt", "line", "rest").alias("id")
         rests = written(_rests(hot, edits).select(own, "salt", "side", "line", "rest"), f"line-rests-{level}")
         deeper = written(_met(_next_entries(rests, edits), edits), f"line-met-{level}")
         lines = rests.select("id", "line")
@@ -391,7 +437,7 @@ def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataF
         found = found.join(lines.select(F.col("id").alias("a"), F.col("line").alias("u")), "a")
         found = found.join(lines.select(F.col("id").alias("b"), F.col("line").alias("v")), "b").filter("u <> v")
         pairs = pairs.unionAll(found.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")))
-        members = deeper.filter("b is null").select("key", F.col("side").alias("own"), F.col("a").alias("id"))
+        members = _members(deeper).select("key", F.col("side").alias("own"), F.col("a").alias("id"))
         hot = members.join(rests, "id").select("key", "salt", F.col("own").alias("side"), "line", "rest")
     left = hot.select("key", "line").distinct().join(texts, "line")
     sizes = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
