@@ -250,10 +250,14 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
             key = batch.column(0).to_numpy()
             lines, marks = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             out_a, out_b, out_k, out_s = [], [], [], []
-            bounds = run_bounds(key)
+            if not len(key):
+                continue
+            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+            starts, ends = np.append(0, cuts), np.append(cuts, len(key))
             # Keys of one row, neither begun before nor going on, meet nothing.
-            bounds = [(s, e) for n, (s, e) in enumerate(bounds) if e - s > 1 or n in (0, len(bounds) - 1)]
-            for s, e in bounds:
+            used = ends - starts > 1
+            used[[0, -1]] = True
+            for s, e in zip(starts[used].tolist(), ends[used].tolist(), strict=True):
                 now = int(key[s])
                 if now != last:
                     if len(own) > 1 and not frequent:
@@ -283,7 +287,8 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
                 out_s += marks[s:e].tolist()
                 out_b += [None] * (e - s)
                 out_k += [now] * (e - s)
-            yield rows(out_a, out_b, out_k, out_s)
+            if out_a:
+                yield rows(out_a, out_b, out_k, out_s)
         if len(own) > 1 and not frequent:
             met = pairs()
             yield rows([a for a, _ in met], [b for _, b in met], [0] * len(met), [0] * len(met))
