@@ -31,12 +31,12 @@ def expected(rows):
         if i is not None:
             top[h or ""] = max(top.get(h or "", i), i)
     out = []
-    for i, _, h in rows:
+    for i, url, h in rows:
         raw = (h or "").encode()
         t = top.get(h or "")
         visit = t is not None and i != t
         digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
-        out.append((i, len(raw), digest, "revisit" if visit else "response", t if visit else None))
+        out.append((i, len(raw), digest, "revisit" if visit else "response", t if visit else None, url and url.replace("\r", "%0D").replace("\n", "%0A")))
     return sorted(out, key=repr)
 
 
@@ -61,10 +61,16 @@ def test_payloads_come_back(spark, tmp_path):
     for i, _, h in ROWS:
         r = got[f"capture: {'' if i is None else i}"]
         assert bytes(r["main"]["block"]) == ((h or "").encode() if r["main"]["type"] == "response" else b"")
+        assert r["main"]["payload_bytes"] == (len((h or "").encode()) if r["main"]["type"] == "response" else None)
         assert r["request"]["text"].startswith("GET ") and r["main"]["record_id"] == r["capture"]
     assert "%0D%0AX" in got["capture: 5"]["main"]["uri"]
 
 
+def test_archives_are_read_once_and_requests_joined(spark):
+    plan = wt.query(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "MapInArrow" not in plan and plan.count("Join ") >= 2
+
+
 def test_least_payload_size(spark):
     df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], SCHEMA)
     rows = wt.archive_rows(df, "page_id", "url", "html", min_bytes=3).collect()

@@ -16,8 +16,8 @@ they are in, and one nested row per capture comes out.
 Defined cases: a null payload is empty; a null id is written as an empty field
 and read back as null (it is larger than no other id); a null url leaves its
 field out; line ends inside a url are percent-encoded; rows equal in id and
-payload share their record identifiers and come back once each; an empty table
-writes no record.
+payload share their record identifiers, come back once each and show the smallest
+request; an empty table writes no record.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import table
+from tillroll.llm.common import table, written
 from tillroll.plans.session import shared_dir
 
 # Production parameters.
@@ -157,7 +157,7 @@ _HEADERS = {
     "digest": b"WARC-Payload-Digest",
     "refers_to": b"WARC-Refers-To",
 }
-_PARSED = pa.schema([*[(k, pa.string()) for k in _HEADERS], ("payload_digest", pa.string()), ("block", pa.binary())])
+_PARSED = pa.schema([*[(k, pa.string()) for k in _HEADERS], ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("block", pa.binary())])
 
 
 def parse_records(stream: BinaryIO) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
@@ -181,7 +181,7 @@ def parse_records(stream: BinaryIO) -> Iterator[tuple[dict[bytes, bytes], bytes]
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: header fields, the block (HTTP head removed) and, for
-    responses, the digest computed from the payload itself."""
+    responses, digest and length of the payload itself."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,6 +197,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                         rows[name].append(None if value is None else value.decode())
                     own = base64.b32encode(hashlib.sha1(block).digest()).decode() if kind == b"response" else None
                     rows["payload_digest"].append(own)
+                    rows["payload_bytes"].append(len(block) if kind == b"response" else None)
                     rows["block"].append(block)
                     held += len(block)
                     if held > 8 << 20:
@@ -206,7 +207,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_pydict(rows, _PARSED)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    kinds = ", ".join(f"{f.name} {'binary' if f.type == pa.binary() else 'string'}" for f in _PARSED)
+    names = {pa.binary(): "binary", pa.int64(): "long"}
+    kinds = ", ".join(f"{f.name} {names.get(f.type, 'string')}" for f in _PARSED)
     return files.mapInArrow(run, kinds)
 
 
@@ -219,7 +221,7 @@ def captures(records: DataFrame) -> DataFrame:
     """Transactions: the main record with the request and metadata records that
     are concurrent to it, as one nested row per capture."""
     own = F.struct(
-        "record_id", "type", "uri", F.regexp_replace("digest", "^sha1:", "").alias("digest"), "payload_digest", "refers_to", "block"
+        "record_id", "type", "uri", F.regexp_replace("digest", "^sha1:", "").alias("digest"), "payload_digest", "payload_bytes", "refers_to", "block"
     )
     is_main = F.col("type").isin("response", "revisit")
     main = records.filter(is_main).select(F.col("record_id").alias("target"), own.alias("main"))
@@ -239,13 +241,16 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/llm/warc-{uuid.uuid4().hex[:12]}"
     write_archives(table(spark, sf_dir, "pages"), path)
     text = F.col("metadata.text")
-    back = captures(read_records(spark, path))
+    # The archives are read once; the assembly needs the texts of requests and notes only.
+    beside = F.when(F.col("type").isin("request", "metadata"), F.col("block"))
+    back = captures(written(read_records(spark, path).withColumn("block", beside), "warc-records"))
     return back.select(
         _note(text, "capture").cast("long").alias("page_id"),
-        _note(text, "payload-bytes").cast("long").alias("payload_bytes"),
+        F.coalesce("main.payload_bytes", _note(text, "payload-bytes").cast("long")).alias("payload_bytes"),
         F.coalesce("main.payload_digest", "main.digest").alias("payload_digest"),
         F.col("main.type").alias("record_type"),
         _note(text, "refers-to").cast("long").alias("refers_to"),
+        F.col("request.uri").alias("request_uri"),
     )
 
 
@@ -253,13 +258,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # become 160 bits and every five of them a letter.
 _BITS = "list_aggregate(list_transform(range(1, 41), lambda i: lpad(bin(('0x' || h[i])::INT), 4, '0')), 'string_agg', '')"
 SQL = f"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
-b AS (SELECT page_id, strlen(t)::BIGINT AS n, h, {_BITS} AS bits FROM p),
-d AS (SELECT page_id, n, list_aggregate(list_transform(range(0, 32), lambda i:
+WITH p AS (SELECT page_id, replace(replace(url, chr(13), '%0D'), chr(10), '%0A') AS uri, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT page_id, uri, strlen(t)::BIGINT AS n, h, {_BITS} AS bits FROM p),
+d AS (SELECT page_id, uri, n, list_aggregate(list_transform(range(0, 32), lambda i:
     '{BASE32}'[1 + 16 * bits[5*i+1]::INT + 8 * bits[5*i+2]::INT + 4 * bits[5*i+3]::INT + 2 * bits[5*i+4]::INT + bits[5*i+5]::INT]),
     'string_agg', '') AS digest, max(page_id) OVER (PARTITION BY h) AS top FROM b)
 SELECT page_id, n AS payload_bytes, digest AS payload_digest,
   CASE WHEN n >= {MIN_REVISIT_BYTES} AND top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN n >= {MIN_REVISIT_BYTES} AND page_id IS DISTINCT FROM top THEN top END AS refers_to
+  CASE WHEN n >= {MIN_REVISIT_BYTES} AND page_id IS DISTINCT FROM top THEN top END AS refers_to, uri AS request_uri
 FROM d
 """
