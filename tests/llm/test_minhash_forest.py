@@ -81,6 +81,13 @@ def test_dense_region(spark, monkeypatch, run):
         assert all(out[i][1] == i for i, v in want.items() if v[1] == i and i >= 200)
 
 
+def test_dense_region_loses_no_link(spark, monkeypatch):
+    """What no prefix makes small is compared all with all."""
+    monkeypatch.setattr(mf, "RUN", 4)
+    rows = variants(200)
+    assert got(mf.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == brute(rows, 5)
+
+
 def templated(n, pairs, seed):
     """Documents of one template (similarity 0.7) and pairs at 0.80 to 0.84 among them."""
     rnd = random.Random(seed)

@@ -30,8 +30,8 @@ Random documents at similarity 0.8 share the base prefix in none of the 24
 orders with probability 3e-6, and the estimate of such a pair falls below
 ``MAYBE`` with probability 1.2e-5.  In a dense region where any two documents have
 similarity s by what all share, a pair at 0.8 shares none of its own values with
-probability 4e-9 (s = 0.6), 4e-4 (0.71) or 2e-2 (0.75), and is then found only if
-steps 2 to 4 find it.
+probability 4e-9 (s = 0.6), 4e-4 (0.71) or 2e-2 (0.75), and is then found if it shares
+a prefix of step 2, like a pair outside of such regions.
 
 Defined cases: words split at ASCII blanks, A-Z lower-cased; a text with fewer
 words than a shingle is one shingle; null, empty or blank texts have no set and
@@ -153,24 +153,42 @@ def _forest_runs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members.filter(F.size("reps") > 1).select("reps").distinct().select(F.xxhash64("reps").alias("run"), "reps"), region
 
 
+def _block_runs(groups: DataFrame) -> DataFrame:
+    """``run, rep``: every two classes of a group (``node, root``) are in a run.  A group is
+    dealt into blocks of some ``RUN`` classes, and every two blocks make a run: the runs
+    are bounded however large the group is, their number is the square of its blocks."""
+    blocks = F.ceil(F.col("n") / RUN).cast("int")
+    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    placed = groups.join(sizes, "root").withColumns({"b": F.pmod(F.xxhash64("node"), blocks).cast("int"), "blocks": blocks})
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = placed.select("root", F.col("node").alias("rep"), "b", other)
+    return pairs.select(F.xxhash64(F.lit(-2), "root", F.least("b", "other"), F.greatest("b", "other")).alias("run"), "rep")
+
+
 def _region_runs(region: DataFrame) -> DataFrame:
     """``run, reps`` of the classes of dense regions (``rep, root, sig``): orders from
     each of the signature's values, by the shortest prefix of a run that is small
     enough, so that a value two classes share against the rest of their region brings them
-    together.  Runs within one component are left out."""
+    together.  Runs within one component are left out.  Classes whose run is still too
+    large at the longest prefix are compared all with all (``_block_runs``): a pair
+    that shares a prefix of step 2 is in a run here, whatever its region's size."""
     start = F.explode(F.sequence(F.lit(0), F.lit(_VALUES - 1))).alias("start")
     key = F.substring(F.concat("sig", "sig"), F.col("start") * 2 + 1, F.lit(2 * STARTS[-1]))
     rows = written(region.select("rep", "root", "sig", start).select("rep", "root", "start", key.alias("key")), "forest-starts")
     runs = None
     for depth in STARTS:
         rows = rows.withColumn("p", F.substring("key", 1, 2 * depth))
-        counts = rows.groupBy("start", "p").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        counts = written(counts.filter("lo <> hi").select("start", "p", "n"), f"forest-starts-{depth}")
+        counts = rows.groupBy("start", "p").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("rep").alias("first"))
+        counts = written(counts.filter("lo <> hi").select("start", "p", "n", "first"), f"forest-starts-{depth}")
         here = rows.join(counts.filter(F.col("n") <= RUN), ["start", "p"], "left_semi")
         here = here.select(F.xxhash64(F.lit(depth), "start", "p").alias("run"), "rep")
         runs = here if runs is None else runs.unionAll(here)
         big = counts.filter(F.col("n") > RUN)
-        if depth == STARTS[-1] or big.isEmpty():
+        if big.isEmpty():
+            break
+        if depth == STARTS[-1]:
+            near = rows.join(big, ["start", "p"]).select(F.col("first").alias("u"), F.col("rep").alias("v"))
+            runs = runs.unionAll(_block_runs(components(near, "forest-rest")))
             break
         rows = written(rows.join(big, ["start", "p"], "left_semi").drop("p"), f"forest-starts-rows-{depth}")
     members = runs.groupBy("run").agg(F.array_sort(F.collect_set("rep")).alias("reps"))
