@@ -48,7 +48,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import components, run_bounds, table, whole_groups, written
@@ -154,15 +154,24 @@ def _forest_runs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _block_runs(groups: DataFrame) -> DataFrame:
-    """``run, rep``: every two classes of a group (``node, root``) are in a run.  A group is
-    dealt into blocks of some ``RUN`` classes, and every two blocks make a run: the runs
-    are bounded however large the group is, their number is the square of its blocks."""
-    blocks = F.ceil(F.col("n") / RUN).cast("int")
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    placed = groups.join(sizes, "root").withColumns({"b": F.pmod(F.xxhash64("node"), blocks).cast("int"), "blocks": blocks})
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    pairs = placed.select("root", F.col("node").alias("rep"), "b", other)
-    return pairs.select(F.xxhash64(F.lit(-2), "root", F.least("b", "other"), F.greatest("b", "other")).alias("run"), "rep")
+    """``run, rep``: every two classes of a group that are not connected yet are in a run
+    (``rep, root, grp``; ``root`` is a class's component).  A group is dealt into blocks of
+    some ``RUN`` classes, those of a large component into blocks of their own, and every
+    two blocks that are not of one component make a run: runs are bounded however large
+    the group is."""
+    sizes = groups.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("n"))
+    small = F.sum(F.when(F.col("n") <= RUN, F.col("n"))).over(Window.partitionBy("grp"))
+    own = F.when(F.col("n") > RUN, F.col("root"))
+    dealt = F.coalesce(F.when(F.col("n") > RUN, F.col("n")), F.col("small"))
+    placed = groups.join(sizes.withColumn("small", small), ["grp", "root"])
+    salt = F.pmod(F.xxhash64(F.when(F.col("n") > RUN, F.col("rep")).otherwise(F.col("root"))), F.ceil(dealt / RUN))
+    placed = placed.select("grp", "rep", own.alias("own"), F.xxhash64(own, salt).alias("block"))
+    placed = written(placed, "forest-blocks")
+    blocks = placed.select("grp", "own", "block").distinct()
+    other = blocks.select("grp", F.col("own").alias("own2"), F.col("block").alias("block2"))
+    pairs = blocks.join(other, "grp").filter("own is null or own2 is null or own <> own2")
+    run = F.xxhash64(F.lit(-2), "grp", F.least("block", "block2"), F.greatest("block", "block2"))
+    return placed.join(pairs.select("grp", "block", run.alias("run")), ["grp", "block"]).select("run", "rep")
 
 
 def _region_runs(region: DataFrame) -> DataFrame:
@@ -170,7 +179,7 @@ def _region_runs(region: DataFrame) -> DataFrame:
     each of the signature's values, by the shortest prefix of a run that is small
     enough, so that a value two classes share against the rest of their region brings them
     together.  Runs within one component are left out.  Classes whose run is still too
-    large at the longest prefix are compared all with all (``_block_runs``): a pair
+    large at the longest prefix are compared with all of other components (``_block_runs``): a pair
     that shares a prefix of step 2 is in a run here, whatever its region's size."""
     start = F.explode(F.sequence(F.lit(0), F.lit(_VALUES - 1))).alias("start")
     key = F.substring(F.concat("sig", "sig"), F.col("start") * 2 + 1, F.lit(2 * STARTS[-1]))
@@ -188,7 +197,8 @@ def _region_runs(region: DataFrame) -> DataFrame:
             break
         if depth == STARTS[-1]:
             near = rows.join(big, ["start", "p"]).select(F.col("first").alias("u"), F.col("rep").alias("v"))
-            runs = runs.unionAll(_block_runs(components(near, "forest-rest")))
+            groups = components(near, "forest-rest").select(F.col("node").alias("rep"), F.col("root").alias("grp"))
+            runs = runs.unionAll(_block_runs(groups.join(region.select("rep", "root"), "rep")))
             break
         rows = written(rows.join(big, ["start", "p"], "left_semi").drop("p"), f"forest-starts-rows-{depth}")
     members = runs.groupBy("run").agg(F.array_sort(F.collect_set("rep")).alias("reps"))
