@@ -88,6 +88,22 @@ def test_dense_region_loses_no_link(spark, monkeypatch):
     assert got(mf.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == brute(rows, 5)
 
 
+def test_groups_are_compared_once(spark, monkeypatch):
+    """Classes of a group meet in its blocks, and not in the shorter runs of each value as well."""
+    monkeypatch.setattr(mf, "RUN", 4)
+    members, blocks, seen = mf._members, mf._block_runs, {"members": [], "blocks": []}
+
+    def keep(what, df, rows):
+        seen[what].append(rows.first()[0])
+        return df
+
+    monkeypatch.setattr(mf, "_members", lambda runs, classes: keep("members", members(runs, classes), runs.selectExpr("sum(size(reps))")))
+    monkeypatch.setattr(mf, "_block_runs", lambda groups: keep("blocks", out := blocks(groups), out.selectExpr("count(*)")))
+    rows = variants(200, seed=4)
+    assert got(mf.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))) == brute(rows, 5)
+    assert seen["blocks"] and seen["members"][1] <= 1.05 * seen["blocks"][0], seen
+
+
 def templated(n, pairs, seed):
     """Documents of one template (similarity 0.7) and pairs at 0.80 to 0.84 among them."""
     rnd = random.Random(seed)

@@ -48,7 +48,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import components, run_bounds, table, whole_groups, written
@@ -174,35 +174,54 @@ def _block_runs(groups: DataFrame) -> DataFrame:
     return placed.join(pairs.select("grp", "block", run.alias("run")), ["grp", "block"]).select("run", "rep")
 
 
-def _region_runs(region: DataFrame) -> DataFrame:
-    """``run, reps`` of the classes of dense regions (``rep, root, sig``): orders from
+def _one_group() -> Column:
+    """Whether all rows that are aggregated lie in one group (``grp``, null outside of groups)."""
+    return F.coalesce((F.count("grp") == F.count(F.lit(1))) & (F.min("grp") == F.max("grp")), F.lit(False))
+
+
+def _start_runs(region: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``run, rep`` of the classes of dense regions (``rep, root, grp, sig``): orders from
     each of the signature's values, by the shortest prefix of a run that is small
     enough, so that a value two classes share against the rest of their region brings them
-    together.  Runs within one component are left out.  Classes whose run is still too
-    large at the longest prefix are compared with all of other components (``_block_runs``): a pair
-    that shares a prefix of step 2 is in a run here, whatever its region's size."""
+    together.  Runs within one component or one group (``grp``) are left out.  Also
+    ``(u, v)``: what lies in a run that is too large at the longest prefix, with the run's
+    first class, or None."""
     start = F.explode(F.sequence(F.lit(0), F.lit(_VALUES - 1))).alias("start")
     key = F.substring(F.concat("sig", "sig"), F.col("start") * 2 + 1, F.lit(2 * STARTS[-1]))
-    rows = written(region.select("rep", "root", "sig", start).select("rep", "root", "start", key.alias("key")), "forest-starts")
+    rows = region.select("rep", "root", "grp", "sig", start).select("rep", "root", "grp", "start", key.alias("key"))
+    rows = written(rows, "forest-starts")
     runs = None
     for depth in STARTS:
         rows = rows.withColumn("p", F.substring("key", 1, 2 * depth))
-        counts = rows.groupBy("start", "p").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("rep").alias("first"))
-        counts = written(counts.filter("lo <> hi").select("start", "p", "n", "first"), f"forest-starts-{depth}")
+        counts = rows.groupBy("start", "p").agg(
+            F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("rep").alias("first"), _one_group().alias("one")
+        )
+        counts = written(counts.filter("lo <> hi and not one").select("start", "p", "n", "first"), f"forest-starts-{depth}")
         here = rows.join(counts.filter(F.col("n") <= RUN), ["start", "p"], "left_semi")
         here = here.select(F.xxhash64(F.lit(depth), "start", "p").alias("run"), "rep")
         runs = here if runs is None else runs.unionAll(here)
         big = counts.filter(F.col("n") > RUN)
         if big.isEmpty():
-            break
-        if depth == STARTS[-1]:
-            near = rows.join(big, ["start", "p"]).select(F.col("first").alias("u"), F.col("rep").alias("v"))
-            groups = components(near, "forest-rest").select(F.col("node").alias("rep"), F.col("root").alias("grp"))
-            runs = runs.unionAll(_block_runs(groups.join(region.select("rep", "root"), "rep")))
-            break
-        rows = written(rows.join(big, ["start", "p"], "left_semi").drop("p"), f"forest-starts-rows-{depth}")
+            return runs, None
+        if depth < STARTS[-1]:
+            rows = written(rows.join(big, ["start", "p"], "left_semi").drop("p"), f"forest-starts-rows-{depth}")
+    return runs, rows.join(big, ["start", "p"]).select(F.col("first").alias("u"), F.col("rep").alias("v"))
+
+
+def _region_runs(region: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``run, reps`` of the classes of dense regions (``rep, root, sig``), see ``_start_runs``.
+    Classes whose run is still too large at the longest prefix make groups (``rep, grp``,
+    or None), which are compared all with all of other components (``_block_runs``): a pair
+    that shares a prefix of step 2 is in a run here, whatever its region's size.  Other runs
+    of one group's classes alone would only repeat that."""
+    runs, near = _start_runs(region.withColumn("grp", F.lit(None).cast("long")))
+    groups = None
+    if near is not None:
+        groups = written(components(near, "forest-rest").select(F.col("node").alias("rep"), F.col("root").alias("grp")), "forest-groups")
+        grouped = region.join(groups, "rep", "left")
+        runs = _start_runs(grouped)[0].unionAll(_block_runs(grouped.filter("grp is not null").select("grp", "rep", "root")))
     members = runs.groupBy("run").agg(F.array_sort(F.collect_set("rep")).alias("reps"))
-    return members.filter(F.size("reps") > 1).select("reps").distinct().select(F.xxhash64("reps").alias("run"), "reps")
+    return members.filter(F.size("reps") > 1).select("reps").distinct().select(F.xxhash64("reps").alias("run"), "reps"), groups
 
 
 def _members(runs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -372,16 +391,24 @@ def near_duplicates(
 
     # Second look: runs whose candidates were not all forest edges, and runs of the
     # dense regions' further orders, that still span several components.
-    open_runs = found.filter("more").select("reps")
+    open_runs = found.filter("more").select("reps", F.lit(True).alias("first_look"))
+    known = joined.withColumn("grp", F.lit(None).cast("long"))
     if not region.isEmpty():
         dense = classes.select("rep", "sig").join(region.hint("merge"), "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        further = written(_region_runs(dense.withColumn("root", F.coalesce("root", "rep"))), "forest-region-runs")
-        open_runs = open_runs.unionAll(written(_candidates(_members(further, classes)).select("reps"), "forest-region-candidates"))
-    open_runs = open_runs.distinct().select(F.xxhash64("reps").alias("run"), F.explode("reps").alias("node"))
-    rooted = open_runs.join(joined, "node", "left").select("run", F.col("node").alias("rep"), F.coalesce("root", "node").alias("root"))
+        further, groups = _region_runs(written(dense.withColumn("root", F.coalesce("root", "rep")), "forest-region-classes"))
+        further = _candidates(_members(written(further, "forest-region-runs"), classes)).select("reps", F.lit(False).alias("first_look"))
+        open_runs = open_runs.unionAll(written(further, "forest-region-candidates"))
+        if groups is not None:
+            known = joined.join(groups.withColumnRenamed("rep", "node"), "node", "full")
+    open_runs = open_runs.groupBy("reps").agg(F.min("first_look").alias("first_look"))
+    open_runs = open_runs.select(F.xxhash64("reps").alias("run"), "first_look", F.explode("reps").alias("node"))
+    root = F.coalesce("root", "node").alias("root")
+    rooted = open_runs.join(known, "node", "left").select("run", "first_look", F.col("node").alias("rep"), root, "grp")
     rooted = written(rooted, "forest-rooted")
-    spanning = rooted.groupBy("run").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("run")
-    unsettled = written(rooted.join(spanning, "run", "left_semi"), "forest-unsettled")
+    # What lies in one group was compared in its blocks, if not one itself.
+    spanning = rooted.groupBy("run").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), (F.min("first_look") & _one_group()).alias("again"))
+    spanning = spanning.filter("lo <> hi and not again").select("run")
+    unsettled = written(rooted.select("run", "rep", "root").join(spanning, "run", "left_semi"), "forest-unsettled")
     needed = unsettled.select(F.col("rep").alias("doc_id")).distinct()
     read = whole.join(needed.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     sets = written(_sets(read, size), "forest-sets")
