@@ -62,3 +62,12 @@ def test_refresh_loads_twice_only(spark, tmp_path, monkeypatch):
     loads, load_raw = [], warehouse.load_raw
     monkeypatch.setattr(warehouse, "load_raw", lambda *a: loads.append(1) or load_raw(*a))
     assert QUERIES["layer_refresh"](spark, SF_SMALL).count() == 7 and len(loads) == 2
+
+
+def test_product_view_holds_flags_per_invoice(spark, wh_small):
+    """Rows per product and invoice carry no sum and no attribute of the product."""
+    from tillroll.plans import catalog
+
+    plan = catalog.view(wh_small, "v_product_kpis")._jdf.queryExecution().optimizedPlan().toString()
+    per_invoice = [x for x in plan.splitlines() if "Aggregate [" in x and "invoice_no" in x.partition("], [")[0]]
+    assert per_invoice and not any("sum(" in x or "stock_code" in x for x in per_invoice)
