@@ -24,7 +24,8 @@
    (``STARTS``): a value that two classes share against the rest of their region
    makes a short run at once.  Such runs that span several components are tested
    like those of step 4; what all share makes longer ones, which the orders of
-   step 2 go through.
+   step 2 go through.  Classes whose runs are too large even so make groups, compared
+   all with all in bounded blocks; runs inside one group are left out then.
 
 Random documents at similarity 0.8 share the base prefix in none of the 24
 orders with probability 3e-6, and the estimate of such a pair falls below
