@@ -213,3 +213,35 @@ def test_lines_under_one_id(spark, monkeypatch):
     rows = [(i, f"the common beginning of a line that many share, number {i * 37:04d}") for i in range(60)]
     rows += [(100 + i, f"{i * 41:04d} is the number before the common end of lines of this length") for i in range(60)]
     assert set(run(spark, rows)) == {i for i, _ in rows}
+
+
+def test_repeated_id_without_the_place(spark):
+    """A row under the same id that has fewer lines than the first occurrence's place."""
+    line = "a line that is long enough to be matched"
+    rows = [(1, "top"), (1, f"first\nsecond\n{line}"), (2, line + "!")]
+    out = le.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.row.doc_id, r.text) for r in out) == [(1, f"first\nsecond\n{line}"), (1, "top"), (2, "")]
+
+
+def test_members_before_the_first_segment(spark, monkeypatch):
+    """Rows of a frequent key that came before its first segment are members, those of
+    a key without any are not."""
+    monkeypatch.setattr(le, "PAIRS", 16)
+    probes = [(1, n, le.PROBE) for n in range(40)] + [(2, n, le.PROBE) for n in range(40)]
+    entries = spark.createDataFrame([*probes, (1, 40, le.INDEX | le.PROBE | 4)], "key long, line long, mark int").coalesce(1)
+    members = le._members(le.written(le._met(entries, 2), "test-met")).collect()
+    assert sorted((r.key, r.a, r.side) for r in members) == [(1, n, le.PROBE) for n in range(40)] + [(1, 40, le.INDEX | le.PROBE | 4)]
+
+
+def test_components_of_stars_take_no_step(spark, monkeypatch):
+    """Edges that lead to the roots already are not worked on again."""
+    from tillroll.llm import common
+
+    labels = []
+    monkeypatch.setattr(common, "written", lambda df, label, f=common.written: labels.append(label) or f(df, label))
+    stars = common.components(spark.createDataFrame([(1, 5), (1, 6), (7, 2), (2, 2)], "u long, v long"), "c")
+    assert sorted(map(tuple, stars.collect())) == [(1, 1), (2, 2), (5, 1), (6, 1), (7, 2)]
+    assert labels == ["c-edges"]
+    path = common.components(spark.createDataFrame([(k, k + 1) for k in range(20)], "u long, v long"), "c")
+    assert sorted(map(tuple, path.collect())) == [(k, 0) for k in range(21)]
+    assert common.components(stars.filter("node < 0").toDF("u", "v"), "c").collect() == []

@@ -48,6 +48,7 @@ PAIRS = 4096  # index-probe pairs from which a key is cut further
 LEVELS = 3
 BLOCK = 256
 INDEX, PROBE = 1, 2
+_NO_INDEX = -(1 << 31)  # bit of a mark: no segment under the key so far
 _WORD = 0xFFFFFFFFFFFFFFFF
 _hash = xxhash.xxh64_intdigest
 _BIT = np.uint32(1) << (np.arange(256, dtype=np.uint32) & np.uint32(31)) % np.uint32(29)
@@ -225,7 +226,8 @@ def _first_entries(docs: DataFrame, edits: int) -> DataFrame:
 def _met(all_entries: DataFrame, edits: int) -> DataFrame:
     """Candidates ``(a, b)`` of each key -- lines whose parities are close enough -- or
     for a frequent key its members ``(key, side, a)`` with b null, a member perhaps in
-    several rows; side is the mark, parities included.  Every member is a probe."""
+    several rows; side is the mark, parities included, and negative while the key has
+    shown no segment.  Every member is a probe."""
 
     most = 2 * edits
 
@@ -239,7 +241,7 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
         # A key's members are held until they make PAIRS pairs; from then on its
         # rows pass through, so a task never holds more of a key than that.
         own: dict[int, int] = {}
-        last, frequent = None, False
+        last, frequent, indexed = None, False, False
 
         def pairs() -> set[tuple[int, int]]:
             index = [(i, m >> 2) for i, m in own.items() if m & INDEX]
@@ -266,7 +268,7 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
                         out_b += [b for _, b in met]
                         out_k += [0] * len(met)
                         out_s += [0] * len(met)
-                    own, last, frequent = {}, now, False
+                    own, last, frequent, indexed = {}, now, False, False
                 if not frequent:
                     for n, (x, m) in enumerate(zip(lines[s:e].tolist(), marks[s:e].tolist(), strict=True), 1):
                         own[x] = own.get(x, 0) | m
@@ -274,8 +276,9 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
                             continue
                         if len(own) >= PAIRS or len(own) * sum(1 for m in own.values() if m & INDEX) >= PAIRS:
                             frequent = True
+                            indexed = any(m & INDEX for m in own.values())
                             out_a += own.keys()
-                            out_s += own.values()
+                            out_s += own.values() if indexed else [m | _NO_INDEX for m in own.values()]
                             out_b += [None] * len(own)
                             out_k += [now] * len(own)
                             own = {}
@@ -283,8 +286,9 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
                             break
                     else:
                         continue
+                indexed = indexed or bool((marks[s:e] & INDEX).any())
                 out_a += lines[s:e].tolist()
-                out_s += marks[s:e].tolist()
+                out_s += (marks[s:e] if indexed else marks[s:e] | np.int32(_NO_INDEX)).tolist()
                 out_b += [None] * (e - s)
                 out_k += [now] * (e - s)
             if out_a:
@@ -298,18 +302,21 @@ def _met(all_entries: DataFrame, edits: int) -> DataFrame:
 
 
 def _members(met: DataFrame) -> DataFrame:
-    """``key, a, side``: the members of the frequent keys, one row each.  A key
-    without a segment has probes only, which meet nothing, and goes."""
-    rows = met.filter("b is null").groupBy("key", "a").agg(F.bit_or("side").alias("side"))
-    used = rows.filter(F.col("side").bitwiseAND(INDEX) != 0).select("key").distinct()
-    return rows.join(used, "key", "left_semi")
+    """``key, a, side``: the members of the frequent keys, one row each, dealt by a.
+    A key without a segment has probes only, which meet nothing, and goes; the rows
+    that came before a key's first segment are few and looked up."""
+    rows = met.filter("b is null").select("key", "a", "side")
+    sure, early = rows.filter("side >= 0"), rows.filter("side < 0")
+    early = early.withColumn("side", F.col("side").bitwiseAND(~_NO_INDEX))
+    rows = sure.unionAll(early.join(sure.select("key").distinct(), "key", "left_semi"))
+    return rows.repartition("a").groupBy("key", "a").agg(F.bit_or("side").alias("side"))
 
 
 def _rests(members: DataFrame, edits: int) -> DataFrame:
     """The rests of each member of a frequent key, with the key as salt: ``salt, line,
-    rest, side``.  A line that holds the key at several places has a rest for each:
-    the one that leaves two lines within the distance may be any of them.  Nothing
-    marks the cut, so places within a run of one character leave one rest.  Two
+    rest, side``, once per row of the member.  A line that holds the key at several
+    places has a rest for each: the one that leaves two lines within the distance may
+    be any of them.  Nothing marks the cut, so places within a run of one character leave one rest.  Two
     lines under one id have both texts here; the one that does not hold the key
     has no rest under it."""
 
@@ -331,8 +338,7 @@ def _rests(members: DataFrame, edits: int) -> DataFrame:
                 names=["salt", "line", "side", "rest"],
             )
 
-    cut = members.select("key", "salt", "side", "line", "rest").mapInArrow(run, "salt long, line long, side int, rest string")
-    return cut.groupBy("salt", "line", "rest").agg(F.bit_or("side").alias("side"))
+    return members.select("key", "salt", "side", "line", "rest").mapInArrow(run, "salt long, line long, side int, rest string")
 
 
 def _next_entries(rests: DataFrame, edits: int) -> DataFrame:
@@ -409,17 +415,13 @@ def _block_links(left: DataFrame, edits: int) -> DataFrame:
 def _texts(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``line, full, text`` of the classes with the given short ids, read back
     from the documents that hold their first occurrence."""
-    places = ids.distinct().join(classes.select("line", "digest", "first.doc_id", F.col("first.line").alias("at")), "line")
-    by_doc = written(places.groupBy("doc_id").agg(F.collect_list(F.struct("at", "line", "digest")).alias("wanted")), "line-places")
-    held = docs.join(by_doc.hint("merge"), "doc_id").select(F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
-    found = held.select("w.line", F.col("w.digest").alias("full"), F.element_at("lines", F.col("w.at") + 1).alias("text"))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # rows that repeat an id may hold other lines at the place
-            same = [t is not None and digest(t) == f for f, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield batch.filter(pa.array(same, pa.bool_()))
-
-    return found.mapInArrow(run, "line long, full binary, text string").dropDuplicates(["full"])
+    places = ids.distinct().join(classes.select("line", "digest", "h", "first.doc_id", F.col("first.line").alias("at")), "line")
+    by_doc = places.groupBy("doc_id").agg(F.collect_list(F.struct("at", "line", "digest", "h")).alias("wanted"))
+    held = docs.join(by_doc.hint("merge"), "doc_id").select("doc_id", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
+    found = held.select("doc_id", "w.line", F.col("w.digest").alias("full"), "w.h", F.get("lines", F.col("w.at")).alias("text"))
+    # Rows that repeat an id may hold another line at the place, none or the same; all are in one task.
+    found = found.filter(F.col("text").isNotNull() & (F.xxhash64("text") == F.col("h")))
+    return found.distinct().select("line", "full", "text")
 
 
 def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataFrame:
@@ -431,23 +433,28 @@ def near_links(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataF
     frequent = _members(met).select("key", F.lit(0).cast("long").alias("salt"), "side", F.col("a").alias("line"))
     hot = frequent.join(texts.select("line", F.col("text").alias("rest")), "line")
     for level in range(1, LEVELS + 1):
+        hot = written(hot, f"line-hot-{level}")
         if hot.isEmpty():
             break
-        # A rest of a line under a key goes by an id of its own.
+        # A rest of a line under a key goes by an id of its own.  Rests are cut where
+        # they are needed, a hash for each window, and not written.
         own = F.xxhash64("salt", "line", "rest").alias("id")
-        rests = written(_rests(hot, edits).select(own, "salt", "side", "line", "rest"), f"line-rests-{level}")
+        rests = _rests(hot, edits).select(own, "salt", "side", "line", "rest")
         deeper = written(_met(_next_entries(rests, edits), edits), f"line-met-{level}")
         lines = rests.select("id", "line")
         found = deeper.filter("b is not null").select("a", "b")
         found = found.join(lines.select(F.col("id").alias("a"), F.col("line").alias("u")), "a")
         found = found.join(lines.select(F.col("id").alias("b"), F.col("line").alias("v")), "b").filter("u <> v")
         pairs = pairs.unionAll(found.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")))
-        members = _members(deeper).select("key", F.col("side").alias("own"), F.col("a").alias("id"))
-        hot = members.join(rests, "id").select("key", "salt", F.col("own").alias("side"), "line", "rest")
+        members = _members(deeper).select("key", "side", F.col("a").alias("id"))
+        used = rests.select("id", "salt", "line", "rest")
+        if level > 1:  # a line has several rows under a key then: a rest may come from each
+            used = used.repartition("id").distinct()
+        hot = members.join(used, "id").select("key", "salt", "side", "line", "rest")
     left = hot.select("key", "line").distinct().join(texts, "line")
     sizes = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     left = left.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("full"), F.col("blocks")))
-    pairs = written(pairs.distinct(), "line-pairs")
+    pairs = pairs.repartition("a").distinct()
     return _verified(pairs, texts, edits).unionAll(_block_links(left, edits))
 
 
@@ -455,7 +462,8 @@ def removals(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``doc_id, gone``: the removed lines of documents that lose some, as
     ``(line, h)``; docs has ``doc_id`` and ``text``, neither null."""
     seen = written(_occurrences(docs), "line-occurrences")
-    classes = seen.groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("short").alias("line"))
+    first, n = F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n")
+    classes = seen.groupBy("digest").agg(first, n, F.min("short").alias("line"), F.min("h").alias("h"))
     classes = written(classes, "line-classes")
     links = written(near_links(docs, classes, edits), "line-links")
     firsts = classes.select("digest", "first")
@@ -476,7 +484,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edi
     ``n_lines`` (non-blank lines of the input) and ``n_removed``."""
     rows = rows_as_struct(docs, doc_id=F.col(doc_id).cast("long"), text=F.col(text))
     used = rows.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    gone = written(removals(used, edits), "line-removals")
+    gone = removals(used, edits)
     lines = F.split("text", "\n", -1)
     stays = F.filter(lines, lambda x, k: ~F.array_contains("gone", F.struct(k.alias("line"), F.xxhash64(x).alias("h"))))
     cut = rows.join(gone.hint("merge"), "doc_id", "left").withColumn("kept", F.when(F.col("gone").isNotNull(), stays))
