@@ -93,3 +93,25 @@ def test_null_and_unknown_ids(spark):
     for bad in ([50300], [None], [-1]):
         with pytest.raises(Exception, match="an id is"):
             duckdb_bpe.decode(spark.createDataFrame([(1, bad)], "k int, ids array<int>")).collect()
+
+
+def test_latin_texts_split_alike(coder):
+    """The pattern for Latin-1 texts finds the words that the tokenizer's pattern finds."""
+    chars = [chr(c) for c in range(256)]
+    texts = ["".join(a + b + c for c in chars) for a in "a1 -'\n\xa0" for b in chars[::7]] + [a + b for a in chars for b in chars]
+    texts += ["I'll don't they're 'Sx\u0020\u0020 y\t\n z", "ﬀ é\xa0 1"]
+    assert coder._latin_words_of is not coder._words_of
+    for text in texts:
+        assert coder._split(text) == coder._words_of(text), text
+
+
+def test_batch_is_learnt_in_one_query(coder, monkeypatch):
+    """The new words of a batch of long texts go into one query, and each word is looked up once."""
+    calls = []
+    monkeypatch.setattr(coder, "_contracted", lambda words, query, f=coder._contracted: calls.append(len(words)) or f(words, query))
+    coder._known.clear()
+    coder._older.clear()
+    texts = [f"qxzj{k}vw " + "the same words again " * 60_000 for k in range(8)]
+    got = list(coder.encode(texts))
+    assert list(coder.decode(got)) == [t.encode() for t in texts]
+    assert len(calls) == 1

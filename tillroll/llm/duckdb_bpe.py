@@ -16,7 +16,12 @@ can cross), and all occurrences of the minimum pair are contracted in one step i
 no pair of lower rank can arise from it (no token of lower rank starts or ends with
 the merged one); otherwise the leftmost one only.
 
-Bounds: a worker holds the ids of about ``WORDS_KEPT`` words, and a query gets
+A query costs much by itself, so the new words of many texts go into one.
+Words of a text of Latin-1 characters are matched by ``re``, whose pattern says the
+same of these.
+
+Bounds: a worker holds the ids of about ``WORDS_KEPT`` words, a text that waits for
+its ids is held as a number per word until ``NEW_WORDS`` are new, and a query gets
 ``QUERY_BYTES`` bytes of words or ``QUERY_TOKENS`` tokens (one word of any length
 at least).  Longer id lists are decoded in slices.
 
@@ -29,6 +34,7 @@ back in ``row``, so their names cannot clash.  Texts are never cut.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -45,28 +51,34 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 WORDS_KEPT = 400_000
 QUERY_BYTES = 500_000
 QUERY_TOKENS = 500_000
+NEW_WORDS = 20_000
 LONG_WORD = 64
 MEMORY_LIMIT = "400MB"
 
+#: What the classes of the pattern are up to U+00FF.
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+LATIN = {r"[^\s\p{L}\p{N}]": f"[^{_S}{_L}{_N}]", r"\p{L}": f"[{_L}]", r"\p{N}": f"[{_N}]", r"\s": f"[{_S}]", r"\S": f"[^{_S}]"}
+
 #: Contract the leftmost pair of minimum rank of each word, until no word has one.
-#: A row that a contraction has swallowed keeps its key and loses its token.  Rank
-#: and both positions (below 128 here) are compared as one number.
+#: A row that a contraction has swallowed keeps its key and loses its token.  Word and
+#: position (below 128 here) are one number, and rank and both positions are compared
+#: as one.
 CONTRACT = """
-WITH RECURSIVE run(w, pos, tok) USING KEY (w, pos) AS (
-    SELECT w, pos, tok FROM base
+WITH RECURSIVE run(k, tok) USING KEY (k) AS (
+    SELECT (w::BIGINT << 7) + pos, tok FROM base
     UNION ALL
     (WITH pair AS (
-        SELECT w, pos, tok, lead(tok) OVER word AS nxt, lead(pos) OVER word AS nxt_pos
+        SELECT k, tok, lead(tok) OVER line AS nxt, lead(k) OVER line AS nxt_k
         FROM run WHERE tok IS NOT NULL
-        WINDOW word AS (PARTITION BY w ORDER BY pos)
+        WINDOW line AS (ORDER BY k)
     ), least AS (
-        SELECT w, min((merged::BIGINT << 14) + (pos << 7) + nxt_pos) AS m
-        FROM pair JOIN merge ON l = tok AND r = nxt GROUP BY w
+        SELECT k >> 7 AS w, min((merged::BIGINT << 14) + ((k & 127) << 7) + (nxt_k & 127)) AS m
+        FROM pair JOIN merge ON l = tok AND r = nxt WHERE k >> 7 = nxt_k >> 7 GROUP BY 1
     )
-    SELECT w, pos, CASE pos WHEN (m >> 7) & 127 THEN (m >> 14)::INTEGER WHEN m & 127 THEN NULL ELSE tok END
-    FROM run JOIN least USING (w) WHERE tok IS NOT NULL)
+    SELECT k, CASE k & 127 WHEN (m >> 7) & 127 THEN (m >> 14)::INTEGER WHEN m & 127 THEN NULL ELSE tok END
+    FROM run JOIN least ON w = k >> 7 WHERE tok IS NOT NULL)
 )
-SELECT w, tok FROM run WHERE tok IS NOT NULL ORDER BY w, pos
+SELECT (k >> 7)::INTEGER AS w, tok FROM run WHERE tok IS NOT NULL ORDER BY k
 """
 
 #: The same for long words.  Occurrences that follow each other directly overlap:
@@ -109,6 +121,29 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+class Words(dict):
+    """Word -> its place in ``ids``, which is given to a word when it is first looked
+    up; ids that ``older`` does not know either are None, and the word is ``fresh``."""
+
+    def __init__(self, older: Words | None = None):
+        self.ids: list[bytes | None] = []
+        self.fresh: list[str] = []
+        self._older = older
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self.ids)
+        older = None if self._older is None else self._older.get(word)
+        if older is None:
+            self.fresh.append(word)
+        self.ids.append(None if older is None else self._older.ids[older])
+        return place
+
+    def turned(self) -> Words:
+        """The next words, which know these but none before."""
+        self._older = None
+        return Words(self)
+
+
 class DuckBpe:
     """The vocabulary, its merge table and the words met lately."""
 
@@ -118,11 +153,14 @@ class DuckBpe:
 
         self._ranks = ranks = read_ranks(path)
         self._words_of = regex.compile(pattern).findall
+        for kind, chars in LATIN.items():
+            pattern = pattern.replace(kind, chars)
+        self._latin_words_of = self._words_of if "\\p" in pattern else re.compile(pattern).findall
         self._con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY_LIMIT, "temp_directory": ""})
         self._con.register("v", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
         self._con.execute("CREATE TABLE vocabulary AS SELECT * FROM v")
-        self._known: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}  # what was known before the last turn
+        self._older = Words()  # what was known before the last turn
+        self._known = Words(self._older)
         self._ready = False
 
     def _prepare(self) -> None:
@@ -174,45 +212,52 @@ class DuckBpe:
         cuts = np.flatnonzero(~self._inside[b[:-1] * 256 + b[1:]]) + 1
         return [word[a:z] for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(word)], strict=True)]
 
-    def _learn(self, words: Iterable[str]) -> None:
-        short: dict[str, bytes] = {}
-        long: dict[str, list[bytes]] = {}
-        for word in words:
-            raw = word.encode()
+    def _split(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._words_of(text)
+        return self._latin_words_of(text)
+
+    def _learn(self) -> None:
+        """The ids of the fresh words."""
+        known = self._known
+        short: dict[int, bytes] = {}
+        long: dict[int, list[bytes]] = {}
+        for word in known.fresh:
+            raw, place = word.encode(), known[word]
             if (rank := self._ranks.get(raw)) is not None:
-                self._known[word] = rank.to_bytes(4, "little")
+                known.ids[place] = rank.to_bytes(4, "little")
                 continue
             if not self._ready:
                 self._prepare()
             if len(raw) <= LONG_WORD:
-                short[word] = raw
+                short[place] = raw
             else:
-                long[word] = self._pieces(raw)
-        self._known.update(zip(short, self._in_parts(list(short.values()), CONTRACT), strict=True))
+                long[place] = self._pieces(raw)
+        known.fresh.clear()
+        for place, ids in zip(short, self._in_parts(list(short.values()), CONTRACT), strict=True):
+            known.ids[place] = ids
         pieces = list(dict.fromkeys(p for cut in long.values() for p in cut))
         ids = dict(zip(pieces, self._in_parts(pieces, CONTRACT_LONG), strict=True))
-        for word, cut in long.items():
-            self._known[word] = b"".join(ids[p] for p in cut)
+        for place, cut in long.items():
+            known.ids[place] = b"".join(ids[p] for p in cut)
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text; new words of many texts go into one query."""
         at = 0
         while at < len(texts):
             if len(self._known) > WORDS_KEPT // 2:
-                self._known, self._older = {}, self._known
-            split, fresh, size = [], set(), 0
-            while at < len(texts) and size < 2 * QUERY_BYTES:
-                split.append(self._words_of(texts[at]))
-                for w in set(split[-1]).difference(self._known):
-                    if (ids := self._older.get(w)) is not None:
-                        self._known[w] = ids
-                    else:
-                        fresh.add(w)
-                size += len(texts[at])
+                self._older, self._known = self._known, self._known.turned()
+            known, places = self._known, []
+            while at < len(texts) and len(known.fresh) < NEW_WORDS:
+                words = self._split(texts[at])
+                places.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
                 at += 1
-            self._learn(fresh)
-            for words in split:
-                yield np.frombuffer(b"".join(map(self._known.__getitem__, words)), "<i4")
+            self._learn()
+            ids_of = known.ids.__getitem__
+            for text in places:
+                yield np.frombuffer(b"".join(map(ids_of, text.tolist())), "<i4")
 
     def decode(self, rows: list[np.ndarray]) -> Iterator[bytes]:
         """The bytes of each list of ids."""
