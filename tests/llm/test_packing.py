@@ -94,3 +94,29 @@ def test_words_encode_like_whole_texts(tokenizer):
     ]
     for text, got in zip(texts, enc.encode(texts), strict=True):
         assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_words_are_given_places_once(tokenizer, monkeypatch):
+    """A word, stem or tail is learnt when first met; the next turn knows the words of
+    the last one, not those before."""
+    import public_tokenizers
+
+    words = packing.Words()
+    assert [words[w] for w in (b"a", b"b", b"a")] == [0, 1, 0] and words.fresh == [b"a", b"b"]
+    words.ids[:] = [b"A", b"B"]
+    words.fresh.clear()
+    later = words.turned()
+    assert [later[w] for w in (b"b", b"c")] == [0, 1] and later.ids == [b"B", None] and later.fresh == [b"c"]
+    later.ids[1] = b"C"
+    last = later.turned()
+    assert last[b"a"] == 0 and last.fresh == [b"a"]
+
+    monkeypatch.setattr(packing, "WORDS_KEPT", 8)
+    enc = packing.WordEncoder(str(public_tokenizers.path(packing.VOCABULARY)))
+    whole = []
+    monkeypatch.setattr(enc, "_ids", lambda text, f=enc._ids: whole.append(text) or f(text))
+    texts = ["one two, one. three,", "two, four x1.", "five six seven", "one two, nine", "four"]
+    for text in texts:
+        (got,) = enc.encode([text])
+        assert np.frombuffer(got, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert whole[:2] == ["one two three", ", <|endoftext|> ."]

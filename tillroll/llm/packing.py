@@ -17,11 +17,13 @@ input are ignored.
 
 Tokenizing: the vocabulary drops white space and never merges across it, so a
 text's ids are the ids of its blank-separated words; each worker remembers the
-ids of the words it has met lately (about ``WORDS_KEPT`` at most).
+ids of the words it has met lately (about ``WORDS_KEPT`` at most).  A text that waits
+for the ids of new words is held as a number per word.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -44,46 +46,68 @@ _WORD_END = "</w>"
 _TAIL = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
 
 
+class Words(dict):
+    """Word -> its place in ``ids``, which is given to a word when it is first looked
+    up; ids that ``older`` does not know either are None, and the word is ``fresh``."""
+
+    def __init__(self, older: Words | None = None):
+        self.ids: list[bytes | None] = []
+        self.fresh: list[bytes] = []
+        self._older = older
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self.ids)
+        older = None if self._older is None else self._older.get(word)
+        if older is None:
+            self.fresh.append(word)
+        self.ids.append(None if older is None else self._older.ids[older])
+        return place
+
+    def turned(self) -> Words:
+        """The next words, which know these but none before."""
+        self._older = None
+        return Words(self)
+
+
 class WordEncoder:
     """Texts -> ids (uint16 little-endian bytes) of a word-level BPE vocabulary."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self._tokenizer = Tokenizer.from_file(path)
         vocabulary = self._tokenizer.get_vocab()
         if max(vocabulary.values()) >= 1 << 16:
             raise ValueError("ids are kept in 16 bits")
         self._ends_word = np.zeros(1 << 16, bool)
         self._ends_word[[i for w, i in vocabulary.items() if w.endswith(_WORD_END)]] = True
-        self._known: dict[bytes, bytes] = {}
-        self._before: dict[bytes, bytes] = {}  # what was known before the last turn
+        self._known = Words()
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
+        (found,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)  # without places in the text
+        return np.array(found.ids, dtype="<u2")
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Punctuation after a letter is a unit of its own, so a word is its stem
+    def _learn(self) -> None:
+        """The ids of the fresh words.  Punctuation after a letter is a unit of its own, so a word is its stem
         and its tail, and most tails and many stems are known.  A run of letters is
         one unit and a unit's last id is a word end, so many stems are encoded in
         one call; what is no run of letters is encoded between marks."""
         known = self._known
-        cut: list[tuple[bytes, bytes, bytes]] = []
-        new: dict[bytes, bool] = {}  # stem or tail -> is a run of letters
-        for w in words:
+        cut: list[tuple[int, int, int]] = []
+        plain, other = [], []
+        for w in known.fresh:  # a stem or tail that is new comes in at the end
             stem = w.rstrip(_TAIL)
             text = stem.decode()
             if not text or not text[-1].isalpha():
-                stem, text = w, w.decode()
+                other.append(w)
             elif len(stem) < len(w):
-                tail = w[len(stem) :]
-                cut.append((w, stem, tail))
-                if tail not in known:
-                    new[tail] = False
-            if stem not in known:
-                new[stem] = text.isalpha()
-        plain = [w for w, alone in new.items() if alone]
-        other = [w for w, alone in new.items() if not alone]
+                cut.append((known[w], known[stem], known[w[len(stem) :]]))
+            elif text.isalpha():
+                plain.append(w)
+            else:
+                other.append(w)
+        known.fresh.clear()
         for k in range(0, len(plain), 512):
             part = plain[k : k + 512]
             ids = self._ids(b" ".join(part).decode())
@@ -96,39 +120,29 @@ class WordEncoder:
             part = other[k : k + 512]
             ids = self._ids(f" {_MARK} ".join(w.decode() for w in part))
             self._keep(part, ids, [*np.flatnonzero(ids == _MARK_ID).tolist(), len(ids)], 1)
-        for w, stem, tail in cut:
-            known[w] = known[stem] + known[tail]
+        for place, stem, tail in cut:
+            known.ids[place] = known.ids[stem] + known.ids[tail]
 
     def _keep(self, words: list[bytes], ids: np.ndarray, ends: list[int], gap: int) -> None:
-        raw, start = ids.tobytes(), 0
+        raw, start, known = ids.tobytes(), 0, self._known
         for w, end in zip(words, ends, strict=True):
-            self._known[w] = raw[2 * start : 2 * end]
+            known.ids[known[w]] = raw[2 * start : 2 * end]
             start = end + gap
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split: list[list[bytes] | None] = []
-        fresh: set[bytes] = set()
+        if len(self._known) > WORDS_KEPT // 2:  # words not met again since the last turn are forgotten
+            self._known = self._known.turned()
+        known = self._known
+        places: list[list[int] | None] = []
         for text in texts:
             raw = text.encode()
             if b"<|" in raw:  # may hold the vocabulary's special marks, which are case-sensitive
-                split.append(None)
-                continue
-            words = raw.lower().split()  # ASCII case and blanks only; the vocabulary ignores both
-            split.append(words)
-            fresh.update(words)
-        if len(self._known) > WORDS_KEPT // 2:  # words not met again since the last turn are forgotten
-            self._before, self._known = self._known, {}
-        known, before = self._known, self._before
-        missing = []
-        for w in fresh:
-            if w not in known:
-                if w in before:
-                    known[w] = before[w]
-                else:
-                    missing.append(w)
-        self._learn(missing)
-        look_up = known.__getitem__
-        return [self._ids(t).tobytes() if w is None else b"".join(map(look_up, w)) for t, w in zip(texts, split, strict=True)]
+                places.append(None)
+            else:  # ASCII case and blanks only; the vocabulary ignores both
+                places.append(list(map(known.__getitem__, raw.lower().split())))
+        self._learn()
+        ids_of = known.ids.__getitem__
+        return [self._ids(t).tobytes() if p is None else b"".join(map(ids_of, p)) for t, p in zip(texts, places, strict=True)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
