@@ -110,3 +110,28 @@ def test_automaton_is_minimal_and_round_trips():
 def test_other_columns_are_ignored(spark):
     docs = spark.createDataFrame([("p q r", "en", 1, "x")] * 11, "text string, lang string, part int, words string")
     assert [tuple(r) for r in pa_.first_phrases(docs).collect()] == [("en", 1, "p q r", 11, 11, 11, 33, 1_000_000)]
+
+
+def test_long_text_and_many_ranges(spark):
+    """Length times samples of all ranges is beyond an int."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        docs = spark.createDataFrame([("many words and more " * 20_000, "en"), ("short", "en")], "text string, lang string")
+        assert 400_000 * pa_.SAMPLES_PER_RANGE * pa_.RANGES_PER_PARTITION * 100 >= 1 << 31
+        assert {b[0] for b in pa_.range_bounds(docs)} == {"en"}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_block_is_never_longer(monkeypatch):
+    """A long text behind a nearly full block: its words have numbers of ``_BITS`` all the same."""
+    monkeypatch.setattr(pa_, "BLOCK_TOKENS", 7)
+    blocks = pa_._Blocks()
+    texts = [b" ".join(b"%c" % (97 + k) for k in range(a, z)) for a, z in ((0, 6), (6, 19), (0, 2))]
+    found = [x for t in texts for x in blocks.add(t)] + list(blocks.finish())
+    assert max(len(vocabulary) for vocabulary, _, _ in found) <= 7
+    ones = Counter()
+    for vocabulary, phrases, counts in found:
+        ones.update({vocabulary[p[0] - 1]: int(n) for p, n in zip(phrases, counts, strict=True) if p[1] == 0})
+    assert ones == Counter(w for t in texts for w in t.split())

@@ -246,16 +246,18 @@ class _Blocks:
             tokens = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
             tokens = tokens[tokens != 1]
             at = end + 1
-            for k in range(0, len(tokens), BLOCK_TOKENS):
-                part = tokens[k : k + BLOCK_TOKENS]
+            k = 0
+            while k < len(tokens):  # a block is never longer, so its words have numbers of ``_BITS``
+                part = tokens[k : k + max(1, BLOCK_TOKENS - self.size)]
+                k += len(part)
                 self.waiting.append(part)
                 self.size += len(part)
                 if self.size >= BLOCK_TOKENS:
-                    rest = tokens[k + BLOCK_TOKENS :]
+                    rest = tokens[k:]
                     names = list(self.numbers) if len(rest) else []
                     yield self._counted(last=False)
                     if len(rest):  # numbers were given anew
-                        tokens[k + BLOCK_TOKENS :] = [self.numbers[names[x]] for x in rest.tolist()]
+                        tokens[k:] = [self.numbers[names[x]] for x in rest.tolist()]
         self.waiting.append(np.zeros(1, np.int64))
         self.size += 1
 
@@ -303,7 +305,7 @@ def range_bounds(docs: DataFrame) -> list[Bound]:
     """Language, first and second word where ranges start.  Texts are drawn with the
     chance of their length, so about ``SAMPLES_PER_RANGE`` a range come to the driver."""
     ranges = RANGES_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sized = docs.withColumn("size", F.length("text"))
+    sized = docs.withColumn("size", F.length("text").cast("long"))  # times the samples it is no int
     total = sized.agg(F.sum("size")).first()[0] or 0
     drawn = sized.filter(F.rand(11) * F.lit(total) < F.col("size") * F.lit(SAMPLES_PER_RANGE * ranges))
     at = (F.rand(12) * F.greatest(F.col("size") - SAMPLE_CHARS, F.lit(0))).cast("int") + 1
