@@ -71,3 +71,71 @@ def test_product_view_holds_flags_per_invoice(spark, wh_small):
     plan = catalog.view(wh_small, "v_product_kpis")._jdf.queryExecution().optimizedPlan().toString()
     per_invoice = [x for x in plan.splitlines() if "Aggregate [" in x and "invoice_no" in x.partition("], [")[0]]
     assert per_invoice and not any("sum(" in x or "stock_code" in x for x in per_invoice)
+
+
+def test_dense_lookup_and_values(spark, tmp_path):
+    """Dense keys of integral ids, also negative, far apart and missing, and back; a key that is not dense is an error."""
+    ids = [-5000, -1, 0, 1, 2, 63, 64, 1023, 1024, 5000, 2**31 - 1]
+    table = spark.createDataFrame([(v, k) for k, v in enumerate(ids, 1)], "id int, key long")
+    rows = spark.createDataFrame([(n, v) for n, v in enumerate([*ids, *ids, None, None, 3, -2, 2**31 - 2])], "n long, at int")
+    got = R.dense_lookup(rows, table, "at", "id", "key", "n", work=str(tmp_path / "bits")).select("n", "at", "key").collect()
+    assert len(got) == 27 and all(r.key == (ids.index(r["at"]) + 1 if r["at"] in ids else None) for r in got)
+    R.value_blocks(table, "key", "id").write.parquet(str(tmp_path / "ids"))
+    keys = spark.createDataFrame([(k,) for k in [*range(0, 13), -7, None]], "key long")
+    back = R.dense_values(keys, spark.read.parquet(str(tmp_path / "ids")), "key", "id", "int").collect()
+    assert len(back) == 15 and all(r.id == (ids[r.key - 1] if r.key in range(1, 12) else None) for r in back)
+    with pytest.raises(Exception, match="not dense"):
+        R.dense_lookup(rows, table.withColumn("key", F.col("key") * 2), "at", "id", "key", "n", work=str(tmp_path / "gap"))
+
+
+def test_packed_rows_come_back(spark):
+    """Flags, record types and invoice numbers of any form, NULL too."""
+    from tillroll.operators import facts
+
+    numbers = ["500123", "C500123", "0123", "C0123", "-5", "c5", "", None, "C", "9" * 18, "9" * 19, "C" + "9" * 19, "٣"]
+    flags = [[bool(n >> k & 1) if (n + k) % 3 else None for k in range(len(facts.FLAGS))] for n in range(len(numbers))]
+    types = [*S.RECORD_TYPES, None, "", "other"] * 2
+    data = [(n, *f, types[n], x) for n, (f, x) in enumerate(zip(flags, numbers, strict=True))]
+    df = spark.createDataFrame(data, f"n int, {', '.join(f'{f} boolean' for f in facts.FLAGS)}, record_type string, invoice_no string")
+    packed = facts.packed(df)
+    assert not {*facts.FLAGS, "record_type", "invoice_no"} & set(packed.columns)
+    assert sorted(map(tuple, facts.unpacked(packed).select(*df.columns).collect())) == data
+
+
+def test_load_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    """Every step's shuffle files are gone when it has ended; the session's setting stays."""
+    from tillroll.plans import session
+
+    monkeypatch.setattr(builds, "builds_dir", lambda s: f"file://{tmp_path}/builds")
+    before = spark.conf.get(session._CLEANUP)
+    left = lambda: sum(1 for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if f.endswith(".data"))
+    spark.range(1000).repartition(4, "id").count()
+    first = left()
+    wh = warehouse.build(spark, SF_SMALL, root=f"file://{tmp_path}/tillroll/w")
+    assert left() <= first and spark.conf.get(session._CLEANUP) == before
+    assert wh.fact.count() == wh.rows["fact_sales"] > 0
+
+
+def test_facts_are_exchanged_narrow(spark, wh_small, monkeypatch):
+    """No flag, record type or amount goes through an exchange of the fact load, and with the
+    customers' bits broadcast no exchange is by customer; the view's calendar is added last."""
+    from tillroll.operators import facts, views
+
+    rows = facts.keyed_rows(wh_small.staging, wh_small.dim_customer, wh_small.dim_product, wh_small.dim_country)
+    assert not {*facts.FLAGS, "record_type", "line_amount", "customer_id"} & set(rows.columns)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = views.sales_enriched(wh_small)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    below = plan[plan.index("Join ") :]
+    assert "AS year_month" not in below and "AS week_of_year" not in below
+
+
+def test_product_kpis_hold_flags_per_invoice(spark, wh_small):
+    from tillroll.operators import views
+
+    plan = views.product_kpis(wh_small)._jdf.queryExecution().optimizedPlan().toString()
+    per_invoice = [x for x in plan.splitlines() if "Aggregate [" in x and "invoice_no" in x.partition("], [")[0]]
+    assert per_invoice and not any("sum(" in x for x in per_invoice)
