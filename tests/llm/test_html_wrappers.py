@@ -179,3 +179,72 @@ def test_large_pages_and_hosts_keep_their_template(spark):
     assert len(out) == 35
     for k, lines in out.items():
         assert f"T{k}" in lines and len(lines) > 1 and not {"Home", "Our paper", "All rights kept"} & set(lines)
+
+
+def test_long_lists_are_compared_whole(monkeypatch):
+    """Cut at equal ends and single spans, the opcodes rebuild both lists and find what is common."""
+    import random
+
+    rng = random.Random(4)
+    for n in (0, 3, 40, 300):
+        a = [rng.choice("abcdefgh") + str(rng.randrange(n + 1) if rng.random() < 0.3 else "") for _ in range(n)]
+        b = [x for x in a if rng.random() < 0.9]
+        b[n // 2 : n // 2] = ["new", "b", "a"]
+        with monkeypatch.context() as m:
+            m.setattr(hw, "MOST_ITEMS", -1)
+            codes = hw._opcodes(a, b)
+        assert [x for _, i, j, _, _ in codes for x in a[i:j]] == a and [x for *_, s, e in codes for x in b[s:e]] == b
+        assert all((a[i:j] == b[s:e]) == (op == "equal") for op, i, j, s, e in codes)
+        assert sum(j - i for op, i, j, _, _ in codes if op == "equal") >= 0.8 * (len(b) - 3)
+
+
+def test_longest_common_subsequence():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(1)
+    for _ in range(100):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(20))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        got = hw._longest_common(np.array(a, int), np.array(b, int))
+        assert len(got) == best[-1][-1] and all(a[i] == b[j] for i, j in got)
+        assert all(x < u and y < v for (x, y), (u, v) in zip(got, got[1:], strict=False))
+
+
+def test_pages_of_any_size_are_aligned(spark):
+    """Pages of more than MOST_ITEMS items have slots and constants like others, in a wrapper of all pages."""
+    part = "<{0} class=c{1}>{2}</{0}>"
+    names = ["".join(chr(97 + int(d)) for d in f"{k:04d}") for k in range(1300)]
+    pages = ["<body><p>Same line</p>" + "".join(part.format("div" if k % 2 else "section", x, f"t{k} {n}" if k % 3 else f"always {k}") for k, x in enumerate(names)) for n in range(4)]
+    assert min(hw._size(hw.page_expression(p)) for p in pages) > hw.MOST_ITEMS
+    rows = [(n, "//h/", p) for n, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    got = hw.host_wrappers(df).collect()
+    assert [(r.host, r.pages) for r in got] == [("h", 4)]
+    wrapper = hw._load(got[0].wrapper)
+    assert hw.slots(wrapper) == sum(k % 3 > 0 for k in range(1300))
+    assert set(hw.constants(wrapper)) == {hw.fingerprint(x) for x in ["Same line", *(f"always {k}" for k in range(0, 1300, 3))]}
+    out = hw.extract(df).collect()
+    assert all(r.text.split("\n") == [f"t{k} {r.row.page_id}" for k in range(1300) if k % 3] for r in out)
+
+
+def test_layouts_that_share_nothing_are_kept(monkeypatch):
+    """What outgrows the limit is a wrapper of its own, not none; all pages are counted."""
+    monkeypatch.setattr(hw, "MOST_ITEMS", 5)
+    one, two = ('["<p>", ["#", "x"], "</p>"]', '["<ul>", "<li>", ["#", "y"], "</li>", "</ul>"]')
+    assert hw._merge(one, two) is None
+    assert hw._merge(one, '["<p>", ["#", "z"], "</p>"]') == '["<p>", ["#", null], "</p>"]'
+
+
+def test_layouts_share_a_template(spark):
+    """Three pages of nothing in common but a line: three layouts, one template; own texts stay."""
+    names = lambda k: "".join(f"<x{k}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 676)}>own {k} {i}</x{k}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}{chr(97 + i // 676)}>" for i in range(1100))
+    rows = [(k, "//h/", f"<body><h6>Home</h6>{names(k)}</body>") for k in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert [(r.pages, r.wrapper) for r in hw.host_wrappers(df).collect()] == [(3, None)]
+    for r in hw.extract(df).collect():
+        assert "Home" not in r.text and all(f"own {r.row.page_id} {i}" in r.text for i in (0, 500, 1099))
